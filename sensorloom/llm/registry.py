@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from . import secrets
+from . import mixing, pii, secrets, toxicity
 
 
 def queries() -> dict:
-    return {"op8_secrets": secrets.op8_secrets}
+    return {
+        "op2_mix": mixing.op2_mix,
+        "op6_pii": pii.op6_pii,
+        "op8_secrets": secrets.op8_secrets,
+        "op10_toxicity": toxicity.op10_toxicity,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_mix": mixing.OP2_SQL}
