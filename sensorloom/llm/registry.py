@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import mixing, pii, secrets, toxicity
+from . import mixing, neardup, pii, secrets, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op2_mix": mixing.op2_mix,
         "op6_pii": pii.op6_pii,
+        "op7_neardup": neardup.op7_neardup,
         "op8_secrets": secrets.op8_secrets,
+        "op9_warc": warc.op9_warc,
         "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix": mixing.OP2_SQL}
+    return {"op2_mix": mixing.OP2_SQL, "op9_warc": warc.OP9_SQL}
