@@ -18,6 +18,8 @@ from .common import Scratch, table
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 WORD = r"[^\x20\x09-\x0D]+"
 BITS, LEVELS = 10, 6  # 60 bits of the hash in six histograms of 1024 buckets
+#: A source's documents meet its one row of plan in so many parts, as one source may hold a third of all rows.
+SALTS = 64
 
 
 def place(doc_id: Column) -> Column:
@@ -47,6 +49,10 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     return s.select("source", "source_size", "target")
 
 
+def _salted(small: DataFrame) -> DataFrame:
+    return small.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def mix(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target, taken (words, repeats counted).
 
@@ -66,7 +72,7 @@ def mix(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "
     for level in range(LEVELS):
         shift = BITS * (LEVELS - 1 - level)
         top = F.shiftright("u", shift + BITS) if level else F.lit(0).cast("long")
-        inside = here.join(edge, F.col("source").eqNullSafe(F.col("s")) & (top == F.col("prefix")))
+        inside = here.join(_salted(edge), F.col("source").eqNullSafe(F.col("s")) & (F.pmod("u", F.lit(SALTS)) == F.col("part")) & (top == F.col("prefix")))
         histogram = inside.groupBy("s", "prefix", "left", F.shiftright("u", shift).alias("bucket")).agg(F.sum("size").alias("words"))
         by = W.partitionBy("s").orderBy("bucket")
         run = histogram.withColumn("below", F.sum("words").over(by) - F.col("words"))
@@ -76,7 +82,7 @@ def mix(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "
     last = here.join(edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("u") == F.col("prefix"))).groupBy("s", "prefix", "left").agg(F.sum("size").alias("words"))
     cut = last.select("s", (F.col("prefix") + (F.col("words") - F.col("left") < F.col("left")).cast("long")).alias("below"))
     plan = goal.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").select(F.col("source").alias("g"), "source_size", "target", "turns", F.coalesce("below", F.when(F.col("budget") > 0, F.lit(1 << 60)).otherwise(F.lit(0))).alias("below"))
-    out = thin.join(plan, F.col("source").eqNullSafe(F.col("g")))
+    out = thin.join(_salted(plan), F.col("source").eqNullSafe(F.col("g")) & (F.pmod("u", F.lit(SALTS)) == F.col("part")))
     copies = F.col("turns") + (F.col("u") < F.col("below")).cast("long")
     return out.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.least(copies, F.lit(most))).alias("taken"), F.least(copies, F.lit(most)).alias("copies"))
 
