@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, neardup, pii, secrets, toxicity, warc
+from . import embeddings, mixing, neardup, pii, secrets, toxicity, warc
 
 
 def queries() -> dict:
     return {
+        "op1_embeddings": embeddings.op1_embeddings,
         "op2_mix": mixing.op2_mix,
         "op6_pii": pii.op6_pii,
         "op7_neardup": neardup.op7_neardup,
