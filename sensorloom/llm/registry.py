@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import embeddings, mixing, neardup, pii, secrets, toxicity, warc
+from . import embeddings, mixing, neardup, pii, secrets, substrings, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op1_embeddings": embeddings.op1_embeddings,
         "op2_mix": mixing.op2_mix,
+        "op4_substrings": substrings.op4_substrings,
         "op6_pii": pii.op6_pii,
         "op7_neardup": neardup.op7_neardup,
         "op8_secrets": secrets.op8_secrets,
