@@ -141,30 +141,64 @@ def _plausible(batches, least):
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], names=["a", "b"])
 
 
-def _across(pdf_iter, least):
-    """Tasks of blocks -> plausible pairs of different components; a block pair is compared as one array."""
+def _across(pdf, least, similarity, words):
+    """One pair of blocks -> confirmed links between different components, as few as join them.
+
+    Sketches leave the plausible pairs; a pair is only looked at in its first common band. Full sets then decide, the
+    likeliest pairs first, and a pair whose components a link has joined meanwhile needs no look.
+    """
     import pandas as pd
 
-    for pdf in pdf_iter:
-        a, b = [], []
-        for _, part in pdf.groupby("task", sort=False):
-            left, right = part[part.side <= 1], part[part.side != 1]
-            if not len(left) or not len(right):
-                continue
-            x = np.frombuffer(b"".join(left.sketch), np.uint8).reshape(-1, REGISTERS)
-            y = np.frombuffer(b"".join(right.sketch), np.uint8).reshape(-1, REGISTERS)
-            comp, ids, n = right.grp.to_numpy(), right.id.to_numpy(), right.n.to_numpy(float)
-            for i, (c, d, m) in enumerate(zip(left.grp, left.id, left.n.astype(float))):
-                near = (comp != c) & (np.minimum(n, m) >= 0.5 * np.maximum(n, m))
-                if part.side.iat[0] == 0:
-                    near[: i + 1] = False
-                who = np.flatnonzero(near)
-                if len(who):
-                    j = estimate((x[i] > y[who]).sum(1), (x[i] < y[who]).sum(1), np.full(len(who), m), n[who])
-                    who = who[j >= least]
-                    a += [d] * len(who)
-                    b += ids[who].tolist()
-        yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+    side = pdf.side.to_numpy()
+    left, right = np.flatnonzero(side <= 1), np.flatnonzero(side != 1)
+    none = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    if not len(left) or not len(right):
+        return none
+    sketch = np.frombuffer(b"".join(pdf.sketch), np.uint8).reshape(-1, REGISTERS)
+    band = sketch.view(np.uint64)
+    t, comp, ids, n = int(pdf.t.iat[0]), pdf.grp.to_numpy(), pdf.id.to_numpy(), pdf.n.to_numpy(float)
+    p, q = [], []
+    for k, i in enumerate(left):
+        near = (comp[right] != comp[i]) & (np.minimum(n[right], n[i]) >= (similarity - 1e-9) * np.maximum(n[right], n[i]))
+        if side[i] == 0:
+            near[: k + 1] = False
+        who = right[near]
+        if t and len(who):
+            who = who[~(band[who, :t] == band[i, :t]).any(axis=1)]
+        if len(who):
+            who = who[(sketch[who] == sketch[i]).sum(axis=1) >= REGISTERS * (least - 0.1)]
+            p.append(np.full(len(who), i))
+            q.append(who)
+    if not p:
+        return none
+    p, q = np.concatenate(p), np.concatenate(q)
+    j = np.concatenate([estimate((sketch[p[c : c + 20_000]] > sketch[q[c : c + 20_000]]).sum(1), (sketch[p[c : c + 20_000]] < sketch[q[c : c + 20_000]]).sum(1), n[p[c : c + 20_000]], n[q[c : c + 20_000]]) for c in range(0, len(p), 20_000)] or [np.zeros(0)])
+    order = np.argsort(-j, kind="stable")
+    order = order[j[order] >= least]
+    p, q = p[order].tolist(), q[order].tolist()
+    text, root, sets, out = pdf.text.to_numpy(), {}, {}, []
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    def full(i):
+        if i not in sets:
+            sets[i] = frozenset(next(Words(*text_bytes(pa.array([text[i]], pa.large_string()))).shingles(words)).tolist())
+        return sets[i]
+
+    hundred = round(100 * similarity)
+    for x, y in zip(p, q):
+        a, b = find(comp[x]), find(comp[y])
+        if a != b:
+            u, v = full(x), full(y)
+            both = len(u & v)
+            if 100 * both >= hundred * (len(u) + len(v) - both):
+                root[max(a, b)] = min(a, b)
+                out.append((ids[x], ids[y]))
+    return pd.DataFrame(out, columns=["a", "b"]) if out else none
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = 3, similarity: float = 0.85) -> DataFrame:
@@ -182,9 +216,9 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = 3, similarit
     reps = scratch.write(reps, "nodes")
 
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * ROWS + 1, ROWS)) for k in range(REGISTERS // ROWS)])
-    band = reps.select("id", F.explode(keys).alias("key"))
+    band = reps.select("id", F.posexplode(keys).alias("t", "key"))
     shared = band.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    hot = scratch.write(band.join(shared, "key").select("key", "id", "c"), "buckets")
+    hot = scratch.write(band.join(shared, "key").select("key", "id", "t", "c"), "buckets")
     busy = hot.groupBy("id").agg(F.sum("c").alias("deg"))
     ranked = hot.join(busy, "id").select("key", "id", "deg")
     hub = ranked.groupBy("key").agg(F.max(F.struct("deg", (-F.col("id")).alias("i"))).alias("h")).select("key", (-F.col("h.i")).alias("b"))
@@ -207,14 +241,11 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = 3, similarit
 
     first = confirmed(scratch.write(sketched(star), "plausible"), "links")
     comp = connected_components(scratch, first)
-    placed = scratch.write(hot.select("key", "id").join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("grp")), "placed")
+    placed = scratch.write(hot.select("key", "id", "t").join(comp, "id", "left").select("key", "id", "t", F.coalesce("component", "id").alias("grp")), "placed")
     mixed = placed.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo < hi").select("key")
-    open_ = placed.join(mixed, "key").join(reps, "id").select("key", "id", "grp", "n", "sketch")
-    tasks = block_pairs(open_, BLOCK).select("task", "side", "id", "grp", "n", "sketch")
-    dealt = tasks.groupBy("task").applyInPandas(lambda pdf: next(_across([pdf], least)), "a long, b long")
-    more = dealt.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = scratch.write(more.join(star, ["a", "b"], "left_anti"), "rest")
-    second = confirmed(more, "links")
+    open_ = placed.join(mixed, "key").select("key", "id", "grp", "t")
+    tasks = block_pairs(open_, BLOCK).select("task", "side", "id", "grp", "t").join(reps, "id").join(texts, "id")
+    second = scratch.write(tasks.groupBy("task").applyInPandas(lambda pdf: _across(pdf, least, similarity, words), "a long, b long"), "links")
     comp = scratch.write(connected_components(scratch, first.union(second)), "components")
 
     named = node.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("c"))
