@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embeddings, mixing, neardup, pii, secrets, substrings, toxicity, warc
+from . import decontaminate, embeddings, mixing, neardup, pii, secrets, substrings, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_embeddings": embeddings.op1_embeddings,
         "op2_mix": mixing.op2_mix,
         "op4_substrings": substrings.op4_substrings,
+        "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_pii": pii.op6_pii,
         "op7_neardup": neardup.op7_neardup,
         "op8_secrets": secrets.op8_secrets,
