@@ -53,15 +53,8 @@ def _salted(small: DataFrame) -> DataFrame:
     return small.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def mix(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken (words, repeats counted).
-
-    A null text has size 0 and is taken 0 times; a null source is a source of its own; rows that share an id have the
-    same place and are taken together. Whole documents are taken; at the boundary the last one goes in only if that
-    brings its source nearer to the target. An empty table gives an empty result.
-    """
-    size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
-    thin = scratch.write(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), place(F.col(doc_id)).alias("u")), "sizes")
+def plan(thin: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """(source, size, u) -> per source: source_size, target, whole turns, and the place below which one more is taken."""
     goal = targets(thin.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     goal = goal.withColumn("turns", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     goal = scratch.write(goal.withColumn("budget", F.col("target") - F.col("turns") * F.col("source_size")), "goals")
@@ -79,17 +72,48 @@ def mix(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "
         edge = run.where("below <= left and below + words > left").select("s", F.col("bucket").alias("prefix"), (F.col("left") - F.col("below")).alias("left"))
         edge = scratch.write(edge, "edge")
     # the last bucket is one place: its rows go in if that is nearer
-    last = here.join(edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("u") == F.col("prefix"))).groupBy("s", "prefix", "left").agg(F.sum("size").alias("words"))
+    last = here.join(_salted(edge), F.col("source").eqNullSafe(F.col("s")) & (F.pmod("u", F.lit(SALTS)) == F.col("part")) & (F.col("u") == F.col("prefix"))).groupBy("s", "prefix", "left").agg(F.sum("size").alias("words"))
     cut = last.select("s", (F.col("prefix") + (F.col("words") - F.col("left") < F.col("left")).cast("long")).alias("below"))
-    plan = goal.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").select(F.col("source").alias("g"), "source_size", "target", "turns", F.coalesce("below", F.when(F.col("budget") > 0, F.lit(1 << 60)).otherwise(F.lit(0))).alias("below"))
-    out = thin.join(_salted(plan), F.col("source").eqNullSafe(F.col("g")) & (F.pmod("u", F.lit(SALTS)) == F.col("part")))
-    copies = F.col("turns") + (F.col("u") < F.col("below")).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.least(copies, F.lit(most))).alias("taken"), F.least(copies, F.lit(most)).alias("copies"))
+    found = goal.join(cut, F.col("source").eqNullSafe(F.col("s")), "left")
+    return scratch.write(found.select("source", "source_size", "target", "turns", F.coalesce("below", F.when(F.col("budget") > 0, F.lit(1 << 60)).otherwise(F.lit(0))).alias("below")), "plan")
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    """``docs`` with _size and _u."""
+    size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
+    return docs.withColumn("_size", size).withColumn("_u", place(F.col("doc_id")))
+
+
+def _taken(sized: DataFrame, goals: DataFrame, most: int) -> DataFrame:
+    """``sized`` with _source_size, _target and _taken."""
+    goals = _salted(goals).toDF(*(f"_{c}" for c in (*goals.columns, "part")))
+    out = sized.join(goals, F.col("source").eqNullSafe(F.col("_source")) & (F.pmod("_u", F.lit(SALTS)) == F.col("_part")))
+    copies = F.least(F.col("_turns") + (F.col("_u") < F.col("_below")).cast("long"), F.lit(most))
+    return out.withColumn("_taken", F.col("_size") * copies)
+
+
+def mix(docs: DataFrame, scratch: Scratch, keep: bool = False, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """One row per row of ``docs``: doc_id, size, source_size, target, taken (words, repeats counted).
+
+    With ``keep``, instead, the rows that are taken with all their columns and these five (a column of the caller's of
+    the same name as one of them is replaced). A null text has size 0 and is taken 0 times; a null source is a source
+    of its own; rows that share an id have the same place and are taken together. Whole documents are taken; at the
+    boundary the last one goes in only if that brings its source nearer to the target. An empty table gives an empty
+    result.
+    """
+    thin = _sized(docs.select("doc_id", "source", "text")).select("doc_id", "source", "_size", "_u")
+    thin = scratch.write(thin, "sizes")
+    goals = plan(thin.select("source", F.col("_size").alias("size"), F.col("_u").alias("u")), scratch, weights, share, most)
+    named = [F.col(f"_{c}").alias(c) for c in ("size", "source_size", "target", "taken")]
+    if not keep:
+        return _taken(thin, goals, most).select("doc_id", *named)
+    mine = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
+    return _taken(_sized(docs.select(*mine)), goals, most).where("_taken > 0").select(*mine, *named)
 
 
 def op2_mix(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` mixed to the weights 3, 1, 2."""
-    return mix(table(spark, sf_dir, "documents"), Scratch(spark, "mix")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(table(spark, sf_dir, "documents"), Scratch(spark, "mix"))
 
 
 OP2_SQL = r"""
@@ -118,3 +142,8 @@ SELECT d.doc_id, d.size, b.source_size, b.target,
        CAST(d.size * least(b.turns + CASE WHEN d.u < coalesce(e.cut, CASE WHEN b.budget > 0 THEN 1152921504606846976 ELSE 0 END) THEN 1 ELSE 0 END, 2) AS BIGINT) AS taken
 FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source LEFT JOIN e ON d.source IS NOT DISTINCT FROM e.source
 """
+
+
+def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: the documents that the mix takes, with how many of their words it takes."""
+    return mix(docs, Scratch(spark, "stage-mix"), keep=True)

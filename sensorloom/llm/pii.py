@@ -168,3 +168,13 @@ def op6_pii(spark, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=[x.split()[0] for x in schema.split(", ")])
 
     return find_pii(docs).select("doc_id", "pii_spans").mapInArrow(digest, schema)
+
+
+def redact_pii(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: every document stays, with its personal data replaced and n_chars counted anew."""
+    from pyspark.sql import functions as F
+
+    names = docs.columns
+    clean = find_pii(docs.select("text", *(F.col(c).alias(f"c{i}") for i, c in enumerate(names))), redacted=True)
+    out = clean.select(*(F.col("text" if c == "text" else f"c{i}").alias(c) for i, c in enumerate(names)))
+    return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in names else out

@@ -193,16 +193,19 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with toxicity (0 to 1). Only the text is read; null and empty texts get the score of no match."""
-    schema = docs.drop("toxicity").schema.add("toxicity", "double")
+def score_toxicity(docs: DataFrame, model: Model, name: str = "toxicity") -> DataFrame:
+    """``docs`` with a score from 0 to 1 in ``name`` (replaced if it is there). Only the text is read.
+
+    Rows are scored one by one, so repeated rows have equal scores; null and empty texts get the score of no match.
+    """
+    schema = docs.drop(name).schema.add(name, "double")
     names = schema.fieldNames()[:-1]
 
     def work(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             p = probability(np.array([features(t, model) for t in texts]).reshape(-1, 3), model.coef)
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(p, pa.float64())], names=[*names, "toxicity"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(p, pa.float64())], names=[*names, name])
 
     return docs.mapInArrow(work, schema)
 
@@ -226,4 +229,5 @@ def op10_toxicity(spark, sf_dir: str) -> DataFrame:
 
 def reject_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents whose score is 0.5 or more go; the rest keep all their columns."""
-    return score_toxicity(docs, train(spark, sf_dir, docs)).where("toxicity < 0.5").drop("toxicity")
+    name = "_" + "_".join(docs.columns)  # no column of the caller's is called so
+    return score_toxicity(docs, train(spark, sf_dir, docs), name).where(F.col(name) < 0.5).drop(name)
