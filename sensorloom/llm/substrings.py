@@ -8,8 +8,9 @@ nothing. Each shard builds suffix arrays of bounded size by Larsson-Sadakane ref
 Kasai's method, and merges the arrays by binary search of their 50-byte strings.
 
 Documents travel in pieces of about a megabyte, packed in a table that is bucketed by piece; every later step joins
-small rows to that table without moving the text again. A run that occurs often is sent once by each piece and kept
-once in its shard.
+small rows to that table without moving the text again. Runs that follow each other form stretches; of stretches that
+occur in several documents only the digest is sent, and all but the least document's are settled by it. What is left
+is sent once by each piece and kept once in its shard.
 """
 
 from __future__ import annotations
@@ -30,7 +31,9 @@ from .textops import K1, K2, mix, pieces, text_bytes
 SPAN, GRAM = 50, 24
 PIECE = 1_000_000
 #: Anchors that one task compares, text bytes for which there is a shard, bytes in one suffix array.
-ANCHORS_A_TASK, TEXT_A_SHARD, ARRAY = 3_000_000, 8_000_000, 2_000_000
+ANCHORS_A_TASK, TEXT_A_PART, TEXT_A_SHARD, ARRAY = 3_000_000, 64_000_000, 8_000_000, 2_000_000
+#: One anchor in so many begins a new stretch of runs.
+STRETCH = 8
 _BYTE = mix(np.arange(256, dtype=np.uint64) * K1 + K2)
 
 
@@ -71,18 +74,21 @@ def anchors(data: np.ndarray, off: np.ndarray):
     begin[1:] &= ~ok[:-1] | (at[1:] != at[:-1])
     begin[off[:-1][(size >= SPAN)]] = True
     first = np.flatnonzero(begin)
-    end = np.ones(len(first), np.int64)
     stop = ok.copy()
     stop[:-1] &= ~ok[1:] | begin[1:]
     last = np.flatnonzero(stop)
-    del end
     text = np.searchsorted(off, first, "right") - 1
     return text, first, last, (h[at[first]] >> np.uint64(32)).astype(np.uint32)
 
 
-def suffix_array(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+NEAR = 32
+
+
+def suffix_array(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions in the order of their suffixes, each ending with its own text; equal suffixes by position.
 
+    Also which of them share NEAR bytes or more with the one before, which the refinement knows on its way.
+
     Larsson-Sadakane: sort by eight bytes, then refine only the groups that are still tied by the rank of the suffix
     8, 16, 32... bytes on.
     """
@@ -109,6 +115,7 @@ def suffix_array(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     rank = np.empty(n, np.int64)
     head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     rank[sa] = head
+    near = ~new
     while h < longest:
         tied = np.flatnonzero(~(new & np.r_[new[1:], True]))
         if not len(tied):
@@ -125,36 +132,43 @@ def suffix_array(data: np.ndarray, off: np.ndarray) -> np.ndarray:
         head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
         rank[sa[tied]] = head[tied]
         h *= 2
-    return sa
+        if h == NEAR:
+            near = ~new
+    return sa, near
 
 
-def common_prefixes(data: np.ndarray, off: np.ndarray, sa: np.ndarray, most: int = SPAN) -> np.ndarray:
-    """Bytes that each suffix shares with the one before it in ``sa``, up to ``most``.
+def common_prefixes(data: np.ndarray, off: np.ndarray, sa: np.ndarray, near: np.ndarray, most: int = SPAN) -> np.ndarray:
+    """By position, the bytes that a suffix shares with the one before it in ``sa``, up to ``most``; 0 where not near.
 
     Kasai: in text order the shared length falls by one at most from a position to the next, so each comparison goes
     on where the last one ended. All texts are walked side by side, one position of each at a time.
     """
     n = len(sa)
     before = np.full(n, -1, np.int64)
-    before[sa[1:]] = sa[:-1]
-    end = np.repeat(off[1:], np.diff(off))
+    at = np.flatnonzero(near[1:]) + 1
+    before[sa[at]] = sa[at - 1]
+    size = np.diff(off)
+    end = np.repeat(off[1:], size)
     out = np.zeros(n, np.int64)
-    start, size = off[:-1], np.diff(off)
-    h = np.zeros(len(start), np.int64)
-    for step in range(int(size.max(initial=0))):
-        live = np.flatnonzero(size > step)
-        p = start[live] + step
-        q = before[p]
-        g = np.where(q >= 0, np.maximum(h[live] - 1, 0), 0)
-        limit = np.where(q >= 0, np.minimum(np.minimum(end[p] - p, end[np.maximum(q, 0)] - q), most), 0)
+    owner = np.repeat(np.arange(len(size)), size)
+    p = np.flatnonzero(before >= 0)
+    step = p - off[owner[p]]
+    order = np.argsort(step, kind="stable")
+    p, step = p[order], step[order]
+    cut = np.flatnonzero(np.r_[True, step[1:] != step[:-1], True]) if len(p) else np.zeros(1, int)
+    for s, e in zip(cut[:-1], cut[1:]):
+        here, prior = p[s:e], before[p[s:e]]
+        limit = np.minimum(np.minimum(end[here] - here, end[prior] - prior), most)
+        # the length at the position before; where that position was not near it is short of NEAR anyway
+        g = np.where(step[s] > 0, out[np.maximum(here - 1, 0)] - 1, 0)
+        g = np.minimum(np.maximum(g, np.minimum(NEAR, limit)), limit)
         going = np.flatnonzero(g < limit)
         while len(going):
-            same = data[p[going] + g[going]] == data[q[going] + g[going]]
+            same = data[here[going] + g[going]] == data[prior[going] + g[going]]
             going = going[same]
             g[going] += 1
             going = going[g[going] < limit[going]]
-        h[live] = g
-        out[p] = g
+        out[here] = g
     return out
 
 
@@ -165,8 +179,8 @@ class Shard:
         self.data = np.frombuffer(b"".join(runs), np.uint8)
         size = np.array([len(r) for r in runs], np.int64)
         self.off = np.r_[0, np.cumsum(size)]
-        sa = suffix_array(self.data, self.off)
-        shared = common_prefixes(self.data, self.off, sa)[sa]
+        sa, near = suffix_array(self.data, self.off)
+        shared = common_prefixes(self.data, self.off, sa, near)[sa]
         end = np.repeat(self.off[1:], size)
         owner = np.repeat(docs, size)
         whole = end[sa] - sa >= SPAN
@@ -284,14 +298,83 @@ def _shared(pdf):
     return out[out.shared.str.len() > 0]
 
 
+def _flagged(got):
+    """The runs of a piece whose anchor is shared, and the first run of each stretch."""
+    get, ids, _, off, data = got
+    text, first, last, anchor = _runs(*got)
+    wanted = np.sort(np.concatenate([np.frombuffer(b, np.uint32) for b in get("shared")]))
+    at = np.minimum(np.searchsorted(wanted, anchor), len(wanted) - 1)
+    keep = np.flatnonzero(wanted[at] == anchor)
+    text, first, last, anchor = text[keep], first[keep], last[keep], anchor[keep]
+    begin = anchor % np.uint32(STRETCH) == 0
+    if len(begin):
+        begin[0] = True
+        begin[1:] |= (text[1:] != text[:-1]) | (first[1:] != last[:-1] + 1)
+    return text, first, last, anchor, np.flatnonzero(begin)
+
+
+def _stretches(got):
+    """Each stretch as (digest, first run, one past its last run), and the runs."""
+    runs = _flagged(got)
+    _, first, last, _, begin = runs
+    raw = got[4].tobytes()
+    stop = np.r_[begin[1:], len(first)]
+    dig = b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(first[begin].tolist(), (last[stop - 1] + SPAN).tolist())) if len(begin) else b""
+    return np.frombuffer(dig, np.int64).reshape(-1, 2), begin, stop, runs
+
+
+def _least_by_digest(dig, docs):
+    """Order of the rows by digest and document, and for each row in that order whether a lesser document comes first."""
+    order = np.lexsort((docs, dig[:, 1], dig[:, 0]))
+    d, o = dig[order], docs[order]
+    new = np.r_[True, (d[1:] != d[:-1]).any(axis=1)] if len(d) else np.zeros(0, bool)
+    head = np.maximum.accumulate(np.where(new, np.arange(len(d)), 0)) if len(d) else np.zeros(0, int)
+    return order, new, o > o[head]
+
+
+def _tell(batches, parts):
+    """Each piece's distinct stretches by part, with the least document of each."""
+    for got in _rows(batches):
+        dig, begin, _, (text, *_) = _stretches(got)
+        docs = got[1][text[begin]]
+        order, new, _ = _least_by_digest(dig, docs)
+        dig, docs = dig[order[new]], docs[order[new]]
+        part = (dig[:, 0].view(np.uint64) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        dig, docs, part = dig[order], docs[order], part[order]
+        cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, int)
+        yield pa.RecordBatch.from_arrays([pa.array(part[cut[:-1]]), pa.array(np.full(len(cut) - 1, got[0]("piece"))), pa.array([np.ascontiguousarray(dig[a:b]).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()), pa.array([docs[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["part", "piece", "digests", "docs"])
+
+
+def _known_before(pdf):
+    """Of one part's stretches, those of each piece that a lesser document of another piece holds."""
+    import pandas as pd
+
+    dig = np.concatenate([np.frombuffer(b, np.int64).reshape(-1, 2) for b in pdf.digests])
+    docs = np.concatenate([np.frombuffer(b, np.int64) for b in pdf.docs])
+    row = np.repeat(np.arange(len(pdf)), [len(b) // 8 for b in pdf.docs])
+    order, _, later = _least_by_digest(dig, docs)
+    order = np.sort(order[later])
+    row, dig = row[order], dig[order]
+    cut = np.flatnonzero(np.r_[True, row[1:] != row[:-1], True]) if len(row) else np.zeros(1, int)
+    return pd.DataFrame({"piece": pdf.piece.to_numpy()[row[cut[:-1]]], "before": [np.ascontiguousarray(dig[a:b]).tobytes() for a, b in zip(cut[:-1], cut[1:])]})
+
+
 def _send(batches, shards):
-    """Runs with a shared anchor, once each for equal runs of a piece, and spans that the piece settles itself."""
+    """Runs that are not settled, once each for equal runs of a piece, and the spans that are settled here."""
     for got in _rows(batches):
         get, ids, _, off, data = got
-        text, first, last, anchor = _runs(*got)
-        wanted = np.sort(np.concatenate([np.frombuffer(b, np.uint32) for b in get("shared")]))
-        at = np.minimum(np.searchsorted(wanted, anchor), len(wanted) - 1)
-        keep = np.flatnonzero(wanted[at] == anchor)
+        dig, begin, stop, (text, first, last, anchor, _) = _stretches(got)
+        order, _, later = _least_by_digest(dig, ids[text[begin]])
+        settled = np.zeros(len(begin), bool)
+        settled[order] = later
+        before = b"".join(get("before") or [])
+        before = {before[i : i + 16] for i in range(0, len(before), 16)}
+        if before:
+            settled |= np.array([d.tobytes() in before for d in dig], bool)
+        whole = np.flatnonzero(settled)
+        whole_text, whole_start, whole_stop = text[begin[whole]], first[begin[whole]], last[stop[whole] - 1]
+        keep = np.flatnonzero(~np.repeat(settled, stop - begin))
         text, first, last, anchor = text[keep], first[keep], last[keep], anchor[keep]
         raw, least = data.tobytes(), {}
         order = np.argsort(ids[text], kind="stable")
@@ -312,9 +395,11 @@ def _send(batches, shards):
         for s, e in zip(cut[:-1], cut[1:]):
             w = sent[s:e]
             rows.append((int(shard[s]), text[w].astype(np.int32).tobytes(), ids[text[w]].tobytes(), local[w].astype(np.int64).tobytes(), (last[w] - first[w] + 1).astype(np.int32).tobytes(), b"".join(raw[a : b + SPAN] for a, b in zip(first[w].tolist(), last[w].tolist()))))
-        if len(done):
+        if len(done) or len(whole):
             # settled here: an empty run list with the spans to remove, dealt out like any shard
-            rows.append((int(get("piece") % shards), text[done].astype(np.int32).tobytes(), b"", local[done].astype(np.int64).tobytes(), (last[done] - first[done] + 1).astype(np.int32).tobytes(), b""))
+            t = np.r_[text[done], whole_text].astype(np.int32)
+            start, size = np.r_[local[done], whole_start - off[whole_text]], np.r_[last[done] - first[done], whole_stop - whole_start] + 1
+            rows.append((int(get("piece") % shards), t.tobytes(), b"", start.astype(np.int64).tobytes(), size.astype(np.int32).tobytes(), b""))
         cols = list(zip(*rows)) or [[]] * 6
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array([get("piece")] * len(rows), pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=["shard", "piece", "text", "ids", "start", "windows", "runs"])
 
@@ -436,7 +521,12 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, texts: bool = False) -> Da
     told = known.mapInArrow(lambda it: _announce(it, parts), "part int, piece long, anchors binary")
     shared = told.groupBy("part").applyInPandas(_shared, "piece long, shared binary").groupBy("piece").agg(F.collect_list("shared").alias("shared"))
     shared = scratch.write(shared, "shared")
-    runs = known.join(shared.hint("shuffle_hash"), "piece").mapInArrow(lambda it: _send(it, shards), "shard int, piece long, text binary, ids binary, start binary, windows binary, runs binary")
+    flagged = known.join(shared.hint("shuffle_hash"), "piece")
+    kinds = max(12, total // TEXT_A_PART + 1)
+    told = flagged.mapInArrow(lambda it: _tell(it, kinds), "part int, piece long, digests binary, docs binary")
+    before = told.groupBy("part").applyInPandas(_known_before, "piece long, before binary").groupBy("piece").agg(F.collect_list("before").alias("before"))
+    before = scratch.write(before, "before")
+    runs = flagged.join(before.hint("shuffle_hash"), "piece", "left").mapInArrow(lambda it: _send(it, shards), "shard int, piece long, text binary, ids binary, start binary, windows binary, runs binary")
     spans = runs.groupBy("shard").applyInPandas(_settle, "piece long, spans binary").groupBy("piece").agg(F.collect_list("spans").alias("spans"))
     spans = scratch.write(spans, "spans")
     out = known.join(spans.hint("shuffle_hash"), "piece", "left").mapInArrow(lambda it: _cleaned(it, texts), RESULT + ", kept binary" * texts)
