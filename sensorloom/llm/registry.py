@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embeddings, mixing, neardup, pii, secrets, substrings, toxicity, warc
+from . import decontaminate, embeddings, language, mixing, neardup, pii, secrets, substrings, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op1_embeddings": embeddings.op1_embeddings,
         "op2_mix": mixing.op2_mix,
+        "op3_language": language.op3_language,
         "op4_substrings": substrings.op4_substrings,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_pii": pii.op6_pii,

@@ -16,17 +16,15 @@ is sent once by each piece and kept once in its shard.
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, table
-from .textops import K1, K2, mix, pieces, text_bytes
+from .packs import pack, unpacked
+from .textops import K1, K2, mix
 
 SPAN, GRAM = 50, 24
 PIECE = 1_000_000
@@ -211,42 +209,9 @@ class Shard:
         return out
 
 
-# ---- pieces -------------------------------------------------------------------------------------------------------
-
-PIECES = "piece long, ids binary, known binary, sizes binary, packed binary"
-
-
-def _pack(batches):
-    """Documents -> pieces of whole documents, in the order of the scan."""
-    task, n, packer = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(level=3)
-    for whole in batches:
-        for batch in pieces(whole, "text", PIECE):
-            data, off = text_bytes(batch.column("text"))
-            ids = batch.column("doc_id")
-            known = ids.is_valid().to_numpy(zero_copy_only=False)
-            ids = ids.fill_null(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([
-                pa.array([(task << 32) + n], pa.int64()), pa.array([ids.astype(np.int64).tobytes()], pa.binary()), pa.array([known.tobytes()], pa.binary()),
-                pa.array([np.diff(off).astype(np.int64).tobytes()], pa.binary()), pa.array([packer.compress(data.tobytes())], pa.binary()),
-            ], names=[c.split()[0] for c in PIECES.split(", ")])
-            n += 1
-
-
-def _rows(batches):
-    """Each piece as (ids, known, offsets, bytes, row of the batch)."""
-    opener = zstandard.ZstdDecompressor()
-    for batch in batches:
-        for r in range(batch.num_rows):
-            get = lambda c: batch.column(c)[r].as_py()  # noqa: B023, E731
-            sizes = np.frombuffer(get("sizes"), np.int64)
-            off = np.r_[0, np.cumsum(sizes)]
-            data = np.frombuffer(opener.decompress(get("packed"), max_output_size=max(1, int(off[-1]))), np.uint8) if off[-1] else np.zeros(0, np.uint8)
-            yield get, np.frombuffer(get("ids"), np.int64), np.frombuffer(get("known"), bool), off, data
-
-
 def _digests(batches):
     """One thin row per document: piece, place in it, id, size, 128 bits of its text's hash."""
-    for get, ids, known, off, data in _rows(batches):
+    for get, ids, known, off, data in unpacked(batches):
         raw = data.tobytes()
         dig = np.frombuffer(b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(off[:-1].tolist(), off[1:].tolist())), np.int64).reshape(-1, 2)
         n = len(ids)
@@ -264,7 +229,7 @@ def _runs(get, ids, known, off, data):
 
 def _announce(batches, parts):
     """Each piece's distinct anchors by part; those of several documents stand twice."""
-    for got in _rows(batches):
+    for got in unpacked(batches):
         ids = got[1]
         text, _, _, anchor = _runs(*got)
         order = np.lexsort((ids[text], anchor))
@@ -334,7 +299,7 @@ def _least_by_digest(dig, docs):
 
 def _tell(batches, parts):
     """Each piece's distinct stretches by part, with the least document of each."""
-    for got in _rows(batches):
+    for got in unpacked(batches):
         dig, begin, _, (text, *_) = _stretches(got)
         docs = got[1][text[begin]]
         order, new, _ = _least_by_digest(dig, docs)
@@ -362,7 +327,7 @@ def _known_before(pdf):
 
 def _send(batches, shards):
     """Runs that are not settled, once each for equal runs of a piece, and the spans that are settled here."""
-    for got in _rows(batches):
+    for got in unpacked(batches):
         get, ids, _, off, data = got
         dig, begin, stop, (text, first, last, anchor, _) = _stretches(got)
         order, _, later = _least_by_digest(dig, ids[text[begin]])
@@ -468,7 +433,7 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 def _cleaned(batches, texts):
     """Each document without its spans."""
-    for get, ids, known, off, data in _rows(batches):
+    for get, ids, known, off, data in unpacked(batches):
         raw = data.tobytes()
         spans = [np.frombuffer(b, np.int64).reshape(-1, 3) for b in get("spans") or []]
         spans = np.concatenate(spans) if spans else np.zeros((0, 3), np.int64)
@@ -505,10 +470,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, texts: bool = False) -> Da
     neither is smaller than the other. A row with a null id is neither judged nor counts for others.
     """
     spark = scratch.spark
-    n = max(docs.select("doc_id").rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    name = f"pieces_{uuid.uuid4().hex[:12]}"
-    docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_pack, PIECES).write.format("parquet").option("compression", "none").bucketBy(n, "piece").saveAsTable(name)
-    packed = spark.table(name)
+    packed, name = pack(docs, PIECE)
     thin = scratch.write(packed.mapInArrow(_digests, "piece long, place int, doc_id long, size long, d1 long, d2 long"), "digests")
     total = thin.agg(F.sum("size")).first()[0] or 0
     least = thin.where(F.col("size") >= SPAN).groupBy("d1", "d2", "size").agg(F.min("doc_id").alias("least"), F.count("*").alias("c")).where("c > 1")
