@@ -8,9 +8,8 @@ nothing. Each shard builds suffix arrays of bounded size by Larsson-Sadakane ref
 Kasai's method, and merges the arrays by binary search of their 50-byte strings.
 
 Documents travel in pieces of about a megabyte, packed in a table that is bucketed by piece; every later step joins
-small rows to that table without moving the text again. Runs that follow each other form stretches; of stretches that
-occur in several documents only the digest is sent, and all but the least document's are settled by it. What is left
-is sent once by each piece and kept once in its shard.
+small rows to that table without moving the text again. Equal runs are settled by their digests alone: all but those of
+the least document go. Only runs that differ from another run of their anchor, yet may overlap it, are sent, once each.
 """
 
 from __future__ import annotations
@@ -28,17 +27,15 @@ from .textops import K1, K2, mix
 
 SPAN, GRAM = 50, 24
 PIECE = 1_000_000
-#: Anchors that one task compares, text bytes for which there is a shard, bytes in one suffix array.
-ANCHORS_A_TASK, TEXT_A_PART, TEXT_A_SHARD, ARRAY = 3_000_000, 64_000_000, 8_000_000, 2_000_000
-#: One anchor in so many begins a new stretch of runs.
-STRETCH = 8
+#: Anchors that one task compares, text bytes for which there is a part of runs or a shard, bytes in one suffix array.
+ANCHORS_A_TASK, TEXT_A_PART, TEXT_A_SHARD, ARRAY = 3_000_000, 32_000_000, 16_000_000, 2_000_000
 _BYTE = mix(np.arange(256, dtype=np.uint64) * K1 + K2)
 
 
 def grams(data: np.ndarray) -> np.ndarray:
     """Hashes of all 24-byte strings, by doubling."""
-    b = np.uint64(0x9E3779B97F4A7C15 | 1)
-    h, width, power, saved = _BYTE[data], 1, b, None
+    h, width, saved = _BYTE[data], 1, None
+    power = np.array([0x9E3779B97F4A7C15], np.uint64)  # odd; as an array, so that it may wrap
     while width < 16:
         h = h[:-width] * power + h[width:]
         width, power = 2 * width, power * power
@@ -48,13 +45,15 @@ def grams(data: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, off: np.ndarray):
-    """Runs of windows with one anchor: (text number, first window, last window, 32-bit anchor), positions in ``data``.
+    """Runs of windows with one anchor: (text number, first window, last window, 32-bit anchor, left and right hash).
 
-    Windows that would cross from one text into the next do not exist.
+    Positions are those in ``data``; windows that would cross from one text into the next do not exist. A window holds
+    13 bytes or more before its anchor or after it, so equal windows also share the left hash, of the anchor with the
+    13 bytes before it, or the right one; where the text has no such bytes the hash is 0.
     """
     none = np.zeros(0, np.int64)
     if len(data) < SPAN:
-        return none, none, none, np.zeros(0, np.uint32)
+        return none, none, none, *(np.zeros(0, np.uint32),) * 3
     h = grams(data)
     pos = np.arange(len(h), dtype=np.uint64)
     bits = np.uint64(max(1, int(len(h)).bit_length()))
@@ -76,7 +75,13 @@ def anchors(data: np.ndarray, off: np.ndarray):
     stop[:-1] &= ~ok[1:] | begin[1:]
     last = np.flatnonzero(stop)
     text = np.searchsorted(off, first, "right") - 1
-    return text, first, last, (h[at[first]] >> np.uint64(32)).astype(np.uint32)
+    pos = at[first]
+    half = (SPAN - GRAM) // 2
+    before, after = pos - half >= off[text], pos + GRAM + half <= off[text + 1]
+    short = lambda x: (x >> np.uint64(32)).astype(np.uint32)
+    left = np.where(before, short(mix(h[np.maximum(pos - half, 0)] * K1 + h[pos])) | np.uint32(1), np.uint32(0))
+    right = np.where(after, short(mix(h[pos] * K2 + h[np.minimum(pos + half, len(h) - 1)])) | np.uint32(1), np.uint32(0))
+    return text, first, last, short(h[pos]), left, right
 
 
 NEAR = 32
@@ -222,29 +227,31 @@ def _runs(get, ids, known, off, data):
     """The runs of the documents that take part: not copies of one with a smaller id, and not without an id."""
     live = known.copy()
     live[np.array(get("copies") or [], np.int64)] = False
-    text, first, last, anchor = anchors(data, off)
-    keep = live[text] if len(text) else np.zeros(0, bool)
-    return text[keep], first[keep], last[keep], anchor[keep]
+    runs = anchors(data, off)
+    keep = live[runs[0]] if len(runs[0]) else np.zeros(0, bool)
+    return tuple(x[keep] for x in runs)
+
+
+def _by_part(piece, hashes, docs, parts):
+    """A piece's distinct hashes by part, those of several documents twice, as (part, piece, anchors) rows."""
+    order = np.lexsort((docs, hashes))
+    a, d = hashes[order], docs[order]
+    first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, int)
+    many = d[np.r_[first[1:], len(a)] - 1] != d[first] if len(first) else np.zeros(0, bool)
+    a = np.repeat(a[first], 1 + many)
+    part = (a // np.uint32(2) % np.uint32(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    a, part = a[order], part[order]
+    cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(a) else np.zeros(1, int)
+    return part[cut[:-1]], np.full(len(cut) - 1, piece), [a[s:e].tobytes() for s, e in zip(cut[:-1], cut[1:])]
 
 
 def _announce(batches, parts):
     """Each piece's distinct anchors by part; those of several documents stand twice."""
     for got in unpacked(batches):
-        ids = got[1]
-        text, _, _, anchor = _runs(*got)
-        order = np.lexsort((ids[text], anchor))
-        a, d = anchor[order], ids[text][order]
-        new = np.r_[True, a[1:] != a[:-1]] if len(a) else np.zeros(0, bool)
-        first = np.flatnonzero(new)
-        many = np.zeros(len(first), bool)
-        if len(first):
-            many = d[np.r_[first[1:], len(a)] - 1] != d[first]
-        a = np.repeat(a[first], 1 + many)
-        part = a % np.uint32(parts)
-        order = np.argsort(part, kind="stable")
-        a, part = a[order], part[order]
-        cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(a) else np.zeros(1, int)
-        yield pa.RecordBatch.from_arrays([pa.array(part[cut[:-1]].astype(np.int32)), pa.array(np.full(len(cut) - 1, got[0]("piece"))), pa.array([a[s:e].tobytes() for s, e in zip(cut[:-1], cut[1:])], pa.binary())], names=["part", "piece", "anchors"])
+        text, _, _, anchor, *_ = _runs(*got)
+        part, piece, found = _by_part(got[0]("piece"), anchor, got[1][text], parts)
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(piece), pa.array(found, pa.binary())], names=["part", "piece", "anchors"])
 
 
 def _shared(pdf):
@@ -263,83 +270,89 @@ def _shared(pdf):
     return out[out.shared.str.len() > 0]
 
 
-def _flagged(got):
-    """The runs of a piece whose anchor is shared, and the first run of each stretch."""
-    get, ids, _, off, data = got
-    text, first, last, anchor = _runs(*got)
-    wanted = np.sort(np.concatenate([np.frombuffer(b, np.uint32) for b in get("shared")]))
-    at = np.minimum(np.searchsorted(wanted, anchor), len(wanted) - 1)
-    keep = np.flatnonzero(wanted[at] == anchor)
-    text, first, last, anchor = text[keep], first[keep], last[keep], anchor[keep]
-    begin = anchor % np.uint32(STRETCH) == 0
-    if len(begin):
-        begin[0] = True
-        begin[1:] |= (text[1:] != text[:-1]) | (first[1:] != last[:-1] + 1)
-    return text, first, last, anchor, np.flatnonzero(begin)
-
-
-def _stretches(got):
-    """Each stretch as (digest, first run, one past its last run), and the runs."""
-    runs = _flagged(got)
-    _, first, last, _, begin = runs
-    raw = got[4].tobytes()
-    stop = np.r_[begin[1:], len(first)]
-    dig = b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(first[begin].tolist(), (last[stop - 1] + SPAN).tolist())) if len(begin) else b""
-    return np.frombuffer(dig, np.int64).reshape(-1, 2), begin, stop, runs
-
-
-def _least_by_digest(dig, docs):
-    """Order of the rows by digest and document, and for each row in that order whether a lesser document comes first."""
-    order = np.lexsort((docs, dig[:, 1], dig[:, 0]))
-    d, o = dig[order], docs[order]
-    new = np.r_[True, (d[1:] != d[:-1]).any(axis=1)] if len(d) else np.zeros(0, bool)
-    head = np.maximum.accumulate(np.where(new, np.arange(len(d)), 0)) if len(d) else np.zeros(0, int)
-    return order, new, o > o[head]
+def _in(x, blobs) -> np.ndarray:
+    """Where x is one of the values in some blobs."""
+    wanted = np.unique(np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(b, np.uint32) for b in blobs or [])]))
+    if not len(wanted):
+        return np.zeros(len(x), bool)
+    return wanted[np.minimum(np.searchsorted(wanted, x), len(wanted) - 1)] == x
+
+
+ENTRY = np.dtype([("anchor", "<u4"), ("left", "<u4"), ("right", "<u4"), ("digest", "<u8"), ("doc", "<i8")])
+
+
+def _entries(got, parts):
+    """A piece's runs with a shared anchor; their distinct contents as entries, each with its least document, in the
+    order of parts; the entry of each run; and where the parts begin."""
+    ids, data = got[1], got[4]
+    text, first, last, anchor, left, right = _runs(*got)
+    keep = _in(anchor, got[0]("shared"))
+    text, first, last, anchor, left, right = (x[keep] for x in (text, first, last, anchor, left, right))
+    raw = data.tobytes()
+    digest = np.frombuffer(b"".join(hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(first.tolist(), (last + SPAN).tolist())), np.uint64)
+    part = (anchor // np.uint32(2) % np.uint32(parts)).astype(np.int32)
+    order = np.lexsort((ids[text], digest, anchor, part))
+    a, d = anchor[order], digest[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (d[1:] != d[:-1])] if len(a) else np.zeros(0, bool)
+    head = order[new]
+    entry = np.empty(len(head), ENTRY)
+    entry["anchor"], entry["left"], entry["right"], entry["digest"], entry["doc"] = anchor[head], left[head], right[head], digest[head], ids[text[head]]
+    of = np.empty(len(order), np.int64)
+    of[order] = np.cumsum(new) - 1
+    part = part[head]
+    cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, int)
+    return (text, first, last, anchor), entry, of, part[cut[:-1]], cut
 
 
 def _tell(batches, parts):
-    """Each piece's distinct stretches by part, with the least document of each."""
+    """Each piece's entries by part."""
     for got in unpacked(batches):
-        dig, begin, _, (text, *_) = _stretches(got)
-        docs = got[1][text[begin]]
-        order, new, _ = _least_by_digest(dig, docs)
-        dig, docs = dig[order[new]], docs[order[new]]
-        part = (dig[:, 0].view(np.uint64) % np.uint64(parts)).astype(np.int32)
-        order = np.argsort(part, kind="stable")
-        dig, docs, part = dig[order], docs[order], part[order]
-        cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, int)
-        yield pa.RecordBatch.from_arrays([pa.array(part[cut[:-1]]), pa.array(np.full(len(cut) - 1, got[0]("piece"))), pa.array([np.ascontiguousarray(dig[a:b]).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()), pa.array([docs[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["part", "piece", "digests", "docs"])
-
-
-def _known_before(pdf):
-    """Of one part's stretches, those of each piece that a lesser document of another piece holds."""
-    import pandas as pd
+        _, entry, _, part, cut = _entries(got, parts)
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), got[0]("piece"))), pa.array([entry[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["part", "piece", "entries"])
+
 
-    dig = np.concatenate([np.frombuffer(b, np.int64).reshape(-1, 2) for b in pdf.digests])
-    docs = np.concatenate([np.frombuffer(b, np.int64) for b in pdf.docs])
-    row = np.repeat(np.arange(len(pdf)), [len(b) // 8 for b in pdf.docs])
-    order, _, later = _least_by_digest(dig, docs)
-    order = np.sort(order[later])
-    row, dig = row[order], dig[order]
-    cut = np.flatnonzero(np.r_[True, row[1:] != row[:-1], True]) if len(row) else np.zeros(1, int)
-    return pd.DataFrame({"piece": pdf.piece.to_numpy()[row[cut[:-1]]], "before": [np.ascontiguousarray(dig[a:b]).tobytes() for a, b in zip(cut[:-1], cut[1:])]})
+SETTLED, SENT = 1, 2
 
 
-def _send(batches, shards):
-    """Runs that are not settled, once each for equal runs of a piece, and the spans that are settled here."""
+def _judge(pdf):
+    """One part: whether each entry is settled, as a lesser document has the same run, or must be sent.
+
+    A run is sent once, for its least document, if another run of its anchor shares its left or right hash; if none
+    does, no window of it stands anywhere but in equal runs.
+    """
+    import pandas as pd
+
+    every = np.concatenate([np.frombuffer(b, ENTRY) for b in pdf.entries])
+    edge = np.r_[0, np.cumsum([len(b) // ENTRY.itemsize for b in pdf.entries])]
+    order = np.lexsort((every["doc"], every["digest"], every["anchor"]))
+    e = every[order]
+    new = np.r_[True, (e["anchor"][1:] != e["anchor"][:-1]) | (e["digest"][1:] != e["digest"][:-1])]
+    head = np.maximum.accumulate(np.where(new, np.arange(len(e)), 0))
+    code = np.where(e["doc"] > e["doc"][head], SETTLED, 0).astype(np.uint8)
+    one = np.flatnonzero(new)
+    for side in ("left", "right"):
+        x = e[side][one]
+        o = np.lexsort((x, e["anchor"][one]))
+        same = (e["anchor"][one[o]][1:] == e["anchor"][one[o]][:-1]) & (x[o][1:] == x[o][:-1]) & (x[o][1:] > 0)
+        code[one[o[np.r_[same, False] | np.r_[False, same]]]] = SENT
+    back = np.empty(len(code), np.uint8)
+    back[order] = code
+    return pd.DataFrame({"piece": pdf.piece, "part": pdf.part, "codes": [back[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]})
+
+
+def _send(batches, parts, shards):
+    """Runs that must be sent, and the spans that are settled here."""
     for got in unpacked(batches):
         get, ids, _, off, data = got
-        dig, begin, stop, (text, first, last, anchor, _) = _stretches(got)
-        order, _, later = _least_by_digest(dig, ids[text[begin]])
-        settled = np.zeros(len(begin), bool)
-        settled[order] = later
-        before = b"".join(get("before") or [])
-        before = {before[i : i + 16] for i in range(0, len(before), 16)}
-        if before:
-            settled |= np.array([d.tobytes() in before for d in dig], bool)
+        (text, first, last, anchor), entry, of, part, cut = _entries(got, parts)
+        codes = np.zeros(len(entry), np.uint8)
+        told = {r["part"]: r["codes"] for r in get("verdicts") or []}
+        for p, a, b in zip(part.tolist(), cut[:-1], cut[1:]):
+            codes[a:b] = np.frombuffer(told[p], np.uint8)
+        settled = (codes[of] == SETTLED) | (ids[text] > entry["doc"][of])
         whole = np.flatnonzero(settled)
-        whole_text, whole_start, whole_stop = text[begin[whole]], first[begin[whole]], last[stop[whole] - 1]
-        keep = np.flatnonzero(~np.repeat(settled, stop - begin))
+        whole_text, whole_start, whole_stop = text[whole], first[whole], last[whole]
+        keep = np.flatnonzero(~settled & (codes[of] == SENT))
         text, first, last, anchor = text[keep], first[keep], last[keep], anchor[keep]
         raw, least = data.tobytes(), {}
         order = np.argsort(ids[text], kind="stable")
@@ -485,10 +498,10 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, texts: bool = False) -> Da
     shared = scratch.write(shared, "shared")
     flagged = known.join(shared.hint("shuffle_hash"), "piece")
     kinds = max(12, total // TEXT_A_PART + 1)
-    told = flagged.mapInArrow(lambda it: _tell(it, kinds), "part int, piece long, digests binary, docs binary")
-    before = told.groupBy("part").applyInPandas(_known_before, "piece long, before binary").groupBy("piece").agg(F.collect_list("before").alias("before"))
-    before = scratch.write(before, "before")
-    runs = flagged.join(before.hint("shuffle_hash"), "piece", "left").mapInArrow(lambda it: _send(it, shards), "shard int, piece long, text binary, ids binary, start binary, windows binary, runs binary")
+    told = flagged.mapInArrow(lambda it: _tell(it, kinds), "part int, piece long, entries binary")
+    verdicts = told.groupBy("part").applyInPandas(_judge, "piece long, part int, codes binary").groupBy("piece").agg(F.collect_list(F.struct("part", "codes")).alias("verdicts"))
+    verdicts = scratch.write(verdicts, "verdicts")
+    runs = flagged.join(verdicts.hint("shuffle_hash"), "piece", "left").mapInArrow(lambda it: _send(it, kinds, shards), "shard int, piece long, text binary, ids binary, start binary, windows binary, runs binary")
     spans = runs.groupBy("shard").applyInPandas(_settle, "piece long, spans binary").groupBy("piece").agg(F.collect_list("spans").alias("spans"))
     spans = scratch.write(spans, "spans")
     out = known.join(spans.hint("shuffle_hash"), "piece", "left").mapInArrow(lambda it: _cleaned(it, texts), RESULT + ", kept binary" * texts)
