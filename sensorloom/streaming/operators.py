@@ -73,10 +73,10 @@ def stream_sequence(df: DataFrame, op: str, args: tuple, key: str) -> DataFrame:
     return out if op == "DEJUMP" else out.withColumn("value", round_half_up(F.col("value"), {"EMA": 8, "DIF": 9}.get(op, 4)))
 
 
-def stream_assemble(df: DataFrame, need: dict[str, int], wait_ms: int = 3000) -> DataFrame:
-    """(post_name, ms, byt_name, value) -> post_name, ms, body (JSON) once all keys of a post are there.
+def stream_assemble(df: DataFrame, need: dict[str, int], wait_ms: int = 3000, late: str = LATE) -> DataFrame:
+    """(post_name, ts, byt_name, value) -> post_name, ms, body (JSON) once all keys of a post are there.
 
-    Rows that stay incomplete for ``wait_ms`` of the stream's processing time are dropped with their state.
+    Rows that are incomplete when the watermark is ``wait_ms`` past their time are dropped with their state.
     """
     def work(k, pdfs, state):
         post, ms = k
@@ -87,13 +87,15 @@ def stream_assemble(df: DataFrame, need: dict[str, int], wait_ms: int = 3000) ->
         for pdf in pdfs:
             held.update(zip(pdf["byt_name"], pdf["value"].astype(float)))
         if len(held) >= need.get(post, 1 << 30):
-            state.remove()
+            if state.exists:
+                state.remove()
             yield pd.DataFrame({"post_name": [post], "ms": [ms], "body": [json.dumps(held, sort_keys=True)]})
         else:
             state.update((json.dumps(held),))
-            state.setTimeoutDuration(wait_ms)
+            state.setTimeoutTimestamp(max(int(ms) + wait_ms, state.getCurrentWatermarkMs() + 1))
 
-    return df.groupBy("post_name", "ms").applyInPandasWithState(work, "post_name string, ms long, body string", "held string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    rows = df.withWatermark("ts", late).withColumn("ms", _ms(F.col("ts")))
+    return rows.groupBy("post_name", "ms").applyInPandasWithState(work, "post_name string, ms long, body string", "held string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def replay(df: DataFrame, path: str, mode: str = "append"):
