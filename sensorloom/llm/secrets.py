@@ -26,22 +26,35 @@ CLASSES = {
 #: Candidates that are known not to be secrets: UUID-like strings, digits only, examples, one character repeated.
 ALLOW = (r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", r"^[0-9_=+/-]+$", r"(?i)example|sample|placeholder|dummy|xxxx", r"^(.)\1+$", r"(?i)abcdefgh|01234567")
 WINDOW = 20
+#: Matches of a text that are walked together.
+GROUP = 256
 
 
 def spans(text: Column, pattern: str, kind: int) -> Column:
     """Leftmost non-overlapping matches as array<struct<start,kind,end,hit>>, offsets in code points, end exclusive."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    kept = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int,hit:string>>").alias("out"))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,hit:string>>")
+    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
+
+    def shifted(x, by):
+        return F.struct((x["start"] + by).alias("start"), x["kind"].alias("kind"), (x["end"] + by).alias("end"), x["hit"].alias("hit"))
 
     def step(acc, pair):
         start = acc["at"] + F.char_length(pair["gap"])
         end = start + F.char_length(pair["hit"])
-        one = F.struct(start.cast("int").alias("start"), F.lit(kind).cast("int").alias("kind"), end.cast("int").alias("end"), pair["hit"].alias("hit"))
-        return F.struct(end.cast("int").alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    walked = F.aggregate(F.arrays_zip(hits.alias("hit"), F.slice(gaps, 1, F.size(hits)).alias("gap")), kept, step)["out"]
-    return F.when(text.rlike(pattern), walked).otherwise(kept["out"])
+        one = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), pair["hit"].alias("hit"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+    def join(acc, part):
+        moved = F.transform(part["out"], lambda x: shifted(x, acc["at"]))
+        return F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["out"], F.array(moved)).alias("out"))
+
+    # growing an array costs its length, so matches are walked in groups, and groups are joined by their offsets
+    pairs = F.arrays_zip(hits.alias("hit"), F.slice(gaps, 1, F.size(hits)).alias("gap"))
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / GROUP).cast("int")), lambda k: F.aggregate(F.slice(pairs, k * GROUP + 1, GROUP), zero, step))
+    walked = F.flatten(F.aggregate(groups, F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,kind:int,end:int,hit:string>>>").alias("out")), join)["out"])
+    return F.when(text.rlike(pattern), walked).otherwise(none)
 
 
 def window_entropy(text: Column, alphabet: str, window: int = WINDOW) -> Column:
