@@ -211,8 +211,9 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = 3, similarit
     """
     sig = scratch.write(signatures(docs, words), "signatures")
     live = sig.where("n > 0 and doc_id is not null")
-    node = live.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
-    reps = live.join(node.withColumnRenamed("rep", "doc_id"), ["s1", "s2", "doc_id"], "left_semi").select(F.col("doc_id").alias("id"), "n", "sketch").dropDuplicates(["id"])
+    # written, so that joins back to it deal both sides anew and a very frequent text can be split
+    node = scratch.write(live.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
+    reps = live.join(node.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "n", "sketch").dropDuplicates(["id"])
     reps = scratch.write(reps, "nodes")
 
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * ROWS + 1, ROWS)) for k in range(REGISTERS // ROWS)])
