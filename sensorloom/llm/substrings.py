@@ -487,6 +487,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, texts: bool = False) -> Da
     thin = scratch.write(packed.mapInArrow(_digests, "piece long, place int, doc_id long, size long, d1 long, d2 long"), "digests")
     total = thin.agg(F.sum("size")).first()[0] or 0
     least = thin.where(F.col("size") >= SPAN).groupBy("d1", "d2", "size").agg(F.min("doc_id").alias("least"), F.count("*").alias("c")).where("c > 1")
+    least = scratch.write(least, "least")  # from a table, the join deals both sides anew and splits a very frequent text
     copies = thin.join(least, ["d1", "d2", "size"]).where("doc_id > least").groupBy("piece").agg(F.collect_list("place").alias("copies"))
     copies = scratch.write(copies, "copies")
     known = packed.join(copies.hint("shuffle_hash"), "piece", "left")
