@@ -203,3 +203,14 @@ def link_vectors(vectors: DataFrame, scratch: Scratch, threshold: float = 0.95,
 def op1_embeddings(spark, sf_dir: str) -> DataFrame:
     """All vectors of ``embeddings`` linked at cosine 0.95."""
     return link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), Scratch(spark, "vectors"))
+
+
+OP1_SQL = """
+WITH RECURSIVE r AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+v AS (SELECT vec_id, e FROM r WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+c(x, y) AS (SELECT x, y FROM l UNION SELECT c.x, l.y FROM c JOIN l ON c.y = l.x),
+m AS (SELECT x, min(y) AS low FROM c GROUP BY x), n AS (SELECT x, count(*) AS k FROM l GROUP BY x)
+SELECT r.vec_id, CAST(coalesce(k, 0) AS BIGINT) AS n_links, least(r.vec_id, coalesce(low, r.vec_id)) AS component_id, least(r.vec_id, coalesce(low, r.vec_id)) = r.vec_id AS kept
+FROM r LEFT JOIN m ON m.x = r.vec_id LEFT JOIN n ON n.x = r.vec_id
+"""

@@ -266,3 +266,17 @@ def one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_duplicates(docs, Scratch(spark, "stage-neardup"), 5, 0.8)
     gone = found.where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+OP7_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+e AS MATERIALIZED (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+c(x, y) AS (SELECT x, y FROM e UNION SELECT c.x, e.y FROM c JOIN e ON c.y = e.x),
+m AS (SELECT x, min(y) AS low FROM c GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id, least(d.doc_id, coalesce(low, d.doc_id)) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.x = d.doc_id
+"""
