@@ -48,7 +48,7 @@ def buckets(x: np.ndarray, k: int, tables: int, seed: int = 11) -> np.ndarray:
     rng = np.random.default_rng([seed, x.shape[1], k, tables])
     a = rng.standard_normal((x.shape[1], tables * k))
     q = np.floor((x @ a) / WIDTH + rng.random(tables * k)).astype(np.int64).astype(np.uint64).reshape(len(x), tables, k)
-    h = np.broadcast_to(mix(np.arange(tables, dtype=np.uint64) + K1 * np.uint64(x.shape[1])), (len(x), tables)).copy()
+    h = np.broadcast_to(mix(np.arange(tables, dtype=np.uint64) + K1 * np.array([x.shape[1]], np.uint64)), (len(x), tables)).copy()
     for j in range(k):
         h = mix(h * K1 + q[:, :, j])
     return (h >> np.uint64(1)).astype(np.int64)
