@@ -327,6 +327,44 @@ def test_decontaminate(spark, docs, none):
         assert decontaminate.lcs(a, c) == slow(a, c)
 
 
+def leaks(spark, items, texts):
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(d, b, scratch(spark)).collect()}
+
+
+def inserted(item, rng, words, rare=False):
+    body = [f"rare{rng.random()}" for _ in range(words)] if rare else prose(words, rng).split()
+    at = rng.randint(0, len(body))
+    return " ".join(body[:at] + item.split() + body[at:])
+
+
+@pytest.mark.parametrize("rare", [False, True])
+def test_decontaminate_finds_items_however_many_documents_hold_them(spark, rare):
+    rng = random.Random(11)
+    item = " ".join(f"item{k}" for k in range(18))
+    copy = inserted(item, rng, 80, rare)
+    for texts in ([copy if k % 3 == 0 else prose(90, rng) for k in range(90)], [inserted(item, rng, 80, rare) if k % 3 == 0 else prose(90, rng) for k in range(90)]):
+        assert leaks(spark, [item, prose(30, rng) + " alone"], texts) == {(k, 0) for k in range(0, 90, 3)}
+    assert leaks(spark, [item], [inserted(item, rng, 80, rare) if k < 3 else prose(90, rng) for k in range(20)]) == {(k, 0) for k in range(3)}
+    assert leaks(spark, [item], [inserted(item, rng, 80, rare) for k in range(20)]) == {(k, 0) for k in range(20)}
+
+
+def test_decontaminate_bounds_lose_no_share():
+    rng = random.Random(1)
+    seen = 0
+    for _ in range(3000):
+        v, n = rng.choice([2, 4, 8, 30]), rng.randint(1, 30)
+        item, near = [f"w{rng.randrange(v)}" for _ in range(n)], [f"w{rng.randrange(v + rng.choice([0, 3, 20]))}" for _ in range(rng.randint(1, 90))]
+        index = decontaminate.Index([0], [" ".join(item)], np.ones(decontaminate.FEATURES, np.float32))
+        size, step = n + n // 2 + 1, max(1, n // 4)
+        share = max(decontaminate.lcs(item, near[s : s + size]) for s in range(0, max(1, len(near) - size + step), step)) / n
+        got = index._share(0, decontaminate.tokens(pa.array([" ".join(near)], pa.large_string())).hash)
+        assert got == share if share >= decontaminate.LOOSE else got < decontaminate.LOOSE
+        seen += share >= decontaminate.LOOSE
+    assert seen > 1000
+
+
 def test_warc(spark, tmp_path):
     big = "é" * 600
     pages = [(1, "http://a/\r\nx", big), (5, None, big), (3, "u", big), (2, "u", "small"), (4, "u", "small"), (7, "u", None), (8, "u", ""), (None, "u", big), (3, "u", big), (9, "u", "a\r\n\r\nb" * 300)]
