@@ -350,6 +350,26 @@ def test_decontaminate_finds_items_however_many_documents_hold_them(spark, rare)
     assert leaks(spark, [item], [inserted(item, rng, 80, rare) for k in range(20)]) == {(k, 0) for k in range(20)}
 
 
+@pytest.mark.parametrize("words", [1, 2, 3, 5, 9, 12, 400, 1000])
+def test_decontaminate_finds_items_of_any_length(words):
+    rng = random.Random(words)
+    item = [f"item{words}x{k}" for k in range(words)]
+    edited = [f"rare{rng.random()}" if k % 6 == 3 else w for k, w in enumerate(item)]
+    texts = [inserted(" ".join(x), rng, n, rare) for x in ([item] if words < 30 else [item, edited]) for n in (10, 100, 3000) for rare in (False, True)]
+    index = decontaminate.Index([0, 1], [" ".join(item), prose(40, rng)], np.ones(decontaminate.FEATURES, np.float32))
+    index.project(np.eye(int(index.column.max()) + 1, dtype=np.float32))
+    w = decontaminate.tokens(pa.array([*texts, "", prose(50, rng)], pa.large_string()))
+    assert {r[:2] for r in index.confirm(w, index.candidates(w))} == {(k, 0) for k in range(len(texts))}
+
+
+def test_decontaminate_finds_long_items_in_tables(spark):
+    rng = random.Random(12)
+    items = [" ".join(f"item{n}x{k}" for k in range(n)) for n in (400, 1000)]
+    edited = [" ".join(f"rare{rng.random()}" if k % 6 == 3 else w for k, w in enumerate(x.split())) for x in items]
+    texts = [inserted(x, rng, 200) for x in items + edited] + [prose(300, rng) for _ in range(20)]
+    assert leaks(spark, items, texts) == {(k, k % 2) for k in range(4)}
+
+
 def test_decontaminate_bounds_lose_no_share():
     rng = random.Random(1)
     seen = 0
