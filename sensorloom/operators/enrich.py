@@ -11,6 +11,14 @@ from ..functions.formula import compile_formula, formula_tags, is_formula
 SMALL = 100_000
 
 
+def collected(rows: DataFrame, what: str) -> list:
+    """All rows on the driver; an error if they are more than SMALL, never a part of them."""
+    found = rows.limit(SMALL + 1).collect()
+    if len(found) > SMALL:
+        raise ValueError(f"more than {SMALL} {what}")
+    return found
+
+
 def small(rules: DataFrame, most: int = SMALL) -> DataFrame:
     """``rules`` marked for broadcast if it has at most ``most`` rows, which is counted, else as it is."""
     return F.broadcast(rules) if rules.limit(most + 1).count() <= most else rules
@@ -69,5 +77,5 @@ def formula_values(raw: DataFrame, message: list[str], formulas: dict[str, str])
 
 def formulas_of(conf: DataFrame) -> dict[str, str]:
     """byt_name -> formula of the rules that are formulas (the rule table is small by ``small``'s bound)."""
-    rows = conf.where(F.col("tag_name").contains("[")).select("byt_name", "tag_name").limit(SMALL).collect()
+    rows = collected(conf.where(F.col("tag_name").contains("[")).select("byt_name", "tag_name"), "formula rules")
     return {r["byt_name"]: r["tag_name"] for r in rows if is_formula(r["tag_name"])}

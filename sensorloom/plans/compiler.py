@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.enrich import SMALL
+from ..operators.enrich import collected
 from ..operators.route import union_all
 from ..operators.sequences import filter_stage, lag_stage, rsi
 from ..operators.windows import window_aggregate
@@ -52,7 +52,7 @@ def run_rules(tags: DataFrame, keys: list[str]) -> DataFrame:
     The distinct specs, as many as the small rule table has, become branches. Window operators that are the only stage
     and share size and slide are one aggregation; longer chains share the stages they begin with.
     """
-    specs = tags.select("calculate_type", "param").distinct().limit(SMALL).collect()
+    specs = collected(tags.select("calculate_type", "param").distinct(), "distinct rule specs")
     parsed = {(r[0], r[1]): parse_spec(r[0], r[1]) for r in specs}
     if not parsed:
         return tags.select(*keys, "ms", "seq", F.col("value").cast("double").alias("value"), "calculate_type", "param").limit(0)

@@ -152,3 +152,17 @@ def test_windows_are_one_aggregation(spark, data):
 def test_entry(spark, data):
     if data.endswith("sf0.001"):
         assert entry.entry(spark).count() > 0
+
+
+def test_rules_beyond_the_bound_are_an_error(spark, monkeypatch):
+    from sensorloom.operators import enrich
+    from sensorloom.plans.compiler import run_rules
+
+    monkeypatch.setattr(enrich, "SMALL", 2)
+    conf = spark.createDataFrame([(f"n{k}", f"[a]+{k}") for k in range(3)], "byt_name string, tag_name string")
+    assert len(enrich.formulas_of(conf.limit(2))) == 2
+    with pytest.raises(ValueError, match="more than 2 formula rules"):
+        enrich.formulas_of(conf)
+    tags = spark.createDataFrame([("AVG", f"{k}m", "a", 0, 0, 1.0) for k in range(1, 4)], "calculate_type string, param string, tag string, ms long, seq long, value double")
+    with pytest.raises(ValueError, match="more than 2 distinct rule specs"):
+        run_rules(tags, ["tag"])
