@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from .common import Scratch, block_pairs, connected_components, table
 from .textops import Words, mix, pieces, text_bytes
 
-REGISTERS, BASE, ROWS = 256, 1.2, 8
+REGISTERS, BASE = 256, 1.2
+#: Greatest chance that a pair at the threshold meets in no band.
+MISS = 1e-4
 #: Standard deviations of the sketch estimate that a pair may lie below the threshold and still be checked.
 SLACK = 5.0
 BLOCK = 400
@@ -79,6 +81,18 @@ def estimate(greater: np.ndarray, less: np.ndarray, n_a: np.ndarray, n_b: np.nda
     return (lo + hi) / 2
 
 
+def missed(similarity: float, rows: int) -> float:
+    """The chance that a pair of this similarity meets in no band of ``rows`` registers, at the worst ratio of sizes."""
+    u = similarity / (1 + similarity)
+    p = [-math.log1p(-max(x, 0) * (BASE - 1) / BASE) / math.log(BASE) for x in (u - (1 - u) * similarity, 1 - u - u * similarity)]
+    return (1 - (1 - sum(p)) ** rows) ** (REGISTERS // rows)
+
+
+def band_rows(similarity: float) -> int:
+    """The most registers of a band with which no more than MISS is lost at the threshold; 8 at most."""
+    return next((k for k in range(8, 1, -1) if missed(similarity, k) <= MISS), 1)
+
+
 def cut(similarity: float) -> float:
     """The least estimate at which a pair of at least ``similarity`` is still expected."""
     return similarity - SLACK * math.sqrt(similarity * (1 - similarity) / REGISTERS)
@@ -216,7 +230,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = 3, similarit
     reps = live.join(node.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "n", "sketch").dropDuplicates(["id"])
     reps = scratch.write(reps, "nodes")
 
-    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * ROWS + 1, ROWS)) for k in range(REGISTERS // ROWS)])
+    rows = band_rows(similarity)
+    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * rows + 1, rows)) for k in range(REGISTERS // rows)])
     band = reps.select("id", F.posexplode(keys).alias("t", "key"))
     shared = band.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     hot = scratch.write(band.join(shared, "key").select("key", "id", "t", "c"), "buckets")

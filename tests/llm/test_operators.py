@@ -385,6 +385,21 @@ def test_decontaminate_bounds_lose_no_share():
     assert seen > 1000
 
 
+def test_bands_follow_the_threshold():
+    rng = np.random.default_rng(8)
+    for similarity in (0.8, 0.85):
+        sets = []
+        for _ in range(150):
+            x = rng.integers(0, 2**63, 400, dtype=np.uint64)
+            common = round(800 * similarity / (1 + similarity))
+            sets += [x, np.r_[x[:common], rng.integers(0, 2**63, 400 - common, dtype=np.uint64)]]
+        k = neardup.registers(neardup.minima(sets))
+        equal = (k[::2] == k[1::2]).mean()
+        rows = neardup.band_rows(similarity)
+        assert neardup.missed(similarity, rows) <= 1e-4 and (1 - (equal - 0.01) ** rows) ** (256 // rows) < 2e-4
+    assert neardup.band_rows(0.85) == 8 and neardup.missed(0.8, 8) > 9e-4
+
+
 def test_warc(spark, tmp_path):
     big = "é" * 600
     pages = [(1, "http://a/\r\nx", big), (5, None, big), (3, "u", big), (2, "u", "small"), (4, "u", "small"), (7, "u", None), (8, "u", ""), (None, "u", big), (3, "u", big), (9, "u", "a\r\n\r\nb" * 300)]
