@@ -1,24 +1,35 @@
-"""Personal data: patterns propose spans, checksums confirm them, words nearby move their score."""
+"""Personal data: patterns propose spans, checksums confirm them, words nearby move their score.
+
+A span's score is its kind's prior, raised by a word of its kind's context near by and lowered by a word that speaks of
+something else. Kinds that are asked for always (the base kinds) stay whatever their score; of the added kinds only
+spans that reach LEAST stay: a national id or a short card number needs its context, an account number with a good
+checksum stays unless the words near it speak against it.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .textops import pieces
+
 # The kinds in their order, base kinds first.
-KINDS = ("email", "ip", "card", "phone", "iban")
+KINDS = ("email", "ip", "card", "phone", "iban", "shortcard", "nationalid")
 BASE = 4
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+# A match of these four begins where a run of digits does; possessive runs leave nothing to go back to.
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+NATIONAL = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 DIGIT = re.compile(r"[0-9]")
 
 # Words that raise the score of a kind when they stand close before or after the span.
@@ -28,9 +39,13 @@ CONTEXT = {
     "card": ("card", "visa", "mastercard", "credit", "debit", "tarjeta", "carte", "karte"),
     "phone": ("phone", "tel", "call", "mobile", "fax", "telefon"),
     "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
+    "shortcard": ("card", "visa", "amex", "diners", "credit", "debit", "tarjeta", "carte", "karte"),
+    "nationalid": ("ssn", "social", "security", "taxpayer", "national"),
 }
-PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.8, "phone": 0.7, "iban": 0.8}
-LIFT, REACH, LEAST = 0.2, 40, 0.5
+# Words that speak of numbers which are nobody's.
+AGAINST = frozenset(("order", "invoice", "isbn", "version", "serial", "tracking", "part", "model", "example", "sample", "test", "dummy"))
+PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.8, "phone": 0.7, "iban": 0.65, "shortcard": 0.35, "nationalid": 0.35}
+LIFT, DROP, REACH, LEAST = 0.25, 0.3, 40, 0.5
 
 
 def luhn(digits: str) -> bool:
@@ -73,6 +88,11 @@ def _base(text: str):
             digits = m[0].replace(" ", "").replace("-", "")
             if 16 <= len(digits) <= 19 and luhn(digits):
                 yield 2, m.start(), m.end()
+                continue
+        if 13 <= m.end() - m.start() <= 29:
+            digits = m[0].replace(" ", "").replace("-", "")
+            if 13 <= len(digits) <= 15 and luhn(digits):
+                yield 5, m.start(), m.end()
     if "+" in text:
         for m in PHONE.finditer(text):
             if 8 <= len(DIGIT.findall(m[0])) <= 15:
@@ -81,13 +101,17 @@ def _base(text: str):
         code = m[0].replace(" ", "")
         if 15 <= len(code) <= 34 and mod97(code):
             yield 4, m.start(), m.end()
+    if "-" in text:
+        yield from ((6, m.start(), m.end()) for m in NATIONAL.finditer(text))
 
 
 def score(text: str, kind: str, start: int, end: int) -> float:
-    """The kind's prior, raised if one of its context words stands within REACH characters of the span."""
+    """The kind's prior, raised by a context word within REACH characters of the span and lowered by one that speaks
+    against it; from 0 to 1."""
     near = text[max(0, start - REACH) : start].lower() + " " + text[end : end + REACH].lower()
-    words = re.findall(r"[^\W\d_][\w-]*", near)
-    return min(1.0, PRIOR[kind] + LIFT * any(w.strip("-") in CONTEXT[kind] for w in words))
+    words = {w.strip("-") for w in re.findall(r"[^\W\d_][\w-]*", near)}
+    x = PRIOR[kind] + LIFT * (not words.isdisjoint(CONTEXT[kind])) - DROP * (not words.isdisjoint(AGAINST))
+    return round(min(1.0, max(0.0, x)), 4)
 
 
 def find(text: str | None) -> list[tuple[int, int, int, float]]:
@@ -97,18 +121,27 @@ def find(text: str | None) -> list[tuple[int, int, int, float]]:
     """
     if not text:
         return []
-    out = []
-    for k, s, e in _base(text):
-        x = score(text, KINDS[k], s, e)
-        if k < BASE or (x >= LEAST and not any(s < b and a < e for j, a, b, _ in out if j < BASE)):
-            out.append((k, s, e, x))
+    found = list(_base(text))
+    out = [(k, s, e, score(text, KINDS[k], s, e)) for k, s, e in found if k < BASE]
+    edges: list[tuple[int, int]] = []  # the stretches that base spans cover, in order
+    for s, e in sorted((s, e) for k, s, e in found if k < BASE):
+        if edges and s < edges[-1][1]:
+            edges[-1] = (edges[-1][0], max(e, edges[-1][1]))
+        else:
+            edges.append((s, e))
+    for k, s, e in found:
+        if k >= BASE:
+            at = bisect_left(edges, (e,)) - 1  # the last stretch that begins before this span ends
+            x = score(text, KINDS[k], s, e)
+            if x >= LEAST and not (at >= 0 and edges[at][1] > s):
+                out.append((k, s, e, x))
     out.sort()
     return out
 
 
-def redact(text: str | None) -> str | None:
+def redact(text: str | None, spans: list | None = None) -> str | None:
     """``text`` with each span replaced by its kind in brackets; of overlapping spans, the union by the first kind."""
-    found = sorted((s, e, k) for k, s, e, _ in find(text))
+    found = sorted((s, e, k) for k, s, e, _ in (find(text) if spans is None else spans))
     if not found:
         return text
     out, at = [], 0
@@ -137,24 +170,25 @@ def find_pii(docs: DataFrame, text: str = "text", redacted: bool = False) -> Dat
     names = [f.name for f in schema.fields[:-1]]
 
     def work(batches):
-        for batch in batches:
-            texts = batch.column(text).to_pylist()
-            spans = [find(t) for t in texts]
-            cols = [batch.column(n) for n in names]
-            if redacted:
-                cols[names.index(text)] = pa.array([redact(t) if s else t for t, s in zip(texts, spans)], batch.column(text).type)
-            cols.append(pa.array([[{"kind": KINDS[k], "start": s, "end": e, "score": x} for k, s, e, x in r] for r in spans], _ARROW))
-            yield pa.RecordBatch.from_arrays(cols, names=[*names, "pii_spans"])
+        for whole in batches:
+            for batch in pieces(whole, text):
+                texts = batch.column(text).to_pylist()
+                spans = [find(t) for t in texts]
+                cols = [batch.column(n) for n in names]
+                if redacted:
+                    cols[names.index(text)] = pa.array([redact(t, s) if s else t for t, s in zip(texts, spans)], batch.column(text).type)
+                cols.append(pa.array([[{"kind": KINDS[k], "start": s, "end": e, "score": x} for k, s, e, x in r] for r in spans], _ARROW))
+                yield pa.RecordBatch.from_arrays(cols, names=[*names, "pii_spans"])
 
     return docs.mapInArrow(work, schema)
 
 
 def op6_pii(spark, sf_dir: str) -> DataFrame:
-    """Personal data in every whole text of ``documents``: counts and digest of the base kinds, and all spans."""
+    """Personal data in every whole text of ``documents``: counts and digest of the base kinds, all spans, their scores."""
     from .common import table
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, scores string"
 
     def digest(batches):
         for batch in batches:
@@ -162,8 +196,8 @@ def op6_pii(spark, sf_dir: str) -> DataFrame:
             for found in batch.column("pii_spans").to_pylist():
                 named = [f"{x['kind']}:{x['start']}:{x['end']}" for x in found]
                 base = [n for n, x in zip(named, found) if x["kind"] in KINDS[:BASE]]
-                rows.append([sum(x["kind"] == k for x in found) for k in KINDS[:BASE]] + [hashlib.sha256(",".join(base).encode()).hexdigest(), ",".join(named)])
-            cols = list(zip(*rows)) or [[]] * 6
+                rows.append([sum(x["kind"] == k for x in found) for k in KINDS[:BASE]] + [hashlib.sha256(",".join(base).encode()).hexdigest(), ",".join(named), ",".join(f"{x['score']:.2f}" for x in found)])
+            cols = list(zip(*rows)) or [[]] * 7
             arrays = [pa.array(c, pa.int64() if i < 4 else pa.string()) for i, c in enumerate(cols)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=[x.split()[0] for x in schema.split(", ")])
 
@@ -171,7 +205,11 @@ def op6_pii(spark, sf_dir: str) -> DataFrame:
 
 
 def redact_pii(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every document stays, with its personal data replaced and n_chars counted anew."""
+    """Pipeline stage: every document stays, with its personal data replaced and n_chars counted anew.
+
+    Null and empty texts stay as they are, repeated rows are treated alike, an empty table stays empty, and columns of
+    any name keep their values.
+    """
     from pyspark.sql import functions as F
 
     names = docs.columns
