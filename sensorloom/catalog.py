@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from .functions.times import millis, round_half_up, time_text, wire_time
 from .operators import changes, enrich, pattern, route, sequences, windows
-from .plans.compiler import run_chain, run_rules
+from .plans.compiler import calculate, results, run_chain, run_rules
 from .plans.spec import WINDOW_OPS, parse_spec
-from .sources import messages
+from .sources import connectors, messages
 from .streaming import operators as streams
 
 HOUR = 3_600_000
@@ -29,7 +29,7 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_type", "user_id", millis(F.col("ts")).alias("ms"), F.col("event_id").alias("seq"), "value")
 
 
-T = "t AS (SELECT event_type, user_id, epoch_us(ts) // 1000 AS ms, event_id AS seq, value, CAST(value AS DECIMAL(18,4)) AS d FROM events)"
+T = "t AS (SELECT event_type, user_id, epoch_us(ts) // 1000 AS ms, event_id AS seq, value, CAST(value AS DECIMAL(19,9)) AS d FROM events)"
 
 
 def r4(x: str, places: int = 4) -> str:
@@ -50,7 +50,7 @@ def _window_sql(op: str, size: str, slide: str, start: str | None = None) -> str
     }[op]
     return f"""WITH {T}, x AS (SELECT *, {starts} AS win_start FROM t),
 w AS (SELECT *, row_number() OVER (PARTITION BY event_type, win_start ORDER BY ms, seq) AS rn FROM x),
-a AS (SELECT event_type, win_start, CAST(count(*) AS DOUBLE) AS n, CAST(sum(d) AS DOUBLE) AS s, CAST(sum(d * d) AS DOUBLE) AS q, min(value) AS lo, max(value) AS hi,
+a AS (SELECT event_type, win_start, CAST(count(*) AS DOUBLE) AS n, CAST(sum(d) AS DOUBLE) AS s, CAST(sum(CAST(value * value AS DECIMAL(38,8))) AS DOUBLE) AS q, min(value) AS lo, max(value) AS hi,
  arg_max(value, (ms, seq)) AS late, median(value) AS med, CAST(sum(rn * d) AS DOUBLE) AS xy FROM w GROUP BY event_type, win_start)
 SELECT event_type, win_start, win_start + {size} AS win_end, CAST({form} AS DOUBLE) AS value FROM a"""
 
@@ -60,7 +60,7 @@ def _window(op: str, size: str, slide: str):
 
 
 def win_all_tumbling(spark, sf):
-    """All window operators of one size in one aggregation (and one more for those that need all records)."""
+    """All window operators of one size in one aggregation."""
     return windows.window_aggregate(tags(spark, sf), {op.lower(): op for op in WINDOW_OPS}, ["event_type"], "1h", "1h")
 
 
@@ -79,6 +79,27 @@ x AS (SELECT *, unnest(range(ms - ms % slide, ms - size, -slide)) AS win_start F
 SELECT event_type, win_start, win_start + size AS win_end, CAST(sum(d) AS DOUBLE) AS value FROM x GROUP BY event_type, win_start, size"""
 
 
+def win_null_key(spark, sf):
+    """Windows of a series whose name is null, beside those of others; SLOPE and MEDIAN over the same windows as SUM."""
+    t = tags(spark, sf).withColumn("event_type", F.when(F.col("event_type") != "view", F.col("event_type")))
+    return windows.window_aggregate(t, {"sum": "SUM", "median": "MEDIAN", "slope": "SLOPE"}, ["event_type"], "2h", "1h")
+
+
+NULL_KEY_SQL = f"""WITH {T}, x AS (SELECT nullif(event_type, 'view') AS event_type, ms, seq, value, d, unnest(range(ms - ms % 3600000, ms - 7200000, -3600000)) AS win_start FROM t),
+w AS (SELECT *, row_number() OVER (PARTITION BY event_type, win_start ORDER BY ms, seq) AS rn FROM x)
+SELECT event_type, win_start, win_start + 7200000 AS win_end, CAST(sum(d) AS DOUBLE) AS sum, {r4("median(value)")} AS median, {r4("nullif(regr_slope(value, rn), 'nan'::DOUBLE)")} AS slope FROM w GROUP BY event_type, win_start"""
+
+
+def win_carry(spark, sf):
+    """A window's result with columns of its earliest record."""
+    return windows.window_aggregate(tags(spark, sf), {"avg": "AVG", "slope": "SLOPE"}, ["event_type"], "2h", "30m", carry=["user_id", "value"])
+
+
+CARRY_SQL = f"""WITH {T}, x AS (SELECT *, unnest(range(ms - ms % 1800000, ms - 7200000, -1800000)) AS win_start FROM t),
+w AS (SELECT *, row_number() OVER (PARTITION BY event_type, win_start ORDER BY ms, seq) AS rn FROM x)
+SELECT event_type, win_start, win_start + 7200000 AS win_end, {r4("CAST(sum(d) AS DOUBLE) / count(*)")} AS avg, {r4("nullif(regr_slope(value, rn), 'nan'::DOUBLE)")} AS slope, arg_min(user_id, (ms, seq)) AS user_id, arg_min(value, (ms, seq)) AS value FROM w GROUP BY event_type, win_start"""
+
+
 def win_gap_offset(spark, sf):
     """A slide above the size leaves gaps; windows start 10 minutes past its multiples."""
     return windows.window_aggregate(tags(spark, sf), {"value": "SUM"}, ["event_type"], F.lit(HOUR).cast("long"), F.lit(2 * HOUR).cast("long"), offset="10m")
@@ -103,8 +124,12 @@ ORDER = "PARTITION BY event_type ORDER BY ms, seq"
 OUT = ["event_type", "ms", "seq", "value"]
 
 
+#: Long series are cut by the day, so that more than one task works on each.
+CHUNK = "1d"
+
+
 def _lag(op: str, n: int):
-    return lambda spark, sf: sequences.lag_stage(tags(spark, sf), op, n, ["event_type"]).select(*OUT)
+    return lambda spark, sf: sequences.lag_stage(tags(spark, sf), op, n, ["event_type"], chunk=CHUNK).select(*OUT)
 
 
 def _lag_sql(op: str, n: int) -> str:
@@ -127,7 +152,7 @@ SELECT event_type, ms, seq, o AS value FROM l WHERE rn > 2"""
 def lag_fused(spark, sf):
     """LAST, VAR and TREND of one n share one sort."""
     ops = {"last": ("LAST", 3), "var": ("VAR", 3), "trend": ("TREND", 3)}
-    return sequences.lagged(tags(spark, sf), ops, ["event_type"]).select("event_type", "ms", "seq", *ops)
+    return sequences.lagged(tags(spark, sf), ops, ["event_type"], CHUNK).select("event_type", "ms", "seq", *ops)
 
 
 LAG_FUSED_SQL = f"""WITH {T}, x AS (SELECT *, lag(value, 3) OVER ({ORDER}) AS o FROM t)
@@ -135,7 +160,7 @@ SELECT event_type, ms, seq, o AS last, {r4("value - o")} AS var, {r4("value / nu
 
 
 def rsi(spark, sf):
-    return sequences.rsi(tags(spark, sf), 14, ["event_type"]).select(*OUT)
+    return sequences.rsi(tags(spark, sf), 14, ["event_type"], CHUNK).select(*OUT)
 
 
 RSI_SQL = f"""WITH {T}, x AS (SELECT *, coalesce(d - lag(d) OVER ({ORDER}), 0) AS c, row_number() OVER ({ORDER}) AS rn FROM t),
@@ -186,7 +211,7 @@ FILTER_SQL = {
 
 # ---- rules, routing, changes ----------------------------------------------------------------------------------------
 
-# (id, line_id, tag_name, byt_name, tag_topic, calculate_type, task_name, param, status)
+# (id, line_id, tag_name, out_name, tag_topic, calculate_type, task_name, param, status)
 RULES = [
     (1, 1, "click", "click_avg", "opc", "AVG", "job1", "1h,1h", 1),
     (2, 1, "click", "click_max", "opc", "MAX", "job1", "1h,1h", 1),
@@ -197,8 +222,11 @@ RULES = [
     (7, 2, "([click] > [view]) ? 1 : 0", "busy", "opc", "RAW", "job2", "", 1),
     (8, 1, "click", "other_topic", "sdk", "AVG", "job1", "1h,1h", 1),
     (9, 1, "click", "untyped", "opc", None, "job1", "1m,1m", 1),
+    (10, 1, "[click] - [view]", "lead_avg", "opc", "AVG", "job1", "1d,1d", 1),
+    (11, 1, "view", "view_mid", "opc", "MEDIAN", "job1", "2h,1h", 1),
+    (12, 2, "purchase", "smooth", "opc", "FOF", "job2", "0.3", 1),
 ]
-RULE_COLS = "id int, line_id int, tag_name string, byt_name string, tag_topic string, calculate_type string, task_name string, param string, status int"
+RULE_COLS = "id int, line_id int, tag_name string, out_name string, tag_topic string, calculate_type string, task_name string, param string, status int"
 _NAMES = ", ".join(c.split()[0] for c in RULE_COLS.split(", "))
 
 
@@ -224,11 +252,11 @@ def raw(spark, sf) -> DataFrame:
 
 
 def enriched(spark, sf):
-    return enrich.online(enrich.enrich(raw(spark, sf), conf(spark))).select("byt_name", "calculate_type", "param", "task_name", "line_id", "ms", "seq", "value")
+    return enrich.online(enrich.enrich(raw(spark, sf), conf(spark))).select("out_name", "calculate_type", "param", "task_name", "line_id", "ms", "seq", "value")
 
 
-ENRICH = f"e AS (SELECT c.byt_name, c.calculate_type, c.param, c.task_name, c.line_id, t.ms, t.seq, t.value, t.d FROM t JOIN conf c ON t.event_type = c.tag_name AND c.tag_topic = 'opc' WHERE c.calculate_type IS NOT NULL AND c.status = 1)"
-ENRICH_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT byt_name, calculate_type, param, task_name, line_id, ms, seq, value FROM e"
+ENRICH = f"e AS (SELECT c.out_name, c.calculate_type, c.param, c.task_name, c.line_id, t.ms, t.seq, t.value, t.d FROM t JOIN conf c ON t.event_type = c.tag_name AND c.tag_topic = 'opc' WHERE c.calculate_type IS NOT NULL AND c.status = 1)"
+ENRICH_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT out_name, calculate_type, param, task_name, line_id, ms, seq, value FROM e"
 
 
 def tag_semi_filter(spark, sf):
@@ -239,22 +267,41 @@ SEMI_SQL = f"WITH {T} SELECT event_type AS name, ms, seq, value FROM t WHERE eve
 
 
 def formula(spark, sf):
-    r = raw(spark, sf).withColumn("hour", F.floor(F.col("ms") / (24 * HOUR)).cast("long"))
-    return enrich.formula_values(r, ["user_id", "hour"], enrich.formulas_of(conf(spark))).withColumn("value", round_half_up(F.col("value")))
+    r = raw(spark, sf).withColumn("day", F.floor(F.col("ms") / DAY).cast("long"))
+    return enrich.formula_values(r, ["user_id", "day"], enrich.formulas_of(conf(spark))).withColumn("value", round_half_up(F.col("value")))
 
 
-FORMULA_SQL = f"""WITH {T}, m AS (SELECT user_id, ms // {DAY} AS hour, arg_max(value, seq) FILTER (event_type = 'click') AS c, arg_max(ms, seq) FILTER (event_type = 'click') AS ms,
- coalesce(arg_max(value, seq) FILTER (event_type = 'view'), 0) AS v, coalesce(arg_max(value, seq) FILTER (event_type = 'purchase'), 0) AS p FROM t GROUP BY ALL)
-SELECT user_id, hour, 'ratio' AS byt_name, ms, {r4("coalesce(c / nullif(v + p, 0), 0)")} AS value FROM m WHERE c IS NOT NULL
-UNION ALL SELECT user_id, hour, 'busy', ms, CASE WHEN c > v THEN 1.0 ELSE 0.0 END FROM m WHERE c IS NOT NULL"""
+_MESSAGES = """m AS (SELECT user_id, ms // 86400000 AS day, arg_max(value, seq) FILTER (event_type = 'click') AS c, arg_max(ms, seq) FILTER (event_type = 'click') AS ms, arg_max(seq, seq) FILTER (event_type = 'click') AS seq,
+ coalesce(arg_max(value, seq) FILTER (event_type = 'view'), 0) AS v, coalesce(arg_max(value, seq) FILTER (event_type = 'purchase'), 0) AS p FROM t GROUP BY ALL)"""
+_RATIO, _BUSY = r4("coalesce(c / nullif(v + p, 0), 0)"), "CASE WHEN c > v THEN 1.0 ELSE 0.0 END"
+FORMULA_SQL = f"""WITH {T}, {_MESSAGES}
+SELECT user_id, day, 'ratio' AS out_name, ms, {_RATIO} AS value FROM m WHERE c IS NOT NULL
+UNION ALL SELECT user_id, day, 'busy', ms, {_BUSY} FROM m WHERE c IS NOT NULL
+UNION ALL SELECT user_id, day, 'lead_avg', ms, {r4("c - v")} FROM m WHERE c IS NOT NULL"""
+
+
+def formula_rows(spark, sf):
+    """The same formulas as rows that meet their operands, as rules of any number do."""
+    r = raw(spark, sf).withColumn("day", F.floor(F.col("ms") / DAY).cast("long"))
+    return enrich.formula_rows(r, ["user_id", "day"], conf(spark)).select("user_id", "day", "out_name", "ms", round_half_up(F.col("value")).alias("value"))
+
+
+def flatten_normal(spark, sf):
+    """Lists of records (a user's of one day) to one JSON text per normal record."""
+    t = tags(spark, sf).withColumn("is_normal", F.when(F.col("seq") % 3 == 0, F.lit(0)).when(F.col("seq") % 3 == 1, F.lit(1)))
+    lists = t.groupBy("user_id", F.floor(F.col("ms") / DAY).alias("day")).agg(F.collect_list(F.struct("event_type", "seq", "is_normal")).alias("records"))
+    return enrich.flatten_normal(lists)
+
+
+FLATTEN_SQL = f"""WITH {T} SELECT '{{"event_type":"' || event_type || '","seq":' || seq || CASE WHEN seq % 3 = 1 THEN ',"is_normal":1' ELSE '' END || '}}' AS value FROM t WHERE seq % 3 <> 0"""
 
 
 def normal_job(spark, sf):
     e = enriched(spark, sf).withColumn("is_normal", F.when(F.col("seq") % 3 == 0, F.lit(0)).when(F.col("seq") % 3 == 1, F.lit(1)))
-    return enrich.normal_and_job(e, ["job1"]).select("byt_name", "seq", "value")
+    return enrich.normal_and_job(e, ["job1"]).select("out_name", "seq", "value")
 
 
-NORMAL_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT byt_name, seq, value FROM e WHERE seq % 3 <> 0 AND task_name = 'job1'"
+NORMAL_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT out_name, seq, value FROM e WHERE seq % 3 <> 0 AND task_name = 'job1'"
 
 
 def parse_params(spark, sf):
@@ -267,40 +314,106 @@ PARSE_SQL = f"WITH {CONF} SELECT id, CAST(len(string_split(calculate_type, '_'))
 def route_union(spark, sf):
     """Branches by current operator, each advanced, and joined again."""
     e = route.parse_params(enriched(spark, sf)).withColumnRenamed("first_op", "curr_cal").withColumn("curr_index", F.lit(0))
-    branches = route.route(e, ["AVG", "MAX", "LAST"])
+    branches = route.route(e, ["AVG", "MAX", "LAST", "MEDIAN", "FOF"])
     return route.union_all([route.advance(b) for b in branches.values()]).groupBy("calculate_type", "curr_cal", "curr_index").agg(F.count("*").alias("n"))
 
 
 ROUTE_SQL = f"""WITH {T}, {CONF}, {ENRICH} SELECT calculate_type, coalesce(string_split(calculate_type, '_')[2], 'over') AS curr_cal, 1 AS curr_index, count(*) AS n FROM e GROUP BY 1, 2"""
 
 
+def operands(spark, sf):
+    """The arguments of the first and the last operator of each rule, each in a column of its own."""
+    c = conf(spark).where("calculate_type is not null").withColumn("last", F.size(F.split("calculate_type", "_")) - 1)
+    both = route.operands(c, 0).withColumn("place", F.lit(0)).unionByName(route.operands(c, F.col("last")).withColumn("place", F.col("last")))
+    return both.select("id", "place", "curr_cal", *route.OPERANDS)
+
+
+_AT = "string_split(string_split(param, '|')[place + 1], ',')"
+_DUR = "CAST(regexp_extract({x}, '^([0-9]+)', 1) AS BIGINT) * CASE regexp_extract({x}, '([a-z]+)$', 1) WHEN 's' THEN 1000 WHEN 'm' THEN 60000 WHEN 'h' THEN 3600000 WHEN 'd' THEN 86400000 END"
+_WIN = "curr_cal IN (" + ", ".join(f"'{o}'" for o in WINDOW_OPS) + ")"
+OPERANDS_SQL = f"""WITH {CONF}, p AS (SELECT id, calculate_type, param, unnest([0, len(string_split(calculate_type, '_')) - 1]) AS place FROM conf WHERE calculate_type IS NOT NULL),
+q AS (SELECT id, CAST(place AS INT) AS place, string_split(calculate_type, '_')[place + 1] AS curr_cal, {_AT} AS a FROM p)
+SELECT id, place, curr_cal, CASE WHEN {_WIN} THEN {_DUR.format(x="a[1]")} END AS win_size, CASE WHEN {_WIN} THEN {_DUR.format(x="a[2]")} END AS win_slide,
+ CASE WHEN curr_cal IN ('LAST', 'VAR', 'TREND', 'EMA', 'RSI') THEN CAST(a[1] AS BIGINT) END AS n, CASE WHEN curr_cal = 'FOF' THEN CAST(a[1] AS DOUBLE) END AS a,
+ CASE WHEN curr_cal = 'DEJUMP' THEN CAST(a[1] AS DOUBLE) END AS lower, CASE WHEN curr_cal = 'DEJUMP' THEN CAST(a[2] AS DOUBLE) END AS upper,
+ CASE WHEN curr_cal = 'KF' THEN CAST(a[1] AS DOUBLE) END AS dt, CASE WHEN curr_cal = 'KF' THEN CAST(a[2] AS DOUBLE) END AS r,
+ CASE WHEN curr_cal = 'DIF' THEN CAST(a[1] AS BIGINT) END AS fast, CASE WHEN curr_cal = 'DIF' THEN CAST(a[2] AS BIGINT) END AS slow FROM q"""
+
+
+def route_by_spec(spark, sf):
+    """Branches by type and parameters together."""
+    found = route.route_by_spec(enriched(spark, sf), ["AVG#1h,1h", "LAST#2", "MAX#5m,5m"])
+    return route.union_all([b.select(F.lit(s).alias("spec"), "out_name", "seq", "value") for s, b in found.items()])
+
+
+BY_SPEC_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT calculate_type || '#' || param AS spec, out_name, seq, value FROM e WHERE calculate_type || '#' || param IN ('AVG#1h,1h', 'LAST#2', 'MAX#5m,5m')"
+
+
 def grade_split(spark, sf):
-    g = route.grade(F.col("byt_name"), F.col("param"))
-    return enriched(spark, sf).groupBy("byt_name", g.alias("grade")).agg(F.count("*").alias("n"), F.max("seq").alias("last_seq"))
+    g = route.grade(F.col("out_name"), F.col("param"))
+    return enriched(spark, sf).groupBy("out_name", g.alias("grade")).agg(F.count("*").alias("n"), F.max("seq").alias("last_seq"))
 
 
-GRADE_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT byt_name, CASE WHEN byt_name LIKE '%\\_$' ESCAPE '\\' THEN 'pre' WHEN contains(param, 's') THEN 'second' ELSE 'minute' END AS grade, count(*) AS n, max(seq) AS last_seq FROM e GROUP BY 1, 2"
+GRADE_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT out_name, CASE WHEN out_name LIKE '%\\_$' ESCAPE '\\' THEN 'pre' WHEN contains(param, 's') THEN 'second' ELSE 'minute' END AS grade, count(*) AS n, max(seq) AS last_seq FROM e GROUP BY 1, 2"
 
 
 def post_fanout(spark, sf):
-    r = tags(spark, sf).withColumnRenamed("event_type", "byt_name")
-    return route.fan_out(r, posts(spark)).select("post_name", "byt_name", "seq", "value")
+    r = tags(spark, sf).withColumnRenamed("event_type", "out_name")
+    return route.fan_out(r, posts(spark)).select("post_name", "out_name", "seq", "value")
 
 
 KEYS = f"{POST}, k AS (SELECT post_name, unnest(string_split(replace(post_keys, ' ', ''), ',')) AS key FROM post)"
-FANOUT_SQL = f"WITH {T}, {KEYS} SELECT post_name, event_type AS byt_name, seq, value FROM t JOIN k ON event_type = key"
+FANOUT_SQL = f"WITH {T}, {KEYS} SELECT post_name, event_type AS out_name, seq, value FROM t JOIN k ON event_type = key"
+
+
+def _hourly(spark, sf):
+    return tags(spark, sf).withColumnRenamed("event_type", "out_name").withColumn("ms", F.col("ms") - F.pmod("ms", F.lit(HOUR)))
 
 
 def post_assemble(spark, sf):
     """A row per post and hour in which all its keys have a value: the hour's last."""
-    r = tags(spark, sf).withColumnRenamed("event_type", "byt_name").withColumn("ms", F.col("ms") - F.pmod("ms", F.lit(HOUR)))
     v = lambda k: F.element_at("values", k).alias(k)
-    return route.assemble(r, posts(spark)).where("post_name = 'hourly'").select("post_name", "ms", v("click"), v("view"), v("purchase"))
+    return route.assemble(_hourly(spark, sf), posts(spark)).select("post_name", "ms", v("click"), v("view"), v("purchase"), v("signup"), v("error"))
+
+
+_HOURS = f"{T}, h AS (SELECT event_type, ms - ms % 3600000 AS ms, arg_max(value, seq) AS value FROM t GROUP BY 1, 2)"
+_IF = lambda keys: ", ".join(f"max(value) FILTER (event_type = '{k}' AND '{k}' IN ({keys})) AS {k}" for k in ("click", "view", "purchase", "signup", "error"))
+ASSEMBLE_SQL = f"""WITH {_HOURS} SELECT 'hourly' AS post_name, ms, {_IF("'click', 'view', 'purchase'")} FROM h WHERE event_type IN ('click', 'view', 'purchase') GROUP BY ms HAVING count(*) = 3
+UNION ALL SELECT 'pair', ms, {_IF("'signup', 'error'")} FROM h WHERE event_type IN ('signup', 'error') GROUP BY ms HAVING count(*) = 2"""
+
+
+def post_requests(spark, sf):
+    """What is posted where: assembled rows as (url, body)."""
+    return route.post_requests(route.assemble(_hourly(spark, sf), posts(spark)), posts(spark))
 
 
-ASSEMBLE_SQL = f"""WITH {T}, h AS (SELECT event_type, ms - ms % 3600000 AS ms, arg_max(value, seq) AS value FROM t GROUP BY 1, 2)
-SELECT 'hourly' AS post_name, ms, max(value) FILTER (event_type = 'click') AS click, max(value) FILTER (event_type = 'view') AS view, max(value) FILTER (event_type = 'purchase') AS purchase
-FROM h WHERE event_type IN ('click', 'view', 'purchase') GROUP BY ms HAVING count(*) = 3"""
+_BODY = lambda *keys: "'{' || " + " || ',' || ".join(f"""'"{k}":"' || CAST(max(value) FILTER (event_type = '{k}') AS VARCHAR) || '"'""" for k in keys) + """ || ',"create_time":"' || strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') || '"}'"""
+REQUESTS_SQL = f"""WITH {_HOURS} SELECT 'http://a' AS url, {_BODY('click', 'purchase', 'view')} AS body FROM h WHERE event_type IN ('click', 'view', 'purchase') GROUP BY ms HAVING count(*) = 3
+UNION ALL SELECT 'http://b', {_BODY('error', 'signup')} FROM h WHERE event_type IN ('signup', 'error') GROUP BY ms HAVING count(*) = 2"""
+
+
+def feedback(spark, sf):
+    """Results that go back as raw tags: grouped by hour, packed as messages, and read again."""
+    r = _hourly(spark, sf).groupBy("ms", "out_name").agg(F.max_by("value", "seq").cast("decimal(18,4)").alias("value")).withColumn("out_name", F.concat("out_name", F.when(F.col("out_name") != "view", F.lit("_$")).otherwise(F.lit(""))))
+    groups = route.feedback(r).withColumn("time", F.regexp_replace(time_text(F.col("ms")), "[^0-9]", ""))
+    packed = messages.encode_protobuf(groups, topic="tags_pre")
+    back = messages.decode_protobuf(packed, keep=["topic"])
+    return messages.clean_tags(back).select("topic", "name", "ms", F.col("value").cast("double").alias("value"))
+
+
+FEEDBACK_SQL = f"WITH {_HOURS} SELECT 'tags_pre' AS topic, event_type || '_$' AS name, ms, value FROM h WHERE event_type <> 'view'"
+
+
+def json_topics(spark, sf):
+    """Records as JSON messages with a topic of their own each, and one topic's read back; texts that are no record go."""
+    t = tags(spark, sf).select(F.col("event_type").alias("name"), time_text(F.col("ms")).alias("time"), F.col("value").cast("decimal(38,4)").alias("value"), (F.col("seq") % 4).cast("int").alias("line_id"))
+    sent = messages.encode_json(t, topic=F.concat(F.lit("dwd-"), F.col("line_id")), key=F.col("name"))
+    broken = spark.createDataFrame([("{broken", "dwd-1", "x"), (None, "dwd-1", "y"), ("{}", "dwd-1", "z")], "value string, topic string, key string")
+    got = messages.decode_json(sent.unionByName(broken).where("topic = 'dwd-1'").select("value"))
+    return got.select("name", "time", F.col("value").cast("double").alias("value"), "line_id")
+
+
+TOPICS_SQL = f"WITH {T} SELECT event_type AS name, strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') AS time, value, CAST(1 AS INT) AS line_id FROM t WHERE seq % 4 = 1"
 
 
 def retain_today(spark, sf):
@@ -366,7 +479,7 @@ SELECT user_id, seq AS first_seq, last_seq, ms AS first_ms, last_ms FROM y WHERE
 
 
 def decode_messages(spark, sf):
-    """Records as JSON text and back, with boolean and broken values as messages bring them."""
+    """Records of messages made clean: booleans as numbers, empty and broken values gone."""
     t = tags(spark, sf)
     text = F.when(F.col("seq") % 5 == 0, "True").when(F.col("seq") % 11 == 0, "n/a").when(F.col("seq") % 13 == 0, "").otherwise(F.col("value").cast("decimal(18,4)").cast("string"))
     wire = F.regexp_replace(time_text(F.col("ms")), "[^0-9]", "")
@@ -387,6 +500,17 @@ TIME_SQL = f"WITH {T} SELECT seq, strftime(make_timestamp(ms * 1000), '%Y-%m-%d
 # ---- chains, rules, streams -----------------------------------------------------------------------------------------
 
 
+def _chain_of(op: str, args: str, places: int) -> str:
+    """SQL of a recursive operator's results, as it rounds them, summed by the day."""
+    first, step, out = {"EMA": ("value AS y", "(2 * s.value + 4 * r.y) / 6", "y"), "DIF": ("value AS y, value AS z", "(2 * s.value + 2 * r.y) / 4, (2 * s.value + 5 * r.z) / 7", "y - z")}[op]
+    return CHAIN_SQL.format(rows=_ROWS, first=first, step=step, out=r4(out, places), day=DAY, agg=f"CAST(round(CAST(CAST(sum(CAST(v AS DECIMAL(19,9))) AS DOUBLE) AS DECIMAL(28,10)), 6) AS DOUBLE)")
+
+
+def _chain_sum(op: str, args: str):
+    """A chain whose first stage gives more places than values have: none may be lost on the way to the sum."""
+    return lambda spark, sf: run_chain(tags(spark, sf), parse_spec(f"{op}_SUM", f"{args}|1d,1d"), PAIR).select(*PAIR, "ms", round_half_up(F.col("value"), 6).alias("value"))
+
+
 def _chain(kind: str, param: str, keys: list[str]):
     return lambda spark, sf: run_chain(tags(spark, sf), parse_spec(kind, param), keys).select(*keys, "ms", F.col("value").cast("double").alias("value"))
 
@@ -401,30 +525,53 @@ _DJ = "CASE WHEN s.value - r.y BETWEEN -50 AND 50 THEN s.value ELSE r.y END"
 CHAIN_FILTER_SQL = CHAIN_SQL.format(rows=_ROWS, first="value AS y, value AS z", step=f"{_DJ}, 0.3::DOUBLE * ({_DJ}) + (1 - 0.3::DOUBLE) * r.z", out=r4("z"), day=DAY, agg=r4("CAST(sum(CAST(v AS DECIMAL(18,4))) AS DOUBLE) / count(*)"))
 
 
+RULE_KEYS = ["line_id", "task_name", "out_name", "tag_topic"]
+
+
 def rules_all(spark, sf):
-    """The whole of it: enrich, run every online rule's chain, and grade the results."""
-    e = enriched(spark, sf).where("calculate_type <> 'RAW'")
-    out = run_rules(e, ["line_id", "task_name", "byt_name"])
-    return out.select("byt_name", "calculate_type", "ms", round_half_up(F.col("value")).alias("value"), route.grade(F.col("byt_name"), F.col("param")).alias("grade"))
+    """The whole of it: enrich, formulas, every online rule's chain, and the results as a table of results has them."""
+    r = raw(spark, sf).withColumn("day", F.floor(F.col("ms") / DAY))  # a message is what one user sends on one day
+    graded = results(calculate(r, enrich.online(conf(spark)), ["user_id", "day"], RULE_KEYS)).withColumn("grade", route.grade(F.col("out_name"), F.col("calculate_params")))
+    return graded.withColumn("value", round_half_up(F.col("value"))).withColumn("calculate_time", time_text(F.unix_millis("calculate_time")))
+
 
+def rules_enriched(spark, sf):
+    """The rules over single tags, from records that are enriched already."""
+    out = run_rules(enriched(spark, sf), ["line_id", "task_name", "out_name"])
+    return out.select("out_name", "calculate_type", F.floor(F.col("ms") / 1000).alias("s"), round_half_up(F.col("value")).alias("value"))
 
-RULES_SQL = f"""WITH {T}, {_AVG_H}, mx AS (SELECT ms - ms % 3600000 + 3600000 AS ms, max(value) AS value FROM t WHERE event_type = 'click' GROUP BY 1),
+
+_RULE = "SELECT '{0}' AS out_name, 'opc' AS tag_topic, {1} AS value, ms, '{2}' AS calculate_type, '{3}' AS calculate_params, '{4}' AS job_name, CAST({5} AS INT) AS line_id, '{6}' AS grade FROM {7}"
+RULES_SQL = f"""WITH RECURSIVE {T}, {_MESSAGES}, {_AVG_H}, mx AS (SELECT ms - ms % 3600000 + 3600000 AS ms, max(value) AS value FROM t WHERE event_type = 'click' GROUP BY 1),
 v AS (SELECT ms, value - lag(value) OVER (ORDER BY ms) AS value, row_number() OVER (ORDER BY ms) AS rn FROM a WHERE event_type = 'view'),
-l AS (SELECT ms, lag(value, 2) OVER (ORDER BY ms, seq) AS value, row_number() OVER (ORDER BY ms, seq) AS rn FROM t WHERE event_type = 'purchase')
-SELECT 'click_avg' AS byt_name, 'AVG' AS calculate_type, ms, {r4('value')} AS value, 'minute' AS grade FROM a WHERE event_type = 'click'
-UNION ALL SELECT 'click_max', 'MAX', ms, {r4('value')}, 'minute' FROM mx
-UNION ALL SELECT 'view_dif', 'AVG_VAR', ms, {r4('value')}, 'minute' FROM v WHERE rn > 1
-UNION ALL SELECT 'purchase_$', 'LAST', ms, {r4('value')}, 'pre' FROM l WHERE rn > 2"""
+l AS (SELECT ms, lag(value, 2) OVER (ORDER BY ms, seq) AS value, row_number() OVER (ORDER BY ms, seq) AS rn FROM t WHERE event_type = 'purchase'),
+lead_ AS (SELECT ms - ms % {DAY} + {DAY} AS ms, CAST(sum(CAST(c - v AS DECIMAL(19,9))) AS DOUBLE) / count(*) AS value FROM m WHERE c IS NOT NULL GROUP BY 1),
+mid AS (SELECT w + 7200000 AS ms, median(value) AS value FROM (SELECT value, unnest(range(ms - ms % 3600000, ms - 7200000, -3600000)) AS w FROM t WHERE event_type = 'view') GROUP BY w),
+n AS (SELECT ms, value, row_number() OVER (ORDER BY ms, seq) AS rn FROM t WHERE event_type = 'purchase'),
+f AS (SELECT ms, value, rn FROM n WHERE rn = 1 UNION ALL SELECT n.ms, 0.3::DOUBLE * n.value + (1 - 0.3::DOUBLE) * f.value, n.rn FROM f JOIN n ON n.rn = f.rn + 1),
+z AS ({" UNION ALL ".join(_RULE.format(*x) for x in (
+    ("click_avg", "value", "AVG", "1h,1h", "job1", 1, "minute", "a WHERE event_type = 'click'"), ("click_max", "value", "MAX", "1h,1h", "job1", 1, "minute", "mx"),
+    ("view_dif", "value", "AVG_VAR", "1h,1h|1", "job1", 1, "minute", "v WHERE rn > 1"), ("purchase_$", "value", "LAST", "2", "job2", 2, "pre", "l WHERE rn > 2"),
+    ("ratio", _RATIO, "RAW", "", "job2", 2, "minute", "m WHERE c IS NOT NULL"), ("busy", _BUSY, "RAW", "", "job2", 2, "minute", "m WHERE c IS NOT NULL"),
+    ("lead_avg", "value", "AVG", "1d,1d", "job1", 1, "minute", "lead_"), ("view_mid", "value", "MEDIAN", "2h,1h", "job1", 1, "minute", "mid"), ("smooth", "value", "FOF", "0.3", "job2", 2, "minute", "f"),
+))})
+SELECT out_name, tag_topic, {r4("value")} AS value, strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') AS calculate_time, calculate_type, calculate_params, job_name, line_id, grade FROM z"""
 
 
 def _stream(spark, sf) -> DataFrame:
+    """``events`` as a stream; a micro-batch is a bounded number of files."""
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 16).parquet(sf)
     return e.select("event_type", "user_id", F.timestamp_millis(millis(F.col("ts"))).alias("ts"), millis(F.col("ts")).alias("ms"), F.col("event_id").alias("seq"), "value")
 
 
 def _folder(spark) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sensorloom-")
+    """A folder of its own for a stream under the shared folder; a temporary one only where everything is one machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="sensorloom-")
     return f"{shared}/stream-{uuid.uuid4().hex[:12]}"
 
 
@@ -437,10 +584,98 @@ STREAM_SQL = f"""WITH {T}, {_AVG_H}, m AS (SELECT event_type, ms - ms % 3600000
 SELECT event_type, ms - 3600000 AS win_start, ms AS win_end, value AS avg, hi AS max FROM a JOIN m USING (event_type, ms) WHERE ms <= (SELECT max(ms) FROM t) - 1000"""
 
 
+def stream_holistic(spark, sf):
+    """MEDIAN, SLOPE and INTERP of sliding windows in a stream."""
+    return streams.replay(streams.stream_windows(_stream(spark, sf), {"median": "MEDIAN", "slope": "SLOPE", "interp": "INTERP"}, ["event_type"], "2 hours", "1 hour"), _folder(spark))
+
+
+STREAM_HOLISTIC_SQL = f"""WITH {T}, x AS (SELECT *, unnest(range(ms - ms % 3600000, ms - 7200000, -3600000)) AS win_start FROM t),
+w AS (SELECT *, row_number() OVER (PARTITION BY event_type, win_start ORDER BY ms, seq) AS rn FROM x)
+SELECT event_type, win_start, win_start + 7200000 AS win_end, {r4("median(value)")} AS median, {r4("nullif(regr_slope(value, rn), 'nan'::DOUBLE)")} AS slope, arg_max(value, (ms, seq)) AS interp FROM w
+WHERE win_start + 7200000 <= (SELECT max(ms) FROM t) - 1000 GROUP BY event_type, win_start"""
+
+
+def stream_dynamic(spark, sf):
+    """Windows of each record's own size and slide in a stream."""
+    size = F.expr(SIZE_BY_TYPE).cast("long")
+    slide = F.when(F.col("event_type") == "click", 5400000).otherwise(0).cast("long")
+    return streams.replay(streams.stream_each_window(_stream(spark, sf), "SUM", ["event_type"], size, slide, default=("2h", "1h")), _folder(spark))
+
+
 def stream_last(spark, sf):
     return streams.replay(streams.stream_sequence(_stream(spark, sf), "LAST", (2,), "event_type"), _folder(spark))
 
 
+def stream_rsi(spark, sf):
+    return streams.replay(streams.stream_sequence(_stream(spark, sf), "RSI", (14,), "event_type"), _folder(spark))
+
+
+def stream_filter(spark, sf):
+    """A recursive filter in a stream, state per type and user."""
+    return streams.replay(streams.stream_sequence(_stream(spark, sf), "KF", FILTER_ARGS["KF"], PAIR), _folder(spark))
+
+
+def stream_match(spark, sf):
+    """The contiguous pattern of cep_next in a stream."""
+    is_ = lambda k: F.col("event_type") == k
+    return streams.replay(streams.stream_match(_stream(spark, sf), [is_("click"), is_("view"), is_("purchase")], ["user_id"], within=2 * DAY), _folder(spark))
+
+
+def stream_switching(spark, sf):
+    """The pattern of cep_switching in a stream."""
+    is_ = lambda k: F.col("event_type") == k
+    found = streams.stream_match(_stream(spark, sf), [is_("click"), is_("view")], ["user_id"], 5 * DAY, [is_("view"), is_("purchase")], is_("signup"))
+    return streams.replay(found, _folder(spark))
+
+
+def stream_enrich(spark, sf):
+    """Each micro-batch meets the rules as they are when it comes."""
+    folder = _folder(spark)
+    r = _stream(spark, sf).withColumnRenamed("event_type", "name").withColumn("topic", F.lit("opc"))
+    query = streams.stream_enrich(r, lambda: enrich.online(conf(spark)), connectors.parquet_batches(f"{folder}/out"), f"{folder}/check")
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("out_name", "calculate_type", "param", "task_name", "line_id", "ms", "seq", "value")
+
+
+def stream_changes(spark, sf):
+    """A table kept up to date by a stream of change messages in JSON."""
+    folder = _folder(spark)
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 16).parquet(sf)
+    row = F.create_map(F.lit("user_id"), F.col("user_id").cast("string"), F.lit("event_type"), F.col("event_type"))
+    gone = F.col("event_id") % 7 == 0
+    op = F.when(gone, "d").when(F.col("event_id") % 3 == 0, "u").otherwise("c")
+    text = F.to_json(F.struct(F.when(op != "c", row).alias("before"), F.when(~gone, row).alias("after"), op.alias("op"), F.col("event_id").alias("ts_ms"), F.struct(F.lit("tag_conf").alias("table")).alias("source")))
+    changes.follow(e.select(text.alias("value")), ["user_id"], "user_id long, event_type string", f"{folder}/table", f"{folder}/check").awaitTermination()
+    return changes.current(spark, f"{folder}/table", "user_id long, event_type string")
+
+
+STREAM_CHANGES_SQL = f"WITH {T}, a AS (SELECT user_id, arg_max(event_type, seq) AS event_type, max(seq) AS s FROM t GROUP BY 1) SELECT user_id, event_type FROM a WHERE s % 7 <> 0"
+
+
+def stream_assemble(spark, sf):
+    """Rows of a post as soon as all its keys have a value in the same hour: here of every fifth hour's first seconds."""
+    s = _stream(spark, sf).withColumn("ms", F.col("ms") - F.pmod("ms", F.lit(HOUR)))
+    r = s.withColumn("ts", F.timestamp_millis("ms")).where("event_type in ('click', 'view', 'purchase')").select(F.lit("hourly").alias("post_name"), "ts", F.col("event_type").alias("out_name"), F.lit(1.0).alias("value"))
+    out = streams.replay(streams.stream_assemble(r, {"hourly": 3}, urls={"hourly": "http://a"}), _folder(spark))
+    return out.select("post_name", "url", "ms", "body")
+
+
+STREAM_ASSEMBLE_SQL = f"""WITH {T} SELECT 'hourly' AS post_name, 'http://a' AS url, ms - ms % 3600000 AS ms, '{{"click": 1.0, "purchase": 1.0, "view": 1.0}}' AS body
+FROM t WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 3 HAVING count(DISTINCT event_type) = 3"""
+
+
+def retain_rewrite(spark, sf):
+    """A table rewritten without its old rows."""
+    name = f"kept_{uuid.uuid4().hex[:12]}"
+    tags(spark, sf).select("event_type", "ms", "seq").write.saveAsTable(name)
+    route.keep_from(spark, name, "2024-01-15")
+    return spark.table(name)
+
+
+REWRITE_SQL = f"WITH {T} SELECT event_type, ms, seq FROM t WHERE ms >= epoch_ms(TIMESTAMP '2024-01-15')"
+
+
 def entry_query(spark: SparkSession, sf: str) -> DataFrame:
     return rules_all(spark, sf)
 
@@ -475,10 +710,17 @@ _register("raw", lambda spark, sf: run_chain(tags(spark, sf), parse_spec("RAW",
 for _name, _query, _sql in (
     ("enrich", enriched, ENRICH_SQL), ("tag_semi_filter", tag_semi_filter, SEMI_SQL), ("formula", formula, FORMULA_SQL), ("filter_normal_job", normal_job, NORMAL_SQL),
     ("parse_params", parse_params, PARSE_SQL), ("route_union", route_union, ROUTE_SQL), ("grade_split", grade_split, GRADE_SQL), ("post_fanout", post_fanout, FANOUT_SQL),
-    ("post_assemble", post_assemble, ASSEMBLE_SQL), ("retain_today", retain_today, RETAIN_SQL), ("cdc_normalize", cdc_normalize, CDC_SQL), ("cdc_apply", cdc_apply, CDC_APPLY_SQL),
+    ("post_assemble", post_assemble, ASSEMBLE_SQL), ("post_requests", post_requests, REQUESTS_SQL), ("feedback", feedback, FEEDBACK_SQL), ("json_topics", json_topics, TOPICS_SQL),
+    ("win_null_key", win_null_key, NULL_KEY_SQL), ("win_carry", win_carry, CARRY_SQL), ("formula_rows", formula_rows, FORMULA_SQL), ("flatten_normal", flatten_normal, FLATTEN_SQL),
+    ("operands", operands, OPERANDS_SQL), ("route_by_spec", route_by_spec, BY_SPEC_SQL), ("retain_rewrite", retain_rewrite, REWRITE_SQL),
+    ("chain_ema_sum", _chain_sum("EMA", "5"), _chain_of("EMA", "5", 8)), ("chain_dif_sum", _chain_sum("DIF", "3,6"), _chain_of("DIF", "3,6", 9)),
+    ("stream_holistic", stream_holistic, STREAM_HOLISTIC_SQL), ("stream_dynamic", stream_dynamic, f"SELECT * FROM ({DYNWIN_SQL}) WHERE win_end <= (SELECT max(epoch_us(ts) // 1000) FROM events) - 1000"),
+    ("stream_rsi", stream_rsi, RSI_SQL), ("stream_filter", stream_filter, FILTER_SQL["KF"]), ("stream_match", stream_match, CEP_SQL), ("stream_switching", stream_switching, CEP_SWITCH_SQL),
+    ("stream_enrich", stream_enrich, ENRICH_SQL), ("stream_changes", stream_changes, STREAM_CHANGES_SQL), ("stream_assemble", stream_assemble, STREAM_ASSEMBLE_SQL), ("retain_today", retain_today, RETAIN_SQL), ("cdc_normalize", cdc_normalize, CDC_SQL), ("cdc_apply", cdc_apply, CDC_APPLY_SQL),
     ("cep_next", cep_next, CEP_SQL), ("cep_switching", cep_switching, CEP_SWITCH_SQL), ("decode_messages", decode_messages, DECODE_SQL), ("time_formats", time_formats, TIME_SQL),
     ("chain_avg_var", _chain("AVG_VAR", "1h,1h|1", ["event_type"]), CHAIN_AVG_VAR_SQL),
     ("chain_dejump_fof_avg", _chain("DEJUMP_FOF_AVG", "-50,50|0.3|1d,1d", PAIR), CHAIN_FILTER_SQL),
-    ("rules_all", rules_all, RULES_SQL), ("stream_windows", stream_windows, STREAM_SQL), ("stream_last", stream_last, _lag_sql("LAST", 2)),
+    ("rules_all", rules_all, RULES_SQL),
+    ("rules_enriched", rules_enriched, f"SELECT out_name, calculate_type, epoch_us(strptime(calculate_time, '%Y-%m-%d %H:%M:%S')) // 1000000 AS s, value FROM ({RULES_SQL}) WHERE out_name NOT IN ('ratio', 'busy', 'lead_avg')"), ("stream_windows", stream_windows, STREAM_SQL), ("stream_last", stream_last, _lag_sql("LAST", 2)),
 ):
     _register(_name, _query, _sql)

@@ -9,7 +9,9 @@ from __future__ import annotations
 import ast
 import re
 from collections.abc import Callable
+from types import SimpleNamespace
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,8 +57,29 @@ def _ternary(text: str) -> str:
     return re.sub("\0(\\d+)\0", lambda m: held.get(m[1], m[0]), flat)
 
 
-def compile_formula(text: str, operand: Callable[[str], Column]) -> Column:
-    """The formula as a double column; ``operand(tag)`` gives each tag's column.
+#: What differs between columns and arrays; signs mean the same to both.
+COLUMNS = SimpleNamespace(
+    number=lambda v: F.lit(float(v)), value=lambda x: F.coalesce(x.cast("double"), F.lit(0.0)), divide=F.try_divide, rest=F.try_mod,
+    choose=lambda c, a, b: F.when(c, a).otherwise(b), whole=lambda x: F.coalesce(x, F.lit(0.0)),
+)
+
+
+def _quietly(f):
+    def run(x, y):
+        with np.errstate(all="ignore"):
+            return np.where(np.asarray(y) == 0, np.nan, f(x, y))
+
+    return run
+
+
+ARRAYS = SimpleNamespace(
+    number=float, value=lambda x: np.nan_to_num(np.asarray(x, float), nan=0.0), divide=_quietly(np.divide), rest=_quietly(np.fmod),
+    choose=np.where, whole=lambda x: np.where(np.isnan(x), 0.0, x),
+)
+
+
+def compile_formula(text: str, operand: Callable[[str], Column], how: SimpleNamespace = COLUMNS) -> Column:
+    """The formula as a double column; ``operand(tag)`` gives each tag's column. With ARRAYS the same over numpy arrays.
 
     A missing operand counts as 0, a division by zero or a bare comparison gives 0, as a failed formula does. A text
     that is no formula raises ValueError.
@@ -72,9 +95,9 @@ def compile_formula(text: str, operand: Callable[[str], Column]) -> Column:
     def number(node) -> Column:
         match node:
             case ast.Constant(value=v) if isinstance(v, (int, float)) and not isinstance(v, bool):
-                return F.lit(float(v))
+                return how.number(v)
             case ast.Name(id=n) if re.fullmatch(r"t\d+_", n):
-                return F.coalesce(operand(tags[int(n[1:-1])]).cast("double"), F.lit(0.0))
+                return how.value(operand(tags[int(n[1:-1])]))
             case ast.UnaryOp(op=ast.USub(), operand=x):
                 return -number(x)
             case ast.UnaryOp(op=ast.UAdd(), operand=x):
@@ -88,11 +111,11 @@ def compile_formula(text: str, operand: Callable[[str], Column]) -> Column:
                 if isinstance(op, ast.Mult):
                     return x * y
                 if isinstance(op, ast.Div):
-                    return F.try_divide(x, y)
+                    return how.divide(x, y)
                 if isinstance(op, ast.Mod):
-                    return F.try_mod(x, y)
+                    return how.rest(x, y)
             case ast.IfExp(test=c, body=a, orelse=b):
-                return F.when(truth(c), number(a)).otherwise(number(b))
+                return how.choose(truth(c), number(a), number(b))
         raise ValueError(f"not a number in {text!r}")
 
     def truth(node) -> Column:
@@ -113,5 +136,5 @@ def compile_formula(text: str, operand: Callable[[str], Column]) -> Column:
 
     if isinstance(tree.body, (ast.Compare, ast.BoolOp)) or (isinstance(tree.body, ast.UnaryOp) and isinstance(tree.body.op, ast.Not)):
         truth(tree.body)
-        return F.lit(0.0)
-    return F.coalesce(number(tree.body), F.lit(0.0))
+        return how.number(0)
+    return how.whole(number(tree.body))

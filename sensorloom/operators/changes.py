@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The change log's operations.
@@ -23,3 +23,48 @@ def apply_changes(current: DataFrame, changes: DataFrame, key: list[str]) -> Dat
     every = current.withColumn("op", F.lit("r")).withColumn("ts_ms", F.lit(-1).cast("long")).unionByName(changes.select(*cols, "op", "ts_ms"))
     last = every.groupBy(*key).agg(F.max_by(F.struct(*cols, "op"), "ts_ms").alias("x"))
     return last.where("x.op <> 'd'").select(*(F.col(f"x.{c}").alias(c) for c in cols))
+
+
+def parse_envelopes(df: DataFrame, column: str = "value") -> DataFrame:
+    """Change messages as JSON text -> before, after (maps of texts), op, ts_ms, table; texts that are none go.
+
+    A snapshot's rows come as op 'r'; a deletion has no after. So the result feeds ``normalize`` and, by ``columns_of``,
+    ``apply_changes``.
+    """
+    schema = "before map<string,string>, after map<string,string>, op string, ts_ms long, source struct<table:string>"
+    parsed = df.select(F.from_json(F.col(column).cast("string"), schema).alias("_e")).where(F.col("_e.op").isin(*KINDS))
+    return parsed.select("_e.before", "_e.after", "_e.op", "_e.ts_ms", F.col("_e.source.table").alias("table"))
+
+
+def columns_of(events: DataFrame, schema: str) -> DataFrame:
+    """Parsed change messages of one table as rows of ``schema`` with op and ts_ms; a deletion has the row that went."""
+    row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    names = [c.split() for c in schema.split(", ")]
+    return events.select(*(row[n].try_cast(t).alias(n) for n, t in names), "op", "ts_ms")
+
+
+def follow(log: DataFrame, key: list[str], schema: str, path: str, checkpoint: str, every: str | None = None):
+    """Start a query that keeps a table up to date with a stream of change messages (text column ``value``).
+
+    Each micro-batch writes the whole small table anew under ``path``/v=number; ``current`` reads the latest, so a reader
+    never sees half a change, and a batch that is repeated replaces its own.
+    """
+    spark = log.sparkSession
+
+    def batch(df: DataFrame, number: int) -> None:
+        now = current(spark, path, schema, number)
+        apply_changes(now, columns_of(parse_envelopes(df), schema), key).write.mode("overwrite").parquet(f"{path}/v={number}")
+
+    w = log.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
+
+
+def current(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """The latest table under ``path`` (older than version ``before`` if given), or an empty one; a version counts once whole."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = store.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/v=*/_SUCCESS"))
+    found = [int(x.getPath().getParent().getName()[2:]) for x in done or []]
+    found = [v for v in found if before is None or v < before]
+    return spark.read.schema(schema).parquet(f"{path}/v={max(found)}") if found else spark.createDataFrame([], schema)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.formula import compile_formula, formula_tags, is_formula
+from ..functions.formula import ARRAYS, compile_formula, formula_tags, is_formula
 
 #: Rows up to which a rule table is broadcast; larger ones are joined by shuffling.
 SMALL = 100_000
@@ -21,7 +23,15 @@ def collected(rows: DataFrame, what: str) -> list:
 
 def small(rules: DataFrame, most: int = SMALL) -> DataFrame:
     """``rules`` marked for broadcast if it has at most ``most`` rows, which is counted, else as it is."""
-    return F.broadcast(rules) if rules.limit(most + 1).count() <= most else rules
+    plan = rules._jdf.queryExecution().optimizedPlan()
+    rows = plan.data().size() if plan.nodeName() == "LocalRelation" else rules.limit(most + 1).count()
+    return F.broadcast(rules) if rows <= most else rules
+
+
+def at_hand(rules: DataFrame, most: int = SMALL) -> DataFrame:
+    """``rules`` as a local table if it has at most ``most`` rows, so that what is made of it costs no job; else as it is."""
+    rows = rules.limit(most + 1).toArrow()
+    return rules.sparkSession.createDataFrame(rows, rules.schema) if rows.num_rows <= most else rules
 
 
 def online(df: DataFrame) -> DataFrame:
@@ -45,17 +55,53 @@ def keep_used(raw: DataFrame, conf: DataFrame) -> DataFrame:
     return raw.join(used, (raw["name"] == used["tag_name"]) & (raw["topic"] == used["tag_topic"]), "left_semi")
 
 
-RULE = ("byt_name", "calculate_type", "param", "task_name", "line_id", "status")
+RULE = ("out_name", "calculate_type", "param", "task_name", "line_id", "status")
 
 
 def enrich(raw: DataFrame, conf: DataFrame) -> DataFrame:
     """A row per record and rule on its (name, topic), with the rule's columns; rules without a type give none."""
     rules = small(conf.where("calculate_type is not null").select("tag_name", "tag_topic", *RULE))
-    return raw.join(rules, (raw["name"] == rules["tag_name"]) & (raw["topic"] == rules["tag_topic"])).drop("tag_name", "tag_topic")
+    return raw.join(rules, (raw["name"] == rules["tag_name"]) & (raw["topic"] == rules["tag_topic"])).drop("tag_name", "topic")
+
+
+def formula_rows(raw: DataFrame, message: list[str], conf: DataFrame) -> DataFrame:
+    """Records of the rules that are formulas over several tags of one message, with the columns that ``enrich`` gives.
+
+    As ``formula_values``, but the formulas stay data: operands are joined as rows, so the plan is the same for any
+    number of rules, and each text is read once a batch. Of a tag that repeats in a message the last record counts.
+    Columns: the rule's, tag_topic, the message's, name (the formula), ms, seq and value.
+    """
+    rules = conf.where(F.col("calculate_type").isNotNull() & F.col("tag_name").contains("["))
+    tags = F.array_distinct(F.regexp_extract_all("tag_name", F.lit(r"\[([^\[\]]+)\]"), F.lit(1)))
+    operands = small(rules.select("tag_name", "tag_topic", *RULE, F.posexplode(tags).alias("_place", "_tag")))
+    own = list(dict.fromkeys([*message, "topic"]))
+    last = keep_used(raw, conf.where(F.col("tag_name").contains("["))).groupBy(*own, "name").agg(F.max_by(F.struct(F.col("value").cast("double").alias("v"), "ms", "seq"), "seq").alias("x"))
+    met = last.join(operands, (last["name"] == operands["_tag"]) & (last["topic"] == operands["tag_topic"])).drop("name", "_tag")
+    by = [*own, "tag_name", *RULE]
+    rows = met.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_place", "x.v"))).alias("_values"), F.max(F.when(F.col("_place") == 0, F.col("x"))).alias("_x"))
+    rows = rows.where("_x is not null").select(*by, F.col("_x.ms").alias("ms"), F.col("_x.seq").alias("seq"), "_values")
+    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "_values"), T.StructField("value", T.DoubleType())])
+
+    def work(batches):
+        for pdf in batches:
+            value = np.zeros(len(pdf))
+            for text, at in pdf.groupby("tag_name").indices.items():
+                given = [dict(m) for m in pdf["_values"].iloc[at]]
+                place = {t: k for k, t in enumerate(formula_tags(text))}
+                value[at] = compile_formula(text, lambda t: [m.get(place[t]) or 0.0 for m in given], ARRAYS)  # noqa: B023
+            yield pdf.drop(columns="_values").assign(value=value)
+
+    return rows.mapInPandas(work, schema).withColumnRenamed("tag_name", "name").withColumnRenamed("topic", "tag_topic")
+
+
+def flatten_normal(df: DataFrame, column: str = "records") -> DataFrame:
+    """A list of records per row -> one JSON text (``value``) per record of normal quality (is_normal 1; null counts as 1)."""
+    each = df.select(F.explode(column).alias("_r"))
+    return each.where(F.coalesce("_r.is_normal", F.lit(1)) == 1).select(F.to_json("_r").alias("value"))
 
 
 def formula_values(raw: DataFrame, message: list[str], formulas: dict[str, str]) -> DataFrame:
-    """Per message (the columns ``message``) and formula: byt_name, ms and value.
+    """Per message (the columns ``message``) and formula: out_name, ms and value.
 
     Operands come from the same message; a missing one counts as 0, but without its first operand, which gives time
     and place, a formula has no row. Operands are pivoted by one aggregation over all formulas; of a tag that repeats
@@ -70,12 +116,12 @@ def formula_values(raw: DataFrame, message: list[str], formulas: dict[str, str])
     for name, text in formulas.items():
         first = at[formula_tags(text)[0]]
         value = compile_formula(text, lambda t: F.col(f"{at[t]}.v"))
-        rows.append(F.when(F.col(first).isNotNull(), F.struct(F.lit(name).alias("byt_name"), F.col(f"{first}.ms").alias("ms"), value.alias("value"))))
+        rows.append(F.when(F.col(first).isNotNull(), F.struct(F.lit(name).alias("out_name"), F.col(f"{first}.ms").alias("ms"), value.alias("value"))))
     found = wide.select(*message, F.explode(F.array_compact(F.array(*rows))).alias("_f"))
-    return found.select(*message, "_f.byt_name", "_f.ms", "_f.value")
+    return found.select(*message, "_f.out_name", "_f.ms", "_f.value")
 
 
 def formulas_of(conf: DataFrame) -> dict[str, str]:
-    """byt_name -> formula of the rules that are formulas (the rule table is small by ``small``'s bound)."""
-    rows = collected(conf.where(F.col("tag_name").contains("[")).select("byt_name", "tag_name"), "formula rules")
-    return {r["byt_name"]: r["tag_name"] for r in rows if is_formula(r["tag_name"])}
+    """out_name -> formula of the rules that are formulas (the rule table is small by ``small``'s bound)."""
+    rows = collected(conf.where(F.col("tag_name").contains("[")).select("out_name", "tag_name"), "formula rules")
+    return {r["out_name"]: r["tag_name"] for r in rows if is_formula(r["tag_name"])}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -9,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.times import round_half_up
+from ..functions.times import parse_duration, round_half_up
 
 
 def _order(keys: list[str]):
@@ -23,111 +25,238 @@ def epochs(df: DataFrame, keys: list[str], lag: Column) -> DataFrame:
     return marked.withColumn("_epoch", F.sum((before.isNotNull() & (before != F.col("_n"))).cast("int")).over(_order(keys).rowsBetween(W.unboundedPreceding, 0))).drop("_n")
 
 
-def lagged(df: DataFrame, ops: dict[str, tuple[str, int]], keys: list[str]) -> DataFrame:
+def with_before(df: DataFrame, keys: list[str], n: int, chunk) -> tuple[DataFrame, list[str]]:
+    """``df`` cut by time into chunks, each with the n records before it; and the keys of a chunk.
+
+    So a long series is many tasks' work instead of one's. Each chunk's last n records are found first (a limit inside
+    every task leaves few to shuffle); from those of all earlier chunks, however sparse, each chunk gets its n. Rows
+    that only stand before a chunk have _halo true. Without ``chunk`` a series is one chunk.
+    """
+    if chunk is None:
+        return df.withColumn("_halo", F.lit(False)), keys
+    ms = parse_duration(chunk) if isinstance(chunk, str) else int(chunk)
+    cols = df.columns
+    d = df.withColumn("_chunk", F.floor(F.col("ms") / ms))
+    back = W.partitionBy(*keys, "_chunk").orderBy(F.desc("ms"), F.desc("seq"))
+    tails = d.withColumn("_back", F.row_number().over(back)).where(F.col("_back") <= n)
+    w = _order(keys)
+    before = F.collect_list(F.struct(*cols)).over(w.rowsBetween(-n, -1))
+    lead = tails.withColumn("_before", before).withColumn("_new", F.coalesce(F.lag("_chunk").over(w) != F.col("_chunk"), F.lit(False)))
+    halo = lead.where("_new").select("_chunk", F.explode("_before").alias("_b")).select("_b.*", "_chunk", F.lit(True).alias("_halo"))
+    return d.withColumn("_halo", F.lit(False)).unionByName(halo), [*keys, "_chunk"]
+
+
+def lagged(df: DataFrame, ops: dict[str, tuple[str, int]], keys: list[str], chunk=None) -> DataFrame:
     """``df`` with LAST, VAR or TREND columns (name -> (operator, n)); equal orders share one sort.
 
     LAST is the value n records earlier, VAR the change since, TREND the ratio to it (null over 0), both null until
-    there are n records before.
+    there are n records before. ``chunk``: see with_before.
     """
-    w = _order(keys)
+    cols = df.columns
+    df, by = with_before(df, keys, max(n for _, n in ops.values()), chunk)
+    w = _order(by)
     v = F.col("value").cast("double")
     for name, (op, n) in ops.items():
         old = F.lag("value", n).over(w).cast("double")
         df = df.withColumn(name, {"LAST": old, "VAR": round_half_up(v - old), "TREND": round_half_up(F.try_divide(v, old))}[op])
-    return df
+    return df.where("not _halo").select(*cols, *ops)
 
 
-def lag_stage(df: DataFrame, op: str, n: int, keys: list[str], changing: Column | None = None) -> DataFrame:
+def lag_stage(df: DataFrame, op: str, n: int, keys: list[str], changing: Column | None = None, chunk=None) -> DataFrame:
     """``df`` with value replaced by the operator's; records without n predecessors go. ``changing``: see epochs."""
-    by = keys
+    by, cols = keys, df.columns
     if changing is not None:
         df, by = epochs(df, keys, changing), [*keys, "_epoch"]
-    rank = F.row_number().over(_order(by))
-    out = lagged(df.withColumn("_rn", rank), {"_out": (op, n)}, by).where(F.col("_rn") > n)
-    return out.withColumn("value", F.col("_out")).drop("_out", "_rn", "_epoch")
+    df, by = with_before(df, by, n, chunk)
+    old = F.lag("value", n).over(_order(by)).cast("double")
+    there = F.lag(F.lit(1), n).over(_order(by))
+    v = F.col("value").cast("double")
+    out = {"LAST": old, "VAR": round_half_up(v - old), "TREND": round_half_up(F.try_divide(v, old))}[op]
+    return df.withColumn("_out", out).withColumn("_there", there).where("_there is not null and not _halo").withColumn("value", F.col("_out")).select(*cols)
 
 
-def rsi(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
+def rsi(df: DataFrame, n: int, keys: list[str], chunk=None) -> DataFrame:
     """Relative strength over the last n changes (the first record's is 0), from the nth record on.
 
-    No losses gives 100; neither gains nor losses gives null.
+    No losses gives 100; neither gains nor losses gives null. ``chunk``: see with_before.
     """
-    w = _order(keys)
-    change = F.coalesce(F.col("value").cast("decimal(18,4)") - F.lag("value").over(w).cast("decimal(18,4)"), F.lit(0).cast("decimal(18,4)"))
-    d = df.withColumn("_d", change).withColumn("_rn", F.row_number().over(w))
+    cols = df.columns
+    df, by = with_before(df, keys, n, chunk)
+    w = _order(by)
+    exact = F.col("value").cast("decimal(28,9)")
+    change = F.coalesce(exact - F.lag(exact).over(w), F.lit(0).cast("decimal(28,9)"))
+    d = df.withColumn("_d", change).withColumn("_there", F.lag(F.lit(1), n - 1).over(w) if n > 1 else F.lit(1))
     frame = w.rowsBetween(-(n - 1), 0)
     gain = F.sum(F.greatest(F.col("_d"), F.lit(0))).over(frame).cast("double")
     loss = F.sum(F.greatest(-F.col("_d"), F.lit(0))).over(frame).cast("double")
     strength = F.when(loss == 0, F.when(gain > 0, F.lit(100.0))).otherwise(100 - 100 / (1 + F.try_divide(gain, loss)))
-    return d.withColumn("_out", round_half_up(strength)).where(F.col("_rn") >= n).withColumn("value", F.col("_out")).drop("_d", "_rn", "_out")
+    return d.withColumn("_out", round_half_up(strength)).where("_there is not null and not _halo").withColumn("value", F.col("_out")).select(*cols)
+
+
+# ---- operators that carry a state: (state, values, series numbers) -> (values, state) ------------------------------
+# Values stand in the order of their series; ``series`` says to which each belongs, and the state given is that of the
+# first one, the state returned that of the last. A NaN says that there is no result yet (no row), an infinity that the
+# result is null.
+
 
+def _parts(series: np.ndarray):
+    cut = np.flatnonzero(np.r_[True, series[1:] != series[:-1], True]) if len(series) else np.zeros(1, int)
+    return zip(cut[:-1].tolist(), cut[1:].tolist())
 
-# ---- recursive filters: state in, values -> values, state out -------------------------------------------------------
 
+def _smooth(state, x: np.ndarray, series: np.ndarray, share: float):
+    """y = share*x + (1-share)*y over all series at once."""
+    if not len(x):
+        return x, state
+    if state is not None:
+        x, series = np.r_[state, x], np.r_[series[0], series]
+    y = pd.Series(x).groupby(series).ewm(alpha=share, adjust=False).mean().to_numpy()
+    return (y[1:] if state is not None else y), float(y[-1])
 
-def fof(state, x: np.ndarray, a: float):
+
+def fof(state, x, series, a: float):
     """First-order low-pass: y = a*x + (1-a)*y."""
-    out = np.empty(len(x))
-    for i, v in enumerate(x):
-        state = v if state is None else a * v + (1 - a) * state
-        out[i] = state
-    return out, state
+    if a <= 0 or a > 1:  # outside the range of a mean: step by step
+        out = np.empty(len(x))
+        for i, (v, k) in enumerate(zip(x, series)):
+            state = v if state is None or (i and k != series[i - 1]) else a * v + (1 - a) * state
+            out[i] = state
+        return out, state
+    return _smooth(state, x, series, a)
 
 
-def ema(state, x: np.ndarray, n: int):
+def ema(state, x, series, n: int):
     """Exponential mean: e = (2*x + (n-1)*e) / (n+1)."""
-    out = np.empty(len(x))
-    for i, v in enumerate(x):
-        state = v if state is None else (2 * v + (n - 1) * state) / (n + 1)
-        out[i] = state
-    return out, state
+    return _smooth(state, x, series, 2 / (n + 1))
 
 
-def dif(state, x: np.ndarray, fast: int, slow: int):
+def dif(state, x, series, fast: int, slow: int):
     """Fast exponential mean less the slow one."""
     a, b = state or (None, None)
-    y, a = ema(a, x, fast)
-    z, b = ema(b, x, slow)
-    return y - z, (a, b)
+    y, a = ema(a, x, series, fast)
+    z, b = ema(b, x, series, slow)
+    return y - z, (None if a is None else (a, b))
 
 
-def dejump(state, x: np.ndarray, low: float, high: float):
+def dejump(state, x, series, low: float, high: float):
     """A value that leaves [low, high] from the last accepted one is replaced by that one."""
-    out = np.empty(len(x))
-    for i, v in enumerate(x):
-        if state is None or low <= v - state <= high:
-            state = v
-        out[i] = state
-    return out, state
+    out = x.tolist()
+    for s, e in _parts(series):
+        state = state if s == 0 else None
+        for i in range(s, e):
+            v = out[i]
+            if state is None or low <= v - state <= high:
+                state = v
+            else:
+                out[i] = state
+    return np.array(out, float), state
+
+
+@cache
+def _gains(dt: float, r: float) -> list[tuple[float, float]]:
+    """The gains of each step, which no value changes, up to where they stand still."""
+    out, a, b, c = [], 1.0, 0.0, 1.0
+    while len(out) < 2 or (out[-1] != out[-2] and len(out) < 100_000):
+        a, b, c = a + 2 * dt * b + dt * dt * c + 0.05, b + dt * c + 0.05, c + 0.05
+        s = a + r
+        g, h = a / s, b / s
+        out.append((g, h))
+        a, b, c = a - g * a, b - g * b, c - h * b
+    return out
 
 
-def kalman(state, x: np.ndarray, dt: float, r: float):
+def kalman(state, x, series, dt: float, r: float):
     """Constant-velocity Kalman filter; what it foresees for each record before it has seen it."""
-    out = np.empty(len(x))
-    for i, z in enumerate(x):
-        p, v, a, b, c = (z, 0.0, 1.0, 0.0, 1.0) if state is None else state
-        p = p + dt * v
-        a, b, c = a + 2 * dt * b + dt * dt * c + 0.05, b + dt * c + 0.05, c + 0.05
-        out[i] = p
-        s, e = a + r, z - p
-        g, h = a / s, b / s
-        state = p + g * e, v + h * e, a - g * a, b - g * b, c - h * b
-    return out, state
+    gains, out = _gains(dt, r), x.tolist()
+    last = len(gains) - 1
+    for s, e in _parts(series):
+        p, v, k = state if s == 0 and state is not None else (out[s], 0.0, 0)
+        for i in range(s, e):
+            g, h = gains[k]
+            p += dt * v
+            z, out[i] = out[i], p
+            z -= p
+            p, v, k = p + g * z, v + h * z, min(k + 1, last)
+        state = p, v, k
+    return np.array(out, float), state
+
+
+def _earlier(state, x, series, n: int):
+    """Each record's value n records earlier (NaN where there is none), and the last n values."""
+    held = [] if state is None else list(state)
+    out = np.full(len(x), np.nan)
+    for s, e in _parts(series):
+        every = np.r_[held, x[s:e]] if s == 0 else x[s:e]
+        k = len(every) - (e - s)  # values before this stretch
+        have = np.arange(e - s) + k - n
+        out[s:e][have >= 0] = every[have[have >= 0]]
+        held = every[-n:].tolist()
+    return out, held or None
+
+
+def last(state, x, series, n: int):
+    """The value n records earlier."""
+    return _earlier(state, x, series, n)
+
+
+def var(state, x, series, n: int):
+    """The change since n records earlier."""
+    old, state = _earlier(state, x, series, n)
+    return x - old, state
+
+
+def trend(state, x, series, n: int):
+    """The ratio to the value n records earlier; none over 0."""
+    old, state = _earlier(state, x, series, n)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(old == 0, np.inf, x / old), state
+
+
+def strength(state, x, series, n: int):
+    """Relative strength over the last n changes, the first of a series being 0; see rsi."""
+    held = state
+    out = np.full(len(x), np.nan)
+    for s, e in _parts(series):
+        before, changes = held if s == 0 and held else (x[s], [])
+        d = np.round(np.diff(np.r_[before, x[s:e]]), 9)
+        every = np.r_[changes, d]
+        up, down = (np.r_[0, np.cumsum(np.round(np.maximum(y, 0) * 1e9))] for y in (every, -every))
+        at = np.arange(len(changes), len(every)) + 1
+        ok = at >= n
+        gain, loss = (np.where(ok, y[at] - y[np.maximum(at - n, 0)], 0) for y in (up, down))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out[s:e] = np.where(ok, np.where(loss == 0, np.where(gain > 0, 100.0, np.inf), 100 - 100 / (1 + gain / loss)), np.nan)
+        held = float(x[e - 1]), every[-n:].tolist()
+    return out, held
 
 
 #: operator -> (function, decimal places of its result)
 FILTERS = {"FOF": (fof, 4), "EMA": (ema, 8), "DIF": (dif, 9), "DEJUMP": (dejump, None), "KF": (kalman, 4)}
+#: The operators that Spark's windows have too; here for streams and for rules with arguments of their own.
+LAGS = {"LAST": (last, None), "VAR": (var, 4), "TREND": (trend, 4), "RSI": (strength, 4)}
+STATEFUL = FILTERS | LAGS
+
+
+def _pieces(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """The number of the series that each row of a sorted batch belongs to; null keys are one series."""
+    new = np.zeros(len(pdf), bool)
+    for k in keys:
+        x = pdf[k]
+        same = (x == x.shift()) | (x.isna() & x.shift().isna())
+        new |= ~same.fillna(False).to_numpy(bool)
+    new[:1] = False
+    return np.cumsum(new)
 
 
 def filtered(df: DataFrame, ops: dict[str, tuple], keys: list[str]) -> DataFrame:
     """``df`` with a double column per entry of ``ops`` (name -> (operator, *args)), unrounded.
 
-    Records are dealt by key and sorted once for all filters; tasks then read batch after batch and carry each
-    filter's state from one to the next, so a series of any length needs the memory of one batch. A null value gives
+    Records are dealt by key and sorted once for all operators; tasks then read batch after batch and carry each
+    operator's state from one to the next, so a series of any length needs the memory of one batch. A null value gives
     null and leaves the state as it is.
     """
     schema = T.StructType([*df.schema.fields, *(T.StructField(k, T.DoubleType()) for k in ops)])
-    plan = [(k, FILTERS[o[0]][0], o[1:]) for k, o in ops.items()]
+    plan = [(k, STATEFUL[o[0]][0], o[1:]) for k, o in ops.items()]
 
     def work(batches):
         now, states = None, {}
@@ -135,22 +264,68 @@ def filtered(df: DataFrame, ops: dict[str, tuple], keys: list[str]) -> DataFrame
             if not len(pdf):
                 yield pdf.assign(**{k: pd.Series(dtype=float) for k in ops})
                 continue
-            key = list(zip(*(pdf[k] for k in keys)))
-            cut = [0, *(i for i in range(1, len(key)) if key[i] != key[i - 1]), len(key)]
+            series = _pieces(pdf, keys)
+            ends = [tuple(None if pd.isna(v) else v for v in pdf[keys].iloc[i]) for i in (0, -1)]
+            if ends[0] != now:
+                states = {}
+            now = ends[1]
             x = pd.to_numeric(pdf["value"], errors="coerce").to_numpy(float)
-            cols = {k: np.full(len(pdf), np.nan) for k in ops}
-            for a, b in zip(cut[:-1], cut[1:]):
-                if key[a] != now:
-                    now, states = key[a], {}
-                live = np.flatnonzero(~np.isnan(x[a:b])) + a
-                for name, f, args in plan:
-                    cols[name][live], states[name] = f(states.get(name), x[live], *args)
-            yield pdf.assign(**{k: pd.Series(v).where(~np.isnan(v), None).astype(object).to_numpy() for k, v in cols.items()})
+            live = np.flatnonzero(~np.isnan(x))
+            cols, part = {}, series[live]
+            for name, f, args in plan:
+                given = states.get(name)
+                col = np.full(len(pdf), np.nan)
+                out, state = f(given if len(part) and part[0] == 0 else None, x[live], part, *args)
+                col[live] = out
+                cols[name] = pd.Series(col).where(np.isfinite(col), None).astype(object).to_numpy()
+                states[name] = state if len(part) and part[-1] == series[-1] else given if series[-1] == 0 else None
+            yield pdf.assign(**cols)
 
     dealt = df.repartition(*keys).sortWithinPartitions(*keys, "ms", "seq")
     return dealt.mapInPandas(work, schema)
 
 
+def sequenced(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with value replaced by the result of each series' own operator _op with the numbers _args.
+
+    As ``filtered``: one sort, and in each batch one pass per operator and arguments over all their series. Records that
+    have no result yet go; a null value gives a null and leaves the state as it is.
+    """
+    cols = df.columns
+    schema = T.StructType([*(T.StructField(f.name, T.DoubleType()) if f.name == "value" else f for f in df.schema.fields), T.StructField("_there", T.BooleanType())])
+
+    def work(batches):
+        now, state = None, None
+        for pdf in batches:
+            if not len(pdf):
+                yield pdf.assign(_there=pd.Series(dtype=bool))
+                continue
+            series = _pieces(pdf, keys)
+            ends = [tuple(None if pd.isna(v) else v for v in pdf[keys].iloc[i]) for i in (0, -1)]
+            state = state if ends[0] == now else None
+            now = ends[1]
+            x = pd.to_numeric(pdf["value"], errors="coerce").to_numpy(float)
+            spec = pd.factorize(pd.Series([(o, *a) for o, a in zip(pdf["_op"], pdf["_args"])]))
+            result, after = np.where(np.isnan(x), np.inf, np.nan), None
+            for k, (op, *args) in enumerate(spec[1]):
+                live = np.flatnonzero(~np.isnan(x) & (spec[0] == k))
+                part = series[live]
+                given = state if spec[0][0] == k else None
+                f, places = STATEFUL[op]
+                whole = op not in ("FOF", "DEJUMP", "KF")
+                out, end = f(given if len(part) and part[0] == 0 else None, x[live], part, *(int(a) if whole else a for a in args))
+                result[live] = out
+                if spec[0][-1] == k:
+                    after = end if len(part) and part[-1] == series[-1] else given if series[-1] == 0 else None
+            state = after
+            yield pdf.assign(value=pd.Series(result, pdf.index).where(np.isfinite(result), None).astype(object), _there=~np.isnan(result))
+
+    dealt = df.repartition(*keys).sortWithinPartitions(*keys, "ms", "seq")
+    out = dealt.mapInPandas(work, schema).where("_there")
+    rounded = F.expr("case _op " + " ".join(f"when '{o}' then cast(round(cast(value as decimal(28,10)), {p}) as double)" for o, (_, p) in STATEFUL.items() if p is not None) + " else value end")
+    return out.withColumn("value", rounded).select(*cols)
+
+
 def filter_stage(df: DataFrame, op: str, args: tuple, keys: list[str]) -> DataFrame:
     """``df`` with value replaced by the filter's, rounded as the operator is."""
     places = FILTERS[op][1]

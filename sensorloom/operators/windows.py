@@ -6,19 +6,27 @@ window whose start is at most its time and whose end lies after it. A slide abov
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.times import parse_duration, round_half_up
 
-EXACT = "decimal(18,4)"
+#: Sums are exact: in any order of the records they are the same. Values keep nine places, as filters give them.
+EXACT, SQUARE = "decimal(38,9)", "decimal(38,8)"
 
 
 def _ms(x) -> Column:
     return x if isinstance(x, Column) else F.lit(parse_duration(x) if isinstance(x, str) else int(x)).cast("long")
 
 
+def _check(size: int, slide: int, offset: int) -> None:
+    if size <= 0 or slide <= 0 or abs(offset) >= slide:
+        raise ValueError("size and slide must be above 0, the offset less than the slide")
+
+
 def assign_windows(df: DataFrame, size, slide, offset=0, default=("5s", "5s"), time: str = "event") -> DataFrame:
     """``df`` with win_start and win_end (ms), a row for each window that a record belongs to.
 
@@ -26,13 +34,10 @@ def assign_windows(df: DataFrame, size, slide, offset=0, default=("5s", "5s"), t
     the event time ``ms``, or the clock of the run for 'processing'.
     """
     if not isinstance(size, Column) and not isinstance(slide, Column):
-        n, s = (parse_duration(x) if isinstance(x, str) else int(x) for x in (size, slide))
-        o = parse_duration(offset) if isinstance(offset, str) else int(offset)
-        if n <= 0 or s <= 0 or abs(o) >= s:
-            raise ValueError("size and slide must be above 0, the offset less than the slide")
+        _check(*(parse_duration(x) if isinstance(x, str) else int(x) for x in (size, slide, offset)))
     zero = lambda x, d: F.when(F.coalesce(x, F.lit(0)) > 0, x).otherwise(F.lit(parse_duration(d))).cast("long")
     n, s, o = zero(_ms(size), default[0]), zero(_ms(slide), default[1]), _ms(offset)
-    at = F.col("ms") if time == "event" else F.unix_millis(F.current_timestamp())
+    at = F.col("ms") if time == "event" else F.unix_millis(F.current_timestamp()).cast("long")
     last = at - F.pmod(at - o, s)
     more = F.floor((n - 1 - (at - last)) / s)
     if not isinstance(size, Column) and not isinstance(slide, Column) and str(size) == str(slide):
@@ -41,79 +46,126 @@ def assign_windows(df: DataFrame, size, slide, offset=0, default=("5s", "5s"), t
     return df.withColumn("win_start", F.explode(starts)).withColumn("win_end", F.col("win_start") + n)
 
 
-def _moments(v: Column) -> list[Column]:
-    """Partial results that combine: count, exact sum and sum of squares, extremes, latest value."""
-    d = v.cast(EXACT)
-    return [
-        F.count(v).alias("n"), F.sum(d).alias("s"), F.sum(d * d).alias("q"), F.min(v).alias("lo"), F.max(v).alias("hi"),
-        F.max_by(F.struct("ms", "seq", v.alias("v")), F.struct("ms", "seq")).alias("late"),
-    ]
+#: Operator -> the moments it is made of; those that are structs would turn a hash aggregation into a sorted one.
+NEEDS = {"SUM": "s", "AVG": "s", "VARIANCE": "sq", "STD": "sq", "CV": "sq", "MAX": "x", "MIN": "x", "RANGE": "x", "PSEQ": "x", "INTERP": "l", "SLOPE": "s", "MEDIAN": ""}
 
 
-def _combined() -> list[Column]:
-    return [F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max_by("late", F.struct("late.ms", "late.seq")).alias("late")]
+def moments(v: Column, ops, carry: list[str]) -> list[Column]:
+    """Partial results that combine: counts, exact sum and sum of squares, extremes, latest and first record."""
+    need = {c for o in ops for c in NEEDS[o]}
+    d, x, at = v.cast(EXACT), v.cast("double"), F.struct("ms", "seq")
+    out = [F.count(F.lit(1)).alias("rows"), F.count(v).alias("n")]
+    out += [F.sum(d).alias("s")] if "s" in need else []
+    out += [F.sum((x * x).cast(SQUARE)).alias("q")] if "q" in need else []
+    out += [F.min(v).alias("lo"), F.max(v).alias("hi")] if "x" in need else []
+    out += [F.max_by(F.struct("ms", "seq", v.alias("v")), F.when(v.isNotNull(), at)).alias("late")] if "l" in need else []
+    return out + ([F.min_by(F.struct("ms", "seq", *carry), at).alias("first")] if carry else [])
 
 
-def _finish(op: str) -> Column:
-    """A window's result from its moments; rounded as the operator is."""
-    n, s, q = F.col("n").cast("double"), F.col("s").cast("double"), F.col("q").cast("double")
-    mean = round_half_up(F.try_divide(s, n))
-    variance = round_half_up(F.greatest(F.try_divide(q - 2 * mean * s + n * mean * mean, n), F.lit(0.0)))
-    return {
-        "SUM": lambda: s,
-        "AVG": lambda: mean,
-        "MAX": lambda: F.col("hi").cast("double"),
-        "MIN": lambda: F.col("lo").cast("double"),
-        "RANGE": lambda: round_half_up(F.col("hi") - F.col("lo")),
-        "VARIANCE": lambda: variance,
-        "STD": lambda: round_half_up(F.sqrt(variance)),
-        "CV": lambda: round_half_up(F.try_divide(F.sqrt(variance), mean)),
-        "PSEQ": lambda: F.when(F.col("lo") >= 0, 1.0).otherwise(0.0),
-        "INTERP": lambda: F.col("late.v").cast("double"),
-    }[op]()
+def _combined(ops, carry: list[str]) -> list[Column]:
+    need = {c for o in ops for c in NEEDS[o]}
+    at = lambda c: F.struct(f"{c}.ms", f"{c}.seq")
+    out = [F.sum(c).alias(c) for c in ("rows", "n", *("sq" if "q" in need else "s" if "s" in need else ""))]
+    out += [F.min("lo").alias("lo"), F.max("hi").alias("hi")] if "x" in need else []
+    out += [F.max_by("late", F.when(F.col("late.v").isNotNull(), at("late"))).alias("late")] if "l" in need else []
+    return out + ([F.min_by("first", at("first")).alias("first")] if carry else [])
 
 
-#: Results that need every record of a window at hand.
-HOLISTIC = ("MEDIAN", "SLOPE")
+def _rounded(x: str) -> str:
+    return f"cast(round(cast(cast({x} as double) as decimal(28,10)), 4) as double)"
 
 
-def window_aggregate(df: DataFrame, ops: dict[str, str], keys: list[str], size, slide, offset=0, default=("5s", "5s")) -> DataFrame:
-    """keys, win_start, win_end and one column per entry of ``ops`` (name -> operator).
+_N, _S, _Q, _R = (f"cast({c} as double)" for c in ("n", "s", "q", "rows"))
+_MEAN = _rounded(f"try_divide({_S}, {_N})")
+_VARIANCE = _rounded(f"greatest(try_divide({_Q} - 2 * {_MEAN} * {_S} + {_N} * {_MEAN} * {_MEAN}, {_N}), 0d)")
+_RANKS = f"({_R} * ({_R} + 1) / 2)"
+#: A window's result from its moments, rounded as the operator is; as SQL, since a plan may hold many of them.
+FINISH = {
+    "SUM": _S, "AVG": _MEAN, "MAX": "cast(hi as double)", "MIN": "cast(lo as double)", "RANGE": _rounded("hi - lo"),
+    "VARIANCE": _VARIANCE, "STD": _rounded(f"sqrt({_VARIANCE})"), "CV": _rounded(f"try_divide(sqrt({_VARIANCE}), {_MEAN})"),
+    "PSEQ": "case when lo >= 0 then 1d when lo < 0 then 0d end", "INTERP": "cast(late.v as double)", "MEDIAN": _rounded("mid"),
+    "SLOPE": "case when n = rows then " + _rounded(f"try_divide({_R} * cast(xy as double) - {_RANKS} * {_S}, {_R} * ({_R} * ({_R} + 1) * (2 * {_R} + 1) / 6) - {_RANKS} * {_RANKS})") + " end",
+}
 
-    All operators of one window share one aggregation. Where size and slide are constants, records are first summed
-    into panes as long as the two's common divisor, and panes, not records, are dealt to the overlapping windows;
-    MEDIAN and SLOPE look at all records, SLOPE over their rank by (ms, seq). Null values are skipped, but make a
-    SLOPE null.
-    """
-    import math
 
-    whole = {k: o for k, o in ops.items() if o in HOLISTIC}
-    parts = {k: o for k, o in ops.items() if o not in HOLISTIC}
-    by = [*keys, "win_start", "win_end"]
-    out = None
+def finish(op: str) -> Column:
+    return F.expr(FINISH[op])
+
+
+def _rank(by: list[str]) -> Column:
+    return F.row_number().over(W.partitionBy(*by).orderBy("ms", "seq"))
+
+
+def gathered(dealt: DataFrame, by: list[str], ops, carry: list[str] = ()) -> DataFrame:
+    """One aggregation of dealt records: their moments, with ``mid`` for MEDIAN and ``xy`` for SLOPE."""
+    v = F.col("value")
+    more = []
+    if "SLOPE" in ops:
+        dealt = dealt.withColumn("rn", _rank(by))
+        more.append(F.sum(F.col("rn") * v.cast(EXACT)).alias("xy"))
+    if "MEDIAN" in ops:
+        more.append(F.median(v.cast("double")).alias("mid"))
+    return dealt.groupBy(*by).agg(*moments(v, ops, list(carry)), *more)
+
+
+def _paned(df: DataFrame, keys: list[str], size: int, slide: int, offset: int, ops, carry: list[str]) -> DataFrame:
+    """Moments of sliding windows by way of panes as long as the common divisor of size and slide.
+
+    Panes, not records, are dealt to the overlapping windows. For SLOPE a pane holds the sum of rank times value, the
+    rank counted inside it; in a window the ranks of a pane go on from the records of the panes before it.
+    """
+    pane, slope = math.gcd(size, slide), "SLOPE" in ops
+    cut = df.withColumn("pane", F.col("ms") - F.pmod(F.col("ms") - offset, F.lit(pane)))
     v = F.col("value")
-    if parts:
-        fixed = not isinstance(size, Column) and not isinstance(slide, Column)
-        if fixed and str(size) != str(slide) and offset == 0:
-            n, s = (parse_duration(x) if isinstance(x, str) else int(x) for x in (size, slide))
-            pane = math.gcd(n, s)
-            panes = df.withColumn("pane", F.col("ms") - F.pmod("ms", F.lit(pane))).groupBy(*keys, "pane").agg(*_moments(v))
-            dealt = assign_windows(panes.withColumnRenamed("pane", "ms"), n, s).groupBy(*by).agg(*_combined())
-        else:
-            dealt = assign_windows(df, size, slide, offset, default).groupBy(*by).agg(*_moments(v))
-        out = dealt.select(*by, *(_finish(o).alias(k) for k, o in parts.items()))
-    if whole:
-        dealt = assign_windows(df, size, slide, offset, default)
-        if "SLOPE" in whole.values():
-            dealt = dealt.withColumn("rn", F.row_number().over(W.partitionBy(*by).orderBy("ms", "seq")))
-        d = v.cast(EXACT)
-        n = F.count(F.lit(1)).cast("double")
-        xy, y = (F.sum(F.col("rn") * d) if "SLOPE" in whole.values() else F.lit(0)).cast("double"), F.sum(d).cast("double")
-        x, xx = n * (n + 1) / 2, n * (n + 1) * (2 * n + 1) / 6
-        slope = F.when(F.count(v) == F.count(F.lit(1)), round_half_up(F.try_divide(n * xy - x * y, n * xx - x * x)))
-        found = dealt.groupBy(*by).agg(*((slope if o == "SLOPE" else round_half_up(F.median(v))).alias(k) for k, o in whole.items()))
-        out = found if out is None else out.join(found, by)
-    return out
+    more = []
+    if slope:
+        cut = cut.withColumn("rn", _rank([*keys, "pane"]))
+        more = [F.sum(F.col("rn") * v.cast(EXACT)).alias("xy")]
+    panes = cut.groupBy(*keys, "pane").agg(*moments(v, ops, carry), *more)
+    by = [*keys, "win_start", "win_end"]
+    dealt = assign_windows(panes.withColumnRenamed("pane", "ms"), size, slide, offset)
+    if slope:
+        before = F.coalesce(F.sum("rows").over(W.partitionBy(*by).orderBy("ms").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        dealt = dealt.withColumn("xy", F.col("xy") + before * F.col("s"))
+        more = [F.sum("xy").alias("xy")]
+    return dealt.groupBy(*by).agg(*_combined(ops, carry), *more)
+
+
+def window_each(df: DataFrame, keys: list[str], ops) -> DataFrame:
+    """keys, win_start, win_end, value, where each record brings its operator _op, size _size and slide _slide.
+
+    Operator and window sizes are among the keys' properties, so one plan serves any number of rules. Records are summed
+    into panes of one slide first where the size is a multiple of it.
+    """
+    by, v = [*keys, "_op", "_size", "_slide"], F.col("value")
+    if set(ops) & {"MEDIAN", "SLOPE"}:
+        found = gathered(assign_windows(df, F.col("_size"), F.col("_slide")), [*by, "win_start", "win_end"], ops)
+    else:
+        even = F.col("_size") % F.col("_slide") == 0
+        panes = df.withColumn("_pane", F.when(even, F.col("ms") - F.pmod("ms", F.col("_slide"))).otherwise(F.col("ms"))).groupBy(*by, "_pane").agg(*moments(v, ops, []))
+        dealt = assign_windows(panes.withColumnRenamed("_pane", "ms"), F.col("_size"), F.col("_slide"))
+        found = dealt.groupBy(*by, "win_start", "win_end").agg(*_combined(ops, []))
+    value = "case _op " + " ".join(f"when '{o}' then {FINISH[o]}" for o in ops) + " end"
+    return found.select(*keys, "win_start", "win_end", F.expr(value).alias("value"))
+
+
+def window_aggregate(df: DataFrame, ops: dict[str, str], keys: list[str], size, slide, offset=0, default=("5s", "5s"), time: str = "event", carry: list[str] = ()) -> DataFrame:
+    """keys, win_start, win_end, one column per entry of ``ops`` (name -> operator), and the columns ``carry``.
+
+    All operators of one window share one aggregation, whose keys may be null. Overlapping windows of constant size and
+    slide are made of panes, unless MEDIAN is asked for, which needs all records of a window, or time is 'processing'
+    (see assign_windows). Null values are skipped, but make a SLOPE null. ``carry`` is taken from a window's earliest
+    record.
+    """
+    by, whole, carry = [*keys, "win_start", "win_end"], set(ops.values()), list(carry)
+    fixed = not isinstance(size, Column) and not isinstance(slide, Column)
+    n, s, o = (x if isinstance(x, Column) else parse_duration(x) if isinstance(x, str) else int(x) for x in (size, slide, offset))
+    if fixed and n != s and time == "event" and "MEDIAN" not in whole:
+        _check(n, s, o)
+        found = _paned(df, keys, n, s, o, whole, carry)
+    else:
+        found = gathered(assign_windows(df, n, s, o, default, time), by, whole, carry)
+    return found.select(*by, *(finish(o).alias(k) for k, o in ops.items()), *(F.col(f"first.{c}").alias(c) for c in carry))
 
 
 def integer_order(df: DataFrame, keys: list[str], size, slide) -> DataFrame:

@@ -1,14 +1,15 @@
-"""Compile specs into DataFrames: each distinct chain is a fold of its stages, and equal beginnings are shared."""
+"""Compile specs into DataFrames: a chain is a fold of its stages; many rules are one branch per shape of chain."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.enrich import collected
+from ..operators.enrich import at_hand, enrich, formula_rows, small
 from ..operators.route import union_all
-from ..operators.sequences import filter_stage, lag_stage, rsi
-from ..operators.windows import window_aggregate
+from ..operators.sequences import filter_stage, lag_stage, rsi, sequenced
+from ..operators.windows import window_aggregate, window_each
 from .spec import LAG_OPS, WINDOW_OPS, Stage, parse_spec
 
 #: Operators of users: name -> function (df, args, keys) -> df.
@@ -24,8 +25,11 @@ def operator(name: str):
     return keep
 
 
-def run_stage(df: DataFrame, stage: Stage, keys: list[str]) -> DataFrame:
-    """(keys, ms, seq, value) -> the same columns after one operator; a window's row stands at its end."""
+def run_stage(df: DataFrame, stage: Stage, keys: list[str], chunk=None) -> DataFrame:
+    """(keys, ms, seq, value) -> the same columns after one operator; a window's row stands at its end.
+
+    ``chunk`` cuts long series of LAST, VAR, TREND and RSI by time (see sequences.with_before).
+    """
     op, args = stage.op, stage.args
     if op in PLUGINS:
         return PLUGINS[op](df, args, keys)
@@ -34,61 +38,124 @@ def run_stage(df: DataFrame, stage: Stage, keys: list[str]) -> DataFrame:
         return out.select(*keys, F.col("win_end").alias("ms"), F.col("win_start").alias("seq"), "value")
     df = df.select(*keys, "ms", "seq", "value")
     if op in LAG_OPS:
-        return lag_stage(df, op, args[0], keys)
+        return lag_stage(df, op, args[0], keys, chunk=chunk)
     if op == "RSI":
-        return rsi(df, args[0], keys)
+        return rsi(df, args[0], keys, chunk)
     return df if op == "RAW" else filter_stage(df, op, args, keys)
 
 
-def run_chain(df: DataFrame, stages: tuple[Stage, ...], keys: list[str]) -> DataFrame:
-    for stage in stages:
-        df = run_stage(df, stage, keys)
+def run_chain(df: DataFrame, stages: tuple[Stage, ...], keys: list[str], chunk=None) -> DataFrame:
+    """The stages one after the other; ``chunk`` is for the first, as what follows a window is short."""
+    for i, stage in enumerate(stages):
+        df = run_stage(df, stage, keys, None if i else chunk)
     return df
 
 
-def run_rules(tags: DataFrame, keys: list[str]) -> DataFrame:
-    """Enriched records (calculate_type, param, keys, ms, seq, value) -> results of all rules.
+def _letter(op: str) -> str:
+    """What kind of step an operator is: sums (W), windows that need more (H), sequences (S), nothing (R)."""
+    return "R" if op == "RAW" else "H" if op in ("MEDIAN", "SLOPE", "INTERP") else "W" if op in WINDOW_OPS else "S"
+
+
+def read_specs(specs: DataFrame, last_wins: bool = False) -> DataFrame:
+    """Distinct (calculate_type, param) -> those, shape (a letter a stage), ops, args (numbers of each stage).
 
-    The distinct specs, as many as the small rule table has, become branches. Window operators that are the only stage
-    and share size and slide are one aggregation; longer chains share the stages they begin with.
+    A spec that is wrong raises. Few specs become a local table for broadcasts, many stay as they are.
     """
-    specs = collected(tags.select("calculate_type", "param").distinct(), "distinct rule specs")
-    parsed = {(r[0], r[1]): parse_spec(r[0], r[1]) for r in specs}
-    if not parsed:
-        return tags.select(*keys, "ms", "seq", F.col("value").cast("double").alias("value"), "calculate_type", "param").limit(0)
-    out = []
-    fused: dict[tuple, list] = {}
-    for spec, stages in parsed.items():
-        if len(stages) == 1 and stages[0].op in WINDOW_OPS:
-            fused.setdefault(stages[0].args, []).append((spec, stages[0].op))
+    def work(batches):
+        for pdf in batches:
+            rows = []
+            for kind, param in zip(pdf["calculate_type"], pdf["param"]):
+                stages = parse_spec(kind, param, last_wins)
+                rows.append((kind, param, "".join(_letter(s.op) for s in stages), [s.op for s in stages], [[float(a) for a in s.args] for s in stages]))
+            yield pd.DataFrame(rows, columns=["calculate_type", "param", "shape", "ops", "args"])
+
+    schema = "calculate_type string, param string, shape string, ops array<string>, args array<array<double>>"
+    parsed = specs.select("calculate_type", F.coalesce("param", F.lit("")).alias("param")).distinct().mapInPandas(work, schema)
+    return at_hand(parsed)
+
+
+def _shapes(parsed: DataFrame) -> dict[str, list[list[str]]]:
+    """Shape -> the operators that its rules have at each stage."""
+    rows = parsed.groupBy("shape").agg(F.array_distinct(F.flatten(F.collect_set(F.transform("ops", lambda o, i: F.struct(i.alias("i"), o.alias("o")))))).alias("used")).collect()
+    return {r["shape"]: [sorted(x["o"] for x in r["used"] if x["i"] == i) for i in range(len(r["shape"]))] for r in sorted(rows)}
+
+
+def _branch(records: DataFrame, rules: DataFrame, shape: str, used: list[list[str]], keys: list[str]) -> DataFrame:
+    """All rules of one shape: (keys, calculate_type, param, ms, seq, value) after every stage."""
+    named = [*keys, "calculate_type", "param"]
+    df = records.select(*named, "ms", "seq", F.col("value").cast("double").alias("value")).withColumn("param", F.coalesce("param", F.lit("")))
+    for i, letter in enumerate(shape):
+        if letter == "R":
+            continue
+        if "ops" not in df.columns:
+            df = df.join(rules, ["calculate_type", "param"])
+        args = F.get("args", F.lit(i))
+        df = df.withColumn("_op", F.get("ops", F.lit(i)))
+        if letter == "S":
+            df = sequenced(df.withColumn("_args", args), named).drop("_op", "_args")
         else:
-            mine = tags.where((F.col("calculate_type") == spec[0]) & (F.col("param") == spec[1]))
-            out.append(_named(run_chain(mine.select(*keys, "ms", "seq", "value"), stages, keys), spec, keys))
-    for args, members in fused.items():
-        by = [*keys, "calculate_type", "param"]
-        chosen = F.lit(False)
-        for spec, _ in members:
-            chosen = chosen | ((F.col("calculate_type") == spec[0]) & (F.col("param") == spec[1]))
-        ops = {op.lower(): op for _, op in members}
-        wide = window_aggregate(tags.where(chosen).select(*by, "ms", "seq", "value"), ops, by, *args)
-        value = F.coalesce(*(F.when(F.col("calculate_type") == op, F.col(op.lower())) for op in ops.values()))
-        out.append(wide.select(*keys, F.col("win_end").alias("ms"), F.col("win_start").alias("seq"), value.alias("value"), "calculate_type", "param"))
+            size, slide = (F.get(args, F.lit(k)).cast("long") for k in (0, 1))
+            df = window_each(df.withColumn("_size", size).withColumn("_slide", slide), named, used[i])
+            df = df.select(*named, F.col("win_end").alias("ms"), F.col("win_start").alias("seq"), "value")
+    return df.select(*keys, "ms", "seq", "value", "calculate_type", "param")
+
+
+def run_rules(tags: DataFrame, keys: list[str], specs: DataFrame | None = None, last_wins: bool = False) -> DataFrame:
+    """Enriched records (calculate_type, param, keys, ms, seq, value) -> results of all rules, in the same columns.
+
+    Rules meet in one branch per shape, which is the kinds of their stages in order (such as a window, then a sequence):
+    operators, sizes and arguments are columns, so neither plan nor scans grow with the rules. ``keys`` name a rule's
+    series and may hold whatever else belongs to the rule (topic, line, job), as each result carries them. ``specs``
+    gives the rules' (calculate_type, param), from the rule table; else they are read off the records. Plugins have
+    chains of their own (run_chain).
+    """
+    parsed = read_specs(tags if specs is None else specs, last_wins)
+    out = [_branch(tags.limit(0), parsed, "R", [], keys)]
+    for shape, used in _shapes(parsed).items():
+        rules = small(parsed.where(F.col("shape") == shape).select("calculate_type", "param", "ops", "args"))
+        mine = tags.withColumn("param", F.coalesce("param", F.lit(""))).join(rules.select("calculate_type", "param"), ["calculate_type", "param"], "left_semi")
+        out.append(_branch(mine, rules, shape, used, keys))
     return union_all(out)
 
 
-def _named(df: DataFrame, spec, keys: list[str]) -> DataFrame:
-    return df.select(*keys, "ms", "seq", F.col("value").cast("double").alias("value"), F.lit(spec[0]).alias("calculate_type"), F.lit(spec[1]).alias("param"))
+def calculate(raw: DataFrame, conf: DataFrame, message: list[str], keys: list[str], last_wins: bool = False) -> DataFrame:
+    """Raw records (name, topic, ms, seq, value and the columns ``message``) and a rule table -> results of all its rules.
+
+    As ``run_rules``, but each shape's rules meet the raw records by themselves, those that are formulas over one
+    message's tags included, so that no record is read for rules of another shape.
+    """
+    known = conf.where("calculate_type is not null").withColumn("param", F.coalesce("param", F.lit("")))
+    parsed = read_specs(known, last_wins)
+    known = at_hand(known.join(small(parsed.select("calculate_type", "param", "shape")), ["calculate_type", "param"]))
+    cols = [*keys, "calculate_type", "param", "ms", "seq", "value"]
+    out = []
+    for shape, used in _shapes(parsed).items():
+        rules = small(parsed.where(F.col("shape") == shape).select("calculate_type", "param", "ops", "args"))
+        mine = known.where(F.col("shape") == shape).drop("shape")
+        formula = F.col("tag_name").contains("[")
+        parts = []
+        if not mine.where(~formula).isEmpty():
+            parts.append(enrich(raw, mine.where(~formula)).select(*cols))
+        if not mine.where(formula).isEmpty():
+            parts.append(formula_rows(raw, message, mine).select(*cols))
+        out.append(_branch(union_all(parts), rules, shape, used, keys))
+    return union_all(out or [_branch(enrich(raw, known), parsed, "R", [], keys)])
+
+
+def results(found: DataFrame) -> DataFrame:
+    """The columns of a result table, from run_rules with the keys out_name, tag_topic, task_name and line_id."""
+    return found.select("out_name", "tag_topic", "value", F.timestamp_millis("ms").alias("calculate_time"), "calculate_type", F.col("param").alias("calculate_params"), F.col("task_name").alias("job_name"), "line_id")
 
 
 def check_cycles(conf_rows) -> list[str]:
-    """byt_names in an order in which each rule comes after those it reads; ValueError if rules read each other."""
+    """out_names in an order in which each rule comes after those it reads; ValueError if rules read each other."""
     from graphlib import CycleError, TopologicalSorter
 
     from ..functions.formula import formula_tags, is_formula
 
     rows = list(conf_rows)
-    names = {r["byt_name"] for r in rows}
-    graph = {r["byt_name"]: {t for t in (formula_tags(r["tag_name"]) if is_formula(r["tag_name"]) else [r["tag_name"]]) if t in names} for r in rows}
+    names = {r["out_name"] for r in rows}
+    graph = {r["out_name"]: {t for t in (formula_tags(r["tag_name"]) if is_formula(r["tag_name"]) else [r["tag_name"]]) if t in names} for r in rows}
     try:
         return list(TopologicalSorter(graph).static_order())
     except CycleError as e:

@@ -44,15 +44,27 @@ def _stage(op: str, text: str) -> Stage:
     return Stage(op, args)
 
 
-def parse_spec(calculate_type: str, param: str) -> tuple[Stage, ...]:
-    """The stages of a type and its parameters; ValueError says what is wrong."""
+#: Operators that share one place for their arguments where only the last ones count.
+SLOTS = {**dict.fromkeys(WINDOW_OPS, "window"), **dict.fromkeys((*LAG_OPS, "RAW"), "lag"), "KF": "KF", "DEJUMP": "DEJUMP"}
+
+
+def parse_spec(calculate_type: str, param: str, last_wins: bool = False) -> tuple[Stage, ...]:
+    """The stages of a type and its parameters; ValueError says what is wrong.
+
+    ``last_wins``: all stages that share a place for their arguments take those of the last such stage, as a system does
+    that reads all arguments before it starts.
+    """
     ops, groups = calculate_type.strip().split("_"), param.strip().split("|")
     if len(ops) != len(groups):
         raise ValueError(f"{len(ops)} operators but {len(groups)} groups of arguments")
     for op in ops:
         if op not in OPS:
             raise ValueError(f"no operator {op!r}")
-    return tuple(_stage(op, g) for op, g in zip(ops, groups))
+    stages = tuple(_stage(op, g) for op, g in zip(ops, groups))
+    if not last_wins:
+        return stages
+    final = {SLOTS.get(s.op, "other"): s.args for s in stages}
+    return tuple(Stage(s.op, s.args if s.op == "RAW" else final[SLOTS.get(s.op, "other")]) for s in stages)
 
 
 def validate_specs(specs) -> tuple[list[str], dict[str, str]]:

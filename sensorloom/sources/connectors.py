@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 import urllib.request
 from collections.abc import Callable
@@ -10,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 
 def kafka_stream(spark: SparkSession, servers: str, topics: list[str], start: str = "latest") -> DataFrame:
@@ -32,11 +34,17 @@ def jdbc_rules(spark: SparkSession, url: str, jobs: list[str] | None = None, rul
 def jdbc_batches(url: str, target: str, **options) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that appends each batch in parallel JDBC batches (one transaction a task)."""
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.format("jdbc").options(url=url, dbtable=target, batchsize=options.pop("batchsize", 10_000), **options).mode("append").save()
+        df.write.format("jdbc").options(**{"batchsize": 10_000, **options, "url": url, "dbtable": target}).mode("append").save()
 
     return write
 
 
+def micro_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = "1 second"):
+    """Start a query that hands what came in each interval to ``write``; without ``every`` it ends when all is read."""
+    w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
+
+
 def parquet_batches(path: str) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function whose batches have folders of their own, so that a repeated batch replaces itself."""
     def write(df: DataFrame, batch_id: int) -> None:
@@ -92,6 +100,65 @@ def generated(spark: SparkSession, tags: list[str], per_second: int = 1) -> Data
     return rate.select(name.alias("name"), F.col("timestamp").alias("ts"), F.floor(F.pmod(F.xxhash64("value"), F.lit(800))).cast("decimal(18,4)").alias("value"), F.col("value").alias("seq"))
 
 
+class HttpPolls(DataSource):
+    """``spark.readStream.format("http_polls")``: a JSON array behind the option ``url``, read once a micro-batch.
+
+    Each element is a row with its JSON text in ``value``; the trigger's interval is the polling interval. A poll that
+    fails brings no rows; a micro-batch that is repeated after a failure brings the rows that it brought before.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "http_polls"
+
+    def schema(self) -> str:
+        return "value string"
+
+    def simpleStreamReader(self, schema):
+        return _Polls(self.options["url"])
+
+
+class _Polls(SimpleDataSourceStreamReader):
+    def __init__(self, url: str):
+        self.url, self.kept = url, {}
+
+    def initialOffset(self) -> dict:
+        return {"poll": 0}
+
+    def read(self, start: dict):
+        try:
+            rows = [(x,) for x in http_rows(self.url)]
+        except OSError:
+            rows = []
+        end = start["poll"] + 1 if rows else start["poll"]
+        self.kept[start["poll"]] = rows
+        return iter(rows), {"poll": end}
+
+    def readBetweenOffsets(self, start: dict, end: dict):
+        return iter([r for k in range(start["poll"], end["poll"]) for r in self.kept.get(k, [])])
+
+    def commit(self, end: dict) -> None:
+        self.kept = {k: v for k, v in self.kept.items() if k >= end["poll"]}
+
+
+def http_stream(spark: SparkSession, url: str, schema: str) -> DataFrame:
+    """The polled rows of a JSON array as a stream; elements that don't fit the schema go."""
+    spark.dataSource.register(HttpPolls)
+    texts = spark.readStream.format("http_polls").option("url", url).load()
+    return texts.select(F.from_json("value", schema).alias("r")).where("r is not null").select("r.*")
+
+
+def create_rule_tables(spark: SparkSession, conf: DataFrame, column: str = "sink_table") -> list[str]:
+    """The result tables that online rules name, each made if it is not there yet; a name that is no plain one raises."""
+    names = sorted(r[0] for r in conf.where(F.col(column).isNotNull() & (F.col("status") == 1)).select(column).distinct().collect())
+    bad = [n for n in names if not re.fullmatch(r"\w+(\.\w+)?", n)]
+    if bad:
+        raise ValueError(f"not a table's name: {bad}")
+    for n in names:
+        create_result_table(spark, n)
+    return names
+
+
 def create_result_table(spark: SparkSession, name: str) -> None:
     """The table of results, if it is not there yet."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (byt_name STRING, tag_topic STRING, value DOUBLE, calculate_time TIMESTAMP, calculate_type STRING, calculate_params STRING, job_name STRING, line_id INT) USING parquet")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (out_name STRING, tag_topic STRING, value DOUBLE, calculate_time TIMESTAMP, calculate_type STRING, calculate_params STRING, job_name STRING, line_id INT) USING parquet")

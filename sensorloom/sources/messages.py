@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import wire_time
 
-TAG_SCHEMA = "name string, time string, value decimal(38,4), topic string, tag_type int, byt_name string, str_value string, timestamp long, is_normal int, calculate_type string, calculate_param string, task_name string, line_id int, win_size long, win_slide long, curr_n_before int, op string, status int, a double, lower_int int, upper_int int, dt double, r double, total_index int, curr_index int, curr_cal string"
+TAG_SCHEMA = "name string, time string, value decimal(38,4), topic string, tag_type int, out_name string, str_value string, timestamp long, is_normal int, calculate_type string, calculate_param string, task_name string, line_id int, win_size long, win_slide long, curr_n_before int, op string, status int, a double, lower_int int, upper_int int, dt double, r double, total_index int, curr_index int, curr_cal string"
 
 
 def decode_json(df: DataFrame, column: str = "value", schema: str = TAG_SCHEMA) -> DataFrame:
@@ -17,10 +17,14 @@ def decode_json(df: DataFrame, column: str = "value", schema: str = TAG_SCHEMA)
     return parsed.select("_r.*")
 
 
-def encode_json(df: DataFrame, topic: str | None = None) -> DataFrame:
-    """value (JSON of all columns) and, if given, topic, as a Kafka sink takes them."""
-    out = df.select(F.to_json(F.struct("*")).alias("value"))
-    return out if topic is None else out.withColumn("topic", F.lit(topic))
+def encode_json(df: DataFrame, topic: str | Column | None = None, key: Column | None = None) -> DataFrame:
+    """value (JSON of all columns) and, if given, topic and key, as a Kafka sink takes them.
+
+    A topic that is a column is each row's own, such as one per line: F.concat(F.lit("dwd-"), F.col("line_id")).
+    """
+    more = [] if topic is None else [(F.lit(topic) if isinstance(topic, str) else topic).cast("string").alias("topic")]
+    more += [] if key is None else [key.cast("string").alias("key")]
+    return df.select(F.to_json(F.struct("*")).alias("value"), *more)
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -94,6 +98,22 @@ def decode_protobuf(df: DataFrame, column: str = "value", keep: list[str] | None
     return df.select(*keep, column).mapInArrow(work, schema)
 
 
+def encode_protobuf(df: DataFrame, column: str = "tags", time: str = "time", topic: str | None = None) -> DataFrame:
+    """``df`` with ``value``: a list message of the array ``column`` of (name, value), all of the time in ``time``.
+
+    This is how results go back as raw tags: route.feedback groups them by time.
+    """
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)}, value binary"
+
+    def work(batches):
+        for b in batches:
+            packed = [pack_tags([(t["name"], at, str(t["value"])) for t in tags or []]) for tags, at in zip(b.column(column).to_pylist(), b.column(time).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(packed, pa.binary())], names=[*b.schema.names, "value"])
+
+    out = df.mapInArrow(work, schema)
+    return out if topic is None else out.withColumn("topic", F.lit(topic))
+
+
 def clean_tags(df: DataFrame) -> DataFrame:
     """(name, time, text) -> those columns with ms, value decimal(18,4) and str_value.
 

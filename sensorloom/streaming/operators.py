@@ -1,16 +1,22 @@
-"""Window operators, sequence operators and assembly on streams."""
+"""Windows, sequences, patterns, enrichment and assembly on streams."""
 
 from __future__ import annotations
 
 import json
+import statistics
+from collections.abc import Callable
+from decimal import Decimal
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.times import round_half_up
-from ..operators.sequences import FILTERS
+from ..operators.enrich import enrich
+from ..operators.sequences import LAGS, STATEFUL
+from ..operators.windows import EXACT, assign_windows, finish, moments
 
 # Fixed value: how late a record may be.
 LATE = "1 second"
@@ -20,63 +26,174 @@ def _ms(ts: Column) -> Column:
     return F.unix_millis(ts)
 
 
+def _columns(df: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
+
+
 def stream_windows(df: DataFrame, ops: dict[str, str], keys: list[str], size: str, slide: str, late: str = LATE) -> DataFrame:
     """keys, win_start, win_end (ms) and a column per operator, when the watermark passes a window; later records go.
 
-    ``df`` has ts (timestamp), seq and value. Equal sizes and slides share one aggregation.
+    ``df`` has ts (timestamp), seq and value. Equal sizes and slides share one aggregation. MEDIAN and SLOPE keep a
+    window's values in its state, all others a few sums.
     """
     v = F.col("value")
-    d = v.cast("decimal(18,4)")
+    more = []
+    if "MEDIAN" in ops.values():
+        more.append(F.median(v.cast("double")).alias("mid"))
+    if "SLOPE" in ops.values():
+        more.append(F.collect_list(F.struct("ms", "seq", v.cast(EXACT).alias("d"))).alias("every"))
     win = F.window("ts", size, slide)
-    agg = df.withWatermark("ts", late).groupBy(*keys, win.alias("w")).agg(
-        F.count(v).alias("n"), F.sum(d).alias("s"), F.sum(d * d).alias("q"), F.min(v).alias("lo"), F.max(v).alias("hi"),
-        F.max_by(v, F.struct("ts", "seq")).alias("last"),
-    )
-    n, s, q = F.col("n").cast("double"), F.col("s").cast("double"), F.col("q").cast("double")
-    mean = round_half_up(F.try_divide(s, n))
-    variance = round_half_up(F.greatest(F.try_divide(q - 2 * mean * s + n * mean * mean, n), F.lit(0.0)))
-    forms = {
-        "AVG": mean, "SUM": s, "MAX": F.col("hi").cast("double"), "MIN": F.col("lo").cast("double"), "RANGE": round_half_up(F.col("hi") - F.col("lo")),
-        "VARIANCE": variance, "STD": round_half_up(F.sqrt(variance)), "CV": round_half_up(F.try_divide(F.sqrt(variance), mean)),
-        "PSEQ": F.when(F.col("lo") >= 0, 1.0).otherwise(0.0), "INTERP": F.col("last").cast("double"),
-    }
-    return agg.select(*keys, _ms(F.col("w.start")).alias("win_start"), _ms(F.col("w.end")).alias("win_end"), *(forms[o].alias(k) for k, o in ops.items()))
-
-
-def stream_sequence(df: DataFrame, op: str, args: tuple, key: str) -> DataFrame:
-    """key, ms, seq, value of LAST, VAR, TREND or a recursive filter over each key's records in arrival order.
-
-    Of one micro-batch a key's records are taken by (ms, seq). The state is a few numbers per key; a lag operator
-    whose n differs from the stored one starts anew.
+    agg = df.withColumn("ms", _ms(F.col("ts"))).withWatermark("ts", late).groupBy(*keys, win.alias("w")).agg(*moments(v, ops.values(), []), *more)
+    if "SLOPE" in ops.values():
+        ranked = F.transform(F.sort_array("every"), lambda x, i: ((i + 1) * x["d"]).cast(EXACT))
+        agg = agg.withColumn("xy", F.aggregate(ranked, F.lit(0).cast(EXACT), lambda a, x: (a + x).cast(EXACT)))
+    return agg.select(*keys, _ms(F.col("w.start")).alias("win_start"), _ms(F.col("w.end")).alias("win_end"), *(finish(o).alias(k) for k, o in ops.items()))
+
+
+def _round(x: float, places: int = 4) -> float:
+    return float(round(Decimal(repr(x)) * 10**places + (Decimal("1e-12") if x >= 0 else Decimal("-1e-12")))) / 10**places if np.isfinite(x) else x
+
+
+def _window_value(op: str, m: dict) -> float | None:
+    """An operator's result from what a window's state holds."""
+    n, s, every = m["n"], float(Decimal(m["s"])), sorted(m["every"])
+    if op == "SLOPE":
+        k = len(every)
+        if n < m["rows"] or k < 2:
+            return None
+        xy = float(sum((i + 1) * Decimal(repr(v)) for i, (_, _, v) in enumerate(every)))
+        return _round((k * xy - k * (k + 1) / 2 * s) / (k * (k * (k + 1) * (2 * k + 1) / 6) - (k * (k + 1) / 2) ** 2))
+    if op == "SUM":
+        return s if n else None
+    if not n:
+        return None
+    mean = _round(s / n)
+    variance = _round(max((float(Decimal(m["q"])) - 2 * mean * s + n * mean * mean) / n, 0.0))
+    return {
+        "AVG": lambda: mean, "MAX": lambda: m["hi"], "MIN": lambda: m["lo"], "RANGE": lambda: _round(m["hi"] - m["lo"]), "VARIANCE": lambda: variance,
+        "STD": lambda: _round(variance**0.5), "CV": lambda: _round(variance**0.5 / mean) if mean else None, "PSEQ": lambda: float(m["lo"] >= 0),
+        "INTERP": lambda: m["late"][2], "MEDIAN": lambda: _round(statistics.median(v for _, _, v in every)),
+    }[op]()
+
+
+def stream_each_window(df: DataFrame, op: str, keys: list[str], size: Column, slide: Column, default=("5s", "5s"), late: str = LATE) -> DataFrame:
+    """keys, win_start, win_end, value, where each record of a stream brings its own window size and slide.
+
+    A window's state is a few sums (and its values for MEDIAN and SLOPE) until the watermark has passed its end; records
+    that come after that go, as in ``stream_windows``. Null or 0 sizes and slides mean the default.
+    """
+    whole = op in ("MEDIAN", "SLOPE")
+
+    def work(k, pdfs, state):
+        *key, start, end = k
+        if state.hasTimedOut:
+            m = json.loads(state.get[0])
+            state.remove()
+            yield pd.DataFrame({**{n: [v] for n, v in zip(keys, key)}, "win_start": [start], "win_end": [end], "value": pd.Series([_window_value(op, m)], dtype=float)})
+            return
+        if end <= state.getCurrentWatermarkMs():
+            return
+        m = json.loads(state.get[0]) if state.exists else {"rows": 0, "n": 0, "s": "0", "q": "0", "lo": None, "hi": None, "late": None, "every": []}
+        for pdf in pdfs:
+            m["rows"] += len(pdf)
+            live = pdf[pdf["value"].notna()]
+            if not len(live):
+                continue
+            x = live["value"].tolist()
+            m["n"] += len(x)
+            m["s"] = str(Decimal(m["s"]) + sum((Decimal(repr(v)) for v in x), Decimal(0)))
+            m["q"] = str(Decimal(m["q"]) + sum((round(Decimal(repr(v * v)), 8) for v in x), Decimal(0)))
+            m["lo"], m["hi"] = min([*x, *([m["lo"]] if m["lo"] is not None else [])]), max([*x, *([m["hi"]] if m["hi"] is not None else [])])
+            rows = [list(r) for r in zip(live["ms"].tolist(), live["seq"].tolist(), x)]
+            m["late"] = max([*rows, *([m["late"]] if m["late"] else [])])
+            if whole:
+                m["every"] += rows
+        state.update((json.dumps(m),))
+        state.setTimeoutTimestamp(max(int(end) - 1, state.getCurrentWatermarkMs() + 1))  # it fires beyond that
+
+    timed = df.withWatermark("ts", late).withColumn("ms", _ms(F.col("ts"))).withColumn("value", F.col("value").cast("double"))
+    dealt = assign_windows(timed, size, slide, default=default).select(*keys, "win_start", "win_end", "ts", "ms", "seq", "value")
+    schema = f"{_columns(df, keys)}, win_start long, win_end long, value double"
+    return dealt.groupBy(*keys, "win_start", "win_end").applyInPandasWithState(work, schema, "held string", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def stream_sequence(df: DataFrame, op: str, args: tuple, keys: list[str] | str) -> DataFrame:
+    """keys, ms, seq, value of LAST, VAR, TREND, RSI or a recursive filter over each key's records in arrival order.
+
+    Of one micro-batch a key's records are taken by (ms, seq). The state is a few numbers per key; a lag operator whose
+    n differs from the stored one starts anew. A null value gives null and leaves the state as it is.
     """
-    lag = op in ("LAST", "VAR", "TREND")
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    f, places = STATEFUL[op]
 
     def work(k, pdfs, state):
         pdf = pd.concat(list(pdfs)).sort_values(["ms", "seq"])
         held = json.loads(state.get[0]) if state.exists else None
+        before = held["v"] if held and (op not in LAGS or held["n"] == args[0]) else None
         x = pdf["value"].astype(float).to_numpy()
-        if lag:
-            n = args[0]
-            old = held["v"] if held and held["n"] == n else []
-            every = [*old, *x.tolist()]
-            pdf = pdf.iloc[max(0, n - len(old)) :]
-            past, now = every[: len(pdf)], every[len(every) - len(pdf) :]
-            out = [{"LAST": p, "VAR": c - p, "TREND": c / p if p else None}[op] for p, c in zip(past, now)]
-            held = {"n": n, "v": every[-n:]}
-        else:
-            out, held = FILTERS[op][0](tuple(held) if isinstance(held, list) else held, x, *args)
-        state.update((json.dumps(held),))
-        yield pd.DataFrame({key: k[0], "ms": pdf["ms"], "seq": pdf["seq"], "value": out})
+        live = np.flatnonzero(~np.isnan(x))
+        out = np.full(len(x), np.inf)
+        if len(live):
+            out[live], before = f(before, x[live], np.zeros(len(live), int), *args)
+        state.update((json.dumps({"n": args[0], "v": before}),))
+        there = ~np.isnan(out)
+        value = pd.Series(out[there]).where(np.isfinite(out[there]), None).astype(object).tolist()
+        yield pd.DataFrame({**{n: [v] * int(there.sum()) for n, v in zip(keys, k)}, "ms": pdf["ms"][there].tolist(), "seq": pdf["seq"][there].tolist(), "value": value})
+
+    plain = df.select(*keys, "ms", "seq", F.col("value").cast("double").alias("value"))
+    out = plain.groupBy(*keys).applyInPandasWithState(work, f"{_columns(df, keys)}, ms long, seq long, value double", "held string", "append", GroupStateTimeout.NoTimeout)
+    return out if places is None else out.withColumn("value", round_half_up(F.col("value"), places))
+
+
+def stream_match(df: DataFrame, steps: list[Column], keys: list[str], within: int | None = None, after: list[Column] | None = None, switch: Column | None = None) -> DataFrame:
+    """Contiguous matches in a stream, as pattern.match_next gives them: keys, first_seq, last_seq, first_ms, last_ms.
+
+    From behind the first record that ``switch`` marks the pattern ``after`` holds instead (pattern.match_switching).
+    The state of a key is its last records, one fewer than the longest pattern has steps.
+    """
+    flags = lambda xs: sum((F.when(F.coalesce(x, F.lit(False)), 1 << i).otherwise(0) for i, x in enumerate(xs)), F.lit(0))
+    sizes = len(steps), len(after or steps)
+    d = df.select(*keys, "ms", "seq", flags(steps).alias("_a"), flags(after or steps).alias("_b"), F.coalesce(switch if switch is not None else F.lit(False), F.lit(False)).alias("_s"))
+
+    def work(k, pdfs, state):
+        turned, past = json.loads(state.get[0]) if state.exists else (0, [])
+        out = []
+        pdf = pd.concat(list(pdfs)).sort_values(["ms", "seq"])
+        for ms, seq, a, b, mark in zip(*(pdf[c].tolist() for c in ("ms", "seq", "_a", "_b", "_s"))):
+            if mark:
+                turned, past = 1, []
+                continue
+            past = [*past, (ms, seq, a, b)][-max(sizes) :]
+            n = sizes[turned]
+            tail = past[-n:]
+            if len(tail) == n and all(r[2 + turned] >> i & 1 for i, r in enumerate(tail)) and (within is None or ms - tail[0][0] < within):
+                out.append((*k, tail[0][1], seq, tail[0][0], ms))
+        state.update((json.dumps((turned, past)),))
+        yield pd.DataFrame(out, columns=[*keys, "first_seq", "last_seq", "first_ms", "last_ms"])
+
+    schema = f"{_columns(df, keys)}, first_seq long, last_seq long, first_ms long, last_ms long"
+    return d.groupBy(*keys).applyInPandasWithState(work, schema, "held string", "append", GroupStateTimeout.NoTimeout)
+
+
+def stream_enrich(raw: DataFrame, rules: Callable[[], DataFrame], write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None):
+    """Start a query that joins each micro-batch with the rules as they are when it comes, and hands it to ``write``.
+
+    ``rules`` is called once a micro-batch, so a changed rule counts from the next one on; a batch that is repeated after
+    a failure has its own number again, by which ``write`` replaces what it wrote. ``every`` is a processing-time
+    interval; without it the query ends when it has read all there is.
+    """
+    def batch(df: DataFrame, number: int) -> None:
+        write(enrich(df, rules()), number)
 
-    kind = df.schema[key].dataType.simpleString()
-    out = df.select(key, "ms", "seq", F.col("value").cast("double").alias("value")).groupBy(key).applyInPandasWithState(work, f"{key} {kind}, ms long, seq long, value double", "held string", "append", GroupStateTimeout.NoTimeout)
-    return out if op == "DEJUMP" else out.withColumn("value", round_half_up(F.col("value"), {"EMA": 8, "DIF": 9}.get(op, 4)))
+    w = raw.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
 
 
-def stream_assemble(df: DataFrame, need: dict[str, int], wait_ms: int = 3000, late: str = LATE) -> DataFrame:
-    """(post_name, ts, byt_name, value) -> post_name, ms, body (JSON) once all keys of a post are there.
+def stream_assemble(df: DataFrame, need: dict[str, int], wait_ms: int = 3000, late: str = LATE, urls: dict[str, str] | None = None) -> DataFrame:
+    """(post_name, ts, out_name, value) -> post_name, url, ms, body (JSON) once all keys of a post are there.
 
-    Rows that are incomplete when the watermark is ``wait_ms`` past their time are dropped with their state.
+    A null value counts as there. Rows that are incomplete when the watermark is ``wait_ms`` past their time are dropped
+    with their state. ``urls`` says where each post goes.
     """
     def work(k, pdfs, state):
         post, ms = k
@@ -85,17 +202,17 @@ def stream_assemble(df: DataFrame, need: dict[str, int], wait_ms: int = 3000, la
             return
         held = json.loads(state.get[0]) if state.exists else {}
         for pdf in pdfs:
-            held.update(zip(pdf["byt_name"], pdf["value"].astype(float)))
+            held.update((n, None if pd.isna(v) else float(v)) for n, v in zip(pdf["out_name"], pdf["value"]))
         if len(held) >= need.get(post, 1 << 30):
             if state.exists:
                 state.remove()
-            yield pd.DataFrame({"post_name": [post], "ms": [ms], "body": [json.dumps(held, sort_keys=True)]})
+            yield pd.DataFrame({"post_name": [post], "url": [(urls or {}).get(post)], "ms": [ms], "body": [json.dumps(held, sort_keys=True)]})
         else:
             state.update((json.dumps(held),))
             state.setTimeoutTimestamp(max(int(ms) + wait_ms, state.getCurrentWatermarkMs() + 1))
 
     rows = df.withWatermark("ts", late).withColumn("ms", _ms(F.col("ts")))
-    return rows.groupBy("post_name", "ms").applyInPandasWithState(work, "post_name string, ms long, body string", "held string", "append", GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy("post_name", "ms").applyInPandasWithState(work, "post_name string, url string, ms long, body string", "held string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def replay(df: DataFrame, path: str, mode: str = "append"):

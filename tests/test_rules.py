@@ -60,7 +60,7 @@ def test_changes(spark):
 
 def test_assembly_and_feedback(spark):
     setup = spark.createDataFrame([("p", " a, b ,a", "http://x")], "post_name string, post_keys string, post_url string")
-    r = spark.createDataFrame([("a", 1, 1, 1.0), ("b", 1, 2, 2.0), ("a", 2, 3, 3.0), ("z_$", 1, 4, 9.0)], "byt_name string, ms long, seq long, value double")
+    r = spark.createDataFrame([("a", 1, 1, 1.0), ("b", 1, 2, 2.0), ("a", 2, 3, 3.0), ("z_$", 1, 4, 9.0)], "out_name string, ms long, seq long, value double")
     got = route.assemble(r, setup).collect()
     assert [(g["ms"], g["values"]) for g in got] == [(1, {"a": 1.0, "b": 2.0})]
     assert [(x["ms"], x["tags"][0]["name"]) for x in route.feedback(r).collect()] == [(1, "z_$")]
@@ -119,7 +119,7 @@ def test_stream_assemble(spark, tmp_path):
     import datetime as dt
 
     t = lambda s: dt.datetime(2024, 1, 1, 0, 0, s)
-    schema = "post_name string, ts timestamp, byt_name string, value double"
+    schema = "post_name string, ts timestamp, out_name string, value double"
     s, _ = stream_of(spark, tmp_path, [("p", t(1), "a", 1.0), ("p", t(1), "b", 2.0), ("p", t(2), "a", 3.0), ("p", t(20), "a", 4.0)], schema)
     run = lambda: streams.replay(streams.stream_assemble(s, {"p": 2}), str(tmp_path / "run"))
     run()
@@ -159,10 +159,165 @@ def test_rules_beyond_the_bound_are_an_error(spark, monkeypatch):
     from sensorloom.plans.compiler import run_rules
 
     monkeypatch.setattr(enrich, "SMALL", 2)
-    conf = spark.createDataFrame([(f"n{k}", f"[a]+{k}") for k in range(3)], "byt_name string, tag_name string")
+    conf = spark.createDataFrame([(f"n{k}", f"[a]+{k}") for k in range(3)], "out_name string, tag_name string")
     assert len(enrich.formulas_of(conf.limit(2))) == 2
     with pytest.raises(ValueError, match="more than 2 formula rules"):
         enrich.formulas_of(conf)
-    tags = spark.createDataFrame([("AVG", f"{k}m", "a", 0, 0, 1.0) for k in range(1, 4)], "calculate_type string, param string, tag string, ms long, seq long, value double")
-    with pytest.raises(ValueError, match="more than 2 distinct rule specs"):
-        run_rules(tags, ["tag"])
+
+
+def test_rules_meet_by_shape(spark):
+    """Hundreds of specs make one plan per shape, and each equals its own chain."""
+    from sensorloom.plans.compiler import run_chain, run_rules
+    from sensorloom.plans.spec import parse_spec
+
+    specs = [("AVG", f"{k}s,{k}s") for k in range(1, 80)] + [("MAX_VAR", f"{k}s,1s|{1 + k % 3}") for k in range(1, 20)] + [("LAST", "3"), ("RSI_EMA", "2|4"), ("MEDIAN", "4s,2s"), ("RAW", ""), ("DEJUMP_DIF_SUM", "-3,3|2,4|5s,5s"), ("INTERP", "3s,3s")]
+    points = [(i * 700, i, float(i * i % 11)) for i in range(60)]
+    rows = [(kind, param, f"{kind}{param}", *x) for kind, param in specs for x in points]
+    tags = spark.createDataFrame(rows, "calculate_type string, param string, tag string, ms long, seq long, value double")
+    found = run_rules(tags, ["tag"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") <= 5
+    got = {}
+    for r in found.collect():
+        got.setdefault((r["calculate_type"], r["param"]), []).append((r["ms"], r["value"]))
+    one = spark.createDataFrame([("x", *p) for p in points], "tag string, ms long, seq long, value double")
+    for kind, param in [specs[0], specs[6], ("MAX_VAR", "2s,1s|3"), *specs[-6:]]:
+        want = [(r["ms"], None if r["value"] is None else float(r["value"])) for r in run_chain(one, parse_spec(kind, param), ["tag"]).collect()]
+        assert sorted(got[kind, param], key=str) == sorted(want, key=str), (kind, param)
+    assert len(got) == len(specs)
+    with pytest.raises(Exception, match="needs a size"):
+        run_rules(spark.createDataFrame([("AVG", "5s", "t", 0, 0, 1.0)], tags.schema), ["tag"]).collect()
+
+
+def test_formulas_as_rows_equal_columns(spark):
+    texts = ["[a] / ([b] + [c])", "([a] > [b]) ? 1 : 0", "[b] - [a]", "[a] > [b]", "[c] % [b]", "[a] / 0", "([a] > 1 && !([b] == 2) || [c] >= 9) ? ([a] > 5 ? 3 : [a]) : -1"]
+    conf = spark.createDataFrame([(t, "top", f"f{i}", "RAW", "", "j", i, 1) for i, t in enumerate(texts)] + [("[d]", "other", "g", "RAW", "", "j", 9, 1)], "tag_name string, tag_topic string, out_name string, calculate_type string, param string, task_name string, line_id int, status int")
+    rows = [(m, n, "top", m * 10 + i, m * 10 + i, v) for m, vs in enumerate([(6.0, 1.0, 2.0), (1.0, 0.0, 0.0), (None, 2.0, 9.0), (3.0, None, 1.0)]) for i, (n, v) in enumerate(zip("abc", vs)) if not (m == 3 and n == "a")]
+    raw = spark.createDataFrame([*rows, (0, "a", "top", 99, 99, 8.0)], "m int, name string, topic string, ms long, seq long, value double")
+    got = sorted((r["m"], r["out_name"], r["ms"], r["value"]) for r in enrich.formula_rows(raw, ["m"], conf).collect())
+    want = enrich.formula_values(raw, ["m"], {f"f{i}": t for i, t in enumerate(texts)})
+    assert got == sorted((r["m"], r["out_name"], r["ms"], r["value"]) for r in want.collect())
+
+
+def test_change_messages_follow(spark, tmp_path):
+    m = lambda before, after, op, ts: json.dumps({"before": before, "after": after, "op": op, "ts_ms": ts, "source": {"table": "tag_conf"}})
+    texts = [m(None, {"id": 1, "x": "a"}, "r", 1), m(None, {"id": 2, "x": "b"}, "r", 1), m({"id": 1, "x": "a"}, {"id": 1, "x": "c"}, "u", 3), "{broken", m(None, {"id": 5}, "?", 9), None]
+    events = changes.parse_envelopes(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert [tuple(r) for r in changes.normalize(events).where("type = 'update'").select("table", "ts", "old").collect()] == [("tag_conf", 3, {"x": "a"})]
+    s, path = stream_of(spark, tmp_path, [(t,) for t in texts], "value string")
+    run = lambda: changes.follow(s, ["id"], "id int, x string", str(tmp_path / "table"), str(tmp_path / "check")).awaitTermination()
+    table = lambda: sorted(map(tuple, changes.current(spark, str(tmp_path / "table"), "id int, x string").collect()))
+    assert table() == []
+    run()
+    assert table() == [(1, "c"), (2, "b")]
+    stream_of(spark, tmp_path, [(m({"id": 2, "x": "b"}, None, "d", 5),), (m(None, {"id": 7, "x": "z"}, "c", 6),)], "value string")
+    run()
+    assert table() == [(1, "c"), (7, "z")]
+
+
+def test_stream_enrich_reads_rules_anew(spark, tmp_path):
+    cols = "tag_name string, tag_topic string, out_name string, calculate_type string, param string, task_name string, line_id int, status int"
+    now = [[("a", "t", "one", "RAW", "", "j", 1, 1)]]
+    s, _ = stream_of(spark, tmp_path, [("a", "t", 1, 1, 1.0)], "name string, topic string, ms long, seq long, value double")
+    run = lambda: streams.stream_enrich(s, lambda: spark.createDataFrame(now[0], cols), connectors.parquet_batches(str(tmp_path / "out")), str(tmp_path / "check")).awaitTermination()
+    run()
+    now[0] = [("a", "t", "two", "RAW", "", "j", 1, 1)]
+    stream_of(spark, tmp_path, [("a", "t", 2, 2, 2.0)], "name string, topic string, ms long, seq long, value double")
+    run()
+    assert sorted((r["out_name"], r["seq"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("one", 1), ("two", 2)]
+
+
+def test_stream_nulls(spark, tmp_path):
+    """A null in a stream gives a null and leaves the filter's state as it is; TREND over 0 gives a null."""
+    schema = "k string, ms long, seq long, value double"
+    s, _ = stream_of(spark, tmp_path, [("a", i, i, v) for i, v in enumerate([1.0, None, 2.0, 0.0, 4.0])], schema)
+    got = lambda op, args, name: [r["value"] for r in streams.replay(streams.stream_sequence(s, op, args, ["k"]), str(tmp_path / name)).orderBy("seq").collect()]
+    assert got("FOF", (0.5,), "f") == [1.0, None, 1.5, 0.75, 2.375]
+    assert got("TREND", (1,), "t") == [None, 2.0, 0.0, None] and got("VAR", (1,), "v") == [None, 1.0, -2.0, 4.0]
+
+
+def test_stream_windows_of_each_record(spark, tmp_path):
+    import datetime as dt
+
+    from sensorloom.operators import windows
+    from sensorloom.plans.spec import WINDOW_OPS
+
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    rows = [("ab"[i % 2], t(i), i, None if i % 9 == 4 else round(i * i % 7 - 2.5, 2)) for i in range(40)]
+    schema = "k string, ts timestamp, seq long, value double"
+    s, _ = stream_of(spark, tmp_path, rows, schema)
+    size, slide = F.when(F.col("k") == "a", 6000).cast("long"), F.when(F.col("k") == "a", 4000).cast("long")
+    batch = spark.createDataFrame(rows, schema).withColumn("ms", F.unix_millis("ts"))
+    want = windows.window_aggregate(batch, {o: o for o in WINDOW_OPS}, ["k"], size, slide).where("win_end <= 1704067200000 + 38000").collect()
+    for op in ("SLOPE", "MEDIAN", "CV", "INTERP", "PSEQ", "AVG"):
+        got = streams.replay(streams.stream_each_window(s, op, ["k"], size, slide), str(tmp_path / op)).collect()
+        assert sorted((r["k"], r["win_start"], r["win_end"], r["value"]) for r in got if r["win_end"] <= 1704067200000 + 38000) == sorted((r["k"], r["win_start"], r["win_end"], r[op]) for r in want)
+
+
+def test_micro_batches_and_polls(spark, tmp_path):
+    import threading
+    import time
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Answer(BaseHTTPRequestHandler):
+        def do_GET(self):
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(b'[{"a": 1, "b": "x"}, {"a": 2}]')
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Answer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    polled = connectors.http_stream(spark, f"http://127.0.0.1:{server.server_port}", "a int, b string")
+    query = connectors.micro_batches(polled, connectors.parquet_batches(str(tmp_path / "out")), str(tmp_path / "check"), every="1 second")
+    until = time.time() + 60
+    while time.time() < until and len(query.recentProgress) < 3:
+        time.sleep(0.5)
+    query.stop()
+    server.shutdown()
+    got = spark.read.parquet(str(tmp_path / "out")).groupBy("a", "b", "batch").count().collect()
+    assert {(r["a"], r["b"]) for r in got} == {(1, "x"), (2, None)} and len({r["batch"] for r in got}) >= 2 and all(r["count"] == 1 for r in got)
+
+
+def test_tables_of_rules_and_sink_options(spark, monkeypatch):
+    conf = spark.createDataFrame([("rt_a", 1), ("rt_a", 1), ("rt_b", 1), ("rt_off", 0), (None, 1)], "sink_table string, status int")
+    assert connectors.create_rule_tables(spark, conf) == ["rt_a", "rt_b"]
+    assert spark.table("rt_a").columns[:3] == ["out_name", "tag_topic", "value"] and spark.table("rt_b").count() == 0
+    with pytest.raises(ValueError):
+        connectors.create_rule_tables(spark, spark.createDataFrame([("x; drop table y", 1)], conf.schema))
+    for n in ("rt_a", "rt_b"):
+        spark.sql(f"DROP TABLE {n}")
+    sizes = []
+
+    class Writer:
+        def format(self, _):
+            return self
+
+        def options(self, **o):
+            sizes.append(o["batchsize"])
+            return self
+
+        def mode(self, _):
+            return self
+
+        def save(self):
+            pass
+
+    class Frame:
+        write = Writer()
+
+    write = connectors.jdbc_batches("jdbc:x", "t", batchsize=7)
+    write(Frame(), 0), write(Frame(), 1)
+    assert sizes == [7, 7]  # every batch has the caller's size
+
+
+def test_topics_and_route(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "line_id int, name string")
+    got = messages.encode_json(df, topic=F.concat(F.lit("dwd-"), F.col("line_id")), key=F.col("name")).collect()
+    assert [(r["topic"], r["key"], json.loads(r["value"])["name"]) for r in got] == [("dwd-1", "a", "a"), ("dwd-2", "b", "b")]
+    post = spark.createDataFrame([("p", "a,b", "http://x")], "post_name string, post_keys string, post_url string")
+    r = spark.createDataFrame([("b", 0, 1, 2.0), ("a", 0, 2, None)], "out_name string, ms long, seq long, value double")
+    sent = route.post_requests(route.assemble(r, post), post).collect()
+    assert [(x["url"], x["body"]) for x in sent] == [("http://x", '{"a":null,"b":"2.0","create_time":"1970-01-01 00:00:00"}')]

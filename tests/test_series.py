@@ -8,6 +8,7 @@ from sensorloom.operators import pattern, sequences, windows
 from sensorloom.plans.compiler import check_cycles, operator, run_chain
 from sensorloom.plans.spec import WINDOW_OPS, Stage, parse_spec, validate_specs
 
+# The series for which the results below were worked out by hand.
 PRICES = [12.78, 13.02, 12.87, 13.25, 13.41, 13.83, 13.79, 13.76, 13.48, 13.44, 13.82, 14.22, 14.70, 14.61, 14.57, 14.15]
 SERIES = "k string, ms long, seq long, value double"
 
@@ -88,26 +89,118 @@ def test_filters(spark):
     assert values(sequences.filter_stage(series(spark, [1.0, 1.5, 2.5]), "DEJUMP", (0.0, 0.5), ["k"])) == [1.0, 1.5, 1.5]
 
 
+def one(f, state, xs, *args):
+    import numpy as np
+
+    out, state = f(state, np.array(xs, float), np.zeros(len(xs), int), *args)
+    return np.asarray(out, float).tolist(), state
+
+
+def plain(op, xs, *args):
+    """Each recursive operator as a loop over one series."""
+    out, y, z = [], None, None
+    p = v = a = b = c = 0.0
+    for i, x in enumerate(xs):
+        if op == "FOF":
+            y = x if i == 0 else args[0] * x + (1 - args[0]) * y
+        elif op == "EMA":
+            y = x if i == 0 else (2 * x + (args[0] - 1) * y) / (args[0] + 1)
+        elif op == "DEJUMP":
+            y = x if i == 0 or args[0] <= x - y <= args[1] else y
+        elif op == "KF":
+            dt, r = args
+            p, v, a, b, c = (x, 0.0, 1.0, 0.0, 1.0) if i == 0 else (p, v, a, b, c)
+            p, a, b, c = p + dt * v, a + 2 * dt * b + dt * dt * c + 0.05, b + dt * c + 0.05, c + 0.05
+            y, g, h, e = p, a / (a + r), b / (a + r), x - p
+            p, v, a, b, c = p + g * e, v + h * e, a - g * a, b - g * b, c - h * b
+        out.append(y)
+    if op == "DIF":
+        return [m - n for m, n in zip(plain("EMA", xs, args[0]), plain("EMA", xs, args[1]))]
+    return out
+
+
+SOME = [("FOF", (0.3,)), ("EMA", (5,)), ("DIF", (3, 6)), ("DEJUMP", (-1.0, 2.0)), ("KF", (1.0, 0.5))]
+
+
 def test_filter_state_crosses_batches(spark):
+    """Several series with nulls, in batches of 7 rows, against loops."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        xs = [float(i * i % 17) for i in range(100)]
-        both = series(spark, xs).union(series(spark, xs[::-1], key="b"))
-        got = sequences.filtered(both, {"y": ("FOF", 0.2)}, ["k"])
-        for key, x in (("a", xs), ("b", xs[::-1])):
-            want = sequences.fof(None, x, 0.2)[0].tolist()
-            assert [r["y"] for r in got.where(f"k = '{key}'").orderBy("ms").collect()] == pytest.approx(want, abs=1e-12)
+        data = {"a": [float(i * i % 17) for i in range(100)], "b": [5.0, None, None, 1.0], "c": [None], "d": [float(i % 5) for i in range(30)], "e": [None] * 9 + [2.0, 3.0], None: [1.0, 4.0, 9.0]}
+        df = series(spark, [], key="a")
+        for key, xs in data.items():
+            df = df.union(spark.createDataFrame([(key, i * 1000, i, v) for i, v in enumerate(xs)], SERIES))
+        got = sequences.filtered(df, {op: (op, *args) for op, args in SOME}, ["k"]).collect()
+        for key, xs in data.items():
+            mine = sorted((r for r in got if r["k"] == key), key=lambda r: r["ms"])
+            assert len(mine) == len(xs)
+            for op, args in SOME:
+                want = iter(plain(op, [x for x in xs if x is not None], *args))
+                assert [r[op] for r in mine] == pytest.approx([None if x is None else next(want) for x in xs], abs=1e-9), (key, op)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-@given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=40), st.integers(1, 39))
-def test_filter_state_composes(xs, cut):
-    for f, args in ((sequences.fof, (0.3,)), (sequences.ema, (5,)), (sequences.dif, (3, 6)), (sequences.dejump, (-1.0, 2.0)), (sequences.kalman, (1.0, 0.5))):
-        whole = f(None, xs, *args)[0].tolist()
-        a, state = f(None, xs[:cut], *args)
-        b, _ = f(state, xs[cut:], *args)
-        assert a.tolist() + b.tolist() == whole
+@given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=40), st.integers(0, 39))
+def test_states_compose(xs, cut):
+    """A series in two pieces gives what it gives in one, and for the filters what a loop gives."""
+    for op, args in [*SOME, ("LAST", (3,)), ("VAR", (2,)), ("TREND", (1,)), ("RSI", (4,))]:
+        f = sequences.STATEFUL[op][0]
+        whole, _ = one(f, None, xs, *args)
+        a, state = one(f, None, xs[:cut], *args)
+        b, _ = one(f, state, xs[cut:], *args)
+        assert a + b == pytest.approx(whole, rel=1e-9, abs=1e-6, nan_ok=True), op
+        if op in sequences.FILTERS:
+            assert whole == pytest.approx(plain(op, xs, *args), rel=1e-9, abs=1e-6)
+
+
+def test_chunks_change_nothing(spark):
+    """Sparse and dense series cut by time, with chunks that hold fewer records than the lag."""
+    import random
+
+    rng = random.Random(6)
+    rows = [(k, rng.choice([0, 1, 2, 50]) * 1000 + rng.randint(0, 900), i, float(rng.randint(0, 9))) for k in ("a", "b", None) for i in range(60)]
+    df = spark.createDataFrame(rows, SERIES)
+    for run in (lambda c: sequences.lag_stage(df, "LAST", 4, ["k"], chunk=c), lambda c: sequences.rsi(df, 5, ["k"], c), lambda c: sequences.rsi(df, 1, ["k"], c), lambda c: sequences.lagged(df, {"value2": ("VAR", 1), "t": ("TREND", 6)}, ["k"], c)):
+        whole = sorted(map(str, run(None).collect()))
+        for chunk in ("250ms", "1s", "3s"):
+            assert sorted(map(str, run(chunk).collect())) == whole
+
+
+def test_null_keys_and_places(spark):
+    """A series whose key is null keeps its windows; a filter's places reach the windows behind it."""
+    null = spark.createDataFrame([(None, i * 1000, i, float(i)) for i in range(10)], SERIES)
+    got = windows.window_aggregate(null, {"s": "SUM", "m": "MEDIAN", "t": "SLOPE"}, ["k"], "4s", "2s")
+    want = {0: (6.0, 1.5, 1.0), 2000: (14.0, 3.5, 1.0), 4000: (22.0, 5.5, 1.0), 6000: (30.0, 7.5, 1.0), 8000: (17.0, 8.5, 1.0), -2000: (1.0, 0.5, 1.0)}
+    assert {r["win_start"]: (r["s"], r["m"], r["t"]) for r in got.collect()} == want
+    tiny = run_chain(series(spark, [0.00004] * 5), parse_spec("EMA_SUM", "5|5s,5s"), ["k"])
+    assert values(tiny) == [0.0002]
+    big = windows.window_aggregate(series(spark, [4e15, 2e15]), {"s": "SUM", "a": "AVG"}, ["k"], "5s", "5s").first()
+    assert (big["s"], big["a"]) == (6e15, 3e15)
+
+
+def test_processing_time_windows(spark):
+    import time
+
+    now = time.time() * 1000
+    r = windows.window_aggregate(series(spark, [1.0, 2.0]), {"s": "SUM"}, ["k"], "1h", "1h", time="processing").first()
+    assert r["s"] == 3 and r["win_start"] <= now < r["win_end"] + 60_000
+
+
+def test_carried_columns_and_panes(spark):
+    """Sliding windows by panes equal those by records, SLOPE and the earliest record's columns included."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    rows = [("ab"[i % 2], rng.randint(0, 40_000), i, None if i % 11 == 0 else round(rng.uniform(-50, 50), 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, SERIES).withColumn("tag", F.col("seq") * 2)
+    ops = {o.lower(): o for o in WINDOW_OPS if o != "MEDIAN"}
+    for size, slide in ((7000, 3000), (6000, 2000), (9000, 6000)):
+        paned = windows.window_aggregate(df, ops, ["k"], size, slide, offset=500, carry=["tag"])
+        dealt = windows.window_aggregate(df, ops, ["k"], F.lit(size).cast("long"), F.lit(slide).cast("long"), offset=500, carry=["tag"])
+        assert sorted(map(str, paned.collect())) == sorted(map(str, dealt.collect()))
 
 
 def test_specs():
@@ -119,6 +212,11 @@ def test_specs():
     assert validate_specs(good[-1:])[0] == []
 
 
+def test_last_arguments_win():
+    got = parse_spec("AVG_LAST_MAX_KF_FOF_VAR", "5s,5s|2|1m,1m|1,0.5|0.3|7", last_wins=True)
+    assert [s.args for s in got] == [(60000, 60000), (7,), (60000, 60000), (1.0, 0.5), (0.3,), (7,)]
+
+
 def test_chain_plugin_and_cycles(spark):
     @operator("TWICE")
     def twice(df, args, keys):
@@ -126,10 +224,10 @@ def test_chain_plugin_and_cycles(spark):
 
     got = run_chain(series(spark, PRICES), (Stage("AVG", (4000, 4000)), Stage("VAR", (1,)), Stage("TWICE")), ["k"])
     assert len(values(got)) == 3
-    order = check_cycles([{"byt_name": "c", "tag_name": "[b] + [a]"}, {"byt_name": "b", "tag_name": "a"}])
+    order = check_cycles([{"out_name": "c", "tag_name": "[b] + [a]"}, {"out_name": "b", "tag_name": "a"}])
     assert order.index("b") < order.index("c")
     with pytest.raises(ValueError):
-        check_cycles([{"byt_name": "b", "tag_name": "c"}, {"byt_name": "c", "tag_name": "[b] + 1"}])
+        check_cycles([{"out_name": "b", "tag_name": "c"}, {"out_name": "c", "tag_name": "[b] + 1"}])
 
 
 def test_pattern_swap(spark):
