@@ -134,18 +134,29 @@ class BundleReader:
         return parse(self.frame(frame), offset)[0]
 
 
-def revisits(pages: DataFrame) -> DataFrame:
-    """page_id, digest and refers_to of each page; only ids and digests are shuffled, never the html.
+#: Repeated digests that are broadcast at most.
+REPEATED = 100_000
 
-    Equal payloads of at least REVISIT_BYTES share a digest; a frequent digest is counted with partial sums, and the
-    join back to single pages is one that adaptive execution splits where it is skewed.
+
+def revisits(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """page_id, url, digest, payload and refers_to of each page.
+
+    Digests that repeat among payloads of at least REVISIT_BYTES are counted with partial sums, so a frequent one is no
+    burden. Up to REPEATED of them are broadcast and no html is moved. More are joined with thin rows of ids and digests
+    (by digest, which adaptive execution splits where one is frequent), and the html of pages that are large enough to be
+    revisits is shuffled by page.
     """
-    html = F.coalesce("html", F.lit(""))
-    thin = pages.select("page_id", F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).cast("long").alias("size"))
-    shared = thin.where(F.col("size") >= REVISIT_BYTES).groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1")
-    found = thin.join(shared, "digest", "left")
-    again = (F.col("size") >= REVISIT_BYTES) & (F.col("page_id") != F.col("last"))
-    return found.select("page_id", "digest", F.when(again, F.col("last")).alias("refers_to"))
+    html = F.coalesce("html", F.lit("")).cast("binary")
+    rows = pages.select("page_id", "url", F.sha1(html).alias("digest"), html.alias("payload"))
+    large = F.octet_length("payload") >= REVISIT_BYTES
+    thin = rows.where(large).select("page_id", "digest")
+    shared = scratch.write(thin.groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1").select("digest", "last"), "repeated")
+    again = F.when(large & (F.col("page_id") != F.col("last")), F.col("last")).alias("refers_to")
+    if shared.limit(REPEATED + 1).count() <= REPEATED:
+        return rows.join(F.broadcast(shared), "digest", "left").select("page_id", "url", "digest", "payload", again)
+    link = scratch.write(thin.join(shared, "digest").where("page_id <> last").select("page_id", "digest", F.col("last").alias("refers_to")).distinct(), "revisits")
+    moved = rows.where(large).join(link, ["page_id", "digest"], "left").select("page_id", "url", "digest", "payload", "refers_to")
+    return rows.where(~large).withColumn("refers_to", F.lit(None).cast("long")).select(moved.columns).union(moved)
 
 
 def write_warc(pages: DataFrame, folder: str, scratch: Scratch, partitions: int | None = None, level: int = 3) -> DataFrame:
@@ -154,9 +165,7 @@ def write_warc(pages: DataFrame, folder: str, scratch: Scratch, partitions: int
     A null html is an empty payload; a null url is left out; a null page_id keeps an empty id and is a response; pages that repeat an id
     are all written. Files are named by task attempt and only those of the attempt that succeeded are in the index.
     """
-    link = revisits(pages).where("refers_to is not null").distinct()
-    html = F.coalesce("html", F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", F.sha1(html).alias("digest"), html.alias("payload")).join(link, ["page_id", "digest"], "left")
+    rows = revisits(pages, scratch).drop("digest")
     rows = rows.repartition(partitions, "page_id") if partitions else rows
 
     def work(batches):
