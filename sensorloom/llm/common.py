@@ -17,10 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one only if it is unset."""
+    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one only where all is one machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="sensorloom-")
@@ -57,27 +59,45 @@ class Scratch:
         where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Nodes that are broadcast because they have many edges, at most.
+HUBS = 20_000
+
+
+def _met(edges: DataFrame, low: DataFrame, many: int) -> DataFrame:
+    """``edges`` joined with ``low`` (u, m, deg) by u.
+
+    Nodes with more than ``many`` / HUBS edges are hubs; as all degrees sum to ``many`` at most, there are fewer than
+    HUBS of them, so they are broadcast and their edges stay where they are. All other nodes' edges are shuffled.
+    """
+    most = max(100, many // HUBS)
+    hubs = F.broadcast(low.where(F.col("deg") > most))
+    rest = edges.join(hubs.select("u"), "u", "left_anti").join(low.where(F.col("deg") <= most), "u")
+    return edges.join(hubs, "u").select("u", "v", "m").union(rest.select("u", "v", "m"))
+
+
 def connected_components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component) for every node of ``edges``: the smallest id that is reachable.
 
     Large-star and small-star steps alternate until the stars stand still, so the number of rounds follows the
-    logarithm of the longest path, and no group is ever gathered: each step is a minimum and a join.
+    logarithm of the longest path, and no group is ever gathered: each step is a minimum and a join. The few nodes that
+    hold very many edges meet them in a broadcast (see ``_met``), so that no task has a hub to itself.
     """
-    spark = scratch.spark
     e = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     e = scratch.write(e, "edges")
-    seen = None
+    count, seen = e.count(), None
     while True:
+        many = 2 * count
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("deg")).select("u", F.least("u", "m").alias("m"), "deg")
+        large = _met(both.where("v > u"), low, many).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("deg"))
+        small = _met(large, low, many).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         small = small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         after = scratch.write(small, "stars")
         scratch.drop(e)
         e = after
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        count = now[0]
         if now == seen:
             return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(e.select(F.col("v"), F.col("v")).distinct())
         seen = now

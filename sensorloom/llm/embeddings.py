@@ -69,8 +69,11 @@ def _hashed(batches, k, tables):
     for pdf in batches:
         out = np.zeros((len(pdf), tables), np.int64)
         vec = pdf.embedding.to_numpy()
+        step = max(1, 8_000_000 // (k * tables))  # projections of a part of the batch at a time
         for who in _by_width(vec) if len(pdf) else []:
-            out[who] = buckets(unit(_matrix(vec[who])), k, tables)
+            for at in range(0, len(who), step):
+                part = who[at : at + step]
+                out[part] = buckets(unit(_matrix(vec[part])), k, tables)
         yield pd.DataFrame({"id": np.repeat(pdf.id.to_numpy(), tables), "t": np.tile(np.arange(tables, dtype=np.int32), len(pdf)), "key": out.ravel()})
 
 
