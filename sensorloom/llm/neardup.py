@@ -277,10 +277,24 @@ def op7_neardup(spark, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near-duplicates (5-word shingles, 0.8) the smallest doc_id stays, once."""
-    found = near_duplicates(docs, Scratch(spark, "stage-neardup"), 5, 0.8)
+    """Pipeline stage: of each group of near-duplicates (5-word shingles, 0.8) the smallest doc_id stays, in one row.
+
+    Rows that repeat an id are one document, of which one row stays (the one whose columns hash least). Rows with a null
+    id, and null and empty texts, are near nothing and stay, the latter once an id. An empty table stays empty; columns of
+    any name keep their values.
+    """
+    scratch = Scratch(spark, "stage-neardup")
+    names = docs.columns
+    plain = docs.select(F.col("doc_id"), F.col("text"))
+    found = near_duplicates(plain, scratch, 5, 0.8)
     gone = found.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    left = docs.join(gone, "doc_id", "left_anti").select(names)
+    twice = scratch.write(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id"), "repeated")
+    if twice.isEmpty():
+        return left
+    row = F.struct(*(F.col(f"`{c}`") for c in names))
+    one = left.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.xxhash64(row)).alias("_one")).select("_one.*")
+    return left.join(twice, "doc_id", "left_anti").select(names).unionByName(one)
 
 
 OP7_SQL = r"""

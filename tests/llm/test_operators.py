@@ -486,3 +486,32 @@ def test_pipeline(spark, data):
             assert after == before and all(pii.redact(r["text"]) == r["text"] for r in out.collect())
         now = out
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, data).select("doc_id").collect()) == sorted(r["doc_id"] for r in now.collect())
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    """Hubs that are broadcast give what all others give: two stars of different size that one chain joins."""
+    from sensorloom.llm import common
+
+    edges = [(5000, i) for i in range(5001, 5600)] + [(-7, i) for i in range(400)] + [(399, 6000), (6000, 6001), (6001, 5001)] + [(9000, 9001)]
+    monkeypatch.setattr(common, "HUBS", 40)
+    got = {r["id"]: r["component"] for r in connected_components(scratch(spark), spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: 9000 if x >= 9000 else -7 for e in edges for x in e}
+
+
+def test_warc_with_many_repeated_digests(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "REPEATED", 1)
+    pages = [(i, "u", f"{i % 5}" * 1200) for i in range(40)] + [(100, "u", "x" * 10), (101, "u", "x" * 10), (102, None, None), (None, "u", "1" * 1200)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.read_warc(warc.write_warc(df, str(tmp_path / "w"), scratch(spark)), payload=False).collect()}
+    want = {p: ("revisit", 35 + p % 5) if p is not None and p < 35 else ("response", None) for p, *_ in pages}
+    assert got == want
+
+
+def test_one_of_each_stage(spark):
+    """Repeated ids leave one row, nulls stay, clashing names keep their values."""
+    base = prose(60)
+    rows_ = [(1, base, "k"), (1, base, "k"), (2, base + " end", "x"), (3, None, "n"), (3, None, "n"), (4, "", "e"), (None, base, "q"), (None, base, "q"), (5, prose(60), "z"), (7, prose(5), "a"), (7, prose(70), "b")]
+    docs_ = spark.createDataFrame(rows_, "doc_id long, text string, component_id string")
+    got = sorted(((r["doc_id"], r["component_id"]) for r in neardup.one_of_each(spark, docs_, "").collect()), key=str)
+    assert [x for x in got if x[0] != 7] == sorted([(1, "k"), (3, "n"), (4, "e"), (None, "q"), (None, "q"), (5, "z")], key=str) and sum(x[0] == 7 for x in got) == 1
+    assert neardup.one_of_each(spark, docs_.limit(0), "").columns == docs_.columns
