@@ -458,6 +458,91 @@ def test_grammar():
     assert w("i will kill them") > 0 and w("they kill time") == 0 and w("never. an idiot") == 4
 
 
+def plain_clauses(text, m):
+    """The grammar as conditions on each matched word, with no machine: its clause, what stands before and after it."""
+    out, quoted, clause = [], False, []
+    for s in [*toxicity.SYMBOL.findall(text.lower()), "."]:
+        if s == '"':
+            quoted = not quoted
+        if s not in toxicity.ENDS:
+            clause.append((s, quoted))
+            continue
+        words, total, hit = [w for w, _ in clause], 0.0, False
+        for i, (w, q) in enumerate(clause):
+            closed = w in toxicity.CLOSED
+            weight = 0.0 if closed else m.weight(w)
+            if not closed and not weight and w in toxicity.THREATS and any(x in toxicity.MODALS and toxicity.CLOSED[x] == "M" for x in words[:i]):
+                weight = toxicity.THREAT
+            if weight:
+                near = lambda xs, kind: any(toxicity.CLOSED.get(x) == kind for x in xs)
+                weight *= toxicity.NEGATED if near(words[max(0, i - 3) : i], "N") else 1
+                weight *= toxicity.QUOTED if q or near(words[:i], "R") else 1
+                weight *= toxicity.AIMED if near(words[max(0, i - 3) : i], "G") or near(words[i + 1 : i + 4], "G") else 1
+                total, hit = total + weight, True
+        if hit:
+            out.append(total)
+        clause = []
+    return out
+
+
+def test_grammar_against_conditions():
+    rng = random.Random(14)
+    m = toxicity.Model({"idiot": 4.0, "moro*": 3.0, "fool": 2.0})
+    for _ in range(4000):
+        text = " ".join(rng.choice(["idiot", "moronic", "fool", "you", "not", "said", "will", "kill", '"', ".", "the", "the", "a", "of", "them", "never"]) for _ in range(rng.randint(0, 30)))
+        assert toxicity.clauses(toxicity.SYMBOL.findall(text), m) == pytest.approx(plain_clauses(text, m)), text
+
+
+def test_machines_compose():
+    """A composed machine writes what its machines write one after the other."""
+    rng = random.Random(15)
+    machines = [toxicity.insults(), toxicity.threats(), toxicity.follows("N", "H", "H", 0.4), toxicity.reported(), toxicity.follows("G", "H", "A", 1.25)]
+    whole = toxicity.Composed(*machines)
+    for _ in range(300):
+        tape = [rng.choice(toxicity.SYMBOLS) for _ in range(rng.randint(1, 40))]
+        got = whole.read(list(enumerate(tape)))
+        symbols, weights = tape, [1.0] * len(tape)
+        for start, arcs in machines:
+            state, out = start, []
+            for i, x in enumerate(symbols):
+                state, y, w = arcs.get((state, x), (state, x, 1.0))
+                out.append(y)
+                weights[i] *= w
+            symbols = out
+        assert [y for y, _ in got] == symbols and [w for _, w in got] == pytest.approx(weights)
+
+
+def test_grammar_matters():
+    """Where clean texts hold the same words negated or reported, the grammar tells them apart and a word list does not."""
+    rng = random.Random(16)
+    texts, labels = [], []
+    for k in range(900):
+        bad = rng.choice(["zorgling", "blargface", "krumpend"])
+        kind = rng.random()
+        said = f"you {bad} for ever now ." if kind < 0.4 else f"one wrote not {bad} here ." if kind < 0.8 else "."
+        texts.append((k, f"{prose(20, rng)} . {said} {prose(20, rng)}"))
+        labels.append((k, int(kind < 0.4)))
+    model = toxicity.Model({"zorgling": 3.0, "blargface": 3.0, "krumpend": 3.0})
+    flat = toxicity.Composed(toxicity.insults()), toxicity.Composed(toxicity.insults())
+    right = {}
+    for name, machines in (("grammar", model.machines), ("words", flat)):
+        m = toxicity.Model(model.lexicon, machines=machines)
+        x = np.array([toxicity.features(t, m) for _, t in texts])
+        y = np.array([t for _, t in labels], float)
+        coef = toxicity.logistic(x[::2], y[::2], np.ones(len(y[::2])))
+        right[name] = ((toxicity.probability(x[1::2], coef) >= 0.5) == y[1::2]).mean()
+    assert right["grammar"] > 0.97 and right["words"] < 0.85
+
+
+def test_toxicity_stage(spark, data):
+    """Nulls, repeated rows, clashing names, a very long text, an empty table."""
+    rows_ = [(1, "fine words", "a", 0.1), (1, "fine words", "a", 0.1), (2, None, None, None), (3, "", "b", 0.9), (None, "plain", "c", 0.2), (9, "word " * 600_000, "d", 0.3)]
+    docs_ = spark.createDataFrame(rows_, "doc_id long, text string, toxicity string, score double")
+    got = toxicity.reject_toxic(spark, docs_, data)
+    assert got.columns == docs_.columns and sorted(map(str, got.collect())) == sorted(map(str, docs_.collect()))
+    assert toxicity.reject_toxic(spark, docs_.limit(0), data).count() == 0
+
+
 def test_oracles_and_names(spark, data):
     q = registry.queries()
     assert sorted(int(n[2:].split("_")[0]) for n in q) == list(range(1, 11))
