@@ -59,20 +59,23 @@ class Scratch:
         where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-#: Nodes that are broadcast because they have many edges, at most.
-HUBS = 20_000
+#: Nodes whose edges are dealt to several tasks, at most, and to how many.
+HUBS, SALTS = 500, 64
 
 
 def _met(edges: DataFrame, low: DataFrame, many: int) -> DataFrame:
-    """``edges`` joined with ``low`` (u, m, deg) by u.
+    """``edges`` (u, v) joined with ``low`` (u, m, deg) by u.
 
     Nodes with more than ``many`` / HUBS edges are hubs; as all degrees sum to ``many`` at most, there are fewer than
-    HUBS of them, so they are broadcast and their edges stay where they are. All other nodes' edges are shuffled.
+    HUBS of them, so their ids may stand in the plan. A hub's edges are dealt to SALTS tasks, each with the hub's row.
     """
-    most = max(100, many // HUBS)
-    hubs = F.broadcast(low.where(F.col("deg") > most))
-    rest = edges.join(hubs.select("u"), "u", "left_anti").join(low.where(F.col("deg") <= most), "u")
-    return edges.join(hubs, "u").select("u", "v", "m").union(rest.select("u", "v", "m"))
+    hubs = [r[0] for r in low.where(F.col("deg") > max(200, many // HUBS)).select("u").collect()]
+    if not hubs:
+        return edges.join(low, "u").select("u", "v", "m")
+    hub = F.col("u").isin(hubs)
+    one, all_ = F.array(F.lit(0).cast("long")), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    salted = edges.withColumn("salt", F.when(hub, F.pmod(F.xxhash64("v"), F.lit(SALTS))).otherwise(F.lit(0)).cast("long"))
+    return salted.join(low.select("u", "m", F.explode(F.when(hub, all_).otherwise(one)).alias("salt")), ["u", "salt"]).select("u", "v", "m")
 
 
 def connected_components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -80,7 +83,7 @@ def connected_components(scratch: Scratch, edges: DataFrame, a: str = "a", b: st
 
     Large-star and small-star steps alternate until the stars stand still, so the number of rounds follows the
     logarithm of the longest path, and no group is ever gathered: each step is a minimum and a join. The few nodes that
-    hold very many edges meet them in a broadcast (see ``_met``), so that no task has a hub to itself.
+    hold very many edges have them dealt to several tasks (see ``_met``).
     """
     e = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     e = scratch.write(e, "edges")
@@ -90,8 +93,8 @@ def connected_components(scratch: Scratch, edges: DataFrame, a: str = "a", b: st
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("deg")).select("u", F.least("u", "m").alias("m"), "deg")
         large = _met(both.where("v > u"), low, many).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("deg"))
-        small = _met(large, low, many).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         small = small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         after = scratch.write(small, "stars")
         scratch.drop(e)
