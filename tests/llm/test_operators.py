@@ -385,6 +385,42 @@ def test_decontaminate_bounds_lose_no_share():
     assert seen > 1000
 
 
+def test_decontaminate_recall_on_paraphrases(spark):
+    """Items whose words are swapped for others that the corpus uses alike, against a check of all pairs."""
+    rng = random.Random(21)
+    twin = {w: w + "x" for w in WORDS}
+    mixed = lambda text, share: " ".join(twin.get(w, w) if rng.random() < share else w for w in text.split())
+    items = [prose(rng.randint(18, 50), rng) + f" ends{k} in{k} answer{k} number{k} of{k} item{k}" for k in range(60)]
+    texts = []
+    for k in range(400):
+        body = mixed(prose(rng.randint(60, 300), rng), 0.5).split()
+        if k < 180:
+            body[len(body) // 2 : len(body) // 2] = mixed(items[k % 60], (0.12, 0.2, 0.3)[k // 60]).split()
+        texts.append(" ".join(body))
+    index = decontaminate.Index(list(range(60)), items, np.ones(decontaminate.FEATURES, np.float32))
+    w = decontaminate.tokens(pa.array(texts, pa.large_string()))
+    want = set()
+    for k in range(400):
+        near = w.hash[w.first[k] : w.first[k + 1]]
+        for j in range(60):
+            share = index._share(j, near)
+            answer = index.lists[j][-decontaminate.ANSWER_WORDS :]
+            if share >= decontaminate.STRICT or (share >= decontaminate.LOOSE and decontaminate.lcs(answer, near.tolist()) >= decontaminate.ANSWER * len(answer)):
+                want.add((k, j))
+    got = leaks(spark, items, texts)
+    assert len(want) > 120 and got <= want and len(got & want) >= 0.95 * len(want)
+
+
+def test_decontaminate_stage(spark, data):
+    """Nulls, repeated ids, clashing names, a very long text, an empty table."""
+    item = spark.read.parquet(f"{data}/benchmark.parquet").first()["text"]
+    rows_ = [(1, "plain words", "a", 1), (1, "plain words", "a", 1), (2, None, None, None), (3, "", "b", 2), (None, "x " + item, "c", 3), (5, "start " + item + " end", "d", 4), (6, prose(300_000), "e", 5)]
+    docs_ = spark.createDataFrame(rows_, "doc_id long, text string, item_id string, cosine int")
+    got = decontaminate.drop_contaminated(spark, docs_, data)
+    assert got.columns == docs_.columns and sorted((r["doc_id"] or -1 for r in got.collect())) == [-1, 1, 1, 2, 3, 6]
+    assert decontaminate.drop_contaminated(spark, docs_.limit(0), data).count() == 0
+
+
 def test_bands_follow_the_threshold():
     rng = np.random.default_rng(8)
     for similarity in (0.8, 0.85):
