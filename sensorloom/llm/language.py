@@ -4,7 +4,9 @@ Word counts over all training texts come from a shuffle of per-piece counts; the
 others, are the classes of the neural model. Its context is the two classes before; each task trains on its share of
 the training texts from common weights, and the weights are averaged. Scoring takes the distinct contexts of a piece
 at a time: one matrix product and a softmax give their normalised class log-probabilities. Within a class words share
-by count, and unseen words have the mass that words seen once have, so all tokens together have probability one.
+by count. Unseen words have the mass that words seen once have, and share it evenly: there are as many of them as Chao's
+estimate says (f1^2 / 2 f2, from the words seen once and twice). So the seen and the unseen words together have
+probability one (less what classes without any training word hold), and no unseen word has more than its part.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from .textops import Words
 PIECE = 6_000_000
 #: Frequent words that are classes of their own, dimensions, noise samples, examples in a step, learning rate.
 FREQUENT, DIM, NOISE, STEP, RATE = 480, 24, 48, 2048, 0.1
+#: Steps that a piece is trained for at least (small ones are gone through again), and how often it is gone through at most.
+LEAST_STEPS, PASSES = 300, 40
 #: Distinct words of all pieces that one task adds up.
 WORDS_A_TASK = 2_000_000
 END = np.uint64(0x9D5F3C71A2B4E687)
@@ -78,7 +82,7 @@ def _counts(batches, parts):
         yield pa.RecordBatch.from_arrays([pa.array(part[cut[:-1]]), pa.array(np.full(len(cut) - 1, got[0]("piece"))), pa.array([h[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()), pa.array([c[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["part", "piece", "words", "counts"])
 
 
-TOTAL = "piece long, part int, x binary, a long, b long, c long"
+TOTAL = "piece long, part int, x binary, a long, b long, c long, d long"
 
 
 def _totals(pdf):
@@ -91,11 +95,11 @@ def _totals(pdf):
     total = np.bincount(at, c, len(u)).astype(np.int64)
     edge = np.r_[0, np.cumsum([len(b) // 8 for b in pdf.words])]
     part = int(pdf.part.iat[0])
-    rows = [(p, part, total[at[a:b]].astype(np.int64).tobytes(), 0, 0, 0) for p, a, b in zip(pdf.piece.tolist(), edge[:-1], edge[1:])]
-    rows.append((-1, part, b"", int(total.sum()), int((total > 0).sum()), int((total == 1).sum())))
+    rows = [(p, part, total[at[a:b]].astype(np.int64).tobytes(), 0, 0, 0, 0) for p, a, b in zip(pdf.piece.tolist(), edge[:-1], edge[1:])]
+    rows.append((-1, part, b"", int(total.sum()), int((total > 0).sum()), int((total == 1).sum()), int((total == 2).sum())))
     top = np.lexsort((u, -total))[:FREQUENT]
-    rows += [(-2, part, b"", int(u[i].view(np.int64)), int(total[i]), 0) for i in top if total[i] > 0 and u[i] != END]
-    return pd.DataFrame(rows, columns=["piece", "part", "x", "a", "b", "c"])
+    rows += [(-2, part, b"", int(u[i].view(np.int64)), int(total[i]), 0, 0) for i in top if total[i] > 0 and u[i] != END]
+    return pd.DataFrame(rows, columns=["piece", "part", "x", "a", "b", "c", "d"])
 
 
 @dataclass
@@ -143,13 +147,17 @@ class Model:
         return s - np.log(np.exp(s).sum(axis=1, keepdims=True))
 
     def train(self, ctx: np.ndarray, target: np.ndarray, times: np.ndarray, state: dict, rng) -> None:
-        """Noise-contrastive steps over (context, target) pairs that stand ``times`` often; AdaGrad, shared noise."""
+        """Noise-contrastive steps over (context, target) pairs that stand ``times`` often; AdaGrad, shared noise.
+
+        A pair weighs in every step what its times are to the mean, so that frequent pairs count as all their tokens do.
+        """
         w, n = self.weights, len(self.share) + 1
+        mean = times.mean() * STEP if len(times) else 1.0
         noise_bias = np.log(NOISE * self.share)
         order = rng.permutation(len(ctx))
         for at in range(0, len(order), STEP):
             i = order[at : at + STEP]
-            one, two, y, m = ctx[i] // n, ctx[i] % n, target[i], times[i] / times[i].sum()
+            one, two, y, m = ctx[i] // n, ctx[i] % n, target[i], times[i] / mean
             h1, h2 = w["r"][one], w["r"][two]
             h = h1 * w["c1"] + h2 * w["c2"]
             z = rng.choice(len(self.share), NOISE, p=self.share)
@@ -199,7 +207,8 @@ def _trained(batches, model: Model):
         seen += len(keep)
         if len(keep):
             pair, times = np.unique(ctx * len(m.share) + cls[keep], return_counts=True)
-            m.train(pair // len(m.share), pair % len(m.share), times.astype(float), state, rng)
+            for _ in range(min(PASSES, max(1, round(LEAST_STEPS * STEP / len(pair))))):
+                m.train(pair // len(m.share), pair % len(m.share), times.astype(float), state, rng)
     flat = np.concatenate([m.weights[k].ravel() * seen for k in WEIGHTS] + [totals.astype(float), [float(seen)]])
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat) // 4096 + 1, dtype=np.int32)), pa.array([flat[i : i + 4096].tobytes() for i in range(0, len(flat) + 1, 4096)][: len(flat) // 4096 + 1], pa.binary())], names=["chunk", "x"])
 
@@ -215,12 +224,19 @@ def _average(df: DataFrame) -> np.ndarray:
     return np.concatenate([np.frombuffer(r["x"]) for r in rows]) if rows else np.zeros(0)
 
 
-SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+#: The contract's columns, and both scores over the known tokens alone.
+SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, base_known double, score_known double"
+
+
+def unseen_words(once: int, twice: int) -> float:
+    """Chao's estimate of how many words there are beside those seen; one at least."""
+    return max(1.0, once * once / (2 * twice) if twice else once * (once - 1) / 2)
 
 
-def _scored(batches, model: Model, parts: int, n: int, v: int, once: int):
+def _scored(batches, model: Model, parts: int, n: int, v: int, once: int, twice: int):
     """Each text's base and model log10 probability."""
     unseen = (once + 1) / (n + 2)
+    each = np.log10(unseen / unseen_words(once, twice))
     for got in unpacked(batches):
         get, ids, known = got[:3]
         t = read(got)
@@ -243,18 +259,21 @@ def _scored(batches, model: Model, parts: int, n: int, v: int, once: int):
             who = order[edge[s] : edge[e]]
             log[who] = lp[np.repeat(np.arange(e - s), np.diff(edge[s : e + 1])), cls[who]]
         inside = np.where(c > 0, np.log(np.maximum(c, 1) / model.totals[cls]) + np.log1p(-unseen), 0)
-        token = np.where(c > 0, (log + inside) / np.log(10), np.log10(unseen))
+        token = np.where(c > 0, (log + inside) / np.log(10), each)
+        base = np.log10((c + 1) / (n + v + 1))
         k = len(ids)
         size = np.bincount(t.text, minlength=k)
-        cols = [pa.array(ids, mask=~known), pa.array(t.held), pa.array(size), pa.array(np.bincount(t.text, c > 0, k).astype(np.int64)), pa.array(np.full(k, n)), pa.array(np.bincount(t.text, np.log10((c + 1) / (n + v + 1)), k)), pa.array(np.bincount(t.text, token, k))]
+        cols = [pa.array(ids, mask=~known), pa.array(t.held), pa.array(size), pa.array(np.bincount(t.text, c > 0, k).astype(np.int64)), pa.array(np.full(k, n)), *(pa.array(np.bincount(t.text, x, k)) for x in (base, token, np.where(c > 0, base, 0), np.where(c > 0, token, 0)))]
         yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in SCORE.split(", ")])
 
 
 def score_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, text) -> SCORE, one row per row.
 
-    A null text is empty: one token, its end. Repeated rows are each learned from and scored alike. Where no row may be
-    learned from, every word is unseen; an empty table gives an empty result.
+    A null text is empty: one token, its end. A row with a null id is learned from and scored like others. Repeated rows
+    are each learned from and scored alike. Very long texts are scored whole, in memory in proportion to their size.
+    Where no row may be learned from, every word is unseen; an empty table gives an empty result. The weights are
+    averages over tasks, so they, unlike the counts, differ a little with the number of tasks.
     """
     spark = scratch.spark
     packed, name = pack(docs, PIECE)
@@ -262,7 +281,7 @@ def score_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     parts = max(12, size * 150_000 // WORDS_A_TASK + 1)
     told = packed.mapInArrow(lambda it: _counts(it, parts), "part int, piece long, words binary, counts binary")
     totals = scratch.write(told.groupBy("part").applyInPandas(_totals, TOTAL), "totals")
-    n, v, once = totals.where("piece = -1").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in "abc")).first()
+    n, v, once, twice = totals.where("piece = -1").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in "abcd")).first()
     top = totals.where("piece = -2").orderBy(F.desc("b"), "a").limit(FREQUENT).collect()
     frequent, counts = np.array([r["a"] for r in top], np.int64).view(np.uint64), np.array([r["b"] for r in top], np.int64)
     model = Model.fresh(frequent, counts, size, n - int(counts.sum()))
@@ -274,7 +293,7 @@ def score_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
         at += model.weights[k].size
     model.totals = np.maximum(flat[at : at + len(model.share)], 1) if seen else np.ones(len(model.share))
     replies = totals.where("piece >= 0").groupBy("piece").agg(F.collect_list(F.struct("part", "x")).alias("replies"))
-    out = packed.join(replies.hint("shuffle_hash"), "piece").mapInArrow(lambda it: _scored(it, model, parts, n, v, once), SCORE)
+    out = packed.join(replies.hint("shuffle_hash"), "piece").mapInArrow(lambda it: _scored(it, model, parts, n, v, once, twice), SCORE)
     out = scratch.write(out, "scores")
     spark.sql(f"DROP TABLE {name}")
     return out

@@ -234,6 +234,50 @@ def test_language(spark, docs, none):
     assert language.score_texts(none, scratch(spark)).count() == 0
 
 
+def test_language_beats_the_base_on_held_out_texts(spark):
+    """Texts whose words follow from the two before them: held-out known tokens must be likelier than by counts alone."""
+    rng = random.Random(31)
+    after = {w: rng.sample(WORDS, 3) for w in WORDS}
+    texts = []
+    for k in range(400):
+        w, out = rng.choice(WORDS), []
+        for _ in range(60):
+            out.append(w)
+            w = rng.choice(after[w]) if rng.random() < 0.8 else rng.choice(WORDS)
+        texts.append((k, " ".join(out)))
+    got = language.score_texts(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), scratch(spark)).where("held_out").collect()
+    assert len(got) > 30 and sum(r["score_known"] for r in got) > 0.85 * sum(r["base_known"] for r in got)
+    assert sum(r["score_known"] > r["base_known"] for r in got) > 0.95 * len(got)
+
+
+def test_language_shares_out_one():
+    """All seen words and as many unseen ones as are estimated have probability one together, in any context."""
+    rng = np.random.default_rng(1)
+    counts = np.r_[rng.integers(3, 90, 40), np.ones(30, int), np.full(10, 2)]
+    hashes = np.arange(1, len(counts) + 1, dtype=np.uint64)
+    shapes = rng.integers(0, language.SHAPES, len(counts))
+    m = language.Model.fresh(hashes[:20], counts[:20], 12, int(counts[20:].sum()))
+    tokens = language.Tokens(np.r_[hashes, language.END], np.zeros(len(counts) + 1, int), np.r_[shapes, 0], np.array([0]), np.array([False]))
+    cls, c = m.classes(tokens), np.r_[counts, 12]
+    total = np.bincount(cls, c, len(m.share))
+    n, once, twice = int(c.sum()), 30, 10
+    unseen, kinds = (once + 1) / (n + 2), language.unseen_words(once, twice)
+    assert kinds == 45 and language.unseen_words(1, 0) == 1
+    for ctx in rng.integers(0, (len(m.share) + 1) ** 2, 20):
+        p = np.exp(m.log_probability(np.array([ctx])))[0]
+        p = np.where(total > 0, p, 0) / p[total > 0].sum()  # classes without a word have none to give
+        assert (p[cls] * c / total[cls]).sum() * (1 - unseen) + kinds * unseen / kinds == pytest.approx(1)
+
+
+def test_language_odd_rows(spark):
+    """Null ids and texts, repeated rows, and a very long text."""
+    long_ = prose(400_000)
+    rows_ = [(None, "abc def"), (None, None), (1, None), (1, None), (2, ""), (3, long_)]
+    got = language.score_texts(spark.createDataFrame(rows_, "doc_id long, text string"), scratch(spark)).collect()
+    assert len(got) == 6 and sorted(r["n_tokens"] for r in got) == [1, 1, 1, 1, 3, 400_001]
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
+
+
 def test_language_model_is_normalised_and_learns():
     rng = np.random.default_rng(0)
     m = language.Model.fresh(np.arange(1, 21, dtype=np.uint64), np.arange(20, 0, -1), 10, 40)
