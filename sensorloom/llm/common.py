@@ -53,6 +53,18 @@ class Scratch:
         for df in frames:
             self.delete(df._scratch_path)
 
+    def finish(self, df: DataFrame) -> DataFrame:
+        """Write the result and delete all tables before it; only its own folder stays, as it may be read at any time."""
+        out = self.write(df, "result")
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        store = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        last = out._scratch_path.rpartition("/")[2]
+        for x in store.listStatus(root):
+            if x.getPath().getName() != last:
+                store.delete(x.getPath(), True)
+        return out
+
     def delete(self, path: str) -> None:
         jvm = self.spark._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)

@@ -200,7 +200,7 @@ def link_vectors(vectors: DataFrame, scratch: Scratch, threshold: float = 0.95,
     info = info.join(small, "component").select("id", "n_links", "component_id")
     out = rows.select("vec_id", "id").join(info, "id", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("id").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return scratch.finish(out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))
 
 
 def op1_embeddings(spark, sf_dir: str) -> DataFrame:

@@ -294,7 +294,7 @@ def score_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     model.totals = np.maximum(flat[at : at + len(model.share)], 1) if seen else np.ones(len(model.share))
     replies = totals.where("piece >= 0").groupBy("piece").agg(F.collect_list(F.struct("part", "x")).alias("replies"))
     out = packed.join(replies.hint("shuffle_hash"), "piece").mapInArrow(lambda it: _scored(it, model, parts, n, v, once, twice), SCORE)
-    out = scratch.write(out, "scores")
+    out = scratch.finish(out)
     spark.sql(f"DROP TABLE {name}")
     return out
 

@@ -268,7 +268,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = 3, similarit
     out = sig.join(named, ["s1", "s2"], "left")
     own = F.when((F.col("n") > 0) & F.col("c").isNotNull() & F.col("doc_id").isNotNull(), F.col("c")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return scratch.finish(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def op7_neardup(spark, sf_dir: str) -> DataFrame:

@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embeddings": embeddings.OP1_SQL, "op2_mix": mixing.OP2_SQL, "op7_neardup": neardup.OP7_SQL, "op9_warc": warc.OP9_SQL}
+    return {"op1_embeddings": embeddings.OP1_SQL, "op2_mix": mixing.OP2_SQL, "op4_substrings": substrings.OP4_SQL, "op7_neardup": neardup.OP7_SQL, "op9_warc": warc.OP9_SQL}

@@ -506,7 +506,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, texts: bool = False) -> Da
     spans = runs.groupBy("shard").applyInPandas(_settle, "piece long, spans binary").groupBy("piece").agg(F.collect_list("spans").alias("spans"))
     spans = scratch.write(spans, "spans")
     out = known.join(spans.hint("shuffle_hash"), "piece", "left").mapInArrow(lambda it: _cleaned(it, texts), RESULT + ", kept binary" * texts)
-    out = scratch.write(out, "result")
+    out = scratch.finish(out)
     spark.sql(f"DROP TABLE {name}")
     return out
 
@@ -514,3 +514,21 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, texts: bool = False) -> Da
 def op4_substrings(spark, sf_dir: str) -> DataFrame:
     """Repeated 50-byte strings removed from all ``documents``."""
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "repeats"))
+
+
+#: 50-byte strings as 100 hexadecimal digits, from blocks of 1000 bytes so that no long text is walked from its begin for each.
+OP4_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT doc_id, h, CAST(len(h) // 2 AS BIGINT) AS n FROM d),
+b AS (SELECT doc_id, k, substr(h, 2 * k + 1, 2 * 1049) AS s FROM (SELECT doc_id, h, unnest(range(0, n, 1000)) AS k FROM n)),
+w AS MATERIALIZED (SELECT doc_id, k + i AS i, substr(s, 2 * i + 1, 100) AS s FROM (SELECT doc_id, k, s, unnest(range(0, least(1000, len(s) // 2 - 49))) AS i FROM b WHERE len(s) >= 100)),
+m AS (SELECT s, min(doc_id) AS low FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT w.doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY w.doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM w JOIN m USING (s) WHERE low < w.doc_id),
+r AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM r GROUP BY doc_id, k),
+c AS (SELECT doc_id, sum(z - a) AS gone, count(*) AS spans FROM runs GROUP BY doc_id),
+e AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS s, a AS t FROM runs UNION ALL SELECT doc_id, coalesce(max(z), 0), max(n) FROM n LEFT JOIN runs USING (doc_id) GROUP BY doc_id),
+k AS (SELECT e.doc_id, string_agg(substr(h, 2 * s + 1, 2 * (t - s)), '' ORDER BY s) AS h FROM e JOIN n ON n.doc_id = e.doc_id GROUP BY e.doc_id)
+SELECT n.doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+FROM n JOIN k USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
