@@ -278,7 +278,7 @@ def _in(x, blobs) -> np.ndarray:
     return wanted[np.minimum(np.searchsorted(wanted, x), len(wanted) - 1)] == x
 
 
-ENTRY = np.dtype([("anchor", "<u4"), ("left", "<u4"), ("right", "<u4"), ("digest", "<u8"), ("doc", "<i8")])
+ENTRY = np.dtype([("anchor", "<u4"), ("left", "<u4"), ("right", "<u4"), ("digest", "<u8"), ("more", "<u8"), ("doc", "<i8")])
 
 
 def _entries(got, parts):
@@ -289,14 +289,14 @@ def _entries(got, parts):
     keep = _in(anchor, got[0]("shared"))
     text, first, last, anchor, left, right = (x[keep] for x in (text, first, last, anchor, left, right))
     raw = data.tobytes()
-    digest = np.frombuffer(b"".join(hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(first.tolist(), (last + SPAN).tolist())), np.uint64)
+    digest, more = np.frombuffer(b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(first.tolist(), (last + SPAN).tolist())), np.uint64).reshape(-1, 2).T
     part = (anchor // np.uint32(2) % np.uint32(parts)).astype(np.int32)
-    order = np.lexsort((ids[text], digest, anchor, part))
-    a, d = anchor[order], digest[order]
-    new = np.r_[True, (a[1:] != a[:-1]) | (d[1:] != d[:-1])] if len(a) else np.zeros(0, bool)
+    order = np.lexsort((ids[text], more, digest, anchor, part))
+    a, d, d2 = anchor[order], digest[order], more[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (d[1:] != d[:-1]) | (d2[1:] != d2[:-1])] if len(a) else np.zeros(0, bool)
     head = order[new]
     entry = np.empty(len(head), ENTRY)
-    entry["anchor"], entry["left"], entry["right"], entry["digest"], entry["doc"] = anchor[head], left[head], right[head], digest[head], ids[text[head]]
+    entry["anchor"], entry["left"], entry["right"], entry["digest"], entry["more"], entry["doc"] = anchor[head], left[head], right[head], digest[head], more[head], ids[text[head]]
     of = np.empty(len(order), np.int64)
     of[order] = np.cumsum(new) - 1
     part = part[head]
@@ -324,9 +324,9 @@ def _judge(pdf):
 
     every = np.concatenate([np.frombuffer(b, ENTRY) for b in pdf.entries])
     edge = np.r_[0, np.cumsum([len(b) // ENTRY.itemsize for b in pdf.entries])]
-    order = np.lexsort((every["doc"], every["digest"], every["anchor"]))
+    order = np.lexsort((every["doc"], every["more"], every["digest"], every["anchor"]))
     e = every[order]
-    new = np.r_[True, (e["anchor"][1:] != e["anchor"][:-1]) | (e["digest"][1:] != e["digest"][:-1])]
+    new = np.r_[True, (e["anchor"][1:] != e["anchor"][:-1]) | (e["digest"][1:] != e["digest"][:-1]) | (e["more"][1:] != e["more"][:-1])]
     head = np.maximum.accumulate(np.where(new, np.arange(len(e)), 0))
     code = np.where(e["doc"] > e["doc"][head], SETTLED, 0).astype(np.uint8)
     one = np.flatnonzero(new)

@@ -78,7 +78,11 @@ def test_words():
     assert [len(s) for s in w.shingles(3)] == [1, 0, 1, 0, 0, 2]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components(spark, monkeypatch, few):
+    from sensorloom.llm import common
+
+    monkeypatch.setattr(common, "FEW", few)
     rng = random.Random(1)
     edges = [(rng.randint(-300, 300), rng.randint(-300, 300)) for _ in range(250)] + [(i, i + 1) for i in range(1000, 1060)]
     got = {r["id"]: r["component"] for r in connected_components(scratch(spark), spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -659,6 +663,7 @@ def test_components_with_hubs(spark, monkeypatch):
 
     edges = [(5000, i) for i in range(5001, 5600)] + [(-7, i) for i in range(400)] + [(399, 6000), (6000, 6001), (6001, 5001)] + [(9000, 9001)]
     monkeypatch.setattr(common, "HUBS", 40)
+    monkeypatch.setattr(common, "FEW", 0)
     got = {r["id"]: r["component"] for r in connected_components(scratch(spark), spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: 9000 if x >= 9000 else -7 for e in edges for x in e}
 
