@@ -321,3 +321,28 @@ def test_topics_and_route(spark):
     r = spark.createDataFrame([("b", 0, 1, 2.0), ("a", 0, 2, None)], "out_name string, ms long, seq long, value double")
     sent = route.post_requests(route.assemble(r, post), post).collect()
     assert [(x["url"], x["body"]) for x in sent] == [("http://x", '{"a":null,"b":"2.0","create_time":"1970-01-01 00:00:00"}')]
+
+
+def test_generated_series_and_string_messages(spark):
+    import time
+
+    s = connectors.generated(spark, ["a", "b"], per_second=20)
+    query = s.writeStream.format("memory").queryName("made").outputMode("append").start()
+    until = time.time() + 60
+    while time.time() < until and spark.table("made").count() < 40:
+        time.sleep(0.5)
+    query.stop()
+    rows = spark.table("made").collect()
+    assert {r["name"] for r in rows} == {"a", "b"} and all(0 <= r["value"] < 800 for r in rows) and len({r["seq"] for r in rows}) == len(rows)
+
+
+def test_stream_patterns_across_batches(spark, tmp_path):
+    """A pattern that one micro-batch begins and the next ends, and one that a switch breaks."""
+    schema = "k string, ms long, seq long, name string"
+    row = lambda i, n: ("k", i * 1000, i, n)
+    is_ = lambda x: F.col("name") == x
+    s, _ = stream_of(spark, tmp_path, [row(0, "a"), row(1, "b"), row(2, "a")], schema)
+    run = lambda: streams.replay(streams.stream_match(s, [is_("a"), is_("b")], ["k"], 5000, [is_("e"), is_("f"), is_("g")], is_("change")), str(tmp_path / "run"))
+    run()
+    stream_of(spark, tmp_path, [row(3, "b"), row(4, "a"), row(5, "change"), row(6, "b"), row(7, "e"), row(8, "f"), row(9, "g"), row(10, "a"), row(11, "b")], schema)
+    assert sorted((r["first_seq"], r["last_seq"]) for r in run().collect()) == [(0, 1), (2, 3), (7, 9)]
