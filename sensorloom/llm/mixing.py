@@ -145,5 +145,9 @@ FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source LEFT JOIN e ON d.source
 
 
 def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that the mix takes, with how many of their words it takes."""
+    """Pipeline stage: the documents that the mix takes, with how many of their words it takes.
+
+    Null and empty texts have no words and are not taken; rows that repeat an id are taken together; a null source is a
+    source of its own; an empty table stays empty. Columns called size, source_size, target or taken are replaced.
+    """
     return mix(docs, Scratch(spark, "stage-mix"), keep=True)

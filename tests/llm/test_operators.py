@@ -154,6 +154,21 @@ def test_mix(spark, docs, none):
     assert kept.columns == [*(c for c in docs.columns if c != "size"), "size", "source_size", "target", "taken"]
 
 
+def test_mix_stage(spark):
+    """The stage takes just what the operator says, from odd rows and beside columns of the same names."""
+    rows_ = [(i % 40, None if i % 9 == 0 else "" if i % 11 == 0 else prose(i % 30 + 1), [None, "a", "b"][i % 3], -1, "x") for i in range(60)] + [(None, "some words", "a", -1, "x")]
+    docs_ = spark.createDataFrame(rows_, "doc_id long, text string, source string, size long, target string")
+    told = {(r["doc_id"], r["size"], r["taken"]) for r in mixing.mix(docs_, scratch(spark)).collect()}
+    got = mixing.mix_sources(spark, docs_, "")
+    assert got.columns == ["doc_id", "text", "source", "size", "source_size", "target", "taken"]
+    found = got.collect()
+    assert {(r["doc_id"], r["size"], r["taken"]) for r in found} == {x for x in told if x[2] > 0} and all(r["size"] == len(r["text"].split()) > 0 for r in found)
+    for s in (None, "a", "b"):
+        mine = [r for r in found if r["source"] == s]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 2 * max(r["size"] for r in mine)
+    assert mixing.mix_sources(spark, docs_.limit(0), "").count() == 0
+
+
 def test_targets(spark):
     sizes = {"a": 1000, "b": 10, "c": 500, "d": 1, None: 300}
     got = {r["source"]: r["target"] for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
