@@ -213,7 +213,7 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.1, ro
 def _uses(batches):
     """(label, fold, entry, context): which words and word beginnings stand between which neighbours."""
     for whole in batches:
-        for batch in pieces(whole, "text", 1_000_000):
+        for batch in pieces(whole, "text", 250_000):
             label, part, entry, context = [], [], [], []
             for text, toxic, fold in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), batch.column("fold").to_pylist()):
                 words = WORD.findall((text or "").lower())
@@ -275,7 +275,7 @@ def featured(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns ``keep`` with the clause features x1, x2, x3 of ``text``."""
     def work(batches):
         for whole in batches:
-            for batch in pieces(whole, "text"):
+            for batch in pieces(whole, "text", 1_000_000):
                 x = [features(t, model) for t in batch.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *(pa.array(c, pa.float64()) for c in zip(*x))], names=[*keep, "x1", "x2", "x3"])
 
@@ -299,7 +299,7 @@ def score_toxicity(docs: DataFrame, model: Model, name: str = "toxicity") -> Dat
 
     def work(batches):
         for whole in batches:
-            for batch in pieces(whole, "text"):
+            for batch in pieces(whole, "text", 1_000_000):
                 p = probability(np.array([features(t, model) for t in batch.column("text").to_pylist()]).reshape(-1, 3), model.coef)
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(p, pa.float64())], names=[*names, name])
 
