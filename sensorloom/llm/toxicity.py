@@ -195,19 +195,32 @@ def probability(x: np.ndarray, coef: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.1, rounds: int = 40) -> np.ndarray:
-    """Weighted ridge logistic regression by Newton steps; the first coefficient is the intercept."""
-    a = np.hstack([np.ones((len(x), 1)), x])
+def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.1, rounds: int = 100) -> np.ndarray:
+    """Weighted ridge logistic regression; the first coefficient is the intercept.
+
+    Newton steps over standardised features, each halved until it lowers the loss: a full step may overshoot without end.
+    """
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    scale = np.where(scale > 0, scale, 1.0)
+    a = np.hstack([np.ones((len(x), 1)), (x - mean) / scale])
     c = np.zeros(a.shape[1])
+
+    def loss(c):
+        z = a @ c
+        return (w * (np.logaddexp(0, z) - y * z)).sum() + ridge / 2 * c @ c
+
+    now = loss(c)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ c, -30, 30)))
         g = a.T @ (w * (y - p)) - ridge * c
-        h = (a * (w * p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(c))
-        step = np.linalg.solve(h, g)
-        c = c + step
-        if np.abs(step).max() < 1e-9:
+        step = np.linalg.solve((a * (w * p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(c)), g)
+        while np.abs(step).max() > 1e-9 and loss(c + step) > now:
+            step = step / 2
+        if np.abs(step).max() <= 1e-9:
             break
-    return c
+        c = c + step
+        now = loss(c)
+    return np.r_[c[0] - (c[1:] * mean / scale).sum(), c[1:] / scale]
 
 
 def _uses(batches):

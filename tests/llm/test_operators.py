@@ -611,6 +611,21 @@ def test_machines_compose():
         assert [y for y, _ in got] == symbols and [w for _, w in got] == pytest.approx(weights)
 
 
+def test_logistic_does_not_run_away():
+    """Overlapping classes with large, skewed features: the loss must end where it is least, whatever the scale."""
+    rng = np.random.default_rng(5)
+    for k in range(20):
+        y = (rng.random(800) < 0.3).astype(float)
+        x = np.c_[rng.gamma(1 + 3 * y, 4.0), np.log1p(rng.gamma(1 + y, 3.0)), rng.random(800) * (1 + y)] * 10.0 ** rng.integers(-2, 3, 3)
+        w = np.where(y == 1, 0.3, 1.3)
+        c = toxicity.logistic(x, y, w)
+        p = toxicity.probability(x, c)
+        scale = x.std(axis=0)
+        inner = np.r_[c[0] + (c[1:] * x.mean(axis=0)).sum(), c[1:] * scale]
+        a = np.c_[np.ones(800), (x - x.mean(axis=0)) / scale]
+        assert np.abs(a.T @ (w * (y - p)) - 0.1 * inner).max() < 1e-4 and ((p >= 0.5) == y).mean() > 0.7
+
+
 def test_grammar_matters():
     """Where clean texts hold the same words negated or reported, the grammar tells them apart and a word list does not."""
     rng = random.Random(16)
