@@ -48,13 +48,16 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = 4_000_000):
 
 
 class Words:
-    """The words ``[^\\x20\\x09-\\x0D]+`` of some texts: start, length, 64-bit hash, and the first word of each text."""
+    """The words of some texts: start, length, 64-bit hash, and the first word of each text.
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, lower: bool = True):
+    A word is a longest run of the bytes that ``classes`` marks, by default ``[^\\x20\\x09-\\x0D]+``.
+    """
+
+    def __init__(self, data: np.ndarray, off: np.ndarray, lower: bool = True, classes: np.ndarray = _WORD):
         n = len(data)
         buf = np.zeros(n + 16, np.uint8)
         buf[:n] = _LOWER[data] if lower else data
-        word = _WORD[data]
+        word = classes[data]
         edge = np.zeros(n + 1, bool)
         edge[off] = True
         before = np.zeros(n, bool)
@@ -84,6 +87,22 @@ class Words:
             at, left = at[more] + 8, left[more] - 8
         return h
 
+    def same(self, i: np.ndarray, other: Words, j: np.ndarray) -> np.ndarray:
+        """Whether the words ``i`` are, byte for byte, the words ``j`` of ``other``."""
+        here, there = (np.ndarray((len(w.buf) - 7,), np.dtype("<u8"), w.buf, 0, (1,)) for w in (self, other))
+        ok = self.length[i] == other.length[j]
+        at = np.flatnonzero(ok)
+        x, y, left = self.start[i[at]], other.start[j[at]], self.length[i[at]]
+        while len(at):
+            differ = (here[x] ^ there[y]) & _MASK[np.minimum(left, 8)] != 0
+            ok[at[differ]] = False
+            more = np.flatnonzero(~differ & (left > 8))
+            at, x, y, left = at[more], x[more] + 8, y[more] + 8, left[more] - 8
+        return ok
+
+    def word(self, i: int) -> bytes:
+        return self.buf[self.start[i] : self.start[i] + self.length[i]].tobytes()
+
     def shingles(self, k: int):
         """For each text the sorted distinct hashes of its k-word shingles; of fewer words, the whole as one."""
         h = self.hash
