@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embeddings, filters, language, mixing, neardup, pii, secrets, substrings, toxicity, warc
+from . import decontaminate, embeddings, filters, language, mixing, neardup, pii, ranking, secrets, substrings, toxicity, warc
 
 
 def queries() -> dict:
@@ -18,8 +18,9 @@ def queries() -> dict:
         "op9_warc": warc.op9_warc,
         "op10_toxicity": toxicity.op10_toxicity,
         "op11_filters": filters.op11_filters,
+        "op12_ranking": ranking.op12_ranking,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embeddings": embeddings.OP1_SQL, "op2_mix": mixing.OP2_SQL, "op4_substrings": substrings.OP4_SQL, "op7_neardup": neardup.OP7_SQL, "op9_warc": warc.OP9_SQL, "op11_filters": filters.OP11_SQL}
+    return {"op1_embeddings": embeddings.OP1_SQL, "op2_mix": mixing.OP2_SQL, "op4_substrings": substrings.OP4_SQL, "op7_neardup": neardup.OP7_SQL, "op9_warc": warc.OP9_SQL, "op11_filters": filters.OP11_SQL, "op12_ranking": ranking.OP12_SQL}
