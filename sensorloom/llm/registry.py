@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embeddings, filters, language, mixing, neardup, pii, ranking, secrets, substrings, toxicity, warc
+from . import decontaminate, embeddings, filters, language, mixing, neardup, pii, quality, ranking, secrets, substrings, toxicity, warc
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_toxicity": toxicity.op10_toxicity,
         "op11_filters": filters.op11_filters,
         "op12_ranking": ranking.op12_ranking,
+        "op13_quality": quality.op13_quality,
     }
 
 
