@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import table
 from .filters import count_in, sorted_words
@@ -242,7 +243,7 @@ def featured(docs: DataFrame, keep: list[str]) -> DataFrame:
                 rows = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), rows], names=[*keep, "x"])
 
-    return docs.select(*keep, "text").mapInArrow(work, schema.add("x", "array<double>"))
+    return docs.select(*keep, "text").mapInArrow(work, schema.add("x", T.ArrayType(T.DoubleType())))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:

@@ -203,25 +203,25 @@ def search(docs: DataFrame, items: DataFrame, scratch: Scratch, k: int = TOP, bl
     blocks = math.ceil(every.count() / block)
     out = None
     for number in range(blocks):
-        asked = every.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == number).toPandas().sort_values(["item_id", "term"])
-        if not len(asked):
+        asked: dict = {}
+        for r in every.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == number).collect():
+            asked.setdefault(r["item_id"], []).append((r["term"], r["q"]))
+        if not asked:
             continue
-        terms = sorted(asked["term"].unique())
+        terms = sorted({t for own in asked.values() for t, _ in own})
         place = {t: i for i, t in enumerate(terms)}
         index = scratch.write(postings(docs, Vocabulary(terms)), "postings")
         n_docs, n_terms = index.where("n > 0").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
         df = {r[0]: r[1] for r in index.select(F.explode("terms").alias("t")).groupBy("t").count().collect()}
         weight = np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df.get(i, 0) + 1))) for i in range(len(terms))], np.int64)
-        asked["t"] = asked["term"].map(place)
-        groups = list(asked.groupby("item_id", dropna=False, sort=True))
-        queries = [(g["t"].to_numpy(), weight[g["t"]] * g["q"].to_numpy()) for _, g in groups]
+        queries = [(at := np.array([place[t] for t, _ in own]), weight[at] * np.array([q for _, q in own])) for own in asked.values()]
         many = len(terms)
         found = index.where("size(terms) > 0").mapInArrow(lambda it: best_of(it, queries, n_docs, n_terms, many, k), "query int, doc_id long, score long")  # noqa: B023
         by = [F.desc("score"), F.asc_nulls_last("doc_id")]
         part = F.pmod(F.xxhash64("doc_id", "score"), F.lit(PARTS))
         found = found.withColumn("part", part).withColumn("r", F.row_number().over(W.partitionBy("query", "part").orderBy(*by))).where(F.col("r") <= k)
         ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(*by))).where(F.col("rank") <= k)
-        names = spark.createDataFrame([(i, None if g is None or g != g else int(g)) for i, (g, _) in enumerate(groups)], "query int, item_id long")
+        names = spark.createDataFrame(list(enumerate(asked)), "query int, item_id long")
         ranked = scratch.write(ranked.join(F.broadcast(names), "query").select("item_id", "rank", "doc_id", "score"), "ranked")
         out = ranked if out is None else out.union(ranked)
     if out is None:
