@@ -98,11 +98,19 @@ def cut(similarity: float) -> float:
     return similarity - SLACK * math.sqrt(similarity * (1 - similarity) / REGISTERS)
 
 
-SIGNATURE = "doc_id long, n long, s1 long, s2 long, sketch binary"
+def band_codes(sketch: np.ndarray, rows: int) -> np.ndarray:
+    """Each sketch's bands of ``rows`` registers (8 at most) as one number a band, equal where all its registers are."""
+    bands = REGISTERS // rows
+    wide = np.zeros((len(sketch), bands, 8), np.uint8)
+    wide[:, :, :rows] = sketch[:, : bands * rows].reshape(len(sketch), bands, rows)
+    return wide.view(np.uint64)[:, :, 0]
+
+
+SIGNATURE = "doc_id long, n long, s1 long, s2 long, sketch binary, h long"
 
 
 def signatures(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id, set size, two hashes of the word sequence, sketch; null texts are empty sets. No shuffle."""
+    """doc_id, set size, two hashes of the word sequence, sketch, hash of the text; null texts are empty sets. No shuffle."""
     def work(batches):
         for whole in batches:
             for batch in pieces(whole, "text"):
@@ -111,10 +119,10 @@ def signatures(docs: DataFrame, words: int = 3) -> DataFrame:
                 seq = w.sequences().view(np.int64)
                 sketch = registers(minima(sets))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(seq[:, 0]), pa.array(seq[:, 1]), pa.array([r.tobytes() for r in sketch], pa.binary())
-                ], names=["doc_id", "n", "s1", "s2", "sketch"])
+                    batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(seq[:, 0]), pa.array(seq[:, 1]), pa.array([r.tobytes() for r in sketch], pa.binary()), batch.column("h")
+                ], names=["doc_id", "n", "s1", "s2", "sketch", "h"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, SIGNATURE)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(work, SIGNATURE)
 
 
 def _jaccard(batches, similarity, words):
@@ -155,7 +163,7 @@ def _plausible(batches, least):
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok)], names=["a", "b"])
 
 
-def _across(pdf, least, similarity, words):
+def _across(pdf, least, similarity, words, rows):
     """One pair of blocks -> confirmed links between different components, as few as join them.
 
     Sketches leave the plausible pairs; a pair is only looked at in its first common band. Full sets then decide, the
@@ -169,7 +177,7 @@ def _across(pdf, least, similarity, words):
     if not len(left) or not len(right):
         return none
     sketch = np.frombuffer(b"".join(pdf.sketch), np.uint8).reshape(-1, REGISTERS)
-    band = sketch.view(np.uint64)
+    band = band_codes(sketch, rows)
     t, comp, ids, n = int(pdf.t.iat[0]), pdf.grp.to_numpy(), pdf.id.to_numpy(), pdf.n.to_numpy(float)
     p, q = [], []
     for k, i in enumerate(left):
@@ -219,16 +227,16 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = 3, similarit
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable), kept.
 
     Texts with fewer than ``words`` words are one shingle; null or empty ones are empty sets, linked with nothing.
-    doc_id names a document: rows that share one are one node. A row with a null doc_id is linked with nothing and
-    kept. Every link is confirmed on full sets; what the bands may miss is a link that no other link of its component
+    doc_id names a document: rows that share one are one node, which is compared with others by one of its texts, that
+    of the least hash. A row with a null doc_id is linked with nothing and kept. Every link is confirmed on full sets; what the bands may miss is a link that no other link of its component
     replaces, with a chance below one in ten thousand at the threshold.
     """
     sig = scratch.write(signatures(docs, words), "signatures")
     live = sig.where("n > 0 and doc_id is not null")
     # written, so that joins back to it deal both sides anew and a very frequent text can be split
     node = scratch.write(live.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = live.join(node.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "n", "sketch").dropDuplicates(["id"])
-    reps = scratch.write(reps, "nodes")
+    reps = live.join(node.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.min_by(F.struct("n", "sketch", "h"), "h").alias("x"))
+    reps = scratch.write(reps.select("id", "x.n", "x.sketch", "x.h"), "nodes")
 
     rows = band_rows(similarity)
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * rows + 1, rows)) for k in range(REGISTERS // rows)])
@@ -247,9 +255,9 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = 3, similarit
         p = p.where(F.least("na", "nb") >= F.lit(similarity - 0.01) * F.greatest("na", "nb"))
         return p.select("a", "b", "na", "nb", "ka", "kb").mapInArrow(lambda it: _plausible(it, least), "a long, b long")
 
-    wanted = hot.select("id").distinct()
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(wanted.hint("shuffle_hash"), "id")
-    texts = scratch.write(texts, "texts")
+    wanted = reps.select("id", "h").join(hot.select("id").distinct(), "id")
+    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), "text").join(wanted.hint("shuffle_hash"), ["id", "h"])
+    texts = scratch.write(texts.select("id", "text"), "texts")
 
     def confirmed(pairs, name):
         p = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
@@ -260,8 +268,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, words: int = 3, similarit
     placed = scratch.write(hot.select("key", "id", "t").join(comp, "id", "left").select("key", "id", "t", F.coalesce("component", "id").alias("grp")), "placed")
     mixed = placed.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo < hi").select("key")
     open_ = placed.join(mixed, "key").select("key", "id", "grp", "t")
-    tasks = block_pairs(open_, BLOCK).select("task", "side", "id", "grp", "t").join(reps, "id").join(texts, "id")
-    second = scratch.write(tasks.groupBy("task").applyInPandas(lambda pdf: _across(pdf, least, similarity, words), "a long, b long"), "links")
+    tasks = block_pairs(open_, BLOCK).select("task", "side", "id", "grp", "t").join(reps.drop("h"), "id").join(texts, "id")
+    second = scratch.write(tasks.groupBy("task").applyInPandas(lambda pdf: _across(pdf, least, similarity, words, rows), "a long, b long"), "links")
     comp = scratch.write(connected_components(scratch, first.union(second)), "components")
 
     named = node.join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("c"))

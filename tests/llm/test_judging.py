@@ -9,6 +9,7 @@ from itertools import permutations
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -262,3 +263,50 @@ def test_judging_sql(spark, data, name):
     res = con.execute(registry.oracle_sql()[name])
     assert [d[0] for d in res.description] == df.columns
     assert sorted(map(tuple, df.collect())) == sorted(res.fetchall())
+
+
+# ---- near-duplicates: bands of the stage's width ---------------------------------------------------------------------
+
+
+def test_blocks_lose_no_pair_that_shares_a_band(spark):
+    """Without the star step, at 0.8 with seven registers a band: every similar pair that shares a band is found."""
+    from sensorloom.llm import neardup
+
+    rng = random.Random(11)
+    words = vocabulary(3000, rng)
+    texts, similarity, k = [], 0.8, 5
+    for _ in range(150):
+        base = [rng.choice(words) for _ in range(220)]
+        other = list(base)
+        for at in rng.sample(range(220), rng.choice([2, 3, 4])):
+            other[at] = rng.choice(words)
+        texts += [" ".join(base), " ".join(other)]
+    sets = list(Words(*text_bytes(pa.array(texts, pa.large_string()))).shingles(k))
+    sketch = neardup.registers(neardup.minima(sets))
+    rows = neardup.band_rows(similarity)
+    assert rows == 7
+    codes = neardup.band_codes(sketch, rows)
+    assert codes.shape == (300, 256 // 7) and all((codes[0, t] == codes[1, t]) == (sketch[0, t * 7 : t * 7 + 7] == sketch[1, t * 7 : t * 7 + 7]).all() for t in range(36))
+    found, share, want = set(), 0, set()
+    for t in range(codes.shape[1]):
+        _, bucket = np.unique(codes[:, t], return_inverse=True)
+        for b in np.flatnonzero(np.bincount(bucket) > 1):
+            ids = np.flatnonzero(bucket == b)
+            pdf = pd.DataFrame({"side": 0, "sketch": [sketch[i].tobytes() for i in ids], "t": t, "grp": ids, "id": ids, "n": [len(sets[i]) for i in ids], "text": [texts[i] for i in ids]})
+            found |= set(map(tuple, neardup._across(pdf, neardup.cut(similarity), similarity, k, rows)[["a", "b"]].to_numpy().tolist()))
+    for i in range(0, 300, 2):
+        both = len(np.intersect1d(sets[i], sets[i + 1]))
+        if 100 * both >= 80 * (len(sets[i]) + len(sets[i + 1]) - both) and (codes[i] == codes[i + 1]).any():
+            want.add((i, i + 1))
+            share += not (sketch[i].view(np.uint64) == sketch[i + 1].view(np.uint64)).any()
+    assert len(want) > 80 and {tuple(sorted(x)) for x in found} == want
+
+
+def test_repeated_ids_are_compared_by_one_text(spark):
+    from sensorloom.llm import neardup
+
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["ab", "cd", "ef", "gh", "ij", "kl"]) + str(rng.randint(0, 99)) for _ in range(100)) for _ in range(3)]
+    docs = [(1, texts[0]), (1, texts[1]), (2, texts[0] + " x"), (3, texts[1] + " x"), (4, texts[2]), (4, texts[2])]
+    runs = {tuple(sorted(map(tuple, neardup.near_duplicates(spark.createDataFrame(docs[k:] + docs[:k], "doc_id long, text string").repartition(k + 1), Scratch(spark, "t"), 3, 0.85).collect()))) for k in range(3)}
+    assert len(runs) == 1
