@@ -531,7 +531,11 @@ RULE_KEYS = ["line_id", "task_name", "out_name", "tag_topic"]
 def rules_all(spark, sf):
     """The whole of it: enrich, formulas, every online rule's chain, and the results as a table of results has them."""
     r = raw(spark, sf).withColumn("day", F.floor(F.col("ms") / DAY))  # a message is what one user sends on one day
-    graded = results(calculate(r, enrich.online(conf(spark)), ["user_id", "day"], RULE_KEYS)).withColumn("grade", route.grade(F.col("out_name"), F.col("calculate_params")))
+    return _graded(calculate(r, enrich.online(conf(spark)), ["user_id", "day"], RULE_KEYS))
+
+
+def _graded(found: DataFrame) -> DataFrame:
+    graded = results(found).withColumn("grade", route.grade(F.col("out_name"), F.col("calculate_params")))
     return graded.withColumn("value", round_half_up(F.col("value"))).withColumn("calculate_time", time_text(F.unix_millis("calculate_time")))
 
 
@@ -558,6 +562,11 @@ z AS ({" UNION ALL ".join(_RULE.format(*x) for x in (
 SELECT out_name, tag_topic, {r4("value")} AS value, strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') AS calculate_time, calculate_type, calculate_params, job_name, line_id, grade FROM z"""
 
 
+#: The same as far as the watermark comes: windows that have ended, records before it, messages whose day is over.
+STREAM_RULES_SQL = RULES_SQL + f""" WHERE CASE WHEN out_name IN ('ratio', 'busy') THEN (ms // {DAY} + 1) * {DAY} <= (SELECT max(ms) FROM t) - 1000
+ WHEN calculate_type IN ('LAST', 'FOF') THEN ms < (SELECT max(ms) FROM t) - 1000 ELSE ms <= (SELECT max(ms) FROM t) - 1000 END"""
+
+
 def _stream(spark, sf) -> DataFrame:
     """``events`` as a stream; a micro-batch is a bounded number of files."""
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
@@ -575,6 +584,33 @@ def _folder(spark) -> str:
     return f"{shared}/stream-{uuid.uuid4().hex[:12]}"
 
 
+def _fed(spark, sf, result, times: int = 3) -> DataFrame:
+    """``result`` of a stream over ``events`` that come in ``times`` stretches of time, the query started anew for each.
+
+    A stretch is written to the stream's folder, then the query reads it from its checkpoint on; the records of a stretch
+    stand in files in any order.
+    """
+    folder = _folder(spark)
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    at = millis(F.col("ts"))
+    bounds = e.select(at.alias("ms")).approxQuantile("ms", [k / times for k in range(1, times)], 0.01)
+    part = sum((F.when(at > b, 1).otherwise(0) for b in bounds), F.lit(0))
+    for k in range(times):
+        e.where(part == k).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(e.schema).parquet(f"{folder}/in")
+        out = streams.replay(result(source.select("event_type", "user_id", at.alias("ms"), F.col("event_id").alias("seq"), "value")), folder)
+    return out
+
+
+def stream_rules(spark, sf):
+    """rules_all on a stream: every online rule's chain, formulas included, over several micro-batches and restarts."""
+    def run(t):
+        r = t.withColumnRenamed("event_type", "name").withColumn("topic", F.lit("opc")).withColumn("day", F.floor(F.col("ms") / DAY))
+        return calculate(r, enrich.online(conf(spark)), ["user_id", "day"], RULE_KEYS)
+
+    return _graded(_fed(spark, sf, run))
+
+
 def stream_windows(spark, sf):
     """Hourly averages and maxima of the replayed stream, as far as its watermark came."""
     return streams.replay(streams.stream_windows(_stream(spark, sf), {"avg": "AVG", "max": "MAX"}, ["event_type"], "1 hour", "1 hour"), _folder(spark))
@@ -720,7 +756,7 @@ for _name, _query, _sql in (
     ("cep_next", cep_next, CEP_SQL), ("cep_switching", cep_switching, CEP_SWITCH_SQL), ("decode_messages", decode_messages, DECODE_SQL), ("time_formats", time_formats, TIME_SQL),
     ("chain_avg_var", _chain("AVG_VAR", "1h,1h|1", ["event_type"]), CHAIN_AVG_VAR_SQL),
     ("chain_dejump_fof_avg", _chain("DEJUMP_FOF_AVG", "-50,50|0.3|1d,1d", PAIR), CHAIN_FILTER_SQL),
-    ("rules_all", rules_all, RULES_SQL),
+    ("rules_all", rules_all, RULES_SQL), ("stream_rules", stream_rules, STREAM_RULES_SQL),
     ("rules_enriched", rules_enriched, f"SELECT out_name, calculate_type, epoch_us(strptime(calculate_time, '%Y-%m-%d %H:%M:%S')) // 1000000 AS s, value FROM ({RULES_SQL}) WHERE out_name NOT IN ('ratio', 'busy', 'lead_avg')"), ("stream_windows", stream_windows, STREAM_SQL), ("stream_last", stream_last, _lag_sql("LAST", 2)),
 ):
     _register(_name, _query, _sql)

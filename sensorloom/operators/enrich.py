@@ -64,31 +64,46 @@ def enrich(raw: DataFrame, conf: DataFrame) -> DataFrame:
     return raw.join(rules, (raw["name"] == rules["tag_name"]) & (raw["topic"] == rules["tag_topic"])).drop("tag_name", "topic")
 
 
-def formula_rows(raw: DataFrame, message: list[str], conf: DataFrame) -> DataFrame:
+def messages_of(raw: DataFrame, message: list[str], conf: DataFrame, span: str | None = None) -> DataFrame:
+    """A row per message (the columns ``message`` and topic) with the list ``_l`` of its records that formulas read.
+
+    In a stream, whose records have ts under a watermark, a message is what came in one ``span`` of event time.
+    """
+    own = list(dict.fromkeys([*message, "topic"]))
+    used = keep_used(raw, conf.where(F.col("tag_name").contains("[")))
+    record = F.struct("seq", "ms", "name", F.col("value").cast("double").alias("v"))
+    window = [] if span is None else [F.window("ts", span)]
+    return used.groupBy(*own, *window).agg(F.collect_list(record).alias("_l")).select(*own, "_l")
+
+
+def formula_rows(raw: DataFrame, message: list[str], conf: DataFrame, span: str | None = None, lists: DataFrame | None = None) -> DataFrame:
     """Records of the rules that are formulas over several tags of one message, with the columns that ``enrich`` gives.
 
-    As ``formula_values``, but the formulas stay data: operands are joined as rows, so the plan is the same for any
-    number of rules, and each text is read once a batch. Of a tag that repeats in a message the last record counts.
-    Columns: the rule's, tag_topic, the message's, name (the formula), ms, seq and value.
+    As ``formula_values``, but the formulas stay data: a message's records meet in one list, which is joined with the
+    formulas whose first tag it has, so the plan is the same for any number of rules, messages are shuffled once, and
+    each text is read once a batch. Of a tag that repeats in a message the last record counts. ``lists``: messages_of,
+    if several calls share it. Columns: the rule's, tag_topic, the message's, name (the formula), ms, seq and value.
     """
-    rules = conf.where(F.col("calculate_type").isNotNull() & F.col("tag_name").contains("["))
+    lists = messages_of(raw, message, conf, span) if lists is None else lists
+    own = lists.columns[:-1]
+    formulas = conf.where(F.col("calculate_type").isNotNull() & F.col("tag_name").contains("["))
     tags = F.array_distinct(F.regexp_extract_all("tag_name", F.lit(r"\[([^\[\]]+)\]"), F.lit(1)))
-    operands = small(rules.select("tag_name", "tag_topic", *RULE, F.posexplode(tags).alias("_place", "_tag")))
-    own = list(dict.fromkeys([*message, "topic"]))
-    last = keep_used(raw, conf.where(F.col("tag_name").contains("["))).groupBy(*own, "name").agg(F.max_by(F.struct(F.col("value").cast("double").alias("v"), "ms", "seq"), "seq").alias("x"))
-    met = last.join(operands, (last["name"] == operands["_tag"]) & (last["topic"] == operands["tag_topic"])).drop("name", "_tag")
+    rules = small(formulas.select("tag_name", "tag_topic", *RULE, tags.alias("_tags"), F.get(tags, F.lit(0)).alias("_first")))
+    each = lists.select("*", F.explode(F.array_distinct(F.transform("_l", lambda x: x["name"]))).alias("_name"))
+    met = each.join(rules, (each["_name"] == rules["_first"]) & (each["topic"] == rules["tag_topic"]))
+    last = lambda t: F.array_max(F.filter("_l", lambda x: x["name"] == t))
     by = [*own, "tag_name", *RULE]
-    rows = met.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_place", "x.v"))).alias("_values"), F.max(F.when(F.col("_place") == 0, F.col("x"))).alias("_x"))
-    rows = rows.where("_x is not null").select(*by, F.col("_x.ms").alias("ms"), F.col("_x.seq").alias("seq"), "_values")
+    rows = met.select(*by, last(F.col("_first")).alias("_x"), F.transform("_tags", lambda t: last(t)["v"]).alias("_values"))
+    rows = rows.select(*by, F.col("_x.ms").alias("ms"), F.col("_x.seq").alias("seq"), "_values")
     schema = T.StructType([*(f for f in rows.schema.fields if f.name != "_values"), T.StructField("value", T.DoubleType())])
 
     def work(batches):
         for pdf in batches:
             value = np.zeros(len(pdf))
             for text, at in pdf.groupby("tag_name").indices.items():
-                given = [dict(m) for m in pdf["_values"].iloc[at]]
+                given = np.array(pdf["_values"].iloc[at].tolist(), float)  # a column per tag
                 place = {t: k for k, t in enumerate(formula_tags(text))}
-                value[at] = compile_formula(text, lambda t: [m.get(place[t]) or 0.0 for m in given], ARRAYS)  # noqa: B023
+                value[at] = compile_formula(text, lambda t: given[:, place[t]], ARRAYS)  # noqa: B023
             yield pdf.drop(columns="_values").assign(value=value)
 
     return rows.mapInPandas(work, schema).withColumnRenamed("tag_name", "name").withColumnRenamed("topic", "tag_topic")

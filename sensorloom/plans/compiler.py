@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
+import re
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.enrich import at_hand, enrich, formula_rows, small
+from ..functions.times import parse_duration
+from ..operators.enrich import SMALL, at_hand, collected, enrich, formula_rows, messages_of, small
 from ..operators.route import union_all
 from ..operators.sequences import filter_stage, lag_stage, rsi, sequenced
 from ..operators.windows import window_aggregate, window_each
@@ -118,28 +124,100 @@ def run_rules(tags: DataFrame, keys: list[str], specs: DataFrame | None = None,
     return union_all(out)
 
 
-def calculate(raw: DataFrame, conf: DataFrame, message: list[str], keys: list[str], last_wins: bool = False) -> DataFrame:
+def _local(spark, rows: list[dict], schema: str) -> DataFrame:
+    """A few rows as a local table, whose joins cost no job."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    typed = T.StructType.fromDDL(schema)
+    return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(typed)), typed)
+
+
+def calculate(raw: DataFrame, conf: DataFrame, message: list[str], keys: list[str], last_wins: bool = False, span: str = "1 day", late: str = "1 second") -> DataFrame:
     """Raw records (name, topic, ms, seq, value and the columns ``message``) and a rule table -> results of all its rules.
 
     As ``run_rules``, but each shape's rules meet the raw records by themselves, those that are formulas over one
-    message's tags included, so that no record is read for rules of another shape.
+    message's tags included, so that no record is read for rules of another shape; messages are gathered once for all.
+    A small rule table is read once and compiled on the driver. A stream of raw records gives a stream of results (see
+    ``calculate_stream``).
     """
+    if raw.isStreaming:
+        return calculate_stream(raw, conf, message, keys, last_wins, span, late)
     known = conf.where("calculate_type is not null").withColumn("param", F.coalesce("param", F.lit("")))
-    parsed = read_specs(known, last_wins)
-    known = at_hand(known.join(small(parsed.select("calculate_type", "param", "shape")), ["calculate_type", "param"]))
     cols = [*keys, "calculate_type", "param", "ms", "seq", "value"]
-    out = []
-    for shape, used in _shapes(parsed).items():
-        rules = small(parsed.where(F.col("shape") == shape).select("calculate_type", "param", "ops", "args"))
-        mine = known.where(F.col("shape") == shape).drop("shape")
-        formula = F.col("tag_name").contains("[")
+    found = known.limit(SMALL + 1).collect()
+    out, lists = [], None
+    if len(found) <= SMALL:
+        spark, schema = raw.sparkSession, known.schema.toDDL()
+        stages = {(r["calculate_type"], r["param"]): parse_spec(r["calculate_type"], r["param"], last_wins) for r in found}
+        shaped: dict[str, list] = {}
+        for (kind, param), s in sorted(stages.items()):
+            shaped.setdefault("".join(_letter(x.op) for x in s), []).append({"calculate_type": kind, "param": param, "ops": [x.op for x in s], "args": [[float(a) for a in x.args] for x in s]})
+        by_shape = {k: (_local(spark, v, "calculate_type string, param string, ops array<string>, args array<array<double>>"), [sorted({r["ops"][i] for r in v}) for i in range(len(k))]) for k, v in shaped.items()}
+        shape_of = {(r["calculate_type"], r["param"]): k for k, v in shaped.items() for r in v}
+        mine = {k: [[r.asDict() for r in found if shape_of[r["calculate_type"], r["param"]] == k and ("[" in (r["tag_name"] or "")) == f] for f in (False, True)] for k in by_shape}
+        parts_of = {k: [_local(spark, x, schema) if x else None for x in v] for k, v in mine.items()}
+    else:
+        parsed = read_specs(known, last_wins)
+        known = known.join(parsed.select("calculate_type", "param", "shape"), ["calculate_type", "param"])
+        is_formula = F.col("tag_name").contains("[")
+        by_shape = {k: (small(parsed.where(F.col("shape") == k).select("calculate_type", "param", "ops", "args")), used) for k, used in _shapes(parsed).items()}
+        parts_of = {k: [known.where((F.col("shape") == k) & f).drop("shape") for f in (~is_formula, is_formula)] for k in by_shape}
+    for shape, (rules, used) in by_shape.items():
+        single, formula = parts_of[shape]
         parts = []
-        if not mine.where(~formula).isEmpty():
-            parts.append(enrich(raw, mine.where(~formula)).select(*cols))
-        if not mine.where(formula).isEmpty():
-            parts.append(formula_rows(raw, message, mine).select(*cols))
+        if single is not None:
+            parts.append(enrich(raw, single).select(*cols))
+        if formula is not None:
+            lists = messages_of(raw, message, known) if lists is None else lists
+            parts.append(formula_rows(raw, message, formula, lists=lists).select(*cols))
         out.append(_branch(union_all(parts), rules, shape, used, keys))
-    return union_all(out or [_branch(enrich(raw, known), parsed, "R", [], keys)])
+    return union_all(out or [enrich(raw, known).select(*cols).limit(0)])
+
+
+def calculate_stream(raw: DataFrame, conf: DataFrame, message: list[str], keys: list[str], last_wins: bool = False, span: str = "1 day", late: str = "1 second") -> DataFrame:
+    """As ``calculate`` for a stream: the results that the watermark, ``late`` behind the newest record, lets be told.
+
+    All chains run in one stateful step (streaming.chains), whose shuffle is the only one of rules that begin with a
+    sequence; what begins with a window is summed into panes before, as wide as all such windows allow. A message of
+    formulas is what came in one ``span`` of event time. RAW rules over one tag give each record as it comes.
+    """
+    from ..streaming import chains
+
+    known = at_hand(conf.where("calculate_type is not null").withColumn("param", F.coalesce("param", F.lit(""))))
+    specs = {(r[0], r[1]): tuple(s for s in parse_spec(r[0], r[1], last_wins) if s.op != "RAW") for r in collected(known.select("calculate_type", "param").distinct(), "specs of a stream")}
+    first = {k: s[0] if s else None for k, s in specs.items()}
+    kinds = _local(raw.sparkSession, [{"calculate_type": k, "param": p, "_kind": "R" if s is None else "W" if s.op in WINDOW_OPS else "S", "_whole": s is not None and s.op in ("MEDIAN", "SLOPE")} for (k, p), s in first.items()], "calculate_type string, param string, _kind string, _whole boolean")
+    known = known.join(F.broadcast(kinds), ["calculate_type", "param"])
+    named = [*keys, "calculate_type", "param"]
+    timed = raw.withColumn("ts", F.timestamp_millis("ms")).withWatermark("ts", late)
+    is_formula = F.col("tag_name").contains("[")
+    out, rows = [], []
+
+    def marked(df: DataFrame, kind: str) -> DataFrame:
+        return df.join(F.broadcast(kinds.where(F.col("_kind") == kind)), ["calculate_type", "param"])
+
+    plain = enrich(timed, known.where(~is_formula).drop("_kind", "_whole"))
+    of = {r["_kind"]: r for r in known.groupBy("_kind").agg(F.max(~is_formula).alias("plain"), F.max(is_formula).alias("formula")).collect()}
+    cols = [*named, "ms", "seq", "value"]
+    if "W" in of and of["W"]["plain"]:
+        width = math.gcd(*(a for s in first.values() if s is not None and s.op in WINDOW_OPS for a in s.args))
+        rows.append(chains.panes(marked(plain, "W"), named, width, F.col("_whole")))
+    if "S" in of and of["S"]["plain"]:
+        rows.append(chains.singles(marked(plain, "S"), named))
+    if "R" in of and of["R"]["plain"]:
+        out.append(marked(plain, "R").select(*cols))
+    if any(r["formula"] for r in of.values()):  # one aggregation for all formulas; those without a chain go through as they are
+        found = formula_rows(timed, message, known.where(is_formula).drop("_kind", "_whole"), span)
+        rows.append(chains.singles(found, named, parse_duration(_short(span))))
+    if rows:
+        out.insert(0, chains.run_chains(union_all(rows), named, chains.spec_of(named, last_wins)).select(*cols))
+    return union_all([o.select(*keys, "ms", "seq", F.col("value").cast("double").alias("value"), "calculate_type", "param") for o in out])
+
+
+def _short(span: str) -> str:
+    """'1 day' as '1d'."""
+    count, unit = re.fullmatch(r"\s*(\d+)\s*([a-z]+)\s*", span).groups()
+    return f"{count}{'ms' if unit.startswith('milli') else unit[0]}"
 
 
 def results(found: DataFrame) -> DataFrame:
