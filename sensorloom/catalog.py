@@ -100,6 +100,21 @@ w AS (SELECT *, row_number() OVER (PARTITION BY event_type, win_start ORDER BY m
 SELECT event_type, win_start, win_start + 7200000 AS win_end, {r4("CAST(sum(d) AS DOUBLE) / count(*)")} AS avg, {r4("nullif(regr_slope(value, rn), 'nan'::DOUBLE)")} AS slope, arg_min(user_id, (ms, seq)) AS user_id, arg_min(value, (ms, seq)) AS value FROM w GROUP BY event_type, win_start"""
 
 
+CARRIED = {"max": "MAX", "min": "MIN", "median": "MEDIAN", "interp": "INTERP", "sum": "SUM"}
+
+
+def win_carry_each(spark, sf):
+    """Each operator's result with columns of the record that it is about; users repeat whole values."""
+    t = tags(spark, sf).withColumn("value", F.floor(F.col("value") / 40) * 40.0)
+    return windows.window_aggregate(t, CARRIED, ["event_type"], "6h", "2h", carry_each=["user_id", "seq"])
+
+
+_CARRIER = {"MAX": "arg_max({c}, (value, ms, seq))", "MEDIAN": "arg_max({c}, (value, ms, seq))", "MIN": "arg_max({c}, (-value, ms, seq))", "INTERP": "arg_max({c}, (ms, seq))", "SUM": "arg_min({c}, (ms, seq))"}
+CARRY_EACH_SQL = f"""WITH {T}, f AS (SELECT event_type, user_id, ms, seq, floor(value / 40) * 40.0::DOUBLE AS value FROM t), x AS (SELECT *, unnest(range(ms - ms % 7200000, ms - 21600000, -7200000)) AS win_start FROM f)
+SELECT event_type, win_start, win_start + 21600000 AS win_end, max(value) AS max, min(value) AS min, {r4("median(value)")} AS median, arg_max(value, (ms, seq)) AS interp, CAST(sum(CAST(value AS DECIMAL(19,9))) AS DOUBLE) AS sum,
+ {", ".join(f"{_CARRIER[op].format(c=c)} AS {k}_{c}" for k, op in CARRIED.items() for c in ("user_id", "seq"))} FROM x GROUP BY event_type, win_start"""
+
+
 def win_gap_offset(spark, sf):
     """A slide above the size leaves gaps; windows start 10 minutes past its multiples."""
     return windows.window_aggregate(tags(spark, sf), {"value": "SUM"}, ["event_type"], F.lit(HOUR).cast("long"), F.lit(2 * HOUR).cast("long"), offset="10m")
@@ -171,9 +186,9 @@ FILTER_ARGS = {"FOF": (0.3,), "EMA": (5,), "DIF": (3, 6), "DEJUMP": (-50.0, 50.0
 PAIR = ["event_type", "user_id"]
 
 
-def _filter(op: str):
+def _filter(op: str, chunk: str | None = None):
     def run(spark, sf):
-        out = sequences.filtered(tags(spark, sf), {"_out": (op, *FILTER_ARGS[op])}, PAIR)
+        out = sequences.filtered(tags(spark, sf), {"_out": (op, *FILTER_ARGS[op])}, PAIR, chunk)
         return out.select(*PAIR, "ms", "seq", round_half_up(F.col("_out")).alias("value"))
 
     return run
@@ -185,6 +200,12 @@ def filters_fused(spark, sf):
     return sequences.filtered(tags(spark, sf), ops, PAIR).select(*PAIR, "ms", "seq", *(round_half_up(F.col(k)).alias(k) for k in ops))
 
 
+def filters_chunked(spark, sf):
+    """All recursive filters over series that are cut by the day: a day's state before its first record is found first."""
+    ops = {op.lower(): (op, *a) for op, a in FILTER_ARGS.items()}
+    return sequences.filtered(tags(spark, sf), ops, PAIR, CHUNK).select(*PAIR, "ms", "seq", *(round_half_up(F.col(k)).alias(k) for k in ops))
+
+
 _ROWS = f"{T}, s AS (SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ms, seq) AS rn FROM t)"
 
 
@@ -741,13 +762,17 @@ _register("lag_fused", lag_fused, LAG_FUSED_SQL)
 _register("rsi", rsi, RSI_SQL)
 for _op in FILTER_ARGS:
     _register(_op.lower(), _filter(_op), FILTER_SQL[_op])
-_register("filters_fused", filters_fused, "SELECT " + "f0.event_type, f0.user_id, f0.ms, f0.seq, " + ", ".join(f"f{i}.value AS {op.lower()}" for i, op in enumerate(FILTER_ARGS)) + " FROM " + " ".join(("JOIN " if i else "") + f"({FILTER_SQL[op]}) f{i}" + (f" ON f0.seq = f{i}.seq" if i else "") for i, op in enumerate(FILTER_ARGS)))
+_FUSED = "SELECT " + "f0.event_type, f0.user_id, f0.ms, f0.seq, " + ", ".join(f"f{i}.value AS {op.lower()}" for i, op in enumerate(FILTER_ARGS)) + " FROM " + " ".join(("JOIN " if i else "") + f"({FILTER_SQL[op]}) f{i}" + (f" ON f0.seq = f{i}.seq" if i else "") for i, op in enumerate(FILTER_ARGS))
+_register("filters_fused", filters_fused, _FUSED)
+_register("filters_chunked", filters_chunked, _FUSED)
+for _op in FILTER_ARGS:
+    _register(f"{_op.lower()}_chunked", _filter(_op, CHUNK), FILTER_SQL[_op])
 _register("raw", lambda spark, sf: run_chain(tags(spark, sf), parse_spec("RAW", ""), ["event_type"]), f"WITH {T} SELECT event_type, ms, seq, value FROM t")
 for _name, _query, _sql in (
     ("enrich", enriched, ENRICH_SQL), ("tag_semi_filter", tag_semi_filter, SEMI_SQL), ("formula", formula, FORMULA_SQL), ("filter_normal_job", normal_job, NORMAL_SQL),
     ("parse_params", parse_params, PARSE_SQL), ("route_union", route_union, ROUTE_SQL), ("grade_split", grade_split, GRADE_SQL), ("post_fanout", post_fanout, FANOUT_SQL),
     ("post_assemble", post_assemble, ASSEMBLE_SQL), ("post_requests", post_requests, REQUESTS_SQL), ("feedback", feedback, FEEDBACK_SQL), ("json_topics", json_topics, TOPICS_SQL),
-    ("win_null_key", win_null_key, NULL_KEY_SQL), ("win_carry", win_carry, CARRY_SQL), ("formula_rows", formula_rows, FORMULA_SQL), ("flatten_normal", flatten_normal, FLATTEN_SQL),
+    ("win_null_key", win_null_key, NULL_KEY_SQL), ("win_carry", win_carry, CARRY_SQL), ("win_carry_each", win_carry_each, CARRY_EACH_SQL), ("formula_rows", formula_rows, FORMULA_SQL), ("flatten_normal", flatten_normal, FLATTEN_SQL),
     ("operands", operands, OPERANDS_SQL), ("route_by_spec", route_by_spec, BY_SPEC_SQL), ("retain_rewrite", retain_rewrite, REWRITE_SQL),
     ("chain_ema_sum", _chain_sum("EMA", "5"), _chain_of("EMA", "5", 8)), ("chain_dif_sum", _chain_sum("DIF", "3,6"), _chain_of("DIF", "3,6", 9)),
     ("stream_holistic", stream_holistic, STREAM_HOLISTIC_SQL), ("stream_dynamic", stream_dynamic, f"SELECT * FROM ({DYNWIN_SQL}) WHERE win_end <= (SELECT max(epoch_us(ts) // 1000) FROM events) - 1000"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from functools import cache
 
 import numpy as np
@@ -248,15 +249,258 @@ def _pieces(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
     return np.cumsum(new)
 
 
-def filtered(df: DataFrame, ops: dict[str, tuple], keys: list[str]) -> DataFrame:
+# ---- what a chunk of a series does to a filter's state, whatever that state is --------------------------------------
+
+
+class Smoothed:
+    """y = share*x + (1-share)*y over a chunk is an affine map of the y before it."""
+
+    def __init__(self, share: float):
+        self.share, self.n, self.first, self.end = share, 0, 0.0, None
+
+    def add(self, x: np.ndarray) -> None:
+        weights = self.share * (1 - self.share) ** np.arange(len(x) - 1, -1, -1)
+        if not self.n:
+            self.first = self.end = float(x[0])
+        self.end = (1 - self.share) ** len(x) * self.end + float(weights @ x)
+        self.n += len(x)
+
+    def after(self, state):
+        """The state behind the chunk, from the one before it (None: the series begins with the chunk)."""
+        if state is None or not self.n:
+            return self.end if self.n else state
+        kept = (1 - self.share) ** self.n
+        return kept * state + (self.end - kept * self.first)
+
+
+class Difference:
+    """Two smoothed series."""
+
+    def __init__(self, fast: int, slow: int):
+        self.parts = Smoothed(2 / (fast + 1)), Smoothed(2 / (slow + 1))
+
+    def add(self, x: np.ndarray) -> None:
+        for p in self.parts:
+            p.add(x)
+
+    def after(self, state):
+        out = tuple(p.after(s) for p, s in zip(self.parts, state or (None, None)))
+        return None if out[0] is None else out
+
+
+class Predicted:
+    """The Kalman filter's gains stand still after some records: from there on a chunk is one 2x2 map and a shift.
+
+    So many records of a chunk are kept as they are; they are replayed with the gains that their place in the series has.
+    """
+
+    def __init__(self, dt: float, r: float):
+        self.dt, self.r, self.head, self.m, self.shift = dt, r, [], 0, (0.0, 0.0)
+
+    def add(self, x: np.ndarray) -> None:
+        room = max(len(_gains(self.dt, self.r)) - len(self.head), 0)
+        self.head += x[:room].tolist()
+        if len(x) > room:
+            self.shift = self._steps((*self.shift, len(_gains(self.dt, self.r)) - 1), x[room:])[:2]
+            self.m += len(x) - room
+
+    def _steps(self, state, x):
+        return kalman(state, np.asarray(x, float), np.zeros(len(x), int), self.dt, self.r)[1]
+
+    def after(self, state):
+        if not self.head:
+            return state
+        p, v, k = self._steps(state, self.head)
+        if self.m:
+            g, h = _gains(self.dt, self.r)[-1]
+            step = np.array([[1 - g, (1 - g) * self.dt], [-h, 1 - h * self.dt]])
+            p, v = (np.linalg.matrix_power(step, self.m) @ np.array([p, v]) + np.array(self.shift)).tolist()
+        return p, v, min(k + self.m, len(_gains(self.dt, self.r)) - 1)
+
+
+class Unjumped:
+    """The last accepted value stays until a value within bounds comes; from there on all is as if the series began there.
+
+    Kept are the values that are the first within bounds for some state. All reach equally far, so only as many are kept
+    as such reaches lie side by side between the least and the greatest value.
+    """
+
+    def __init__(self, low: float, high: float):
+        self.low, self.high, self.values, self.ends, self.covered, self.seen = low, high, [], [], [], set()
+
+    def add(self, x: np.ndarray) -> None:
+        for v in x.tolist():
+            self.ends = [v if self.low <= v - e <= self.high else e for e in self.ends]
+            a, b = v - self.high, v - self.low
+            slack = 1e-9 * max(abs(a), abs(b), 1.0)
+            if v not in self.seen and not any(c <= a and b <= d for c, d in self.covered):
+                self.seen.add(v)
+                self.values.append(v)
+                self.ends.append(v)
+                inner = (a + slack, b - slack) if b - a > 2 * slack else (a, b)
+                near = [c for c in self.covered if c[0] <= inner[1] + 4 * slack and inner[0] <= c[1] + 4 * slack]
+                self.covered = [c for c in self.covered if c not in near] + [(min([inner[0], *(c[0] for c in near)]), max([inner[1], *(c[1] for c in near)]))]
+
+    def after(self, state):
+        if not self.values:
+            return state
+        if state is None:
+            return self.ends[0]
+        return next((e for v, e in zip(self.values, self.ends) if self.low <= v - state <= self.high), state)
+
+
+#: operator -> what a chunk does to its state
+CHUNKS = {"FOF": Smoothed, "EMA": lambda n: Smoothed(2 / (n + 1)), "DIF": Difference, "KF": Predicted, "DEJUMP": Unjumped}
+
+
+#: The numbers that an operator's state is, NaN where there is none yet.
+WIDTHS = {"FOF": 1, "EMA": 1, "DIF": 2, "KF": 3, "DEJUMP": 1}
+
+
+def _numbers(op: str, state) -> list[float]:
+    if state is None:
+        return [np.nan] * WIDTHS[op]
+    return [float(v) for v in state] if WIDTHS[op] > 1 else [float(state)]
+
+
+def _state(op: str, numbers):
+    if np.isnan(numbers[0]):
+        return None
+    return float(numbers[0]) if WIDTHS[op] == 1 else (*map(float, numbers[:2]), int(numbers[2])) if op == "KF" else tuple(map(float, numbers))
+
+
+def _keys_at(columns: list[np.ndarray], i: int) -> tuple:
+    return tuple(None if v is None or v != v else v for v in (c[i] for c in columns))
+
+
+def chunk_starts(chunked: DataFrame, ops: dict[str, tuple], keys: list[str]) -> DataFrame:
+    """(_at, _start): each chunk's states before its first record, by operator, from ``chunked`` (dealt and sorted by _at).
+
+    Every chunk is summed up by itself; the few numbers of all chunks of a series are then put together in their order.
+    """
+    at = chunked.schema["_at"]
+    by = [*keys, "_chunk"]
+
+    def summed(batches):
+        now, held, key, out = None, None, None, []
+        for pdf in batches:
+            columns = [pdf[k].to_numpy(object) for k in by]
+            x = pd.to_numeric(pdf["value"], errors="coerce").to_numpy(float)
+            for a, b in _parts(_pieces(pdf, by)):
+                own = _keys_at(columns, a)
+                if own != now:
+                    if held is not None:
+                        out.append((key, pickle.dumps(held)))
+                    now, key, held = own, dict(zip(by, own)), {k: CHUNKS[o[0]](*o[1:]) for k, o in ops.items()}
+                part = x[a:b][~np.isnan(x[a:b])]
+                if len(part):
+                    for m in held.values():
+                        m.add(part)
+            yield pd.DataFrame({"_at": [k for k, _ in out], "_map": [m for _, m in out]})
+            out = []
+        if held is not None:
+            yield pd.DataFrame({"_at": [key], "_map": [pickle.dumps(held)]})
+
+    def placed(batches):
+        now, states = None, {}
+        for pdf in batches:
+            starts = []
+            for at_, m in zip(pdf["_at"], pdf["_map"]):
+                own = tuple(at_[k] for k in keys)
+                if own != now:
+                    now, states = own, dict.fromkeys(ops)
+                starts.append([v for k, o in ops.items() for v in _numbers(o[0], states[k])])
+                states = {k: c.after(states[k]) for k, c in pickle.loads(m).items()}
+            yield pd.DataFrame({"_at": pdf["_at"], "_start": starts})
+
+    maps = chunked.select("_at", *by, "value").mapInPandas(summed, T.StructType([at, T.StructField("_map", T.BinaryType())]))
+    series = [F.col(f"_at.{k}") for k in keys]
+    return maps.repartition(*series).sortWithinPartitions("_at").mapInPandas(placed, T.StructType([at, T.StructField("_start", T.ArrayType(T.DoubleType()))]))
+
+
+def _smooth_from(start: np.ndarray, x: np.ndarray, series: np.ndarray, share: float) -> np.ndarray:
+    """y = share*x + (1-share)*y over several series, each from its start (NaN: it begins with its first value)."""
+    first = np.flatnonzero(np.r_[True, series[1:] != series[:-1]]) if len(series) else np.zeros(0, int)
+    first = first[~np.isnan(start[series[first]])]
+    put = first + np.arange(len(first))
+    if 0 < share <= 1:
+        whole, of = np.insert(x, first, start[series[first]]), np.insert(series, first, series[first])
+        y = pd.Series(whole).groupby(of).ewm(alpha=share, adjust=False).mean().to_numpy() if len(whole) else whole
+        return np.delete(y, put)
+    return np.concatenate([np.zeros(0), *(fof(None if np.isnan(start[series[a]]) else float(start[series[a]]), x[a:b], series[a:b], share)[0] for a, b in _parts(series))])
+
+
+def _each_from(op: str, start: np.ndarray, x: np.ndarray, series: np.ndarray, args: tuple) -> tuple[np.ndarray, list[float]]:
+    """An operator over several series, each from its own numbers, and the numbers behind the last one."""
+    last = len(start) - 1
+    goes_on = len(series) > 0 and series[-1] == last
+    if op in ("FOF", "EMA", "DIF"):
+        shares = [args[0]] if op == "FOF" else [2 / (n + 1) for n in args]
+        y = [_smooth_from(start[:, k], x, series, a) for k, a in enumerate(shares)]
+        return (y[0] - y[1] if op == "DIF" else y[0]), [float(v[-1]) for v in y] if goes_on else start[last].tolist()
+    out, end = np.empty(len(x)), start[last].tolist()
+    for a, b in _parts(series):
+        out[a:b], state = STATEFUL[op][0](_state(op, start[series[a]]), x[a:b], series[a:b], *args)
+        if series[a] == last:
+            end = _numbers(op, state)
+    return out, end
+
+
+def filtered(df: DataFrame, ops: dict[str, tuple], keys: list[str], chunk=None) -> DataFrame:
     """``df`` with a double column per entry of ``ops`` (name -> (operator, *args)), unrounded.
 
     Records are dealt by key and sorted once for all operators; tasks then read batch after batch and carry each
     operator's state from one to the next, so a series of any length needs the memory of one batch. A null value gives
     null and leaves the state as it is.
+
+    With ``chunk`` (a duration) a series is cut by time and its chunks are dealt to tasks: what a chunk does to a state
+    is found without knowing that state, the states before all chunks follow from those few numbers, and each chunk is
+    then read from its own. Results differ from those without ``chunk`` by the rounding of doubles only.
     """
-    schema = T.StructType([*df.schema.fields, *(T.StructField(k, T.DoubleType()) for k in ops)])
-    plan = [(k, STATEFUL[o[0]][0], o[1:]) for k, o in ops.items()]
+    if chunk is not None:
+        return _filtered_chunks(df, ops, keys, parse_duration(chunk) if isinstance(chunk, str) else int(chunk))
+    dealt = df.repartition(*keys).sortWithinPartitions(*keys, "ms", "seq")
+    return _carried(dealt, ops, keys, df.schema)
+
+
+def _filtered_chunks(df: DataFrame, ops: dict[str, tuple], keys: list[str], chunk: int) -> DataFrame:
+    cut = df.withColumn("_chunk", F.floor(F.col("ms") / chunk)).withColumn("_at", F.struct(*keys, "_chunk"))
+    dealt = cut.repartition("_at")
+    starts = chunk_starts(dealt.sortWithinPartitions("_at", "ms", "seq"), ops, keys)
+    met = dealt.join(starts, "_at").sortWithinPartitions("_at", "ms", "seq").select(*df.columns, "_chunk", "_start")
+    return _carried(met, ops, [*keys, "_chunk"], df.schema)
+
+
+def _carried(dealt: DataFrame, ops: dict[str, tuple], keys: list[str], given_schema: T.StructType) -> DataFrame:
+    """The operators over sorted series, each from the states in its column _start if there is one."""
+    names = given_schema.fieldNames()
+    chunks = "_start" in dealt.columns
+    schema = T.StructType([*given_schema.fields, *(T.StructField(k, T.DoubleType()) for k in ops)])
+    plan = [(k, o[0] if chunks else STATEFUL[o[0]][0], o[1:]) for k, o in ops.items()]
+
+    def alone(batches):
+        """Chunks one by one, each from its own states; one that goes on in the next batch takes its states along."""
+        now, last = None, []
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            columns = [pdf[k].to_numpy(object) for k in keys]
+            series = _pieces(pdf, keys)
+            x = pd.to_numeric(pdf["value"], errors="coerce").to_numpy(float)
+            begin = np.flatnonzero(np.r_[True, series[1:] != series[:-1]])
+            start = np.array(pdf["_start"].iloc[begin].tolist(), float)
+            if _keys_at(columns, 0) == now:
+                start[0] = last
+            live = np.flatnonzero(~np.isnan(x))
+            at, ends, cols = 0, [], {}
+            for name, op, args in plan:
+                given = start[:, at : at + WIDTHS[op]]
+                cols[name] = np.full(len(pdf), np.nan)
+                cols[name][live], end = _each_from(op, given, x[live], series[live], args)
+                ends += end
+                at += WIDTHS[op]
+            now, last = _keys_at(columns, len(pdf) - 1), ends
+            yield pdf[names].assign(**{k: pd.Series(c).where(np.isfinite(c), None).astype(object).to_numpy() for k, c in cols.items()})
 
     def work(batches):
         now, states = None, {}
@@ -281,8 +525,7 @@ def filtered(df: DataFrame, ops: dict[str, tuple], keys: list[str]) -> DataFrame
                 states[name] = state if len(part) and part[-1] == series[-1] else given if series[-1] == 0 else None
             yield pdf.assign(**cols)
 
-    dealt = df.repartition(*keys).sortWithinPartitions(*keys, "ms", "seq")
-    return dealt.mapInPandas(work, schema)
+    return dealt.mapInPandas(alone if chunks else work, schema)
 
 
 def sequenced(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -326,8 +569,8 @@ def sequenced(df: DataFrame, keys: list[str]) -> DataFrame:
     return out.withColumn("value", rounded).select(*cols)
 
 
-def filter_stage(df: DataFrame, op: str, args: tuple, keys: list[str]) -> DataFrame:
-    """``df`` with value replaced by the filter's, rounded as the operator is."""
+def filter_stage(df: DataFrame, op: str, args: tuple, keys: list[str], chunk=None) -> DataFrame:
+    """``df`` with value replaced by the filter's, rounded as the operator is. ``chunk``: see filtered."""
     places = FILTERS[op][1]
     out = F.col("_out") if places is None else round_half_up(F.col("_out"), places)
-    return filtered(df, {"_out": (op, *args)}, keys).withColumn("value", out).drop("_out")
+    return filtered(df, {"_out": (op, *args)}, keys, chunk).withColumn("value", out).drop("_out")

@@ -47,11 +47,22 @@ def assign_windows(df: DataFrame, size, slide, offset=0, default=("5s", "5s"), t
 
 
 #: Operator -> the moments it is made of; those that are structs would turn a hash aggregation into a sorted one.
-NEEDS = {"SUM": "s", "AVG": "s", "VARIANCE": "sq", "STD": "sq", "CV": "sq", "MAX": "x", "MIN": "x", "RANGE": "x", "PSEQ": "x", "INTERP": "l", "SLOPE": "s", "MEDIAN": ""}
+NEEDS = {"SUM": "s", "AVG": "s", "VARIANCE": "sq", "STD": "sq", "CV": "sq", "MAX": "x", "MIN": "x", "RANGE": "x", "PSEQ": "x", "INTERP": "l", "SLOPE": "s", "MEDIAN": "m"}
+#: Operator -> the record whose columns its result carries; all others carry the earliest.
+CARRIERS = {"MAX": "top", "MEDIAN": "top", "MIN": "low", "INTERP": "last"}
+#: Which of two records is carried on, by value and time; of equal values the later.
+_PREFERRED = {"top": lambda v, ms, seq: F.struct(v, ms, seq), "low": lambda v, ms, seq: F.struct(-v, ms, seq), "last": lambda v, ms, seq: F.struct(ms, seq), "earliest": lambda v, ms, seq: F.struct(-ms, -seq)}
 
 
-def moments(v: Column, ops, carry: list[str]) -> list[Column]:
-    """Partial results that combine: counts, exact sum and sum of squares, extremes, latest and first record."""
+def _carriers(ops) -> list[str]:
+    return sorted({CARRIERS.get(o, "earliest") for o in ops})
+
+
+def moments(v: Column, ops, carry: list[str], each: list[str] = ()) -> list[Column]:
+    """Partial results that combine: counts, exact sum and sum of squares, extremes, latest and first record, sorted values.
+
+    ``each``: columns that every operator's result carries from the record of its own (CARRIERS).
+    """
     need = {c for o in ops for c in NEEDS[o]}
     d, x, at = v.cast(EXACT), v.cast("double"), F.struct("ms", "seq")
     out = [F.count(F.lit(1)).alias("rows"), F.count(v).alias("n")]
@@ -59,18 +70,33 @@ def moments(v: Column, ops, carry: list[str]) -> list[Column]:
     out += [F.sum((x * x).cast(SQUARE)).alias("q")] if "q" in need else []
     out += [F.min(v).alias("lo"), F.max(v).alias("hi")] if "x" in need else []
     out += [F.max_by(F.struct("ms", "seq", v.alias("v")), F.when(v.isNotNull(), at)).alias("late")] if "l" in need else []
-    return out + ([F.min_by(F.struct("ms", "seq", *carry), at).alias("first")] if carry else [])
+    out += [F.sort_array(F.collect_list(x)).alias("every")] if "m" in need else []
+    if each:
+        record = F.struct("ms", "seq", v.alias("_v"), F.struct(*each).alias("c"))
+        out += [F.max_by(record, F.when(v.isNotNull() | F.lit(c == "earliest"), _PREFERRED[c](x, F.col("ms"), F.col("seq")))).alias(c) for c in _carriers(ops)]
+    return out + ([F.min_by(F.struct("ms", "seq", F.struct(*carry).alias("c")), at).alias("first")] if carry else [])
 
 
-def _combined(ops, carry: list[str]) -> list[Column]:
+def _combined(ops, carry: list[str], each: list[str] = ()) -> list[Column]:
     need = {c for o in ops for c in NEEDS[o]}
     at = lambda c: F.struct(f"{c}.ms", f"{c}.seq")
     out = [F.sum(c).alias(c) for c in ("rows", "n", *("sq" if "q" in need else "s" if "s" in need else ""))]
     out += [F.min("lo").alias("lo"), F.max("hi").alias("hi")] if "x" in need else []
     out += [F.max_by("late", F.when(F.col("late.v").isNotNull(), at("late"))).alias("late")] if "l" in need else []
+    out += [_middle(F.sort_array(F.flatten(F.collect_list("every")))).alias("mid")] if "m" in need else []
+    if each:
+        key = lambda c: _PREFERRED[c](F.col(f"{c}._v").cast("double"), F.col(f"{c}.ms"), F.col(f"{c}.seq"))
+        out += [F.max_by(c, F.when(F.col(f"{c}.ms").isNotNull(), key(c))).alias(c) for c in _carriers(ops)]
     return out + ([F.min_by("first", at("first")).alias("first")] if carry else [])
 
 
+def _middle(values: Column) -> Column:
+    """The median of a sorted array."""
+    n = F.size(values)
+    at = lambda k: F.get(values, F.floor(k / 2).cast("int"))
+    return (at(n - 1) + at(n)) / 2
+
+
 def _rounded(x: str) -> str:
     return f"cast(round(cast(cast({x} as double) as decimal(28,10)), 4) as double)"
 
@@ -96,76 +122,76 @@ def _rank(by: list[str]) -> Column:
     return F.row_number().over(W.partitionBy(*by).orderBy("ms", "seq"))
 
 
-def gathered(dealt: DataFrame, by: list[str], ops, carry: list[str] = ()) -> DataFrame:
-    """One aggregation of dealt records: their moments, with ``mid`` for MEDIAN and ``xy`` for SLOPE."""
-    v = F.col("value")
+def _summed(dealt: DataFrame, by: list[str], ops, carry: list[str] = (), each: list[str] = ()) -> DataFrame:
+    """One aggregation of dealt records: their moments, with ``xy`` for SLOPE."""
     more = []
     if "SLOPE" in ops:
         dealt = dealt.withColumn("rn", _rank(by))
-        more.append(F.sum(F.col("rn") * v.cast(EXACT)).alias("xy"))
-    if "MEDIAN" in ops:
-        more.append(F.median(v.cast("double")).alias("mid"))
-    return dealt.groupBy(*by).agg(*moments(v, ops, list(carry)), *more)
+        more.append(F.sum(F.col("rn") * F.col("value").cast(EXACT)).alias("xy"))
+    return dealt.groupBy(*by).agg(*moments(F.col("value"), ops, list(carry), list(each)), *more)
+
+
+def gathered(dealt: DataFrame, by: list[str], ops, carry: list[str] = (), each: list[str] = ()) -> DataFrame:
+    """The windows of dealt records, with ``mid`` for MEDIAN and ``xy`` for SLOPE."""
+    out = _summed(dealt, by, ops, carry, each)
+    return out.withColumn("mid", _middle(F.col("every"))) if "MEDIAN" in ops else out
 
 
-def _paned(df: DataFrame, keys: list[str], size: int, slide: int, offset: int, ops, carry: list[str]) -> DataFrame:
-    """Moments of sliding windows by way of panes as long as the common divisor of size and slide.
+def _from_panes(panes: DataFrame, by: list[str], size, slide, offset, ops, carry: list[str] = (), each: list[str] = ()) -> DataFrame:
+    """Windows from panes, which stand at ms: panes, not records, are dealt to the overlapping windows.
 
-    Panes, not records, are dealt to the overlapping windows. For SLOPE a pane holds the sum of rank times value, the
-    rank counted inside it; in a window the ranks of a pane go on from the records of the panes before it.
+    A pane holds the sum of rank times value for SLOPE, the rank counted inside it: in a window the ranks of a pane go on
+    from the records of the panes before it. For MEDIAN it holds its values in order, which are merged.
     """
-    pane, slope = math.gcd(size, slide), "SLOPE" in ops
-    cut = df.withColumn("pane", F.col("ms") - F.pmod(F.col("ms") - offset, F.lit(pane)))
-    v = F.col("value")
-    more = []
-    if slope:
-        cut = cut.withColumn("rn", _rank([*keys, "pane"]))
-        more = [F.sum(F.col("rn") * v.cast(EXACT)).alias("xy")]
-    panes = cut.groupBy(*keys, "pane").agg(*moments(v, ops, carry), *more)
-    by = [*keys, "win_start", "win_end"]
-    dealt = assign_windows(panes.withColumnRenamed("pane", "ms"), size, slide, offset)
-    if slope:
+    dealt, more = assign_windows(panes, size, slide, offset), []
+    if "SLOPE" in ops:
         before = F.coalesce(F.sum("rows").over(W.partitionBy(*by).orderBy("ms").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
         dealt = dealt.withColumn("xy", F.col("xy") + before * F.col("s"))
         more = [F.sum("xy").alias("xy")]
-    return dealt.groupBy(*by).agg(*_combined(ops, carry), *more)
+    return dealt.groupBy(*by).agg(*_combined(ops, carry, each), *more)
+
+
+def _paned(df: DataFrame, keys: list[str], size: int, slide: int, offset: int, ops, carry: list[str], each: list[str]) -> DataFrame:
+    """Sliding windows by way of panes as long as the common divisor of size and slide."""
+    pane = math.gcd(size, slide)
+    cut = df.withColumn("pane", F.col("ms") - F.pmod(F.col("ms") - offset, F.lit(pane)))
+    panes = _summed(cut, [*keys, "pane"], ops, carry, each).withColumnRenamed("pane", "ms")
+    return _from_panes(panes, [*keys, "win_start", "win_end"], size, slide, offset, ops, carry, each)
 
 
 def window_each(df: DataFrame, keys: list[str], ops) -> DataFrame:
     """keys, win_start, win_end, value, where each record brings its operator _op, size _size and slide _slide.
 
     Operator and window sizes are among the keys' properties, so one plan serves any number of rules. Records are summed
-    into panes of one slide first where the size is a multiple of it.
+    into panes of one slide first where the size is a multiple of it; else each time is a pane of its own.
     """
-    by, v = [*keys, "_op", "_size", "_slide"], F.col("value")
-    if set(ops) & {"MEDIAN", "SLOPE"}:
-        found = gathered(assign_windows(df, F.col("_size"), F.col("_slide")), [*by, "win_start", "win_end"], ops)
-    else:
-        even = F.col("_size") % F.col("_slide") == 0
-        panes = df.withColumn("_pane", F.when(even, F.col("ms") - F.pmod("ms", F.col("_slide"))).otherwise(F.col("ms"))).groupBy(*by, "_pane").agg(*moments(v, ops, []))
-        dealt = assign_windows(panes.withColumnRenamed("_pane", "ms"), F.col("_size"), F.col("_slide"))
-        found = dealt.groupBy(*by, "win_start", "win_end").agg(*_combined(ops, []))
+    by = [*keys, "_op", "_size", "_slide"]
+    even = F.col("_size") % F.col("_slide") == 0
+    panes = _summed(df.withColumn("_pane", F.when(even, F.col("ms") - F.pmod("ms", F.col("_slide"))).otherwise(F.col("ms"))), [*by, "_pane"], ops)
+    found = _from_panes(panes.withColumnRenamed("_pane", "ms"), [*by, "win_start", "win_end"], F.col("_size"), F.col("_slide"), 0, ops)
     value = "case _op " + " ".join(f"when '{o}' then {FINISH[o]}" for o in ops) + " end"
     return found.select(*keys, "win_start", "win_end", F.expr(value).alias("value"))
 
 
-def window_aggregate(df: DataFrame, ops: dict[str, str], keys: list[str], size, slide, offset=0, default=("5s", "5s"), time: str = "event", carry: list[str] = ()) -> DataFrame:
+def window_aggregate(df: DataFrame, ops: dict[str, str], keys: list[str], size, slide, offset=0, default=("5s", "5s"), time: str = "event", carry: list[str] = (), carry_each: list[str] = ()) -> DataFrame:
     """keys, win_start, win_end, one column per entry of ``ops`` (name -> operator), and the columns ``carry``.
 
     All operators of one window share one aggregation, whose keys may be null. Overlapping windows of constant size and
-    slide are made of panes, unless MEDIAN is asked for, which needs all records of a window, or time is 'processing'
-    (see assign_windows). Null values are skipped, but make a SLOPE null. ``carry`` is taken from a window's earliest
-    record.
+    slide are made of panes, unless time is 'processing' (see assign_windows). Null values are skipped, but make a SLOPE
+    null. ``carry`` is taken from a window's earliest record. ``carry_each`` gives every operator the columns
+    name_column of the record that it is about: MAX and MIN of the extreme one (of equal ones the last), MEDIAN of the
+    last in order of value, INTERP of the latest, all others of the earliest.
     """
-    by, whole, carry = [*keys, "win_start", "win_end"], set(ops.values()), list(carry)
+    by, whole, carry, each = [*keys, "win_start", "win_end"], set(ops.values()), list(carry), list(carry_each)
     fixed = not isinstance(size, Column) and not isinstance(slide, Column)
     n, s, o = (x if isinstance(x, Column) else parse_duration(x) if isinstance(x, str) else int(x) for x in (size, slide, offset))
-    if fixed and n != s and time == "event" and "MEDIAN" not in whole:
+    if fixed and n != s and time == "event":
         _check(n, s, o)
-        found = _paned(df, keys, n, s, o, whole, carry)
+        found = _paned(df, keys, n, s, o, whole, carry, each)
     else:
-        found = gathered(assign_windows(df, n, s, o, default, time), by, whole, carry)
-    return found.select(*by, *(finish(o).alias(k) for k, o in ops.items()), *(F.col(f"first.{c}").alias(c) for c in carry))
+        found = gathered(assign_windows(df, n, s, o, default, time), by, whole, carry, each)
+    of = [F.col(f"{CARRIERS.get(o, 'earliest')}.c.{c}").alias(f"{k}_{c}") for k, o in ops.items() for c in each]
+    return found.select(*by, *(finish(o).alias(k) for k, o in ops.items()), *(F.col(f"first.c.{c}").alias(c) for c in carry), *of)
 
 
 def integer_order(df: DataFrame, keys: list[str], size, slide) -> DataFrame:

@@ -34,7 +34,7 @@ def operator(name: str):
 def run_stage(df: DataFrame, stage: Stage, keys: list[str], chunk=None) -> DataFrame:
     """(keys, ms, seq, value) -> the same columns after one operator; a window's row stands at its end.
 
-    ``chunk`` cuts long series of LAST, VAR, TREND and RSI by time (see sequences.with_before).
+    ``chunk`` cuts long series by time (see sequences.with_before and sequences.filtered).
     """
     op, args = stage.op, stage.args
     if op in PLUGINS:
@@ -47,7 +47,7 @@ def run_stage(df: DataFrame, stage: Stage, keys: list[str], chunk=None) -> DataF
         return lag_stage(df, op, args[0], keys, chunk=chunk)
     if op == "RSI":
         return rsi(df, args[0], keys, chunk)
-    return df if op == "RAW" else filter_stage(df, op, args, keys)
+    return df if op == "RAW" else filter_stage(df, op, args, keys, chunk)
 
 
 def run_chain(df: DataFrame, stages: tuple[Stage, ...], keys: list[str], chunk=None) -> DataFrame:

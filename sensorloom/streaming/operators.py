@@ -43,7 +43,7 @@ def stream_windows(df: DataFrame, ops: dict[str, str], keys: list[str], size: st
     if "SLOPE" in ops.values():
         more.append(F.collect_list(F.struct("ms", "seq", v.cast(EXACT).alias("d"))).alias("every"))
     win = F.window("ts", size, slide)
-    agg = df.withColumn("ms", _ms(F.col("ts"))).withWatermark("ts", late).groupBy(*keys, win.alias("w")).agg(*moments(v, ops.values(), []), *more)
+    agg = df.withColumn("ms", _ms(F.col("ts"))).withWatermark("ts", late).groupBy(*keys, win.alias("w")).agg(*moments(v, [o for o in ops.values() if o != "MEDIAN"], []), *more)
     if "SLOPE" in ops.values():
         ranked = F.transform(F.sort_array("every"), lambda x, i: ((i + 1) * x["d"]).cast(EXACT))
         agg = agg.withColumn("xy", F.aggregate(ranked, F.lit(0).cast(EXACT), lambda a, x: (a + x).cast(EXACT)))
