@@ -280,6 +280,28 @@ ENRICH = f"e AS (SELECT c.out_name, c.calculate_type, c.param, c.task_name, c.li
 ENRICH_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT out_name, calculate_type, param, task_name, line_id, ms, seq, value FROM e"
 
 
+def _versions(spark, sf) -> DataFrame:
+    """A rule per type and kind of user, changed or deleted by every 20th event of either: a log of versions."""
+    t = tags(spark, sf).where(F.col("seq") % 20 == 0)
+    op = F.when(F.col("seq") % 60 == 0, "d").otherwise("u")
+    kind = F.concat("event_type", F.lit("_"), (F.col("user_id") % 2).cast("string"))
+    return t.select(F.col("event_type").alias("tag_name"), F.lit("opc").alias("tag_topic"), kind.alias("out_name"), F.lit("LAST").alias("calculate_type"), F.col("seq").cast("string").alias("param"),
+                    F.lit("job1").alias("task_name"), F.lit(1).alias("line_id"), F.lit(1).alias("status"), op.alias("op"), F.col("ms").alias("ts_ms"), F.col("seq").alias("pos"))
+
+
+def _as_of(most: int):
+    def run(spark, sf):
+        found = changes.enrich_as_of(raw(spark, sf), changes.intervals(_versions(spark, sf), ["out_name"]), most=most)
+        return found.select("name", "ms", "seq", "value", "out_name", "param")
+
+    return run
+
+
+AS_OF_SQL = f"""WITH {T}, c AS (SELECT event_type, event_type || '_' || (user_id % 2) AS out_name, seq, ms FROM t WHERE seq % 20 = 0),
+v AS (SELECT *, lead(ms) OVER (PARTITION BY out_name ORDER BY ms, seq) AS until FROM c)
+SELECT t.event_type AS name, t.ms, t.seq, t.value, v.out_name, CAST(v.seq AS VARCHAR) AS param FROM t JOIN v ON t.event_type = v.event_type AND t.ms >= v.ms AND (until IS NULL OR t.ms < until) WHERE v.seq % 60 <> 0"""
+
+
 def tag_semi_filter(spark, sf):
     return enrich.keep_used(raw(spark, sf), conf(spark)).select("name", "ms", "seq", "value")
 
@@ -695,16 +717,18 @@ def stream_enrich(spark, sf):
 
 
 def stream_changes(spark, sf):
-    """A table kept up to date by a stream of change messages in JSON."""
+    """A table kept up to date by a stream of change messages in JSON that come out of order over several micro-batches."""
     folder = _folder(spark)
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 16).parquet(sf)
+    e = spark.read.parquet(f"{sf}/events.parquet")
     row = F.create_map(F.lit("user_id"), F.col("user_id").cast("string"), F.lit("event_type"), F.col("event_type"))
     gone = F.col("event_id") % 7 == 0
     op = F.when(gone, "d").when(F.col("event_id") % 3 == 0, "u").otherwise("c")
     text = F.to_json(F.struct(F.when(op != "c", row).alias("before"), F.when(~gone, row).alias("after"), op.alias("op"), F.col("event_id").alias("ts_ms"), F.struct(F.lit("tag_conf").alias("table")).alias("source")))
-    changes.follow(e.select(text.alias("value")), ["user_id"], "user_id long, event_type string", f"{folder}/table", f"{folder}/check").awaitTermination()
-    return changes.current(spark, f"{folder}/table", "user_id long, event_type string")
+    schema, key = "user_id long, event_type string", ["user_id"]
+    for k in range(3):  # each part has changes of all times, so a late one meets what a newer one has left
+        e.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == k).select(text.alias("value")).write.mode("append").text(f"{folder}/in")
+        changes.follow(spark.readStream.text(f"{folder}/in"), key, schema, f"{folder}/table", f"{folder}/check", fold=2).awaitTermination()
+    return changes.current(spark, f"{folder}/table", schema, key)
 
 
 STREAM_CHANGES_SQL = f"WITH {T}, a AS (SELECT user_id, arg_max(event_type, seq) AS event_type, max(seq) AS s FROM t GROUP BY 1) SELECT user_id, event_type FROM a WHERE s % 7 <> 0"
@@ -769,7 +793,7 @@ for _op in FILTER_ARGS:
     _register(f"{_op.lower()}_chunked", _filter(_op, CHUNK), FILTER_SQL[_op])
 _register("raw", lambda spark, sf: run_chain(tags(spark, sf), parse_spec("RAW", ""), ["event_type"]), f"WITH {T} SELECT event_type, ms, seq, value FROM t")
 for _name, _query, _sql in (
-    ("enrich", enriched, ENRICH_SQL), ("tag_semi_filter", tag_semi_filter, SEMI_SQL), ("formula", formula, FORMULA_SQL), ("filter_normal_job", normal_job, NORMAL_SQL),
+    ("enrich", enriched, ENRICH_SQL), ("enrich_as_of", _as_of(enrich.SMALL), AS_OF_SQL), ("enrich_as_of_buckets", _as_of(0), AS_OF_SQL), ("tag_semi_filter", tag_semi_filter, SEMI_SQL), ("formula", formula, FORMULA_SQL), ("filter_normal_job", normal_job, NORMAL_SQL),
     ("parse_params", parse_params, PARSE_SQL), ("route_union", route_union, ROUTE_SQL), ("grade_split", grade_split, GRADE_SQL), ("post_fanout", post_fanout, FANOUT_SQL),
     ("post_assemble", post_assemble, ASSEMBLE_SQL), ("post_requests", post_requests, REQUESTS_SQL), ("feedback", feedback, FEEDBACK_SQL), ("json_topics", json_topics, TOPICS_SQL),
     ("win_null_key", win_null_key, NULL_KEY_SQL), ("win_carry", win_carry, CARRY_SQL), ("win_carry_each", win_carry_each, CARRY_EACH_SQL), ("formula_rows", formula_rows, FORMULA_SQL), ("flatten_normal", flatten_normal, FLATTEN_SQL),

@@ -206,7 +206,7 @@ def test_change_messages_follow(spark, tmp_path):
     assert [tuple(r) for r in changes.normalize(events).where("type = 'update'").select("table", "ts", "old").collect()] == [("tag_conf", 3, {"x": "a"})]
     s, path = stream_of(spark, tmp_path, [(t,) for t in texts], "value string")
     run = lambda: changes.follow(s, ["id"], "id int, x string", str(tmp_path / "table"), str(tmp_path / "check")).awaitTermination()
-    table = lambda: sorted(map(tuple, changes.current(spark, str(tmp_path / "table"), "id int, x string").collect()))
+    table = lambda: sorted(map(tuple, changes.current(spark, str(tmp_path / "table"), "id int, x string", ["id"]).collect()))
     assert table() == []
     run()
     assert table() == [(1, "c"), (2, "b")]
