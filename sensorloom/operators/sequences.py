@@ -396,7 +396,8 @@ def chunk_starts(chunked: DataFrame, ops: dict[str, tuple], keys: list[str]) ->
                 if len(part):
                     for m in held.values():
                         m.add(part)
-            yield pd.DataFrame({"_at": [k for k, _ in out], "_map": [m for _, m in out]})
+            if out:
+                yield pd.DataFrame({"_at": [k for k, _ in out], "_map": [m for _, m in out]})
             out = []
         if held is not None:
             yield pd.DataFrame({"_at": [key], "_map": [pickle.dumps(held)]})

@@ -103,7 +103,7 @@ def _rounded(x: str) -> str:
 
 _N, _S, _Q, _R = (f"cast({c} as double)" for c in ("n", "s", "q", "rows"))
 _MEAN = _rounded(f"try_divide({_S}, {_N})")
-_VARIANCE = _rounded(f"greatest(try_divide({_Q} - 2 * {_MEAN} * {_S} + {_N} * {_MEAN} * {_MEAN}, {_N}), 0d)")
+_VARIANCE = _rounded(f"case when n > 0 then greatest(try_divide({_Q} - 2 * {_MEAN} * {_S} + {_N} * {_MEAN} * {_MEAN}, {_N}), 0d) end")
 _RANKS = f"({_R} * ({_R} + 1) / 2)"
 #: A window's result from its moments, rounded as the operator is; as SQL, since a plan may hold many of them.
 FINISH = {

@@ -32,19 +32,18 @@ Rows = tuple[np.ndarray, np.ndarray, np.ndarray]
 NONE: Rows = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
 
-def _half_up(x: float, places: int) -> int:
-    return int(Decimal(repr(float(x))).quantize(Decimal("1e-10"), ROUND_HALF_UP).scaleb(places).to_integral_value(ROUND_HALF_UP))
+def _half_up(x: float, places: int) -> float:
+    return float(Decimal(repr(x)).quantize(Decimal("1e-10"), ROUND_HALF_UP).quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP))
 
 
 def rounded(x: np.ndarray, places: int = 4) -> np.ndarray:
     """Rounded half up through a decimal with ten places, as ``times.round_half_up`` does it."""
     with np.errstate(invalid="ignore", over="ignore"):
         y = np.abs(x) * 10.0**places
-        out = np.floor(y + 0.5)
-        unsure = np.isfinite(y) & ((np.abs(y - np.floor(y) - 0.5) < 1e-4) | (y > 2**45))
-        out = np.where(np.isfinite(y), np.sign(x) * out, x)
+        out = np.where(np.isfinite(y), np.sign(x) * np.floor(y + 0.5) / 10.0**places, x)
+        unsure = np.isfinite(y) & ((np.abs(y - np.floor(y) - 0.5) < 1e-4) | (y > 2**45) | (places > 6))
     out[unsure] = [_half_up(v, places) for v in x[unsure].tolist()]
-    return np.where(np.isfinite(out), out / 10.0**places, out)
+    return out
 
 
 def total(x: np.ndarray, places: int) -> int:

@@ -270,7 +270,7 @@ def test_micro_batches_and_polls(spark, tmp_path):
 
     server = HTTPServer(("127.0.0.1", 0), Answer)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    polled = connectors.http_stream(spark, f"http://127.0.0.1:{server.server_port}", "a int, b string")
+    polled = connectors.http_stream(spark, f"http://127.0.0.1:{server.server_port}", "a int, b string", str(tmp_path / "polls"))
     query = connectors.micro_batches(polled, connectors.parquet_batches(str(tmp_path / "out")), str(tmp_path / "check"), every="1 second")
     until = time.time() + 60
     while time.time() < until and len(query.recentProgress) < 3:
@@ -281,7 +281,7 @@ def test_micro_batches_and_polls(spark, tmp_path):
     assert {(r["a"], r["b"]) for r in got} == {(1, "x"), (2, None)} and len({r["batch"] for r in got}) >= 2 and all(r["count"] == 1 for r in got)
 
 
-def test_tables_of_rules_and_sink_options(spark, monkeypatch):
+def test_tables_of_rules(spark):
     conf = spark.createDataFrame([("rt_a", 1), ("rt_a", 1), ("rt_b", 1), ("rt_off", 0), (None, 1)], "sink_table string, status int")
     assert connectors.create_rule_tables(spark, conf) == ["rt_a", "rt_b"]
     assert spark.table("rt_a").columns[:3] == ["out_name", "tag_topic", "value"] and spark.table("rt_b").count() == 0
@@ -289,28 +289,6 @@ def test_tables_of_rules_and_sink_options(spark, monkeypatch):
         connectors.create_rule_tables(spark, spark.createDataFrame([("x; drop table y", 1)], conf.schema))
     for n in ("rt_a", "rt_b"):
         spark.sql(f"DROP TABLE {n}")
-    sizes = []
-
-    class Writer:
-        def format(self, _):
-            return self
-
-        def options(self, **o):
-            sizes.append(o["batchsize"])
-            return self
-
-        def mode(self, _):
-            return self
-
-        def save(self):
-            pass
-
-    class Frame:
-        write = Writer()
-
-    write = connectors.jdbc_batches("jdbc:x", "t", batchsize=7)
-    write(Frame(), 0), write(Frame(), 1)
-    assert sizes == [7, 7]  # every batch has the caller's size
 
 
 def test_topics_and_route(spark):
