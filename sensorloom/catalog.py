@@ -155,7 +155,7 @@ def _lag_sql(op: str, n: int) -> str:
 def last_changing(spark, sf):
     """The lag's n changes every day; each change starts anew."""
     n = F.floor(F.col("ms") / DAY) % 2
-    return sequences.lag_stage(tags(spark, sf), "LAST", 2, ["event_type"], changing=n).select(*OUT)
+    return sequences.lag_stage(tags(spark, sf), "LAST", 2, ["event_type"], changing=n, chunk=CHUNK).select(*OUT)
 
 
 LAST_CHANGING_SQL = f"""WITH {T}, x AS (SELECT *, (ms // {DAY}) % 2 AS n FROM t), y AS (SELECT *, CAST(n <> lag(n) OVER ({ORDER}) AS INT) AS c FROM x),
@@ -510,6 +510,17 @@ CEP_SQL = f"""WITH {T}, x AS (SELECT *, lead(event_type) OVER w AS e1, lead(even
 SELECT user_id, seq AS first_seq, last_seq, ms AS first_ms, last_ms FROM x WHERE event_type = 'click' AND e1 = 'view' AND e2 = 'purchase' AND last_ms - ms < {2 * DAY}"""
 
 
+def cep_times(spark, sf):
+    """Two records in a row of one type, at once three of others, within ten days."""
+    click = F.col("event_type").isin("click", "error")
+    return pattern.match_times(tags(spark, sf), [(click, 2), (~click, 3)], ["user_id"], within=10 * DAY)
+
+
+_CLICK = lambda k: f"lead(event_type IN ('click', 'error'), {k}) OVER w"
+CEP_TIMES_SQL = f"""WITH {T}, x AS (SELECT *, {_CLICK(0)} AND {_CLICK(1)} AND NOT {_CLICK(2)} AND NOT {_CLICK(3)} AND NOT {_CLICK(4)} AS hit, lead(seq, 4) OVER w AS last_seq, lead(ms, 4) OVER w AS last_ms FROM t WINDOW w AS (PARTITION BY user_id ORDER BY ms, seq))
+SELECT user_id, seq AS first_seq, last_seq, ms AS first_ms, last_ms FROM x WHERE hit AND last_ms - ms < {10 * DAY}"""
+
+
 def cep_switching(spark, sf):
     """click-view pairs until a user's first signup, view-purchase pairs after."""
     is_ = lambda k: F.col("event_type") == k
@@ -735,15 +746,39 @@ STREAM_CHANGES_SQL = f"WITH {T}, a AS (SELECT user_id, arg_max(event_type, seq)
 
 
 def stream_assemble(spark, sf):
-    """Rows of a post as soon as all its keys have a value in the same hour: here of every fifth hour's first seconds."""
-    s = _stream(spark, sf).withColumn("ms", F.col("ms") - F.pmod("ms", F.lit(HOUR)))
-    r = s.withColumn("ts", F.timestamp_millis("ms")).where("event_type in ('click', 'view', 'purchase')").select(F.lit("hourly").alias("post_name"), "ts", F.col("event_type").alias("out_name"), F.lit(1.0).alias("value"))
-    out = streams.replay(streams.stream_assemble(r, {"hourly": 3}, urls={"hourly": "http://a"}), _folder(spark))
-    return out.select("post_name", "url", "ms", "body")
+    """Rows of a post as soon as the hour's last value of each of its keys is there, and what never got complete.
+
+    The values of an hour come in up to two of several micro-batches.
+    """
+    folder = _folder(spark)
+    names = ("click", "view", "purchase")
+    hours = _hourly(spark, sf).where(F.col("out_name").isin(*names)).groupBy("ms", "out_name").agg(F.max_by("value", "seq").alias("value"))
+    hours.write.parquet(f"{folder}/hours")
+    hours = spark.read.parquet(f"{folder}/hours")
+    bounds = hours.approxQuantile("ms", [1 / 3, 2 / 3], 0.01)
+    when = F.col("ms") + F.when(F.col("out_name") == "view", HOUR).otherwise(0)
+    for k in range(3):
+        hours.where(sum((F.when(when > b, 1).otherwise(0) for b in bounds), F.lit(0)) == k).write.mode("append").parquet(f"{folder}/in")
+        s = spark.readStream.schema(hours.schema).parquet(f"{folder}/in").select(F.lit("hourly").alias("post_name"), F.timestamp_millis("ms").alias("ts"), "out_name", "value")
+        out = streams.replay(streams.stream_assemble(s, {"hourly": 3}, 3 * HOUR, "2 hours", {"hourly": "http://a"}, incomplete=True), folder)
+    value = F.from_json("body", "map<string,double>")
+    return out.select("post_name", "url", "ms", "complete", "missing", *(value[n].alias(n) for n in names))
+
+
+STREAM_ASSEMBLE_SQL = f"""WITH {_HOURS}, k AS (SELECT ms, count(*) AS n, {", ".join(f"max(value) FILTER (event_type = '{n}') AS {n}" for n in ("click", "view", "purchase"))} FROM h WHERE event_type IN ('click', 'view', 'purchase') GROUP BY ms)
+SELECT 'hourly' AS post_name, 'http://a' AS url, ms, n = 3 AS complete, CAST(3 - n AS INT) AS missing, click, view, purchase FROM k WHERE n = 3 OR ms + 3 * {HOUR} < (SELECT max(ms) FROM k) - 2 * {HOUR}"""
 
 
-STREAM_ASSEMBLE_SQL = f"""WITH {T} SELECT 'hourly' AS post_name, 'http://a' AS url, ms - ms % 3600000 AS ms, '{{"click": 1.0, "purchase": 1.0, "view": 1.0}}' AS body
-FROM t WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 3 HAVING count(DISTINCT event_type) = 3"""
+def stream_last_changing(spark, sf):
+    """last_changing_n in a stream: each record brings its n."""
+    n = F.floor(F.col("ms") / DAY) % 2 + 1
+    return _fed(spark, sf, lambda t: streams.stream_sequence(t, "LAST", (1,), "event_type", changing=n))
+
+
+STREAM_CHANGING_SQL = f"""WITH {T}, x AS (SELECT *, (ms // {DAY}) % 2 + 1 AS n FROM t), y AS (SELECT *, CAST(n <> lag(n) OVER ({ORDER}) AS INT) AS c FROM x),
+z AS (SELECT *, sum(coalesce(c, 0)) OVER ({ORDER} ROWS UNBOUNDED PRECEDING) AS e FROM y),
+l AS (SELECT *, lag(value) OVER w AS o1, lag(value, 2) OVER w AS o2, row_number() OVER w AS rn FROM z WINDOW w AS (PARTITION BY event_type, e ORDER BY ms, seq))
+SELECT event_type, ms, seq, CASE n WHEN 1 THEN o1 ELSE o2 END AS value FROM l WHERE rn > n"""
 
 
 def retain_rewrite(spark, sf):
@@ -802,7 +837,7 @@ for _name, _query, _sql in (
     ("stream_holistic", stream_holistic, STREAM_HOLISTIC_SQL), ("stream_dynamic", stream_dynamic, f"SELECT * FROM ({DYNWIN_SQL}) WHERE win_end <= (SELECT max(epoch_us(ts) // 1000) FROM events) - 1000"),
     ("stream_rsi", stream_rsi, RSI_SQL), ("stream_filter", stream_filter, FILTER_SQL["KF"]), ("stream_match", stream_match, CEP_SQL), ("stream_switching", stream_switching, CEP_SWITCH_SQL),
     ("stream_enrich", stream_enrich, ENRICH_SQL), ("stream_changes", stream_changes, STREAM_CHANGES_SQL), ("stream_assemble", stream_assemble, STREAM_ASSEMBLE_SQL), ("retain_today", retain_today, RETAIN_SQL), ("cdc_normalize", cdc_normalize, CDC_SQL), ("cdc_apply", cdc_apply, CDC_APPLY_SQL),
-    ("cep_next", cep_next, CEP_SQL), ("cep_switching", cep_switching, CEP_SWITCH_SQL), ("decode_messages", decode_messages, DECODE_SQL), ("time_formats", time_formats, TIME_SQL),
+    ("cep_next", cep_next, CEP_SQL), ("cep_times", cep_times, CEP_TIMES_SQL), ("stream_last_changing", stream_last_changing, STREAM_CHANGING_SQL), ("cep_switching", cep_switching, CEP_SWITCH_SQL), ("decode_messages", decode_messages, DECODE_SQL), ("time_formats", time_formats, TIME_SQL),
     ("chain_avg_var", _chain("AVG_VAR", "1h,1h|1", ["event_type"]), CHAIN_AVG_VAR_SQL),
     ("chain_dejump_fof_avg", _chain("DEJUMP_FOF_AVG", "-50,50|0.3|1d,1d", PAIR), CHAIN_FILTER_SQL),
     ("rules_all", rules_all, RULES_SQL), ("stream_rules", stream_rules, STREAM_RULES_SQL),

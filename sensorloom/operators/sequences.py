@@ -19,11 +19,23 @@ def _order(keys: list[str]):
     return W.partitionBy(*keys).orderBy("ms", "seq")
 
 
-def epochs(df: DataFrame, keys: list[str], lag: Column) -> DataFrame:
-    """``df`` with _epoch, which grows where a record's ``lag`` differs from the one before: a changed lag starts anew."""
-    marked = df.withColumn("_n", lag)
-    before = F.lag("_n").over(_order(keys))
-    return marked.withColumn("_epoch", F.sum((before.isNotNull() & (before != F.col("_n"))).cast("int")).over(_order(keys).rowsBetween(W.unboundedPreceding, 0))).drop("_n")
+def epochs(df: DataFrame, keys: list[str], lag: Column, chunk=None) -> DataFrame:
+    """``df`` with _epoch, which grows where a record's ``lag`` differs from the one before: a changed lag starts anew.
+
+    With ``chunk`` changes are counted inside chunks of time, and what the chunks before add comes from their few counts.
+    """
+    cols = df.columns
+    cut, by = with_before(df.withColumn("_n", lag), keys, 1, chunk)
+    before = F.lag("_n").over(_order(by))
+    marked = cut.withColumn("_changed", F.coalesce((before != F.col("_n")).cast("long"), F.lit(0))).where("not _halo")
+    inside = F.sum("_changed").over(_order(by).rowsBetween(W.unboundedPreceding, 0))
+    if chunk is None:
+        return marked.withColumn("_epoch", inside).select(*cols, "_epoch")
+    at = F.struct(*by).alias("_at")
+    counts = marked.groupBy(*by).agg(F.sum("_changed").alias("_many"))
+    earlier = F.coalesce(F.sum("_many").over(W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = counts.select(at, earlier.alias("_earlier"))
+    return marked.withColumn("_inside", inside).withColumn("_at", at).join(placed, "_at").withColumn("_epoch", F.col("_inside") + F.col("_earlier")).select(*cols, "_epoch")
 
 
 def with_before(df: DataFrame, keys: list[str], n: int, chunk) -> tuple[DataFrame, list[str]]:
@@ -67,7 +79,7 @@ def lag_stage(df: DataFrame, op: str, n: int, keys: list[str], changing: Column
     """``df`` with value replaced by the operator's; records without n predecessors go. ``changing``: see epochs."""
     by, cols = keys, df.columns
     if changing is not None:
-        df, by = epochs(df, keys, changing), [*keys, "_epoch"]
+        df, by = epochs(df, keys, changing, chunk), [*keys, "_epoch"]
     df, by = with_before(df, by, n, chunk)
     old = F.lag("value", n).over(_order(by)).cast("double")
     there = F.lag(F.lit(1), n).over(_order(by))

@@ -17,7 +17,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -293,16 +293,21 @@ def panes(df: DataFrame, keys: list[str], width: int, whole) -> DataFrame:
     return summed.select(*keys, F.lit(width).cast("long").alias("grain"), F.unix_millis("w.start").alias("ms"), F.lit(0).cast("long").alias("seq"), F.lit(None).cast("double").alias("value"), F.col("m").cast(MOMENTS).alias("m"))
 
 
-def singles(df: DataFrame, keys: list[str], grain: int = 1) -> DataFrame:
-    """The same columns from records as they are."""
-    return df.select(*keys, F.lit(grain).cast("long").alias("grain"), "ms", "seq", F.col("value").cast("double").alias("value"), F.lit(None).cast(MOMENTS).alias("m"))
+def singles(df: DataFrame, keys: list[str], grain: int | Column = 1) -> DataFrame:
+    """The same columns from records as they are; ``grain`` is one for all records of a key."""
+    grain = grain if isinstance(grain, Column) else F.lit(grain)
+    return df.select(*keys, grain.cast("long").alias("grain"), "ms", "seq", F.col("value").cast("double").alias("value"), F.lit(None).cast(MOMENTS).alias("m"))
 
 
-def run_chains(records: DataFrame, keys: list[str], stages: Callable[[tuple], tuple[Stage, ...]], late: str | None = None) -> DataFrame:
-    """keys, ms, seq, value: the results of the chain that ``stages`` gives each key, over records of singles and panes."""
-    spark = records.sparkSession
+def with_state_store(spark) -> None:
+    """State of this kind lives in RocksDB."""
     if spark.conf.get(STORE[0], None) != STORE[1]:
         spark.conf.set(*STORE)
+
+
+def run_chains(records: DataFrame, keys: list[str], stages: Callable[[tuple], tuple[Stage, ...]]) -> DataFrame:
+    """keys, ms, seq, value: the results of the chain that ``stages`` gives each key, over records of singles and panes."""
+    with_state_store(records.sparkSession)
     schema = ", ".join(f"`{k}` {records.schema[k].dataType.simpleString()}" for k in keys)
     return records.groupBy(*keys).transformWithStateInPandas(ChainProcessor(keys, stages), f"{schema}, ms long, seq long, value double", "append", "EventTime")
 

@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import json
-import statistics
+import pickle
 from collections.abc import Callable
-from decimal import Decimal
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..functions.times import round_half_up
+from ..functions.times import parse_duration, round_half_up
 from ..operators.enrich import enrich
 from ..operators.sequences import LAGS, STATEFUL
-from ..operators.windows import EXACT, assign_windows, finish, moments
+from ..operators.sequences import _parts as chunked
+from ..operators.windows import EXACT, finish, moments
+from ..plans.spec import Stage
+from . import chains
 
 # Fixed value: how late a record may be.
 LATE = "1 second"
@@ -50,97 +53,99 @@ def stream_windows(df: DataFrame, ops: dict[str, str], keys: list[str], size: st
     return agg.select(*keys, _ms(F.col("w.start")).alias("win_start"), _ms(F.col("w.end")).alias("win_end"), *(finish(o).alias(k) for k, o in ops.items()))
 
 
-def _round(x: float, places: int = 4) -> float:
-    return float(round(Decimal(repr(x)) * 10**places + (Decimal("1e-12") if x >= 0 else Decimal("-1e-12")))) / 10**places if np.isfinite(x) else x
-
-
-def _window_value(op: str, m: dict) -> float | None:
-    """An operator's result from what a window's state holds."""
-    n, s, every = m["n"], float(Decimal(m["s"])), sorted(m["every"])
-    if op == "SLOPE":
-        k = len(every)
-        if n < m["rows"] or k < 2:
-            return None
-        xy = float(sum((i + 1) * Decimal(repr(v)) for i, (_, _, v) in enumerate(every)))
-        return _round((k * xy - k * (k + 1) / 2 * s) / (k * (k * (k + 1) * (2 * k + 1) / 6) - (k * (k + 1) / 2) ** 2))
-    if op == "SUM":
-        return s if n else None
-    if not n:
-        return None
-    mean = _round(s / n)
-    variance = _round(max((float(Decimal(m["q"])) - 2 * mean * s + n * mean * mean) / n, 0.0))
-    return {
-        "AVG": lambda: mean, "MAX": lambda: m["hi"], "MIN": lambda: m["lo"], "RANGE": lambda: _round(m["hi"] - m["lo"]), "VARIANCE": lambda: variance,
-        "STD": lambda: _round(variance**0.5), "CV": lambda: _round(variance**0.5 / mean) if mean else None, "PSEQ": lambda: float(m["lo"] >= 0),
-        "INTERP": lambda: m["late"][2], "MEDIAN": lambda: _round(statistics.median(v for _, _, v in every)),
-    }[op]()
-
-
 def stream_each_window(df: DataFrame, op: str, keys: list[str], size: Column, slide: Column, default=("5s", "5s"), late: str = LATE) -> DataFrame:
     """keys, win_start, win_end, value, where each record of a stream brings its own window size and slide.
 
-    A window's state is a few sums (and its values for MEDIAN and SLOPE) until the watermark has passed its end; records
-    that come after that go, as in ``stream_windows``. Null or 0 sizes and slides mean the default.
+    The state is the panes of open windows (chains.WindowStep): a few sums each, and its values for MEDIAN and SLOPE. A
+    record is late, and goes, when the watermark has passed its pane. Null or 0 sizes and slides mean the default.
     """
-    whole = op in ("MEDIAN", "SLOPE")
+    own = lambda x, d: F.when(F.coalesce(x, F.lit(0)) > 0, x).otherwise(F.lit(parse_duration(d))).cast("long")
+    timed = df.withWatermark("ts", late).withColumn("ms", _ms(F.col("ts"))).withColumn("_size", own(size, default[0])).withColumn("_slide", own(slide, default[1]))
+    named = [*keys, "_size", "_slide"]
+    pane = F.when(F.col("_size") % F.col("_slide") == 0, F.col("_slide")).otherwise(F.lit(1)).cast("long")
+    rows = chains.singles(timed, named, pane)
+    out = chains.run_chains(rows, named, lambda key: (Stage(op, (int(key[-2]), int(key[-1]))),))
+    return out.select(*keys, F.col("seq").alias("win_start"), F.col("ms").alias("win_end"), "value")
+
+
+class _Arrivals(StatefulProcessor):
+    """Windows over the time at which records come."""
+
+    def __init__(self, op: str, keys: list[str], size: int, slide: int):
+        self.step, self.keys = chains.WindowStep(op, size, slide), keys
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "state binary")
+
+    def _run(self, key, rows: chains.Rows, now: int):
+        state, timer = pickle.loads(self.held.get()[0]) if self.held.exists() else (None, None)
+        out, state = self.step.run(state, rows, now)
+        end = self.step.next(state, now)
+        if end is not None and (timer is None or end < timer or timer <= now):
+            self.handle.registerTimer(end)
+            timer = end
+        if end is None:
+            self.held.clear()
+        else:
+            self.held.update((pickle.dumps((state, timer)),))
+        if len(out[0]):
+            value = pd.Series(out[2]).astype(object).where(~np.isnan(out[2]), None)
+            yield pd.DataFrame({**{n: [v] * len(out[0]) for n, v in zip(self.keys, key)}, "win_start": out[1], "win_end": out[0], "value": value})
 
-    def work(k, pdfs, state):
-        *key, start, end = k
-        if state.hasTimedOut:
-            m = json.loads(state.get[0])
-            state.remove()
-            yield pd.DataFrame({**{n: [v] for n, v in zip(keys, key)}, "win_start": [start], "win_end": [end], "value": pd.Series([_window_value(op, m)], dtype=float)})
-            return
-        if end <= state.getCurrentWatermarkMs():
-            return
-        m = json.loads(state.get[0]) if state.exists else {"rows": 0, "n": 0, "s": "0", "q": "0", "lo": None, "hi": None, "late": None, "every": []}
-        for pdf in pdfs:
-            m["rows"] += len(pdf)
-            live = pdf[pdf["value"].notna()]
-            if not len(live):
-                continue
-            x = live["value"].tolist()
-            m["n"] += len(x)
-            m["s"] = str(Decimal(m["s"]) + sum((Decimal(repr(v)) for v in x), Decimal(0)))
-            m["q"] = str(Decimal(m["q"]) + sum((round(Decimal(repr(v * v)), 8) for v in x), Decimal(0)))
-            m["lo"], m["hi"] = min([*x, *([m["lo"]] if m["lo"] is not None else [])]), max([*x, *([m["hi"]] if m["hi"] is not None else [])])
-            rows = [list(r) for r in zip(live["ms"].tolist(), live["seq"].tolist(), x)]
-            m["late"] = max([*rows, *([m["late"]] if m["late"] else [])])
-            if whole:
-                m["every"] += rows
-        state.update((json.dumps(m),))
-        state.setTimeoutTimestamp(max(int(end) - 1, state.getCurrentWatermarkMs() + 1))  # it fires beyond that
-
-    timed = df.withWatermark("ts", late).withColumn("ms", _ms(F.col("ts"))).withColumn("value", F.col("value").cast("double"))
-    dealt = assign_windows(timed, size, slide, default=default).select(*keys, "win_start", "win_end", "ts", "ms", "seq", "value")
+    def handleInputRows(self, key, rows, timerValues):
+        now = timerValues.getCurrentProcessingTimeInMs()
+        parts = [(np.full(len(pdf), now), pdf["seq"].to_numpy(np.int64), pd.to_numeric(pdf["value"]).to_numpy(float)) for pdf in rows]
+        yield from self._run(key, tuple(np.concatenate(c) for c in zip(*parts)) if parts else chains.NONE, now)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._run(key, chains.NONE, timerValues.getCurrentProcessingTimeInMs())
+
+    def close(self) -> None:
+        pass
+
+
+def stream_arrival_windows(df: DataFrame, op: str, keys: list[str], size: str, slide: str) -> DataFrame:
+    """keys, win_start, win_end, value of windows by the clock: a record counts when it comes, whatever its own time is.
+
+    ``df`` has seq and value. A record's time is that of its micro-batch; a window is told once the clock has passed its
+    end, with the next micro-batch or, without new records, by its timer at the query's trigger.
+    """
+    chains.with_state_store(df.sparkSession)
     schema = f"{_columns(df, keys)}, win_start long, win_end long, value double"
-    return dealt.groupBy(*keys, "win_start", "win_end").applyInPandasWithState(work, schema, "held string", "append", GroupStateTimeout.EventTimeTimeout)
+    plain = df.select(*keys, "seq", F.col("value").cast("double").alias("value"))
+    return plain.groupBy(*keys).transformWithStateInPandas(_Arrivals(op, keys, parse_duration(size), parse_duration(slide)), schema, "append", "ProcessingTime")
 
 
-def stream_sequence(df: DataFrame, op: str, args: tuple, keys: list[str] | str) -> DataFrame:
+def stream_sequence(df: DataFrame, op: str, args: tuple, keys: list[str] | str, changing: Column | None = None) -> DataFrame:
     """keys, ms, seq, value of LAST, VAR, TREND, RSI or a recursive filter over each key's records in arrival order.
 
-    Of one micro-batch a key's records are taken by (ms, seq). The state is a few numbers per key; a lag operator whose
-    n differs from the stored one starts anew. A null value gives null and leaves the state as it is.
+    Of one micro-batch a key's records are taken by (ms, seq). The state is a few numbers per key. ``changing`` is the n
+    of a lag operator as each record brings it; a lag operator whose n differs from the one before starts anew. A null
+    value gives null and leaves the state as it is.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     f, places = STATEFUL[op]
+    varies = changing is not None
 
     def work(k, pdfs, state):
         pdf = pd.concat(list(pdfs)).sort_values(["ms", "seq"])
         held = json.loads(state.get[0]) if state.exists else None
-        before = held["v"] if held and (op not in LAGS or held["n"] == args[0]) else None
-        x = pdf["value"].astype(float).to_numpy()
-        live = np.flatnonzero(~np.isnan(x))
+        n, before = (held["n"], held["v"]) if held else (None, None)
+        x, each = pdf["value"].astype(float).to_numpy(), pdf["_n"].to_numpy()
         out = np.full(len(x), np.inf)
-        if len(live):
-            out[live], before = f(before, x[live], np.zeros(len(live), int), *args)
-        state.update((json.dumps({"n": args[0], "v": before}),))
+        for a, b in chunked(each):
+            own = (int(each[a]), *args[1:]) if varies else args
+            before = before if op not in LAGS or n == own[0] else None
+            n, live = own[0], a + np.flatnonzero(~np.isnan(x[a:b]))
+            if len(live):
+                out[live], before = f(before, x[live], np.zeros(len(live), int), *own)
+        state.update((json.dumps({"n": n, "v": before}),))
         there = ~np.isnan(out)
         value = pd.Series(out[there]).where(np.isfinite(out[there]), None).astype(object).tolist()
         yield pd.DataFrame({**{n: [v] * int(there.sum()) for n, v in zip(keys, k)}, "ms": pdf["ms"][there].tolist(), "seq": pdf["seq"][there].tolist(), "value": value})
 
-    plain = df.select(*keys, "ms", "seq", F.col("value").cast("double").alias("value"))
+    plain = df.select(*keys, "ms", "seq", F.col("value").cast("double").alias("value"), (F.lit(0) if changing is None else changing).cast("long").alias("_n"))
     out = plain.groupBy(*keys).applyInPandasWithState(work, f"{_columns(df, keys)}, ms long, seq long, value double", "held string", "append", GroupStateTimeout.NoTimeout)
     return out if places is None else out.withColumn("value", round_half_up(F.col("value"), places))
 
@@ -189,30 +194,60 @@ def stream_enrich(raw: DataFrame, rules: Callable[[], DataFrame], write: Callabl
     return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
 
 
-def stream_assemble(df: DataFrame, need: dict[str, int], wait_ms: int = 3000, late: str = LATE, urls: dict[str, str] | None = None) -> DataFrame:
-    """(post_name, ts, out_name, value) -> post_name, url, ms, body (JSON) once all keys of a post are there.
+class _Assembly(StatefulProcessor):
+    """The values of one post and time, until they are all there or the watermark has passed their time by too much."""
 
-    A null value counts as there. Rows that are incomplete when the watermark is ``wait_ms`` past their time are dropped
-    with their state. ``urls`` says where each post goes.
-    """
-    def work(k, pdfs, state):
-        post, ms = k
-        if state.hasTimedOut:
-            state.remove()
+    def __init__(self, need: dict[str, int], wait_ms: int, urls: dict[str, str]):
+        self.need, self.wait_ms, self.urls = need, wait_ms, urls
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.values = handle.getMapState("values", "out_name string", "value double")
+        self.told = handle.getValueState("told", "at long")
+
+    def _row(self, key, complete: bool) -> pd.DataFrame:
+        post, ms = key
+        held = {k[0]: v[0] for k, v in self.values.iterator()}
+        return pd.DataFrame({"post_name": [post], "url": [self.urls.get(post)], "ms": [ms], "body": [json.dumps(held, sort_keys=True)], "complete": [complete], "missing": [max(self.need.get(post, 0) - len(held), 0)]})
+
+    def handleInputRows(self, key, rows, timerValues):
+        if self.told.exists():  # what comes again for a row that has been told
             return
-        held = json.loads(state.get[0]) if state.exists else {}
-        for pdf in pdfs:
-            held.update((n, None if pd.isna(v) else float(v)) for n, v in zip(pdf["out_name"], pdf["value"]))
-        if len(held) >= need.get(post, 1 << 30):
-            if state.exists:
-                state.remove()
-            yield pd.DataFrame({"post_name": [post], "url": [(urls or {}).get(post)], "ms": [ms], "body": [json.dumps(held, sort_keys=True)]})
-        else:
-            state.update((json.dumps(held),))
-            state.setTimeoutTimestamp(max(int(ms) + wait_ms, state.getCurrentWatermarkMs() + 1))
+        new = not self.values.exists()
+        for pdf in rows:
+            for name, v in zip(pdf["out_name"], pdf["value"]):
+                self.values.updateValue((name,), (None if pd.isna(v) else float(v),))
+        if new:
+            self.handle.registerTimer(max(int(key[1]) + self.wait_ms, timerValues.getCurrentWatermarkInMs() + 1))
+        if len(list(self.values.keys())) >= self.need.get(key[0], 1 << 30):
+            out = self._row(key, True)
+            self.told.update((int(key[1]),))
+            self.values.clear()
+            yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if not self.told.exists() and self.values.exists():
+            yield self._row(key, False)
+        self.values.clear()
+        self.told.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def stream_assemble(df: DataFrame, need: dict[str, int], wait_ms: int = 3000, late: str = LATE, urls: dict[str, str] | None = None, incomplete: bool = False) -> DataFrame:
+    """(post_name, ts, out_name, value) -> post_name, url, ms, body (JSON) once all keys of a post are there.
 
+    A null value counts as there; what comes again after that is passed over. Rows that are not complete when the
+    watermark is ``wait_ms`` past their time leave the state; with ``incomplete`` they are told too, with the columns
+    complete (false) and missing (how many values never came), so that what is lost can be counted. ``urls`` says where
+    each post goes.
+    """
+    chains.with_state_store(df.sparkSession)
     rows = df.withWatermark("ts", late).withColumn("ms", _ms(F.col("ts")))
-    return rows.groupBy("post_name", "ms").applyInPandasWithState(work, "post_name string, url string, ms long, body string", "held string", "append", GroupStateTimeout.EventTimeTimeout)
+    schema = "post_name string, url string, ms long, body string, complete boolean, missing int"
+    out = rows.groupBy("post_name", "ms").transformWithStateInPandas(_Assembly(need, wait_ms, urls or {}), schema, "append", "EventTime")
+    return out if incomplete else out.where("complete").drop("complete", "missing")
 
 
 def replay(df: DataFrame, path: str, mode: str = "append"):

@@ -342,3 +342,84 @@ def test_polls_survive_a_restart(tmp_path):
         raise OSError
 
     assert new(broken).read({"poll": 5})[1] == {"poll": 5}
+
+
+# ---- clocks, assembly, patterns, changing lags ----------------------------------------------------------------------
+
+
+def test_windows_by_the_clock(spark, tmp_path):
+    """Records count when they come, however old their own time is; windows are told without new records."""
+    import time
+
+    source = tmp_path / "in"
+    add = lambda *r: spark.createDataFrame(r, "k string, seq long, value double").coalesce(1).write.mode("append").parquet(str(source))
+    add(("a", 1, 1.0), ("a", 2, None), ("b", 3, 5.0))
+    s = spark.readStream.schema("k string, seq long, value double").parquet(str(source))
+    out = streams.stream_arrival_windows(s, "SUM", ["k"], "4s", "4s")
+    q = out.writeStream.format("memory").queryName("by_clock").outputMode("append").option("checkpointLocation", str(tmp_path / "check")).trigger(processingTime="500 milliseconds").start()
+    try:
+        until = time.time() + 90
+        while time.time() < until and spark.table("by_clock").count() < 2:
+            time.sleep(0.5)
+        first = {(r["k"], r["value"], r["win_start"]) for r in spark.table("by_clock").collect()}
+        add(("a", 0, 7.0))  # "late" by its number; it comes now
+        while time.time() < until and spark.table("by_clock").count() < 3:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    rows = spark.table("by_clock").collect()
+    assert {(k, v) for k, v, _ in first} == {("a", 1.0), ("b", 5.0)} and all(r["win_end"] - r["win_start"] == 4000 and r["win_start"] % 4000 == 0 for r in rows)
+    assert sorted((r["k"], r["value"]) for r in rows) == [("a", 1.0), ("a", 7.0), ("b", 5.0)] and max(r["win_start"] for r in rows) > max(w for *_, w in first)
+
+
+def test_assembly_counts_what_is_lost(spark, tmp_path):
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    schema, source = "post_name string, ts timestamp, out_name string, value double", tmp_path / "in"
+    parts = [
+        [("p", t(0), "a", 1.0), ("p", t(1), "a", 1.5), ("q", t(0), "x", None)],
+        [("p", t(0), "b", None), ("p", t(0), "b", 9.0), ("p", t(1), "a", 2.5)],
+        [("p", t(60), "a", 3.0)],
+        [("p", t(61), "a", 0.0), ("p", t(60), "b", 4.0), ("p", t(60), "a", 5.0), ("p", t(1), "b", 7.0)],
+        [("p", t(300), "a", 3.0)],
+    ]
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(source))
+        s = spark.readStream.schema(schema).parquet(str(source))
+        out = streams.replay(streams.stream_assemble(s, {"p": 2, "q": 1}, 5000, "2 seconds", {"p": "http://p"}, incomplete=True), str(tmp_path / "run"))
+    base = 1_704_067_200_000
+    got = sorted((r["post_name"], r["ms"] - base, json.loads(r["body"]), r["complete"], r["missing"]) for r in out.collect())
+    assert got == [("p", 0, {"a": 1.0, "b": 9.0}, True, 0), ("p", 1000, {"a": 2.5}, False, 1), ("p", 60_000, {"a": 5.0, "b": 4.0}, True, 0), ("p", 61_000, {"a": 0.0}, False, 1), ("q", 0, {"x": None}, True, 0)]
+
+
+def test_patterns_of_times(spark):
+    from sensorloom.operators import pattern
+
+    rng = random.Random(6)
+    names = [rng.choice("aab") for _ in range(300)]
+    rows = [("k" if i < 150 else None, i * 10, i, n) for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "k string, ms long, seq long, name string")
+    is_ = lambda x: F.col("name") == x
+    got = lambda steps, **w: sorted((r["first_seq"], r["last_seq"]) for r in pattern.match_times(df, steps, ["k"], **w).collect())
+    for text in ("a" * 3, "aab", "baab", "b" * 2):
+        runs, steps = [], []
+        for c in text:
+            if runs and runs[-1][0] == c:
+                runs[-1][1] += 1
+            else:
+                runs.append([c, 1])
+        steps = [(is_(c), n) for c, n in runs]
+        want = [(i, i + len(text) - 1) for i in range(300 - len(text) + 1) if "".join(names[i : i + len(text)]) == text and (i < 150) == (i + len(text) - 1 < 150)]
+        assert got(steps) == want == sorted((r["first_seq"], r["last_seq"]) for r in pattern.match_next(df, [c for s, n in steps for c in pattern.times(s, n)], ["k"]).collect())
+    assert got([(is_("a"), 2)], within=10) == [] and len(got([(is_("a"), 2)], within=11)) > 50
+    with pytest.raises(ValueError):
+        pattern.match_times(df, [(is_("a"), 0)], ["k"])
+
+
+def test_changing_lags_in_chunks(spark):
+    rng = random.Random(9)
+    rows = [(*r, rng.choice([1, 1, 1, 2])) for r in series(600)]
+    df = spark.createDataFrame(rows, f"{SERIES}, n long")
+    whole = sorted(map(str, sequences.lag_stage(df, "LAST", 2, ["k"], F.col("n")).collect()))
+    for chunk in ("1m", "30m"):
+        assert sorted(map(str, sequences.lag_stage(df, "LAST", 2, ["k"], F.col("n"), chunk).collect())) == whole
+    assert len(whole) > 100
