@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions.times import millis, round_half_up, time_text, wire_time
 from .operators import changes, enrich, pattern, route, sequences, windows
+from .plans import compiler
 from .plans.compiler import calculate, results, run_chain, run_rules
 from .plans.spec import WINDOW_OPS, parse_spec
 from .sources import connectors, messages
@@ -302,6 +303,21 @@ v AS (SELECT *, lead(ms) OVER (PARTITION BY out_name ORDER BY ms, seq) AS until
 SELECT t.event_type AS name, t.ms, t.seq, t.value, v.out_name, CAST(v.seq AS VARCHAR) AS param FROM t JOIN v ON t.event_type = v.event_type AND t.ms >= v.ms AND (until IS NULL OR t.ms < until) WHERE v.seq % 60 <> 0"""
 
 
+def spec_changes(spark, sf):
+    """The specs that came and went between two times of the log of rule versions, with what is wrong with the new ones."""
+    log = _versions(spark, sf).withColumn("calculate_type", F.when(F.col("pos") % 40 == 0, "LOST").otherwise(F.col("calculate_type")))
+    versions = changes.intervals(log, ["out_name"])
+    at = lambda ms: versions.where((F.col("valid_from") <= ms) & F.coalesce(F.col("valid_to") > ms, F.lit(True)))
+    return compiler.spec_changes(at(F.lit(SPEC_TIMES[0])), at(F.lit(SPEC_TIMES[1])))
+
+
+SPEC_TIMES = (1_705_276_800_000, 1_706_140_800_000)
+SPEC_CHANGES_SQL = f"""WITH {T}, c AS (SELECT event_type || '_' || (user_id % 2) AS out_name, seq, ms, CASE WHEN seq % 40 = 0 THEN 'LOST' ELSE 'LAST' END || '#' || seq AS spec FROM t WHERE seq % 20 = 0),
+v AS (SELECT *, lead(ms) OVER (PARTITION BY out_name ORDER BY ms, seq) AS until FROM c),
+o AS (SELECT spec FROM v WHERE seq % 60 <> 0 AND ms <= {SPEC_TIMES[0]} AND (until IS NULL OR until > {SPEC_TIMES[0]})), n AS (SELECT spec FROM v WHERE seq % 60 <> 0 AND ms <= {SPEC_TIMES[1]} AND (until IS NULL OR until > {SPEC_TIMES[1]}))
+SELECT spec, 'removed' AS change, NULL AS reason FROM o WHERE spec NOT IN (SELECT spec FROM n) UNION ALL SELECT spec, 'added', CASE WHEN spec LIKE 'LOST%' THEN {_literal("no operator 'LOST'")} END FROM n WHERE spec NOT IN (SELECT spec FROM o)"""
+
+
 def tag_semi_filter(spark, sf):
     return enrich.keep_used(raw(spark, sf), conf(spark)).select("name", "ms", "seq", "value")
 
@@ -348,48 +364,53 @@ NORMAL_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT out_name, seq, value FROM e WHE
 
 
 def parse_params(spark, sf):
-    return route.parse_params(conf(spark).where("calculate_type is not null")).select("id", F.col("total_index").cast("long").alias("total_index"), "first_op", "first_args")
+    """Every enriched record with the length of its chain and the first operator's arguments."""
+    return route.parse_params(enriched(spark, sf)).select("out_name", "seq", F.col("total_index").cast("long").alias("total_index"), "first_op", "first_args")
 
 
-PARSE_SQL = f"WITH {CONF} SELECT id, CAST(len(string_split(calculate_type, '_')) AS BIGINT) AS total_index, string_split(calculate_type, '_')[1] AS first_op, string_split(param, '|')[1] AS first_args FROM conf WHERE calculate_type IS NOT NULL"
+PARSE_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT out_name, seq, CAST(len(string_split(calculate_type, '_')) AS BIGINT) AS total_index, string_split(calculate_type, '_')[1] AS first_op, string_split(param, '|')[1] AS first_args FROM e"
 
 
 def route_union(spark, sf):
     """Branches by current operator, each advanced, and joined again."""
     e = route.parse_params(enriched(spark, sf)).withColumnRenamed("first_op", "curr_cal").withColumn("curr_index", F.lit(0))
     branches = route.route(e, ["AVG", "MAX", "LAST", "MEDIAN", "FOF"])
-    return route.union_all([route.advance(b) for b in branches.values()]).groupBy("calculate_type", "curr_cal", "curr_index").agg(F.count("*").alias("n"))
+    return route.union_all([route.advance(b) for b in branches.values()]).select("out_name", "seq", "value", "calculate_type", "curr_cal", "curr_index")
 
 
-ROUTE_SQL = f"""WITH {T}, {CONF}, {ENRICH} SELECT calculate_type, coalesce(string_split(calculate_type, '_')[2], 'over') AS curr_cal, 1 AS curr_index, count(*) AS n FROM e GROUP BY 1, 2"""
+ROUTE_SQL = f"""WITH {T}, {CONF}, {ENRICH} SELECT out_name, seq, value, calculate_type, coalesce(string_split(calculate_type, '_')[2], 'over') AS curr_cal, 1 AS curr_index FROM e"""
 
 
 def operands(spark, sf):
-    """The arguments of the first and the last operator of each rule, each in a column of its own."""
-    c = conf(spark).where("calculate_type is not null").withColumn("last", F.size(F.split("calculate_type", "_")) - 1)
+    """The arguments of the first and the last operator of each enriched record's chain, each in a column of its own."""
+    c = enriched(spark, sf).withColumn("last", F.size(F.split("calculate_type", "_")) - 1)
     both = route.operands(c, 0).withColumn("place", F.lit(0)).unionByName(route.operands(c, F.col("last")).withColumn("place", F.col("last")))
-    return both.select("id", "place", "curr_cal", *route.OPERANDS)
+    return both.select("out_name", "seq", "place", "curr_cal", *route.OPERANDS)
 
 
 _AT = "string_split(string_split(param, '|')[place + 1], ',')"
 _DUR = "CAST(regexp_extract({x}, '^([0-9]+)', 1) AS BIGINT) * CASE regexp_extract({x}, '([a-z]+)$', 1) WHEN 's' THEN 1000 WHEN 'm' THEN 60000 WHEN 'h' THEN 3600000 WHEN 'd' THEN 86400000 END"
 _WIN = "curr_cal IN (" + ", ".join(f"'{o}'" for o in WINDOW_OPS) + ")"
-OPERANDS_SQL = f"""WITH {CONF}, p AS (SELECT id, calculate_type, param, unnest([0, len(string_split(calculate_type, '_')) - 1]) AS place FROM conf WHERE calculate_type IS NOT NULL),
-q AS (SELECT id, CAST(place AS INT) AS place, string_split(calculate_type, '_')[place + 1] AS curr_cal, {_AT} AS a FROM p)
-SELECT id, place, curr_cal, CASE WHEN {_WIN} THEN {_DUR.format(x="a[1]")} END AS win_size, CASE WHEN {_WIN} THEN {_DUR.format(x="a[2]")} END AS win_slide,
+OPERANDS_SQL = f"""WITH {T}, {CONF}, {ENRICH}, p AS (SELECT out_name, seq, calculate_type, param, unnest([0, len(string_split(calculate_type, '_')) - 1]) AS place FROM e),
+q AS (SELECT out_name, seq, CAST(place AS INT) AS place, string_split(calculate_type, '_')[place + 1] AS curr_cal, {_AT} AS a FROM p)
+SELECT out_name, seq, place, curr_cal, CASE WHEN {_WIN} THEN {_DUR.format(x="a[1]")} END AS win_size, CASE WHEN {_WIN} THEN {_DUR.format(x="a[2]")} END AS win_slide,
  CASE WHEN curr_cal IN ('LAST', 'VAR', 'TREND', 'EMA', 'RSI') THEN CAST(a[1] AS BIGINT) END AS n, CASE WHEN curr_cal = 'FOF' THEN CAST(a[1] AS DOUBLE) END AS a,
  CASE WHEN curr_cal = 'DEJUMP' THEN CAST(a[1] AS DOUBLE) END AS lower, CASE WHEN curr_cal = 'DEJUMP' THEN CAST(a[2] AS DOUBLE) END AS upper,
  CASE WHEN curr_cal = 'KF' THEN CAST(a[1] AS DOUBLE) END AS dt, CASE WHEN curr_cal = 'KF' THEN CAST(a[2] AS DOUBLE) END AS r,
  CASE WHEN curr_cal = 'DIF' THEN CAST(a[1] AS BIGINT) END AS fast, CASE WHEN curr_cal = 'DIF' THEN CAST(a[2] AS BIGINT) END AS slow FROM q"""
 
 
+SPECS = sorted({f"{r[5]}#{r[7]}" for r in RULES if r[5] and r[7]})
+_SPEC_LIST = ", ".join(map(_literal, SPECS))
+
+
 def route_by_spec(spark, sf):
     """Branches by type and parameters together."""
-    found = route.route_by_spec(enriched(spark, sf), ["AVG#1h,1h", "LAST#2", "MAX#5m,5m"])
+    found = route.route_by_spec(enriched(spark, sf), [*SPECS, "MAX#5m,5m"])
     return route.union_all([b.select(F.lit(s).alias("spec"), "out_name", "seq", "value") for s, b in found.items()])
 
 
-BY_SPEC_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT calculate_type || '#' || param AS spec, out_name, seq, value FROM e WHERE calculate_type || '#' || param IN ('AVG#1h,1h', 'LAST#2', 'MAX#5m,5m')"
+BY_SPEC_SQL = f"WITH {T}, {CONF}, {ENRICH} SELECT calculate_type || '#' || param AS spec, out_name, seq, value FROM e WHERE calculate_type || '#' || param IN ({_SPEC_LIST})"
 
 
 def grade_split(spark, sf):
@@ -448,23 +469,25 @@ FEEDBACK_SQL = f"WITH {_HOURS} SELECT 'tags_pre' AS topic, event_type || '_$' AS
 
 
 def json_topics(spark, sf):
-    """Records as JSON messages with a topic of their own each, and one topic's read back; texts that are no record go."""
+    """Records as JSON messages with a topic of their own each, and each topic read back; texts that are no record go."""
     t = tags(spark, sf).select(F.col("event_type").alias("name"), time_text(F.col("ms")).alias("time"), F.col("value").cast("decimal(38,4)").alias("value"), (F.col("seq") % 4).cast("int").alias("line_id"))
     sent = messages.encode_json(t, topic=F.concat(F.lit("dwd-"), F.col("line_id")), key=F.col("name"))
     broken = spark.createDataFrame([("{broken", "dwd-1", "x"), (None, "dwd-1", "y"), ("{}", "dwd-1", "z")], "value string, topic string, key string")
-    got = messages.decode_json(sent.unionByName(broken).where("topic = 'dwd-1'").select("value"))
-    return got.select("name", "time", F.col("value").cast("double").alias("value"), "line_id")
+    every = sent.unionByName(broken)
+    topics = [f"dwd-{k}" for k in range(4)]
+    got = route.union_all([messages.decode_json(every.where(F.col("topic") == k).select("value")).withColumn("topic", F.lit(k)) for k in topics])
+    return got.select("topic", "name", "time", F.col("value").cast("double").alias("value"), "line_id")
 
 
-TOPICS_SQL = f"WITH {T} SELECT event_type AS name, strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') AS time, value, CAST(1 AS INT) AS line_id FROM t WHERE seq % 4 = 1"
+TOPICS_SQL = f"WITH {T} SELECT 'dwd-' || (seq % 4) AS topic, event_type AS name, strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') AS time, value, CAST(seq % 4 AS INT) AS line_id FROM t"
 
 
 def retain_today(spark, sf):
     t = tags(spark, sf)
-    return route.retain_from(t, "2024-01-15").groupBy("event_type").agg(F.count("*").alias("n"), F.min("ms").alias("first_ms"))
+    return route.retain_from(t, "2024-01-15").select("event_type", "ms", "seq", "value")
 
 
-RETAIN_SQL = f"WITH {T} SELECT event_type, count(*) AS n, min(ms) AS first_ms FROM t WHERE ms >= epoch_ms(TIMESTAMP '2024-01-15') GROUP BY 1"
+RETAIN_SQL = f"WITH {T} SELECT event_type, ms, seq, value FROM t WHERE ms >= epoch_ms(TIMESTAMP '2024-01-15')"
 
 
 def _change_log(spark, sf) -> DataFrame:
@@ -828,7 +851,7 @@ for _op in FILTER_ARGS:
     _register(f"{_op.lower()}_chunked", _filter(_op, CHUNK), FILTER_SQL[_op])
 _register("raw", lambda spark, sf: run_chain(tags(spark, sf), parse_spec("RAW", ""), ["event_type"]), f"WITH {T} SELECT event_type, ms, seq, value FROM t")
 for _name, _query, _sql in (
-    ("enrich", enriched, ENRICH_SQL), ("enrich_as_of", _as_of(enrich.SMALL), AS_OF_SQL), ("enrich_as_of_buckets", _as_of(0), AS_OF_SQL), ("tag_semi_filter", tag_semi_filter, SEMI_SQL), ("formula", formula, FORMULA_SQL), ("filter_normal_job", normal_job, NORMAL_SQL),
+    ("enrich", enriched, ENRICH_SQL), ("spec_changes", spec_changes, SPEC_CHANGES_SQL), ("enrich_as_of", _as_of(enrich.SMALL), AS_OF_SQL), ("enrich_as_of_buckets", _as_of(0), AS_OF_SQL), ("tag_semi_filter", tag_semi_filter, SEMI_SQL), ("formula", formula, FORMULA_SQL), ("filter_normal_job", normal_job, NORMAL_SQL),
     ("parse_params", parse_params, PARSE_SQL), ("route_union", route_union, ROUTE_SQL), ("grade_split", grade_split, GRADE_SQL), ("post_fanout", post_fanout, FANOUT_SQL),
     ("post_assemble", post_assemble, ASSEMBLE_SQL), ("post_requests", post_requests, REQUESTS_SQL), ("feedback", feedback, FEEDBACK_SQL), ("json_topics", json_topics, TOPICS_SQL),
     ("win_null_key", win_null_key, NULL_KEY_SQL), ("win_carry", win_carry, CARRY_SQL), ("win_carry_each", win_carry_each, CARRY_EACH_SQL), ("formula_rows", formula_rows, FORMULA_SQL), ("flatten_normal", flatten_normal, FLATTEN_SQL),

@@ -80,6 +80,31 @@ def read_specs(specs: DataFrame, last_wins: bool = False) -> DataFrame:
     return at_hand(parsed)
 
 
+def spec_changes(before: DataFrame, now: DataFrame) -> DataFrame:
+    """(spec, change, reason): the type#param texts that only one of two rule tables has ('added', 'removed').
+
+    ``reason`` says why an added one cannot run; it is null where it can. Rules without a type have no spec.
+    """
+    spec = F.concat_ws("#", "calculate_type", F.coalesce("param", F.lit("")))
+    of = lambda df, name: df.where("calculate_type is not null").select(spec.alias("spec")).distinct().withColumn(name, F.lit(True))
+    both = of(before, "_old").join(of(now, "_new"), "spec", "full").where("_old is null or _new is null")
+
+    def checked(batches):
+        for pdf in batches:
+            why = [None if c == "removed" else _wrong(s) for s, c in zip(pdf["spec"], pdf["change"])]
+            yield pdf.assign(reason=pd.Series(why, dtype=object))
+
+    return both.select("spec", F.when(F.col("_new").isNull(), "removed").otherwise("added").alias("change")).mapInPandas(checked, "spec string, change string, reason string")
+
+
+def _wrong(spec: str) -> str | None:
+    try:
+        parse_spec(*spec.split("#", 1))
+    except ValueError as e:
+        return str(e)
+    return None
+
+
 def _shapes(parsed: DataFrame) -> dict[str, list[list[str]]]:
     """Shape -> the operators that its rules have at each stage."""
     rows = parsed.groupBy("shape").agg(F.array_distinct(F.flatten(F.collect_set(F.transform("ops", lambda o, i: F.struct(i.alias("i"), o.alias("o")))))).alias("used")).collect()

@@ -162,17 +162,22 @@ def stream_match(df: DataFrame, steps: list[Column], keys: list[str], within: in
 
     def work(k, pdfs, state):
         turned, past = json.loads(state.get[0]) if state.exists else (0, [])
-        out = []
         pdf = pd.concat(list(pdfs)).sort_values(["ms", "seq"])
-        for ms, seq, a, b, mark in zip(*(pdf[c].tolist() for c in ("ms", "seq", "_a", "_b", "_s"))):
-            if mark:
+        rows = pdf[["ms", "seq", "_a", "_b"]].to_numpy(np.int64)
+        marks = np.flatnonzero(pdf["_s"].to_numpy(bool))
+        out = []
+        for begin, end in zip(np.r_[-1, marks] + 1, np.r_[marks, len(rows)]):  # between the marks
+            if begin:
                 turned, past = 1, []
-                continue
-            past = [*past, (ms, seq, a, b)][-max(sizes) :]
-            n = sizes[turned]
-            tail = past[-n:]
-            if len(tail) == n and all(r[2 + turned] >> i & 1 for i, r in enumerate(tail)) and (within is None or ms - tail[0][0] < within):
-                out.append((*k, tail[0][1], seq, tail[0][0], ms))
+            stretch = np.concatenate([np.array(past, np.int64).reshape(-1, 4), rows[begin:end]])
+            n, flags = sizes[turned], stretch[:, 2 + turned]
+            starts = np.arange(max(len(past) - n + 1, 0), max(len(stretch) - n + 1, 0))  # those that end in new records
+            for i in range(n):
+                starts = starts[flags[starts + i] >> i & 1 == 1]
+            if within is not None:
+                starts = starts[stretch[starts + n - 1, 0] - stretch[starts, 0] < within]
+            out += [(*k, stretch[i, 1], stretch[i + n - 1, 1], stretch[i, 0], stretch[i + n - 1, 0]) for i in starts]
+            past = stretch[max(len(stretch) - max(sizes) + 1, 0) :].tolist()
         state.update((json.dumps((turned, past)),))
         yield pd.DataFrame(out, columns=[*keys, "first_seq", "last_seq", "first_ms", "last_ms"])
 
