@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import wire_time
 
+# The fields of a record on the wire.
 TAG_SCHEMA = "name string, time string, value decimal(38,4), topic string, tag_type int, out_name string, str_value string, timestamp long, is_normal int, calculate_type string, calculate_param string, task_name string, line_id int, win_size long, win_slide long, curr_n_before int, op string, status int, a double, lower_int int, upper_int int, dt double, r double, total_index int, curr_index int, curr_cal string"
 
 

@@ -1,5 +1,7 @@
 """Windows, sequences and chains against vectors worked out by hand, and against plain loops."""
 
+from decimal import ROUND_HALF_UP, Decimal
+
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -8,8 +10,7 @@ from sensorloom.operators import pattern, sequences, windows
 from sensorloom.plans.compiler import check_cycles, operator, run_chain
 from sensorloom.plans.spec import WINDOW_OPS, Stage, parse_spec, validate_specs
 
-# The series for which the results below were worked out by hand.
-PRICES = [12.78, 13.02, 12.87, 13.25, 13.41, 13.83, 13.79, 13.76, 13.48, 13.44, 13.82, 14.22, 14.70, 14.61, 14.57, 14.15]
+READINGS = [20.5, 21.25, 19.9, 20.75, 22.4, 23.1, 22.85, 21.6, 20.95, 21.3, 24.05, 23.55, 22.7, 25.2, 24.9, 23.8]
 SERIES = "k string, ms long, seq long, value double"
 
 
@@ -21,14 +22,34 @@ def values(df):
     return [r["value"] for r in df.orderBy("ms", "seq").collect()]
 
 
+def places(x, n=4):
+    """Half up, on exact numbers."""
+    return float(Decimal(x).quantize(Decimal(1).scaleb(-n), ROUND_HALF_UP))
+
+
+def by_hand(xs):
+    """The window operators over one window, in decimals."""
+    d = [Decimal(repr(x)) for x in xs]
+    n, mean = len(d), Decimal(repr(places(sum(d) / len(d))))
+    variance = Decimal(repr(places(sum((x - mean) ** 2 for x in d) / n)))
+    ranks, order = range(1, n + 1), sorted(d)
+    middle = Decimal(n + 1) / 2
+    slope = sum((i - middle) * x for i, x in zip(ranks, d)) / sum((i - middle) ** 2 for i in ranks)
+    return {
+        "sum": float(sum(d)), "avg": float(mean), "max": float(order[-1]), "min": float(order[0]), "range": float(order[-1] - order[0]), "median": places((order[(n - 1) // 2] + order[n // 2]) / 2),
+        "variance": float(variance), "std": places(variance.sqrt()), "cv": places(variance.sqrt() / mean), "slope": places(slope), "interp": xs[-1], "pseq": float(order[0] >= 0),
+    }
+
+
 def test_windows(spark):
-    df = windows.window_aggregate(series(spark, PRICES), {o.lower(): o for o in WINDOW_OPS}, ["k"], "1m", "1m")
-    r = df.first().asDict()
-    assert (r["sum"], r["avg"], r["max"], r["min"], r["range"], r["median"]) == (219.70, 13.7313, 14.70, 12.78, 1.92, 13.775)
-    assert (r["variance"], r["std"], r["cv"], r["slope"], r["interp"], r["pseq"]) == (0.3428, 0.5855, 0.0426, 0.1135, 14.15, 1.0)
-    assert (r["win_start"], r["win_end"]) == (0, 60000)
-    i = windows.integer_order(series(spark, PRICES), ["k"], "1m", "1m").first()
-    assert (i["max_int"], i["min_int"], i["range_int"]) == (14.15, 12.87, 1.37)
+    for xs in (READINGS, [-x for x in READINGS[:7]], [3.0, 3.0]):
+        r = windows.window_aggregate(series(spark, xs), {o.lower(): o for o in WINDOW_OPS}, ["k"], "1m", "1m").first().asDict()
+        assert {k: v for k, v in r.items() if k not in ("k", "win_start", "win_end")} == by_hand(xs)
+        assert (r["win_start"], r["win_end"]) == (0, 60000)
+    i = windows.integer_order(series(spark, READINGS), ["k"], "1m", "1m").first()
+    assert (i["max_int"], i["min_int"], i["range_int"]) == (25.2, 19.9, 5.3)
+    i = windows.integer_order(series(spark, [7.9, 7.1, 6.5, 6.2]), ["k"], "1m", "1m").first()
+    assert (i["max_int"], i["min_int"], i["range_int"]) == (7.1, 6.2, 0.6)  # of equal whole parts the later; the range from the first of the least
 
 
 def test_window_edges(spark):
@@ -65,26 +86,34 @@ def test_assigner(spark, size, slide, offset):
         assert all(r[2] - r[1] == size for r in got)
 
 
+def strengths(xs, n):
+    d = [Decimal(repr(x)) for x in xs]
+    change = [Decimal(0), *(b - a for a, b in zip(d, d[1:]))]
+    out = []
+    for i in range(n - 1, len(d)):
+        up, down = (sum(max(s * c, Decimal(0)) for c in change[i - n + 1 : i + 1]) for s in (1, -1))
+        out.append(places(100 - 100 / (1 + up / down)) if down else 100.0 if up else None)
+    return out
+
+
 def test_lags(spark):
-    s = series(spark, PRICES)
-    assert values(sequences.lag_stage(s, "LAST", 2, ["k"]))[:4] == [12.78, 13.02, 12.87, 13.25]
-    assert values(sequences.lag_stage(s, "VAR", 2, ["k"]))[:4] == [0.09, 0.23, 0.54, 0.58]
-    assert values(sequences.lag_stage(s, "TREND", 2, ["k"]))[:4] == [1.0070, 1.0177, 1.0420, 1.0438]
+    s = series(spark, READINGS)
+    d = [Decimal(repr(x)) for x in READINGS]
+    assert values(sequences.lag_stage(s, "LAST", 2, ["k"])) == READINGS[:-2]
+    assert values(sequences.lag_stage(s, "VAR", 2, ["k"])) == [places(b - a) for a, b in zip(d, d[2:])]
+    assert values(sequences.lag_stage(s, "TREND", 2, ["k"])) == [places(b / a) for a, b in zip(d, d[2:])]
     assert values(sequences.lag_stage(series(spark, [0.0, 1.0]), "TREND", 1, ["k"])) == [None]
-    assert values(sequences.rsi(s, 14, ["k"])) == [79.6117, 78.5942, 67.0695]
-    assert values(sequences.rsi(s, 5, ["k"]))[:4] == [83.8710, 88.8889, 83.4783, 93.2039]
+    for n in (14, 5, 1):
+        assert values(sequences.rsi(s, n, ["k"])) == strengths(READINGS, n)
     assert values(sequences.rsi(series(spark, [1.0, 1.0]), 2, ["k"])) == [None]
     assert values(sequences.rsi(series(spark, [1.0, 2.0]), 2, ["k"])) == [100.0]
 
 
 def test_filters(spark):
-    s = series(spark, PRICES)
-    run = lambda op, *a: values(sequences.filter_stage(s, op, a, ["k"]))
-    assert run("EMA", 5)[:5] == [12.78, 12.86, 12.86333333, 12.99222222, 13.13148148] and run("EMA", 5)[-1] == 14.30025868
-    assert run("DIF", 3, 6)[:4] == pytest.approx([0, 0.051428571, 0.030306122, 0.099861516], abs=2e-9)
-    assert run("FOF", 0.3)[:5] == [12.78, 12.852, 12.8574, 12.9752, 13.1056] and run("FOF", 0.3)[-1] == 14.2747
-    assert run("DEJUMP", -0.3, 0.3) == [12.78, 13.02] + [12.87] * 14
-    assert run("KF", 1.0, 1.0)[:6] == [12.78, 12.78, 13.0264, 12.9673, 13.2363, 13.4654] and run("KF", 1.0, 1.0)[-1] == 14.8566
+    s = series(spark, READINGS)
+    for op, args, n in (("EMA", (5,), 8), ("DIF", (3, 6), 9), ("FOF", (0.3,), 4), ("KF", (1.0, 1.0), 4)):
+        assert values(sequences.filter_stage(s, op, args, ["k"])) == pytest.approx(plain(op, READINGS, *args), abs=0.6 * 10**-n)
+    assert values(sequences.filter_stage(s, "DEJUMP", (-0.8, 0.8), ["k"])) == [20.5, 21.25, 21.25, 20.75, 20.75, 20.75, 20.75, 20.75, 20.95, 21.3, *[21.3] * 6]
     assert values(sequences.filter_stage(series(spark, [1.0, None, 2.0]), "FOF", (0.5,), ["k"])) == [1.0, None, 1.5]
     assert values(sequences.filter_stage(series(spark, [1.0, 1.5, 2.5]), "DEJUMP", (0.0, 0.5), ["k"])) == [1.0, 1.5, 1.5]
 
@@ -222,7 +251,7 @@ def test_chain_plugin_and_cycles(spark):
     def twice(df, args, keys):
         return df.withColumn("value", df["value"] * 2)
 
-    got = run_chain(series(spark, PRICES), (Stage("AVG", (4000, 4000)), Stage("VAR", (1,)), Stage("TWICE")), ["k"])
+    got = run_chain(series(spark, READINGS), (Stage("AVG", (4000, 4000)), Stage("VAR", (1,)), Stage("TWICE")), ["k"])
     assert len(values(got)) == 3
     order = check_cycles([{"out_name": "c", "tag_name": "[b] + [a]"}, {"out_name": "b", "tag_name": "a"}])
     assert order.index("b") < order.index("c")
