@@ -145,7 +145,11 @@ CHUNK = "1d"
 
 
 def _lag(op: str, n: int):
-    return lambda spark, sf: sequences.lag_stage(tags(spark, sf), op, n, ["event_type"], chunk=CHUNK).select(*OUT)
+    def run(spark, sf):
+        t = tags(spark, sf)
+        return sequences.lag_stage(t, op, n, ["event_type"], chunk=sequences.cut_if_long(t, CHUNK) if op == "LAST" else CHUNK).select(*OUT)
+
+    return run
 
 
 def _lag_sql(op: str, n: int) -> str:
@@ -168,7 +172,8 @@ SELECT event_type, ms, seq, o AS value FROM l WHERE rn > 2"""
 def lag_fused(spark, sf):
     """LAST, VAR and TREND of one n share one sort."""
     ops = {"last": ("LAST", 3), "var": ("VAR", 3), "trend": ("TREND", 3)}
-    return sequences.lagged(tags(spark, sf), ops, ["event_type"], CHUNK).select("event_type", "ms", "seq", *ops)
+    t = tags(spark, sf)
+    return sequences.lagged(t, ops, ["event_type"], sequences.cut_if_long(t, CHUNK)).select("event_type", "ms", "seq", *ops)
 
 
 LAG_FUSED_SQL = f"""WITH {T}, x AS (SELECT *, lag(value, 3) OVER ({ORDER}) AS o FROM t)
@@ -789,7 +794,7 @@ def stream_assemble(spark, sf):
 
 
 STREAM_ASSEMBLE_SQL = f"""WITH {_HOURS}, k AS (SELECT ms, count(*) AS n, {", ".join(f"max(value) FILTER (event_type = '{n}') AS {n}" for n in ("click", "view", "purchase"))} FROM h WHERE event_type IN ('click', 'view', 'purchase') GROUP BY ms)
-SELECT 'hourly' AS post_name, 'http://a' AS url, ms, n = 3 AS complete, CAST(3 - n AS INT) AS missing, click, view, purchase FROM k WHERE n = 3 OR ms + 3 * {HOUR} < (SELECT max(ms) FROM k) - 2 * {HOUR}"""
+SELECT 'hourly' AS post_name, 'http://a' AS url, ms, n = 3 AS complete, CAST(3 - n AS INT) AS missing, click, view, purchase FROM k WHERE n = 3 OR ms + 3 * {HOUR} <= (SELECT max(ms) FROM k) - 2 * {HOUR}"""
 
 
 def stream_last_changing(spark, sf):

@@ -49,9 +49,12 @@ def used_tags(conf: DataFrame) -> DataFrame:
     return conf.select("tag_topic", F.explode(operands).alias("tag_name")).distinct()
 
 
-def keep_used(raw: DataFrame, conf: DataFrame) -> DataFrame:
-    """Raw records whose tag some rule reads: a semi-join that drops the rest before anything else."""
-    used = small(used_tags(conf))
+def keep_used(raw: DataFrame, conf: DataFrame, used: DataFrame | None = None) -> DataFrame:
+    """Raw records whose tag some rule reads: a semi-join that drops the rest before anything else.
+
+    ``used``: used_tags of ``conf``, if it is at hand.
+    """
+    used = small(used_tags(conf) if used is None else used)
     return raw.join(used, (raw["name"] == used["tag_name"]) & (raw["topic"] == used["tag_topic"]), "left_semi")
 
 
@@ -64,16 +67,16 @@ def enrich(raw: DataFrame, conf: DataFrame) -> DataFrame:
     return raw.join(rules, (raw["name"] == rules["tag_name"]) & (raw["topic"] == rules["tag_topic"])).drop("tag_name", "topic")
 
 
-def messages_of(raw: DataFrame, message: list[str], conf: DataFrame, span: str | None = None) -> DataFrame:
+def messages_of(raw: DataFrame, message: list[str], conf: DataFrame, span: str | None = None, used: DataFrame | None = None) -> DataFrame:
     """A row per message (the columns ``message`` and topic) with the list ``_l`` of its records that formulas read.
 
     In a stream, whose records have ts under a watermark, a message is what came in one ``span`` of event time.
     """
     own = list(dict.fromkeys([*message, "topic"]))
-    used = keep_used(raw, conf.where(F.col("tag_name").contains("[")))
+    kept = keep_used(raw, conf.where(F.col("tag_name").contains("[")), used)
     record = F.struct("seq", "ms", "name", F.col("value").cast("double").alias("v"))
     window = [] if span is None else [F.window("ts", span)]
-    return used.groupBy(*own, *window).agg(F.collect_list(record).alias("_l")).select(*own, "_l")
+    return kept.groupBy(*own, *window).agg(F.collect_list(record).alias("_l")).select(*own, "_l")
 
 
 def formula_rows(raw: DataFrame, message: list[str], conf: DataFrame, span: str | None = None, lists: DataFrame | None = None) -> DataFrame:

@@ -38,6 +38,15 @@ def epochs(df: DataFrame, keys: list[str], lag: Column, chunk=None) -> DataFrame
     return marked.withColumn("_inside", inside).withColumn("_at", at).join(placed, "_at").withColumn("_epoch", F.col("_inside") + F.col("_earlier")).select(*cols, "_epoch")
 
 
+#: Bytes of records up to which series are not worth cutting: one task sorts them all.
+LONG = 1 << 28
+
+
+def cut_if_long(df: DataFrame, chunk: str, most: int = LONG) -> str | None:
+    """``chunk`` if the records may be more than ``most`` bytes, by the optimiser's estimate, which costs no job; else None."""
+    return chunk if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > most else None
+
+
 def with_before(df: DataFrame, keys: list[str], n: int, chunk) -> tuple[DataFrame, list[str]]:
     """``df`` cut by time into chunks, each with the n records before it; and the keys of a chunk.
 

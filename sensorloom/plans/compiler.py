@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.formula import formula_tags
 from ..functions.times import parse_duration
 from ..operators.enrich import SMALL, at_hand, collected, enrich, formula_rows, messages_of, small
 from ..operators.route import union_all
@@ -113,22 +114,24 @@ def _shapes(parsed: DataFrame) -> dict[str, list[list[str]]]:
 
 def _branch(records: DataFrame, rules: DataFrame, shape: str, used: list[list[str]], keys: list[str]) -> DataFrame:
     """All rules of one shape: (keys, calculate_type, param, ms, seq, value) after every stage."""
-    named = [*keys, "calculate_type", "param"]
-    df = records.select(*named, "ms", "seq", F.col("value").cast("double").alias("value")).withColumn("param", F.coalesce("param", F.lit("")))
+    named, own = [*keys, "calculate_type", "param"], ["ms", "seq", "value"]
+    df = records.select(*keys, "calculate_type", F.coalesce("param", F.lit("")).alias("param"), "ms", "seq", F.col("value").cast("double").alias("value"))
+    joined = False
     for i, letter in enumerate(shape):
         if letter == "R":
             continue
-        if "ops" not in df.columns:
-            df = df.join(rules, ["calculate_type", "param"])
+        if not joined:
+            df, joined = df.join(rules, ["calculate_type", "param"]), True
         args = F.get("args", F.lit(i))
-        df = df.withColumn("_op", F.get("ops", F.lit(i)))
+        rest = [c for c in ("ops", "args") if c in df.columns]
         if letter == "S":
-            df = sequenced(df.withColumn("_args", args), named).drop("_op", "_args")
+            df = sequenced(df.select(*named, *own, *rest, F.get("ops", F.lit(i)).alias("_op"), args.alias("_args")), named).drop("_op", "_args")
         else:
-            size, slide = (F.get(args, F.lit(k)).cast("long") for k in (0, 1))
-            df = window_each(df.withColumn("_size", size).withColumn("_slide", slide), named, used[i])
+            size, slide = (F.get(args, F.lit(k)).cast("long").alias(n) for k, n in enumerate(("_size", "_slide")))
+            df = window_each(df.select(*named, *own, F.get("ops", F.lit(i)).alias("_op"), size, slide), named, used[i])
             df = df.select(*named, F.col("win_end").alias("ms"), F.col("win_start").alias("seq"), "value")
-    return df.select(*keys, "ms", "seq", "value", "calculate_type", "param")
+            joined = False
+    return df.select(*keys, *own, "calculate_type", "param")
 
 
 def run_rules(tags: DataFrame, keys: list[str], specs: DataFrame | None = None, last_wins: bool = False) -> DataFrame:
@@ -170,7 +173,7 @@ def calculate(raw: DataFrame, conf: DataFrame, message: list[str], keys: list[st
     known = conf.where("calculate_type is not null").withColumn("param", F.coalesce("param", F.lit("")))
     cols = [*keys, "calculate_type", "param", "ms", "seq", "value"]
     found = known.limit(SMALL + 1).collect()
-    out, lists = [], None
+    out, lists, used_by_formulas = [], None, None
     if len(found) <= SMALL:
         spark, schema = raw.sparkSession, known.schema.toDDL()
         stages = {(r["calculate_type"], r["param"]): parse_spec(r["calculate_type"], r["param"], last_wins) for r in found}
@@ -181,6 +184,8 @@ def calculate(raw: DataFrame, conf: DataFrame, message: list[str], keys: list[st
         shape_of = {(r["calculate_type"], r["param"]): k for k, v in shaped.items() for r in v}
         mine = {k: [[r.asDict() for r in found if shape_of[r["calculate_type"], r["param"]] == k and ("[" in (r["tag_name"] or "")) == f] for f in (False, True)] for k in by_shape}
         parts_of = {k: [_local(spark, x, schema) if x else None for x in v] for k, v in mine.items()}
+        read = sorted({(r["tag_topic"], t) for r in found if "[" in (r["tag_name"] or "") for t in formula_tags(r["tag_name"])}, key=str)
+        used_by_formulas = _local(spark, [{"tag_topic": a, "tag_name": b} for a, b in read], "tag_topic string, tag_name string") if read else None
     else:
         parsed = read_specs(known, last_wins)
         known = known.join(parsed.select("calculate_type", "param", "shape"), ["calculate_type", "param"])
@@ -193,7 +198,7 @@ def calculate(raw: DataFrame, conf: DataFrame, message: list[str], keys: list[st
         if single is not None:
             parts.append(enrich(raw, single).select(*cols))
         if formula is not None:
-            lists = messages_of(raw, message, known) if lists is None else lists
+            lists = messages_of(raw, message, known, used=used_by_formulas) if lists is None else lists
             parts.append(formula_rows(raw, message, formula, lists=lists).select(*cols))
         out.append(_branch(union_all(parts), rules, shape, used, keys))
     return union_all(out or [enrich(raw, known).select(*cols).limit(0)])
@@ -254,7 +259,7 @@ def check_cycles(conf_rows) -> list[str]:
     """out_names in an order in which each rule comes after those it reads; ValueError if rules read each other."""
     from graphlib import CycleError, TopologicalSorter
 
-    from ..functions.formula import formula_tags, is_formula
+    from ..functions.formula import is_formula
 
     rows = list(conf_rows)
     names = {r["out_name"] for r in rows}
