@@ -610,6 +610,12 @@ CHAIN_FILTER_SQL = CHAIN_SQL.format(rows=_ROWS, first="value AS y, value AS z",
 RULE_KEYS = ["line_id", "task_name", "out_name", "tag_topic"]
 
 
+def rules_chunked(spark, sf):
+    """rules_all with the series of its sequences cut by the day."""
+    r = raw(spark, sf).withColumn("day", F.floor(F.col("ms") / DAY))
+    return _graded(calculate(r, enrich.online(conf(spark)), ["user_id", "day"], RULE_KEYS, chunk=CHUNK))
+
+
 def rules_all(spark, sf):
     """The whole of it: enrich, formulas, every online rule's chain, and the results as a table of results has them."""
     r = raw(spark, sf).withColumn("day", F.floor(F.col("ms") / DAY))  # a message is what one user sends on one day
@@ -868,7 +874,7 @@ for _name, _query, _sql in (
     ("cep_next", cep_next, CEP_SQL), ("cep_times", cep_times, CEP_TIMES_SQL), ("stream_last_changing", stream_last_changing, STREAM_CHANGING_SQL), ("cep_switching", cep_switching, CEP_SWITCH_SQL), ("decode_messages", decode_messages, DECODE_SQL), ("time_formats", time_formats, TIME_SQL),
     ("chain_avg_var", _chain("AVG_VAR", "1h,1h|1", ["event_type"]), CHAIN_AVG_VAR_SQL),
     ("chain_dejump_fof_avg", _chain("DEJUMP_FOF_AVG", "-50,50|0.3|1d,1d", PAIR), CHAIN_FILTER_SQL),
-    ("rules_all", rules_all, RULES_SQL), ("stream_rules", stream_rules, STREAM_RULES_SQL),
+    ("rules_all", rules_all, RULES_SQL), ("rules_chunked", rules_chunked, RULES_SQL), ("stream_rules", stream_rules, STREAM_RULES_SQL),
     ("rules_enriched", rules_enriched, f"SELECT out_name, calculate_type, epoch_us(strptime(calculate_time, '%Y-%m-%d %H:%M:%S')) // 1000000 AS s, value FROM ({RULES_SQL}) WHERE out_name NOT IN ('ratio', 'busy', 'lead_avg')"), ("stream_windows", stream_windows, STREAM_SQL), ("stream_last", stream_last, _lag_sql("LAST", 2)),
 ):
     _register(_name, _query, _sql)

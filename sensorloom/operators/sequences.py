@@ -370,21 +370,59 @@ class Unjumped:
         return next((e for v, e in zip(self.values, self.ends) if self.low <= v - state <= self.high), state)
 
 
-#: operator -> what a chunk does to its state
-CHUNKS = {"FOF": Smoothed, "EMA": lambda n: Smoothed(2 / (n + 1)), "DIF": Difference, "KF": Predicted, "DEJUMP": Unjumped}
+class Kept:
+    """The last n values."""
+
+    def __init__(self, n: int):
+        self.n, self.values = n, []
+
+    def add(self, x: np.ndarray) -> None:
+        self.values = [*self.values, *x.tolist()][-self.n :]
+
+    def after(self, state):
+        return [*(state or []), *self.values][-self.n :] or None
+
+
+class Changes:
+    """The last value and the n changes before it; what is needed of a chunk are its last n + 1 values."""
 
+    def __init__(self, n: int):
+        self.n, self.count, self.values = n, 0, []
 
-#: The numbers that an operator's state is, NaN where there is none yet.
+    def add(self, x: np.ndarray) -> None:
+        self.values = [*self.values, *x.tolist()][-self.n - 1 :]
+        self.count += len(x)
+
+    def after(self, state):
+        if not self.count:
+            return state
+        if self.count > self.n:
+            held = np.round(np.diff(self.values), 9).tolist() if self.count > self.n + 1 or state is not None else [0.0, *np.round(np.diff(self.values), 9).tolist()]
+        else:
+            before, held = state if state is not None else (self.values[0], [])
+            held = [*held, *np.round(np.diff([before, *self.values]), 9).tolist()]
+        return self.values[-1], held[-self.n :]
+
+
+#: operator -> what a chunk does to its state
+CHUNKS = {
+    "FOF": Smoothed, "EMA": lambda n: Smoothed(2 / (n + 1)), "DIF": Difference, "KF": Predicted, "DEJUMP": Unjumped, "LAST": Kept, "VAR": Kept, "TREND": Kept, "RSI": Changes,
+}
+#: The numbers that an operator's state is, NaN where there is none yet; lag operators have as many as they hold.
 WIDTHS = {"FOF": 1, "EMA": 1, "DIF": 2, "KF": 3, "DEJUMP": 1}
 
 
 def _numbers(op: str, state) -> list[float]:
+    if op in LAGS:
+        return [] if state is None else [state[0], *state[1]] if op == "RSI" else list(state)
     if state is None:
         return [np.nan] * WIDTHS[op]
     return [float(v) for v in state] if WIDTHS[op] > 1 else [float(state)]
 
 
 def _state(op: str, numbers):
+    if op in LAGS:
+        return None if not len(numbers) else (float(numbers[0]), [float(v) for v in numbers[1:]]) if op == "RSI" else [float(v) for v in numbers]
     if np.isnan(numbers[0]):
         return None
     return float(numbers[0]) if WIDTHS[op] == 1 else (*map(float, numbers[:2]), int(numbers[2])) if op == "KF" else tuple(map(float, numbers))
@@ -394,13 +432,18 @@ def _keys_at(columns: list[np.ndarray], i: int) -> tuple:
     return tuple(None if v is None or v != v else v for v in (c[i] for c in columns))
 
 
-def chunk_starts(chunked: DataFrame, ops: dict[str, tuple], keys: list[str]) -> DataFrame:
-    """(_at, _start): each chunk's states before its first record, by operator, from ``chunked`` (dealt and sorted by _at).
+def _typed(op: str, args) -> tuple:
+    """An operator's arguments as it takes them, from numbers."""
+    return tuple(float(a) if op in ("FOF", "DEJUMP", "KF") else int(a) for a in args)
+
+
+def chunk_starts(chunked: DataFrame, keys: list[str], ops: dict[str, tuple] | None = None) -> DataFrame:
+    """(_at, _start): each chunk's states before its first record, operator by operator, from ``chunked`` (sorted by _at).
 
     Every chunk is summed up by itself; the few numbers of all chunks of a series are then put together in their order.
+    Without ``ops`` each series has an operator of its own, _op with the numbers _args.
     """
-    at = chunked.schema["_at"]
-    by = [*keys, "_chunk"]
+    at, by = chunked.schema["_at"], [*keys, "_chunk"]
 
     def summed(batches):
         now, held, key, out = None, None, None, []
@@ -412,10 +455,11 @@ def chunk_starts(chunked: DataFrame, ops: dict[str, tuple], keys: list[str]) ->
                 if own != now:
                     if held is not None:
                         out.append((key, pickle.dumps(held)))
-                    now, key, held = own, dict(zip(by, own)), {k: CHUNKS[o[0]](*o[1:]) for k, o in ops.items()}
+                    mine = ops or {"_": (op := pdf["_op"].iat[a], *_typed(op, pdf["_args"].iat[a]))}
+                    now, key, held = own, dict(zip(by, own)), {k: (o[0], CHUNKS[o[0]](*o[1:])) for k, o in mine.items()}
                 part = x[a:b][~np.isnan(x[a:b])]
                 if len(part):
-                    for m in held.values():
+                    for _, m in held.values():
                         m.add(part)
             if out:
                 yield pd.DataFrame({"_at": [k for k, _ in out], "_map": [m for _, m in out]})
@@ -428,18 +472,27 @@ def chunk_starts(chunked: DataFrame, ops: dict[str, tuple], keys: list[str]) ->
         for pdf in batches:
             starts = []
             for at_, m in zip(pdf["_at"], pdf["_map"]):
-                own = tuple(at_[k] for k in keys)
+                own, maps = tuple(at_[k] for k in keys), pickle.loads(m)
                 if own != now:
-                    now, states = own, dict.fromkeys(ops)
-                starts.append([v for k, o in ops.items() for v in _numbers(o[0], states[k])])
-                states = {k: c.after(states[k]) for k, c in pickle.loads(m).items()}
+                    now, states = own, dict.fromkeys(maps)
+                starts.append([v for k, (op, _) in maps.items() for v in _numbers(op, states[k])])
+                states = {k: c.after(states[k]) for k, (_, c) in maps.items()}
             yield pd.DataFrame({"_at": pdf["_at"], "_start": starts})
 
-    maps = chunked.select("_at", *by, "value").mapInPandas(summed, T.StructType([at, T.StructField("_map", T.BinaryType())]))
+    own = ["_op", "_args"] if ops is None else []
+    maps = chunked.select("_at", *by, "value", *own).mapInPandas(summed, T.StructType([at, T.StructField("_map", T.BinaryType())]))
     series = [F.col(f"_at.{k}") for k in keys]
     return maps.repartition(*series).sortWithinPartitions("_at").mapInPandas(placed, T.StructType([at, T.StructField("_start", T.ArrayType(T.DoubleType()))]))
 
 
+def _with_starts(df: DataFrame, keys: list[str], chunk, ops: dict[str, tuple] | None = None) -> DataFrame:
+    """``df`` dealt by chunk and sorted, with _chunk and each chunk's _start."""
+    ms = parse_duration(chunk) if isinstance(chunk, str) else int(chunk)
+    dealt = df.withColumn("_chunk", F.floor(F.col("ms") / ms)).withColumn("_at", F.struct(*keys, "_chunk")).repartition("_at")
+    starts = chunk_starts(dealt.sortWithinPartitions("_at", "ms", "seq"), keys, ops)
+    return dealt.join(starts, "_at").sortWithinPartitions("_at", "ms", "seq").select(*df.columns, "_chunk", "_start")
+
+
 def _smooth_from(start: np.ndarray, x: np.ndarray, series: np.ndarray, share: float) -> np.ndarray:
     """y = share*x + (1-share)*y over several series, each from its start (NaN: it begins with its first value)."""
     first = np.flatnonzero(np.r_[True, series[1:] != series[:-1]]) if len(series) else np.zeros(0, int)
@@ -480,19 +533,11 @@ def filtered(df: DataFrame, ops: dict[str, tuple], keys: list[str], chunk=None)
     then read from its own. Results differ from those without ``chunk`` by the rounding of doubles only.
     """
     if chunk is not None:
-        return _filtered_chunks(df, ops, keys, parse_duration(chunk) if isinstance(chunk, str) else int(chunk))
+        return _carried(_with_starts(df, keys, chunk, ops), ops, [*keys, "_chunk"], df.schema)
     dealt = df.repartition(*keys).sortWithinPartitions(*keys, "ms", "seq")
     return _carried(dealt, ops, keys, df.schema)
 
 
-def _filtered_chunks(df: DataFrame, ops: dict[str, tuple], keys: list[str], chunk: int) -> DataFrame:
-    cut = df.withColumn("_chunk", F.floor(F.col("ms") / chunk)).withColumn("_at", F.struct(*keys, "_chunk"))
-    dealt = cut.repartition("_at")
-    starts = chunk_starts(dealt.sortWithinPartitions("_at", "ms", "seq"), ops, keys)
-    met = dealt.join(starts, "_at").sortWithinPartitions("_at", "ms", "seq").select(*df.columns, "_chunk", "_start")
-    return _carried(met, ops, [*keys, "_chunk"], df.schema)
-
-
 def _carried(dealt: DataFrame, ops: dict[str, tuple], keys: list[str], given_schema: T.StructType) -> DataFrame:
     """The operators over sorted series, each from the states in its column _start if there is one."""
     names = given_schema.fieldNames()
@@ -550,14 +595,32 @@ def _carried(dealt: DataFrame, ops: dict[str, tuple], keys: list[str], given_sch
     return dealt.mapInPandas(alone if chunks else work, schema)
 
 
-def sequenced(df: DataFrame, keys: list[str]) -> DataFrame:
+def sequenced(df: DataFrame, keys: list[str], chunk=None) -> DataFrame:
     """``df`` with value replaced by the result of each series' own operator _op with the numbers _args.
 
     As ``filtered``: one sort, and in each batch one pass per operator and arguments over all their series. Records that
-    have no result yet go; a null value gives a null and leaves the state as it is.
+    have no result yet go; a null value gives a null and leaves the state as it is. ``chunk``: see ``filtered``; lag
+    operators are cut too.
     """
     cols = df.columns
     schema = T.StructType([*(T.StructField(f.name, T.DoubleType()) if f.name == "value" else f for f in df.schema.fields), T.StructField("_there", T.BooleanType())])
+    told = lambda pdf, result: pdf.assign(value=pd.Series(result, pdf.index).where(np.isfinite(result), None).astype(object), _there=~np.isnan(result))
+
+    def alone(batches):
+        now, state = None, None
+        for pdf in batches:
+            columns = [pdf[k].to_numpy(object) for k in (*keys, "_chunk")]
+            x = pd.to_numeric(pdf["value"], errors="coerce").to_numpy(float)
+            result = np.where(np.isnan(x), np.inf, np.nan)
+            for a, b in _parts(_pieces(pdf, [*keys, "_chunk"])):
+                op = pdf["_op"].iat[a]
+                own = _keys_at(columns, a)
+                if own != now:
+                    now, state = own, _state(op, pdf["_start"].iat[a])
+                live = a + np.flatnonzero(~np.isnan(x[a:b]))
+                if len(live):
+                    result[live], state = STATEFUL[op][0](state, x[live], np.zeros(len(live), int), *_typed(op, pdf["_args"].iat[a]))
+            yield told(pdf[cols], result)
 
     def work(batches):
         now, state = None, None
@@ -576,19 +639,19 @@ def sequenced(df: DataFrame, keys: list[str]) -> DataFrame:
                 live = np.flatnonzero(~np.isnan(x) & (spec[0] == k))
                 part = series[live]
                 given = state if spec[0][0] == k else None
-                f, places = STATEFUL[op]
-                whole = op not in ("FOF", "DEJUMP", "KF")
-                out, end = f(given if len(part) and part[0] == 0 else None, x[live], part, *(int(a) if whole else a for a in args))
+                out, end = STATEFUL[op][0](given if len(part) and part[0] == 0 else None, x[live], part, *_typed(op, args))
                 result[live] = out
                 if spec[0][-1] == k:
                     after = end if len(part) and part[-1] == series[-1] else given if series[-1] == 0 else None
             state = after
-            yield pdf.assign(value=pd.Series(result, pdf.index).where(np.isfinite(result), None).astype(object), _there=~np.isnan(result))
+            yield told(pdf, result)
 
-    dealt = df.repartition(*keys).sortWithinPartitions(*keys, "ms", "seq")
-    out = dealt.mapInPandas(work, schema).where("_there")
+    if chunk is None:
+        out = df.repartition(*keys).sortWithinPartitions(*keys, "ms", "seq").mapInPandas(work, schema)
+    else:
+        out = _with_starts(df, keys, chunk).mapInPandas(alone, schema)
     rounded = F.expr("case _op " + " ".join(f"when '{o}' then cast(round(cast(value as decimal(28,10)), {p}) as double)" for o, (_, p) in STATEFUL.items() if p is not None) + " else value end")
-    return out.withColumn("value", rounded).select(*cols)
+    return out.where("_there").withColumn("value", rounded).select(*cols)
 
 
 def filter_stage(df: DataFrame, op: str, args: tuple, keys: list[str], chunk=None) -> DataFrame:

@@ -112,8 +112,8 @@ def _shapes(parsed: DataFrame) -> dict[str, list[list[str]]]:
     return {r["shape"]: [sorted(x["o"] for x in r["used"] if x["i"] == i) for i in range(len(r["shape"]))] for r in sorted(rows)}
 
 
-def _branch(records: DataFrame, rules: DataFrame, shape: str, used: list[list[str]], keys: list[str]) -> DataFrame:
-    """All rules of one shape: (keys, calculate_type, param, ms, seq, value) after every stage."""
+def _branch(records: DataFrame, rules: DataFrame, shape: str, used: list[list[str]], keys: list[str], chunk=None) -> DataFrame:
+    """All rules of one shape: (keys, calculate_type, param, ms, seq, value) after every stage; ``chunk`` is for the first."""
     named, own = [*keys, "calculate_type", "param"], ["ms", "seq", "value"]
     df = records.select(*keys, "calculate_type", F.coalesce("param", F.lit("")).alias("param"), "ms", "seq", F.col("value").cast("double").alias("value"))
     joined = False
@@ -125,7 +125,7 @@ def _branch(records: DataFrame, rules: DataFrame, shape: str, used: list[list[st
         args = F.get("args", F.lit(i))
         rest = [c for c in ("ops", "args") if c in df.columns]
         if letter == "S":
-            df = sequenced(df.select(*named, *own, *rest, F.get("ops", F.lit(i)).alias("_op"), args.alias("_args")), named).drop("_op", "_args")
+            df = sequenced(df.select(*named, *own, *rest, F.get("ops", F.lit(i)).alias("_op"), args.alias("_args")), named, None if i else chunk).drop("_op", "_args")
         else:
             size, slide = (F.get(args, F.lit(k)).cast("long").alias(n) for k, n in enumerate(("_size", "_slide")))
             df = window_each(df.select(*named, *own, F.get("ops", F.lit(i)).alias("_op"), size, slide), named, used[i])
@@ -160,12 +160,13 @@ def _local(spark, rows: list[dict], schema: str) -> DataFrame:
     return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(typed)), typed)
 
 
-def calculate(raw: DataFrame, conf: DataFrame, message: list[str], keys: list[str], last_wins: bool = False, span: str = "1 day", late: str = "1 second") -> DataFrame:
+def calculate(raw: DataFrame, conf: DataFrame, message: list[str], keys: list[str], last_wins: bool = False, span: str = "1 day", late: str = "1 second", chunk=None) -> DataFrame:
     """Raw records (name, topic, ms, seq, value and the columns ``message``) and a rule table -> results of all its rules.
 
     As ``run_rules``, but each shape's rules meet the raw records by themselves, those that are formulas over one
     message's tags included, so that no record is read for rules of another shape; messages are gathered once for all.
-    A small rule table is read once and compiled on the driver. A stream of raw records gives a stream of results (see
+    A small rule table is read once and compiled on the driver. ``chunk`` cuts the series of rules that begin with a
+    sequence by time, so that many tasks work on one (see sequences.filtered). A stream of raw records gives a stream of results (see
     ``calculate_stream``).
     """
     if raw.isStreaming:
@@ -200,7 +201,7 @@ def calculate(raw: DataFrame, conf: DataFrame, message: list[str], keys: list[st
         if formula is not None:
             lists = messages_of(raw, message, known, used=used_by_formulas) if lists is None else lists
             parts.append(formula_rows(raw, message, formula, lists=lists).select(*cols))
-        out.append(_branch(union_all(parts), rules, shape, used, keys))
+        out.append(_branch(union_all(parts), rules, shape, used, keys, chunk))
     return union_all(out or [enrich(raw, known).select(*cols).limit(0)])
 
 

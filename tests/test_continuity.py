@@ -20,6 +20,8 @@ from sensorloom.streaming import chains
 from sensorloom.streaming import operators as streams
 
 SERIES = "k string, ms long, seq long, value double"
+CONF = "tag_name string, tag_topic string, out_name string, calculate_type string, param string, task_name string, line_id int, status int"
+RAW = "name string, topic string, message long, ms long, seq long, value double"
 
 
 def series(n=400, keys=3, seed=1, nulls=True):
@@ -63,7 +65,7 @@ def test_chunks_of_one_series_are_many_tasks_work(spark):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.floats(-50, 50).map(lambda x: round(x, 3)), min_size=1, max_size=60), st.lists(st.integers(0, 60), max_size=5), st.sampled_from([*FILTERS.values()]))
+@given(st.lists(st.floats(-50, 50).map(lambda x: round(x, 3)), min_size=1, max_size=60), st.lists(st.integers(0, 60), max_size=5), st.sampled_from([*FILTERS.values(), ("LAST", 3), ("RSI", 4), ("RSI", 1)]))
 def test_what_chunks_do_to_a_state(values, cuts, spec):
     op, *args = spec
     f, x = sequences.STATEFUL[op][0], np.array(values)
@@ -75,7 +77,26 @@ def test_what_chunks_do_to_a_state(values, cuts, spec):
                 m.add(piece)
         state = m.after(state)
     _, want = f(None, x, np.zeros(len(x), int), *args)
-    assert np.atleast_1d(state) == pytest.approx(np.atleast_1d(want), rel=1e-7, abs=1e-7)
+    flat = lambda x: [x[0], *x[1]] if op == "RSI" else np.atleast_1d(x)
+    assert flat(state) == pytest.approx(flat(want), rel=1e-7, abs=1e-7)
+
+
+SEQUENCES = ["FOF#0.3", "EMA#5", "DIF#3,6", "DEJUMP#-8,8", "KF#1,0.5", "LAST#3", "VAR#1", "TREND#2", "RSI#4"]
+
+
+def test_rules_in_chunks_are_those_of_whole_series(spark):
+    rows = [(k, "t", 0, ms, seq, v) for k, ms, seq, v in series(600, 2, 3)]
+    rules = spark.createDataFrame([(tag, "t", f"{tag}{i}", *s.split("#"), "j", 1, 1) for i, s in enumerate([*SEQUENCES, "RSI_AVG#3|1m,1m"]) for tag in ("a", "b")], CONF)
+    raw = spark.createDataFrame([r for r in rows if r[0]], RAW)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "53")
+    try:
+        results = [sorted(((r["out_name"], r["ms"], r["seq"], r["value"]) for r in calculate(raw, rules, ["message"], ["out_name"], chunk=c).collect()), key=lambda x: x[:3]) for c in (None, "30s", "20m")]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(results[0]) > 3000
+    for other in results[1:]:
+        assert [x[:3] for x in other] == [x[:3] for x in results[0]]
+        assert all(x[3] == y[3] or x[3] == pytest.approx(y[3], abs=1.1e-4) for x, y in zip(other, results[0]))
 
 
 def test_few_values_say_what_a_chunk_does_to_jumps():
@@ -134,10 +155,6 @@ def test_rounding_is_that_of_columns(spark):
 
 # ---- chains in a stream ---------------------------------------------------------------------------------------------
 
-CONF = "tag_name string, tag_topic string, out_name string, calculate_type string, param string, task_name string, line_id int, status int"
-RAW = "name string, topic string, message long, ms long, seq long, value double"
-
-
 def fed(spark, tmp_path, parts, rules, name="run", late="1 second", **more):
     """The results of ``rules`` over a stream that comes in ``parts``, started anew for each."""
     source = tmp_path / f"{name}-in"
