@@ -86,7 +86,7 @@ TOTAL = "piece long, part int, x binary, a long, b long, c long, d long"
 
 
 def _totals(pdf):
-    """One part: each piece's counts over all pieces; and, under piece -1 and -2, sums and the most frequent words."""
+    """One part: each piece's counts over all pieces; and, under piece -1 to -3, sums, the most frequent words, and the ends."""
     import pandas as pd
 
     h = np.concatenate([np.frombuffer(b, np.uint64) for b in pdf.words])
@@ -97,6 +97,7 @@ def _totals(pdf):
     part = int(pdf.part.iat[0])
     rows = [(p, part, total[at[a:b]].astype(np.int64).tobytes(), 0, 0, 0, 0) for p, a, b in zip(pdf.piece.tolist(), edge[:-1], edge[1:])]
     rows.append((-1, part, b"", int(total.sum()), int((total > 0).sum()), int((total == 1).sum()), int((total == 2).sum())))
+    rows += [(-3, part, b"", int(total[i]), 0, 0, 0) for i in np.flatnonzero(u == END)]
     top = np.lexsort((u, -total))[:FREQUENT]
     rows += [(-2, part, b"", int(u[i].view(np.int64)), int(total[i]), 0, 0) for i in top if total[i] > 0 and u[i] != END]
     return pd.DataFrame(rows, columns=["piece", "part", "x", "a", "b", "c", "d"])
@@ -277,26 +278,28 @@ def score_texts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """
     spark = scratch.spark
     packed, name = pack(docs, PIECE)
-    size = packed.count()
-    parts = max(12, size * 150_000 // WORDS_A_TASK + 1)
-    told = packed.mapInArrow(lambda it: _counts(it, parts), "part int, piece long, words binary, counts binary")
-    totals = scratch.write(told.groupBy("part").applyInPandas(_totals, TOTAL), "totals")
-    n, v, once, twice = totals.where("piece = -1").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in "abcd")).first()
-    top = totals.where("piece = -2").orderBy(F.desc("b"), "a").limit(FREQUENT).collect()
-    frequent, counts = np.array([r["a"] for r in top], np.int64).view(np.uint64), np.array([r["b"] for r in top], np.int64)
-    model = Model.fresh(frequent, counts, size, n - int(counts.sum()))
-    flat = _average(packed.mapInArrow(lambda it: _trained(it, model), "chunk int, x binary"))
-    at, seen = 0, flat[-1] if len(flat) else 0
-    for k in WEIGHTS if seen else ():
-        shape = model.weights[k].shape
-        model.weights[k] = flat[at : at + model.weights[k].size].reshape(shape) / seen
-        at += model.weights[k].size
-    model.totals = np.maximum(flat[at : at + len(model.share)], 1) if seen else np.ones(len(model.share))
-    replies = totals.where("piece >= 0").groupBy("piece").agg(F.collect_list(F.struct("part", "x")).alias("replies"))
-    out = packed.join(replies.hint("shuffle_hash"), "piece").mapInArrow(lambda it: _scored(it, model, parts, n, v, once, twice), SCORE)
-    out = scratch.finish(out)
-    spark.sql(f"DROP TABLE {name}")
-    return out
+    try:
+        size = packed.count()
+        parts = max(12, size * 150_000 // WORDS_A_TASK + 1)
+        told = packed.mapInArrow(lambda it: _counts(it, parts), "part int, piece long, words binary, counts binary")
+        totals = scratch.write(told.groupBy("part").applyInPandas(_totals, TOTAL), "totals")
+        n, v, once, twice = totals.where("piece = -1").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in "abcd")).first()
+        top = totals.where("piece = -2").orderBy(F.desc("b"), "a").limit(FREQUENT).collect()
+        frequent, counts = np.array([r["a"] for r in top], np.int64).view(np.uint64), np.array([r["b"] for r in top], np.int64)
+        ends = totals.where("piece = -3").agg(F.coalesce(F.sum("a"), F.lit(0))).first()[0]
+        model = Model.fresh(frequent, counts, ends, n - int(counts.sum()) - ends)
+        flat = _average(packed.mapInArrow(lambda it: _trained(it, model), "chunk int, x binary"))
+        at, seen = 0, flat[-1] if len(flat) else 0
+        for k in WEIGHTS if seen else ():
+            shape = model.weights[k].shape
+            model.weights[k] = flat[at : at + model.weights[k].size].reshape(shape) / seen
+            at += model.weights[k].size
+        model.totals = np.maximum(flat[at : at + len(model.share)], 1) if seen else np.ones(len(model.share))
+        replies = totals.where("piece >= 0").groupBy("piece").agg(F.collect_list(F.struct("part", "x")).alias("replies"))
+        out = packed.join(replies.hint("shuffle_hash"), "piece").mapInArrow(lambda it: _scored(it, model, parts, n, v, once, twice), SCORE)
+        return scratch.finish(out)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def op3_language(spark, sf_dir: str) -> DataFrame:

@@ -659,9 +659,9 @@ def test_toxicity_stage(spark, data):
 
 def test_oracles_and_names(spark, data):
     q = registry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in q) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in q) == list(range(1, 14))
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "labels", "benchmark"):
         con.sql(f"create view {t} as from '{data}/{t}.parquet'")
     for name, sql in registry.oracle_sql().items():
         got = q[name](spark, data)
