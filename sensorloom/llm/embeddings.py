@@ -157,18 +157,28 @@ def _bridges(i, j, m, n, keep):
             return label[i] != label[m + j]
 
 
+#: Bits of the first hash that names a vector.
+HASH_BITS = 64
+
+
 def link_vectors(vectors: DataFrame, scratch: Scratch, threshold: float = 0.95, recall: float = RECALL) -> DataFrame:
     """(vec_id, embedding) -> vec_id, n_links (other rows linked directly), component_id (smallest vec_id), kept.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing; vectors of different
-    lengths never link. Equal vectors are one node with a count. Rows that repeat an id count as rows of their own.
+    lengths never link. Equal vectors are one node with a count; they are told by 128 bits of hashes. Rows that repeat an id count as rows of their own.
     """
     e = F.col("embedding")
     fit = F.size(e) > 0
     fit = fit & ~F.exists(e, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) & F.exists(e, lambda v: v != 0)
-    rows = scratch.write(vectors.select("vec_id", "embedding", F.coalesce(e.isNotNull() & fit, F.lit(False)).alias("ok")).withColumn("id", F.when(F.col("ok"), F.xxhash64("embedding"))), "vectors")
-    node = rows.where("ok").groupBy("id", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("cnt"))
-    node = scratch.write(node.dropDuplicates(["id"]), "nodes")
+    short, long_ = F.shiftright(F.xxhash64("embedding"), 64 - HASH_BITS), F.xxhash64(F.lit(1), "embedding")
+    rows = scratch.write(vectors.select("vec_id", "embedding", F.coalesce(e.isNotNull() & fit, F.lit(False)).alias("ok")).withColumns({"h": F.when(F.col("ok"), short), "h2": F.when(F.col("ok"), long_)}), "vectors")
+    node = scratch.write(rows.where("ok").groupBy("h", "h2").agg(F.first("embedding").alias("embedding"), F.min("vec_id").alias("rep"), F.count("*").alias("cnt")), "distinct")
+    # of different vectors with one hash all but the first go by their second hash
+    twice = scratch.write(node.groupBy("h").agg(F.min("h2").alias("first"), F.count("*").alias("c")).where("c > 1").select("h", "first"), "collisions")
+    meet = (lambda df: df.join(twice, "h", "left")) if not twice.isEmpty() else (lambda df: df.withColumn("first", F.lit(None).cast("long")))
+    own = F.when(F.col("first").isNull() | (F.col("h2") == F.col("first")), F.col("h")).otherwise(F.xxhash64(F.lit(2), "h2"))
+    rows = meet(rows).select("vec_id", F.when(F.col("ok"), own).alias("id"))
+    node = scratch.write(meet(node).select(own.alias("id"), "embedding", "rep", "cnt"), "nodes")
     k, tables = plan(node.count(), threshold, recall)
 
     hashed = scratch.write(node.select("id", "embedding").mapInPandas(lambda it: _hashed(it, k, tables), "id long, t int, key long"), "buckets")

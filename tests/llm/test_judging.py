@@ -310,3 +310,20 @@ def test_repeated_ids_are_compared_by_one_text(spark):
     docs = [(1, texts[0]), (1, texts[1]), (2, texts[0] + " x"), (3, texts[1] + " x"), (4, texts[2]), (4, texts[2])]
     runs = {tuple(sorted(map(tuple, neardup.near_duplicates(spark.createDataFrame(docs[k:] + docs[:k], "doc_id long, text string").repartition(k + 1), Scratch(spark, "t"), 3, 0.85).collect()))) for k in range(3)}
     assert len(runs) == 1
+
+
+def test_vectors_with_one_hash_are_told_apart(spark, monkeypatch):
+    """With a first hash of six bits most vectors collide: links and components stay those of all pairs."""
+    from sensorloom.llm import embeddings
+
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((60, 16))
+    x = np.concatenate([base, base + 0.05 * rng.standard_normal((60, 16)), base[:10]]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(500, None), (501, [0.0] * 16)], "vec_id long, embedding array<float>").repartition(3)
+    monkeypatch.setattr(embeddings, "HASH_BITS", 6)
+    got = {r["vec_id"]: r for r in embeddings.link_vectors(df, Scratch(spark, "t"), recall=0.99999).collect()}
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert len(got) == len(x) + 2 and [got[i]["n_links"] for i in range(len(x))] == near.sum(1).tolist() and near.sum() >= 120
+    assert all(got[i]["component_id"] == min([i, *np.flatnonzero(near[i])]) for i in range(60)) and got[500]["n_links"] == got[501]["n_links"] == 0
