@@ -1,21 +1,22 @@
 """Benchmark decontamination by latent semantic retrieval, then longest common subsequences and answer checks.
 
-Passages are TF-IDF vectors over hashed words; a randomised SVD, whose products with the corpus run as Spark tasks,
-gives the latent space, of fewer dimensions than there are items. Each window of each document is projected there, and
-compared with each item by their cosine in it. A candidate counts if the item's words stand in the document in order; a
-loose match counts only if the item's answer, its last words, does.
+Passages are TF-IDF vectors over hashed words; a randomised SVD, whose product with the corpus runs as Spark tasks over
+all documents, gives the latent space, of fewer dimensions than there are items. Each window of each document that holds
+enough words of any item for the checks is projected there, and compared with each item by their cosine in it. A
+candidate counts if the item's words stand in the document in order; a loose match counts only if the item's answer, its
+last words, does.
 """
 
 from __future__ import annotations
 
 import math
+from copy import copy
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import Scratch, table
 from .textops import Words, pieces, text_bytes
@@ -26,9 +27,9 @@ FEATURES = 1 << 18
 WINDOW, LATENT, COSINE = 16, 0.5, 0.4
 #: Share of an item's words that must stand in order; with the answer's share found, less will do.
 STRICT, LOOSE, ANSWER, ANSWER_WORDS = 0.75, 0.55, 0.8, 6
-#: Documents, and words of a passage, from which the latent space is learned beside the items; its rank as a share of
-#: the items, and the weight of all corpus passages together to that of all items; items in a block.
-SAMPLE_DOCS, SAMPLE_WORDS, RANK, CORPUS, BLOCK = 2000, 64, 0.75, 0.1, 1000
+#: Words of a corpus passage; the latent space's rank as a share of the items, and the weight of all corpus passages
+#: together to that of all items; items in a block.
+PASSAGE, RANK, CORPUS, BLOCK = 64, 0.75, 0.1, 1000
 #: Least idf of a word, as a share of the greatest.
 FLOOR = 0.25
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -65,7 +66,8 @@ def _frequencies(batches):
         for batch in pieces(whole, "text"):
             w = tokens(batch.column("text"))
             text = np.repeat(np.arange(batch.num_rows), np.diff(w.first))
-            pair = np.unique((text << 18) | feature(w.hash))
+            pair = np.sort((text << 18) | feature(w.hash))
+            pair = pair[np.diff(pair, prepend=-1) != 0]
             df += np.bincount(pair & (FEATURES - 1), minlength=FEATURES)
             n += batch.num_rows
     yield _chunks(df, 1 << 14, n)
@@ -102,58 +104,56 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     return np.maximum(np.log((n + 1) / (df + 0.5)), FLOOR * np.log(2 * (n + 1))).astype(np.float32)
 
 
-def _sparse(w: Words, column: np.ndarray, idf: np.ndarray, span: int | None):
-    """Unit TF-IDF passages as (row, column, value) over the columns that items use."""
+def _images(w: Words, column: np.ndarray, idf: np.ndarray, gain: np.ndarray, span: int) -> np.ndarray:
+    """The images of unit TF-IDF passages of ``span`` words; ``gain`` is what a use of each of the items' words adds."""
     f = feature(w.hash)
-    text = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
-    place = np.arange(len(f)) - w.first[text]
-    row = text if span is None else np.unique(text * (1 << 20) + place // span, return_inverse=True)[1]
-    norm = np.sqrt(np.bincount(row, idf[f].astype(float) ** 2, minlength=row.max(initial=-1) + 1))
-    keep = (column[f] >= 0) & (idf[f] > 0)
-    row, col, val = row[keep], column[f[keep]], idf[f[keep]] / norm[row[keep]]
-    return row, col, val, len(norm)
-
-
-def _gram(part, basis: np.ndarray) -> np.ndarray:
-    """A^T (A basis) for sparse rows A."""
-    row, col, val, n = part
-    out = np.zeros_like(basis)
-    order = np.argsort(row, kind="stable")
-    row, col, val = row[order], col[order], val[order]
-    if len(row):
-        y = np.zeros((n, basis.shape[1]))
-        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        y[row[first]] = np.add.reduceat(basis[col] * val[:, None], first)
-        order = np.argsort(col, kind="stable")
-        first = np.flatnonzero(np.r_[True, col[order][1:] != col[order][:-1]])
-        out[col[order][first]] = np.add.reduceat(y[row[order]] * val[order][:, None], first)
-    return out
-
-
-def latent_space(sample: DataFrame, items: Words, column: np.ndarray, idf: np.ndarray, rank: int, rounds: int = 2) -> np.ndarray:
-    """Columns of items' words -> latent coordinates, by a randomised SVD of item and corpus passages.
-
-    The corpus's part of each product A^T(A Q) is a sum over tasks; the small factorisations are done on the driver,
-    on matrices as large as the items' vocabulary times the rank. All corpus passages together weigh CORPUS of what all
-    items do.
+    passages = -(-np.diff(w.first) // span)
+    text = np.repeat(np.arange(len(passages)), np.diff(w.first))
+    row = (np.cumsum(passages) - passages)[text] + (np.arange(len(f)) - w.first[text]) // span
+    norm = np.sqrt(np.bincount(row, idf[f].astype(float) ** 2, minlength=int(passages.sum())))
+    live = np.flatnonzero(column[f] >= 0)
+    row, col = row[live], column[f[live]]
+    out = np.zeros((len(norm), gain.shape[1]), np.float32)
+    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else row
+    for k in range(0, len(first), 64):  # few passages at a time: what their words add stays in the cache
+        at = first[k : k + 64]
+        end = first[k + 64] if k + 64 < len(first) else len(row)
+        out[row[at]] = np.add.reduceat(gain[col[at[0] : end]], at - at[0])
+    return out / np.where(norm > 0, norm, 1)[:, None].astype(np.float32)
+
+
+def latent_space(texts: DataFrame, items: Words, column: np.ndarray, idf: np.ndarray, rank: int) -> np.ndarray:
+    """Columns of items' words -> latent coordinates, by a randomised SVD of the items and all corpus passages.
+
+    The sketch is the range of the items (a random product with them), as wide as they are many: what has no part in it
+    is no part of an item. The passages of all documents are projected there by Spark tasks, each of which gives back a
+    matrix as large as the sketch is wide, squared; their sum and the items' own give the singular vectors. All corpus
+    passages together weigh CORPUS of what all items do.
     """
-    width = int(column.max()) + 1
-    own = _sparse(items, column, idf, None)
-    r = min(rank + 8, width)
-    q = np.linalg.qr(np.random.default_rng(5).standard_normal((width, r)))[0]
-    for _ in range(rounds):
-        def product(batches, q=q):
-            z, n = np.zeros_like(q), 0
-            for batch in batches:
-                for part in pieces(batch, "text"):
-                    rows = _sparse(tokens(part.column("text")), column, idf, SAMPLE_WORDS)
-                    z, n = z + _gram(rows, q), n + rows[3]
-            yield _chunks(z.ravel(), 1 << 17, n)
-
-        z, n = _total(sample.mapInArrow(product, CHUNK), np.float64)
-        z = (z.reshape(q.shape) if len(z) else 0) * (CORPUS / max(n, 1)) + _gram(own, q) / max(own[3], 1)
-        q = np.linalg.qr(z)[0]
-    return q[:, : min(rank, q.shape[1])].astype(np.float32)
+    width, count = int(column.max()) + 1, len(items.first) - 1
+    f = feature(items.hash)
+    of = np.repeat(np.arange(count), np.diff(items.first))
+    norm = np.sqrt(np.bincount(of, idf[f].astype(float) ** 2, minlength=count))
+    own = np.zeros((count, width))
+    there = column[f] >= 0
+    np.add.at(own, (of[there], column[f[there]]), idf[f[there]] / norm[of[there]])
+    noise = np.random.default_rng(5).standard_normal((width, min(count, width)))
+    q = np.linalg.qr(own.T @ (own @ noise))[0]
+    gain = (q * idf[column >= 0][:, None]).astype(np.float32)
+
+    def product(batches):
+        c, n = np.zeros((q.shape[1], q.shape[1])), 0
+        for batch in batches:
+            for part in pieces(batch, "text", 1_000_000):
+                y = _images(tokens(part.column("text")), column, idf, gain, PASSAGE)
+                c, n = c + y.T @ y, n + len(y)
+        yield _chunks(c.ravel(), 1 << 17, n)
+
+    c, n = _total(texts.select("text").mapInArrow(product, CHUNK), np.float64)
+    y = own @ q
+    c = y.T @ y / max(count, 1) + (c.reshape(q.shape[1], -1) if len(c) else 0) * (CORPUS / max(n, 1))
+    _, vectors = np.linalg.eigh(c)
+    return (q @ vectors[:, ::-1][:, :rank]).astype(np.float32)
 
 
 def window_lengths(shortest: int, longest: int) -> list[int]:
@@ -183,13 +183,96 @@ class Index:
 
     def project(self, basis: np.ndarray) -> None:
         """Items and words in the latent space: unit items, how much of each item its image holds, a word's share."""
-        row, col, val, n = _sparse(self.words, self.column, self.idf, None)
+        self.gain = np.zeros((len(basis) + 1, basis.shape[1]), np.float32)  # the last row is no word of the items
+        self.gain[:-1] = basis * self.idf[self.column >= 0][:, None]
         self.items = np.zeros((len(self.ids), basis.shape[1]), np.float32)
-        np.add.at(self.items, row, basis[col] * val[:, None].astype(np.float32))
+        size = np.diff(self.words.first)
+        self.items[size > 0] = _images(self.words, self.column, self.idf, self.gain, int(size.max(initial=1)))
         self.kept = np.linalg.norm(self.items, axis=1)
         self.items /= np.where(self.kept > 0, self.kept, 1)[:, None]
-        self.gain = np.zeros((len(basis) + 1, basis.shape[1]), np.float32)  # the last row is no word of the items
-        self.gain[:-1] = basis * self.idf[self.column >= 0][:, None]
+        self._rare_words()
+
+    def _rare_words(self) -> None:
+        """Items of about one length together: half the stretch that the checks look at, and the items' rare words.
+
+        Of an item's words, LOOSE must stand in a stretch of 1.5 times its length. So many of the frequent ones as make up
+        half of that are taken as there; of the rest, which are rare, the other half must be.
+        """
+        self.known = np.unique(self.words.hash)
+        self.rare = []
+        size = np.diff(self.words.first)
+        group = np.floor(np.log(np.maximum(size, 1)) / math.log(1.25)).astype(int)
+        for g in np.unique(group[size > 0]).tolist():
+            items, need, which, word, times = np.flatnonzero((group == g) & (size > 0)), [], [], [], []
+            for i, j in enumerate(items.tolist()):
+                known, n = self.sorted[j]
+                least = next(k for k in range(1, int(size[j]) + 1) if k / int(size[j]) >= LOOSE)
+                often = np.lexsort((known, self.idf[feature(known)]))
+                common = int(np.searchsorted(np.cumsum(n[often]), least // 3, "right"))
+                need.append(least - int(n[often[:common]].sum()))
+                which += [i] * (len(often) - common)
+                word += np.searchsorted(self.known, known[often[common:]]).tolist()
+                times += n[often[common:]].tolist()
+            order = np.argsort(word, kind="stable")
+            first = np.r_[0, np.cumsum(np.bincount(word, minlength=len(self.known)))]
+            longest = int(size[items].max())
+            self.rare.append((-(-(longest + longest // 2 + 1) // 2), items, np.array(need), first, np.array(which)[order], np.array(times)[order]))
+
+    def possible(self, w: Words) -> np.ndarray:
+        """Which texts can hold which items: (text, item), True where enough of the item's words stand near each other.
+
+        Where it is False, fewer than LOOSE of the item's words stand in any stretch that the checks look at: a stretch is
+        no longer than two blocks, so it lies in three that follow each other.
+        """
+        texts = len(w.first) - 1
+        out = np.zeros((texts, len(self.ids)), bool)
+        if not len(self.known):
+            return out
+        word = np.minimum(np.searchsorted(self.known, w.hash), len(self.known) - 1)
+        live = np.flatnonzero(self.known[word] == w.hash)
+        word, text = word[live], np.searchsorted(w.first, live, "right") - 1
+        order = np.argsort(text * len(self.known) + word, kind="stable")
+        same = (text[order][1:] == text[order][:-1]) & (word[order][1:] == word[order][:-1])
+        before = np.full(len(live), -1)  # the word's use before this one in the text
+        before[order[1:][same]] = order[:-1][same]
+        place = live - w.first[text]
+        for block, items, need, first, which, times in self.rare:
+            blocks = -(-np.diff(w.first) // block) + 2
+            start = np.r_[0, np.cumsum(blocks)]
+            # a use counts in the stretches of three blocks that hold it, but not the word's use before it
+            use = np.flatnonzero((first[1:] > first[:-1])[word])
+            base, of_before = start[text[use]], before[use]
+            at = base + place[use] // block
+            low = np.maximum(base + np.where(of_before < 0, 0, place[of_before] // block + 1), np.maximum(at - 2, base))
+            new = low <= at
+            at, low, begin, many = at[new], low[new], first[word[use[new]]], np.diff(first)[word[use[new]]]
+            of = np.repeat(np.arange(texts), blocks)
+            some = max(1, 200_000 // len(items))
+            for a in range(0, start[-1], some):  # a bounded number of blocks at a time, and the two behind them
+                lo, hi = np.searchsorted(at, (a, a + some + 2))
+                n = many[lo:hi]
+                each = np.repeat(begin[lo:hi] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                add = lambda block: np.bincount(np.repeat(block, n) * len(items) + which[each], times[each], minlength=(some + 3) * len(items)).reshape(-1, len(items))  # noqa: B023, E731
+                held = np.cumsum(add(np.maximum(low[lo:hi] - a, 0)) - add(at[lo:hi] - a + 1), axis=0)
+                p, j = np.divmod(np.flatnonzero(held[: min(some, start[-1] - a)] >= need), len(items))
+                out[of[a + p], items[j]] = True
+        return out
+
+    def search(self, w: Words) -> list[tuple[int, int, float, float, float]]:
+        """What ``confirm`` lets pass of the candidates of all texts; texts that can't hold an item are left out before."""
+        texts = len(w.first) - 1
+        pairs = [(t, j) for t, j in np.argwhere(self.possible(w)).tolist() if self._share(j, w.hash[w.first[t] : w.first[t + 1]], True) >= LOOSE]
+        keep = np.unique([t for t, _ in pairs]).astype(int)
+        if not len(keep):
+            return []
+        part = copy(w)
+        part.hash = w.hash[np.repeat(np.isin(np.arange(texts), keep), np.diff(w.first))]
+        part.first = np.r_[0, np.cumsum(np.diff(w.first)[keep])]
+        found = self.candidates(part)
+        if len(found[0]):
+            alive = np.isin(keep[found[0]] * len(self.ids) + found[1], [t * len(self.ids) + j for t, j in pairs])
+            found = [x[alive] for x in found]
+        return [(int(keep[r[0]]), *r[1:]) for r in self.confirm(part, found)]
 
     def candidates(self, w: Words):
         """Arrays (text, item, first word, last word, latent cosine) of windows that come near an item.
@@ -278,14 +361,16 @@ class Index:
                 out.append((text, j, *best))
         return out
 
-    def _share(self, j: int, near: np.ndarray) -> float:
+    def _share(self, j: int, near: np.ndarray, most: bool = False) -> float:
         """The most of the item's words that stand in order within any stretch of 1.5 times its length; 0 if too few.
 
-        No more can stand in order than stand there at all, so stretches where fewer than LOOSE stand are left out.
+        No more can stand in order than stand there at all, so stretches where fewer than LOOSE stand are left out. They
+        begin a quarter of the item apart; with ``most`` they are longer by that, so that wherever a stretch begins, its
+        share is not above the result (or below LOOSE).
         """
         item = self.lists[j]
-        size = len(item) + len(item) // 2 + 1
         step = max(1, len(item) // 4)
+        size = len(item) + len(item) // 2 + 1 + (step if most else 0)
         known, times = self.sorted[j]
         which = np.minimum(np.searchsorted(known, near), len(known) - 1)
         at = np.flatnonzero(known[which] == near)
@@ -314,33 +399,28 @@ HIT = "doc_id long, item_id long, cosine double, in_order double, answer double"
 def contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, rank: float = RANK) -> DataFrame:
     """(doc_id, text) x (item_id, text) -> one row per document and item found in it: HIT.
 
-    Word statistics come from all documents; the latent space from the items and a bounded sample of documents. Items
-    are taken in blocks of BLOCK, each against all documents. Null and empty texts match nothing; repeated rows are
+    Word statistics and the latent space come from all documents. Items are taken in blocks of BLOCK, each against all
+    documents. Null and empty texts match nothing; repeated rows are
     found alike; items that repeat are found under each id; without items or documents the result is empty.
     """
     texts = docs.select("doc_id", "text")
     items = benchmark.where("text is not null and item_id is not null").select("item_id", "text").orderBy("item_id", "text")
     idf = inverse_frequencies(texts)
     out = texts.sparkSession.createDataFrame([], HIT)
-    sample = None
     block: list = []
 
     def search(block):
-        nonlocal out, sample
+        nonlocal out
         index = Index([r["item_id"] for r in block], [r["text"] for r in block], idf)
         live = [k for k, x in enumerate(index.lists) if x]
         if not live or index.column.max() < 0:
             return
-        if sample is None:
-            first = texts.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-            sample = scratch.write(texts.join(F.broadcast(first), "doc_id").select("text"), "sample")
-        index.project(latent_space(sample, index.words, index.column, idf, max(8, math.ceil(rank * len(live)))))
+        index.project(latent_space(texts, index.words, index.column, idf, max(8, math.ceil(rank * len(live)))))
 
         def work(batches):
             for whole in batches:
                 for batch in pieces(whole, "text", 1_000_000):
-                    w = tokens(batch.column("text"))
-                    rows = index.confirm(w, index.candidates(w))
+                    rows = index.search(tokens(batch.column("text")))
                     t, j, c, s, a = zip(*rows) if rows else ([], [], [], [], [])
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(t, pa.int64())), pa.array([index.ids[k] for k in j], pa.int64()), *(pa.array(x, pa.float64()) for x in (c, s, a))], names=[x.split()[0] for x in HIT.split(", ")])
 

@@ -448,6 +448,39 @@ def test_decontaminate_bounds_lose_no_share():
     assert seen > 1000
 
 
+def test_decontaminate_learns_from_all_documents(spark, monkeypatch):
+    """The latent space sees the passages of every document, however many there are."""
+    seen, real = [], decontaminate.latent_space
+    monkeypatch.setattr(decontaminate, "latent_space", lambda docs, *a, **k: (seen.append(docs.count()), real(docs, *a, **k))[1])
+    d = spark.range(2100).selectExpr("id as doc_id", "concat('some words of text ', id) as text")
+    b = spark.createDataFrame([(0, "some words that are none of the text")], "item_id long, text string")
+    assert decontaminate.contaminated(d, b, scratch(spark)).count() == 0 and seen == [2100]
+
+
+def test_decontaminate_leaves_out_only_what_the_checks_reject():
+    """Texts of few words, so that most hold many of the items' words: what passes is the same as without leaving any out."""
+    rng = random.Random(4)
+    some = [f"w{k}" for k in range(60)]
+    weights = [1 / (k + 1) for k in range(60)]
+    items = [" ".join(rng.choices(some, weights, k=rng.choice([1, 2, 5, 12, 18, 30, 70, 200]))) for _ in range(40)]
+    texts = []
+    for k in range(300):
+        body = rng.choices(some, weights, k=rng.choice([0, 3, 40, 300, 900]))
+        if k % 3 == 0:
+            item = [w if rng.random() < 0.7 else "other" for w in rng.choice(items).split()]
+            at = rng.randint(0, len(body))
+            body[at:at] = item
+        texts.append(" ".join(body))
+    w = decontaminate.tokens(pa.array(texts, pa.large_string()))
+    f, text = decontaminate.feature(w.hash), np.repeat(np.arange(len(texts)), np.diff(w.first))
+    idf = np.log(301 / (np.bincount(np.unique(text << 18 | f) & (decontaminate.FEATURES - 1), minlength=decontaminate.FEATURES) + 0.5)).clip(1).astype(np.float32)
+    index = decontaminate.Index(list(range(40)), items, idf)
+    index.project(np.eye(int(index.column.max()) + 1, dtype=np.float32))
+    want = index.confirm(w, index.candidates(w))
+    assert len(want) > 100 and sorted(index.search(w)) == sorted(want)
+    assert not index.possible(w).all()
+
+
 def test_decontaminate_recall_on_paraphrases(spark):
     """Items whose words are swapped for others that the corpus uses alike, against a check of all pairs."""
     rng = random.Random(21)
