@@ -421,6 +421,8 @@ def _numbers(op: str, state) -> list[float]:
 
 
 def _state(op: str, numbers):
+    if numbers is None:
+        return None
     if op in LAGS:
         return None if not len(numbers) else (float(numbers[0]), [float(v) for v in numbers[1:]]) if op == "RSI" else [float(v) for v in numbers]
     if np.isnan(numbers[0]):
@@ -485,12 +487,30 @@ def chunk_starts(chunked: DataFrame, keys: list[str], ops: dict[str, tuple] | No
     return maps.repartition(*series).sortWithinPartitions("_at").mapInPandas(placed, T.StructType([at, T.StructField("_start", T.ArrayType(T.DoubleType()))]))
 
 
-def _with_starts(df: DataFrame, keys: list[str], chunk, ops: dict[str, tuple] | None = None) -> DataFrame:
-    """``df`` dealt by chunk and sorted, with _chunk and each chunk's _start."""
+#: Records of a chunk at least, on the average of its series; a series of no more is not cut.
+FEW = 10_000
+
+
+def _cut(df: DataFrame, keys: list[str], chunk, few: int | None = None) -> DataFrame:
+    """``df`` with _chunk: the time of the record in units of ``chunk``, or of so many of them as hold ``few`` records.
+
+    A chunk costs some Python calls for each operator, so chunks of a few records would cost more than the records. A
+    series of up to ``few`` records is one chunk, null, for which no state has to be found.
+    """
+    few = FEW if few is None else few
     ms = parse_duration(chunk) if isinstance(chunk, str) else int(chunk)
-    dealt = df.withColumn("_chunk", F.floor(F.col("ms") / ms)).withColumn("_at", F.struct(*keys, "_chunk")).repartition("_at")
-    starts = chunk_starts(dealt.sortWithinPartitions("_at", "ms", "seq"), keys, ops)
-    return dealt.join(starts, "_at").sortWithinPartitions("_at", "ms", "seq").select(*df.columns, "_chunk", "_start")
+    unit, series = F.floor(F.col("ms") / ms), F.struct(*keys)
+    d = df.withColumn("_series", series)
+    long = d.select("_series", unit.alias("_unit")).groupBy("_series").agg(F.count("*").alias("_n"), (F.max("_unit") - F.min("_unit") + 1).alias("_units")).where(F.col("_n") > few)
+    wide = long.select("_series", F.greatest(F.lit(1), F.ceil(F.lit(few) * F.col("_units") / F.col("_n"))).alias("_wide"))
+    return d.join(wide, "_series", "left").withColumn("_chunk", F.floor(unit / F.col("_wide"))).drop("_series", "_wide")
+
+
+def _with_starts(df: DataFrame, keys: list[str], chunk, ops: dict[str, tuple] | None = None) -> DataFrame:
+    """``df`` dealt by chunk and sorted, with _chunk and each chunk's _start (null: there is no state before)."""
+    dealt = _cut(df, keys, chunk).withColumn("_at", F.struct(*keys, "_chunk")).repartition("_at")
+    starts = chunk_starts(dealt.where("_chunk is not null").sortWithinPartitions("_at", "ms", "seq"), keys, ops)
+    return dealt.join(starts, "_at", "left").sortWithinPartitions("_at", "ms", "seq").select(*df.columns, "_chunk", "_start")
 
 
 def _smooth_from(start: np.ndarray, x: np.ndarray, series: np.ndarray, share: float) -> np.ndarray:
@@ -544,6 +564,7 @@ def _carried(dealt: DataFrame, ops: dict[str, tuple], keys: list[str], given_sch
     chunks = "_start" in dealt.columns
     schema = T.StructType([*given_schema.fields, *(T.StructField(k, T.DoubleType()) for k in ops)])
     plan = [(k, o[0] if chunks else STATEFUL[o[0]][0], o[1:]) for k, o in ops.items()]
+    unknown = [np.nan] * sum(WIDTHS.get(o[0], 0) for o in ops.values())
 
     def alone(batches):
         """Chunks one by one, each from its own states; one that goes on in the next batch takes its states along."""
@@ -555,7 +576,7 @@ def _carried(dealt: DataFrame, ops: dict[str, tuple], keys: list[str], given_sch
             series = _pieces(pdf, keys)
             x = pd.to_numeric(pdf["value"], errors="coerce").to_numpy(float)
             begin = np.flatnonzero(np.r_[True, series[1:] != series[:-1]])
-            start = np.array(pdf["_start"].iloc[begin].tolist(), float)
+            start = np.array([unknown if v is None else v for v in pdf["_start"].iloc[begin]], float)
             if _keys_at(columns, 0) == now:
                 start[0] = last
             live = np.flatnonzero(~np.isnan(x))

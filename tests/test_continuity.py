@@ -58,6 +58,25 @@ def test_filters_in_chunks_are_those_of_the_whole_series(spark):
     assert sequences.filtered(df.limit(0), FILTERS, ["k"], "1h").count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 20, 250])
+def test_chunks_hold_more_than_a_few_records(spark, monkeypatch, few):
+    """Short series stay whole, sparse ones are cut more widely; whatever is cut, results are those of whole series."""
+    monkeypatch.setattr(sequences, "FEW", few)
+    rows = series(900) + [(f"short{i % 40}", 10**7 * i, 900 + i, float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, SERIES)
+    chunks = sequences._cut(df, ["k"], "40s").groupBy("k", "_chunk").count().groupBy("k").agg(F.count("*").alias("chunks"), F.sum("count").alias("n"), F.max("_chunk").alias("last")).collect()
+    assert all((r["last"] is None) == (r["n"] <= few) for r in chunks)
+    if few:
+        assert all(r["chunks"] <= r["n"] / few + 2 for r in chunks) and (few > 100 or any(r["chunks"] > 3 for r in chunks))
+    whole = {r["seq"]: r for r in sequences.filtered(df, FILTERS, ["k"]).collect()}
+    got = sequences.filtered(df, FILTERS, ["k"], "40s").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for name in FILTERS:
+            want = whole[r["seq"]][name]
+            assert (r[name] is None) == (want is None) and (want is None or r[name] == pytest.approx(want, rel=1e-9, abs=1e-9)), (name, r)
+
+
 def test_chunks_of_one_series_are_many_tasks_work(spark):
     df = spark.createDataFrame(series(50, 1), SERIES)
     plan = sequences.filtered(df, {"y": ("KF", 1.0, 0.5)}, ["k"], "1m")._jdf.queryExecution().toString()
