@@ -439,10 +439,9 @@ def _typed(op: str, args) -> tuple:
     return tuple(float(a) if op in ("FOF", "DEJUMP", "KF") else int(a) for a in args)
 
 
-def chunk_starts(chunked: DataFrame, keys: list[str], ops: dict[str, tuple] | None = None) -> DataFrame:
-    """(_at, _start): each chunk's states before its first record, operator by operator, from ``chunked`` (sorted by _at).
+def chunk_maps(chunked: DataFrame, keys: list[str], ops: dict[str, tuple] | None = None) -> DataFrame:
+    """(_at, _map): what each chunk does to the states of all operators, from ``chunked`` (sorted by _at).
 
-    Every chunk is summed up by itself; the few numbers of all chunks of a series are then put together in their order.
     Without ``ops`` each series has an operator of its own, _op with the numbers _args.
     """
     at, by = chunked.schema["_at"], [*keys, "_chunk"]
@@ -469,6 +468,17 @@ def chunk_starts(chunked: DataFrame, keys: list[str], ops: dict[str, tuple] | No
         if held is not None:
             yield pd.DataFrame({"_at": [key], "_map": [pickle.dumps(held)]})
 
+    own = ["_op", "_args"] if ops is None else []
+    return chunked.select("_at", *by, "value", *own).mapInPandas(summed, T.StructType([at, T.StructField("_map", T.BinaryType())]))
+
+
+def chunk_starts(chunked: DataFrame, keys: list[str], ops: dict[str, tuple] | None = None) -> DataFrame:
+    """(_at, _start): each chunk's states before its first record, operator by operator; see chunk_maps.
+
+    Every chunk is summed up by itself; the few numbers of all chunks of a series are then put together in their order.
+    """
+    at = chunked.schema["_at"]
+
     def placed(batches):
         now, states = None, {}
         for pdf in batches:
@@ -481,10 +491,8 @@ def chunk_starts(chunked: DataFrame, keys: list[str], ops: dict[str, tuple] | No
                 states = {k: c.after(states[k]) for k, (_, c) in maps.items()}
             yield pd.DataFrame({"_at": pdf["_at"], "_start": starts})
 
-    own = ["_op", "_args"] if ops is None else []
-    maps = chunked.select("_at", *by, "value", *own).mapInPandas(summed, T.StructType([at, T.StructField("_map", T.BinaryType())]))
     series = [F.col(f"_at.{k}") for k in keys]
-    return maps.repartition(*series).sortWithinPartitions("_at").mapInPandas(placed, T.StructType([at, T.StructField("_start", T.ArrayType(T.DoubleType()))]))
+    return chunk_maps(chunked, keys, ops).repartition(*series).sortWithinPartitions("_at").mapInPandas(placed, T.StructType([at, T.StructField("_start", T.ArrayType(T.DoubleType()))]))
 
 
 #: Records of a chunk at least, on the average of its series; a series of no more is not cut.
@@ -616,16 +624,56 @@ def _carried(dealt: DataFrame, ops: dict[str, tuple], keys: list[str], given_sch
     return dealt.mapInPandas(alone if chunks else work, schema)
 
 
-def sequenced(df: DataFrame, keys: list[str], chunk=None) -> DataFrame:
-    """``df`` with value replaced by the result of each series' own operator _op with the numbers _args.
+def goes_on(df: DataFrame, held: DataFrame | None, keys: list[str], chunk, save) -> tuple[DataFrame, DataFrame]:
+    """``sequenced`` for records that come after others: the result, and the states of all series behind them.
 
-    As ``filtered``: one sort, and in each batch one pass per operator and arguments over all their series. Records that
-    have no result yet go; a null value gives a null and leaves the state as it is. ``chunk``: see ``filtered``; lag
-    operators are cut too.
+    ``held`` (_series, _n, _held) is what the records before have left: a struct of the series' keys, the n of a lag
+    operator and the numbers of the state. Where _epoch changes, a series has other _args; a lag operator with another n
+    starts anew, a filter goes on. ``save`` writes a DataFrame that is read more than once and reads it back.
     """
+    by = [*keys, "_epoch"]
+    cut = _cut(df, keys, chunk).withColumn("_chunk", F.coalesce("_chunk", F.lit(0).cast("long")))
+    dealt = cut.withColumn("_at", F.struct(*by, "_chunk")).repartition("_at").sortWithinPartitions("_at", "ms", "seq")
+    maps = chunk_maps(dealt, by).withColumn("_series", F.struct(*(F.col(f"_at.{k}").alias(k) for k in keys)))
+    if held is None:
+        met = maps.withColumn("_n", F.lit(None).cast("long")).withColumn("_held", F.lit(None).cast("array<double>"))
+    else:
+        met = maps.join(held, "_series", "left")
+    numbers = T.ArrayType(T.DoubleType())
+    schema = T.StructType([met.schema["_at"], met.schema["_series"], T.StructField("_n", T.LongType()), T.StructField("_start", numbers), T.StructField("_held", numbers)])
+
+    def placed(batches):
+        now, n, state = None, None, None
+        for pdf in batches:
+            starts, ends, ns = [], [], []
+            for at, m, old, kept in zip(pdf["_at"], pdf["_map"], pdf["_n"], pdf["_held"]):
+                own, (op, change) = tuple(at[k] for k in keys), pickle.loads(m)["_"]
+                if own != now:
+                    now, n, state = own, None if pd.isna(old) else int(old), _state(op, kept)
+                if op in LAGS and n != change.n:
+                    n, state = change.n, None
+                starts.append(_numbers(op, state))
+                state = change.after(state)
+                ends.append(_numbers(op, state))
+                ns.append(n)
+            yield pd.DataFrame({"_at": pdf["_at"], "_series": pdf["_series"], "_n": pd.array(ns, "Int64"), "_start": starts, "_held": ends})
+
+    starts = save(met.repartition("_series").sortWithinPartitions("_series", "_at").mapInPandas(placed, schema), "starts")
+    last = F.max_by(F.struct("_n", "_held"), F.struct("_at._epoch", "_at._chunk"))
+    states = starts.groupBy("_series").agg(last.alias("_s")).select("_series", "_s._n", "_s._held")
+    if held is not None:
+        states = held.join(states, "_series", "left_anti").unionByName(states)
+    out = dealt.join(starts.select("_at", "_start"), "_at").sortWithinPartitions("_at", "ms", "seq")
+    return _each_sequenced(out.select(*df.columns, "_chunk", "_start"), df, by), states
+
+
+def _told(pdf: pd.DataFrame, result: np.ndarray) -> pd.DataFrame:
+    return pdf.assign(value=pd.Series(result, pdf.index).where(np.isfinite(result), None).astype(object), _there=~np.isnan(result))
+
+
+def _each_sequenced(started: DataFrame, df: DataFrame, keys: list[str]) -> DataFrame:
+    """The results of sorted chunks, each by its own _op and _args from its _start; see sequenced."""
     cols = df.columns
-    schema = T.StructType([*(T.StructField(f.name, T.DoubleType()) if f.name == "value" else f for f in df.schema.fields), T.StructField("_there", T.BooleanType())])
-    told = lambda pdf, result: pdf.assign(value=pd.Series(result, pdf.index).where(np.isfinite(result), None).astype(object), _there=~np.isnan(result))
 
     def alone(batches):
         now, state = None, None
@@ -641,8 +689,28 @@ def sequenced(df: DataFrame, keys: list[str], chunk=None) -> DataFrame:
                 live = a + np.flatnonzero(~np.isnan(x[a:b]))
                 if len(live):
                     result[live], state = STATEFUL[op][0](state, x[live], np.zeros(len(live), int), *_typed(op, pdf["_args"].iat[a]))
-            yield told(pdf[cols], result)
+            yield _told(pdf[cols], result)
+
+    return _rounded(started.mapInPandas(alone, _sequence_schema(df)), cols)
+
+
+def _sequence_schema(df: DataFrame) -> T.StructType:
+    return T.StructType([*(T.StructField(f.name, T.DoubleType()) if f.name == "value" else f for f in df.schema.fields), T.StructField("_there", T.BooleanType())])
 
+
+def _rounded(out: DataFrame, cols: list[str]) -> DataFrame:
+    places = F.expr("case _op " + " ".join(f"when '{o}' then cast(round(cast(value as decimal(28,10)), {p}) as double)" for o, (_, p) in STATEFUL.items() if p is not None) + " else value end")
+    return out.where("_there").withColumn("value", places).select(*cols)
+
+
+def sequenced(df: DataFrame, keys: list[str], chunk=None) -> DataFrame:
+    """``df`` with value replaced by the result of each series' own operator _op with the numbers _args.
+
+    As ``filtered``: one sort, and in each batch one pass per operator and arguments over all their series. Records that
+    have no result yet go; a null value gives a null and leaves the state as it is. ``chunk``: see ``filtered``; lag
+    operators are cut too.
+    """
+    cols = df.columns
     def work(batches):
         now, state = None, None
         for pdf in batches:
@@ -665,14 +733,11 @@ def sequenced(df: DataFrame, keys: list[str], chunk=None) -> DataFrame:
                 if spec[0][-1] == k:
                     after = end if len(part) and part[-1] == series[-1] else given if series[-1] == 0 else None
             state = after
-            yield told(pdf, result)
+            yield _told(pdf, result)
 
-    if chunk is None:
-        out = df.repartition(*keys).sortWithinPartitions(*keys, "ms", "seq").mapInPandas(work, schema)
-    else:
-        out = _with_starts(df, keys, chunk).mapInPandas(alone, schema)
-    rounded = F.expr("case _op " + " ".join(f"when '{o}' then cast(round(cast(value as decimal(28,10)), {p}) as double)" for o, (_, p) in STATEFUL.items() if p is not None) + " else value end")
-    return out.where("_there").withColumn("value", rounded).select(*cols)
+    if chunk is not None:
+        return _each_sequenced(_with_starts(df, keys, chunk), df, keys)
+    return _rounded(df.repartition(*keys).sortWithinPartitions(*keys, "ms", "seq").mapInPandas(work, _sequence_schema(df)), cols)
 
 
 def filter_stage(df: DataFrame, op: str, args: tuple, keys: list[str], chunk=None) -> DataFrame:

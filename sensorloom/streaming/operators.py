@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..functions.times import parse_duration, round_half_up
+from ..functions.times import parse_duration
 from ..operators.enrich import enrich
-from ..operators.sequences import LAGS, STATEFUL
-from ..operators.sequences import _parts as chunked
+from ..operators.sequences import epochs, goes_on
 from ..operators.windows import EXACT, finish, moments
 from ..plans.spec import Stage
 from . import chains
@@ -117,37 +116,52 @@ def stream_arrival_windows(df: DataFrame, op: str, keys: list[str], size: str, s
     return plain.groupBy(*keys).transformWithStateInPandas(_Arrivals(op, keys, parse_duration(size), parse_duration(slide)), schema, "append", "ProcessingTime")
 
 
-def stream_sequence(df: DataFrame, op: str, args: tuple, keys: list[str] | str, changing: Column | None = None) -> DataFrame:
+class Sequence:
+    """A sequence operator on a stream: each micro-batch is a batch job that goes on from the states of the one before.
+
+    Spark sorts a micro-batch and deals long series in chunks to many tasks, which read them in Arrow batches; so neither
+    a long series nor a large micro-batch needs more memory than a small one. The states stand in a table per micro-batch
+    in the query's folder. One that is repeated after a failure begins with the same states, and writes the same again.
+    """
+
+    def __init__(self, df: DataFrame, op: str, args: tuple, keys: list[str], changing: Column | None, chunk):
+        own = [F.lit(float(a)) for a in args]
+        numbers = F.array(*(own if changing is None else [changing.cast("double"), *own[1:]]))
+        self.df = df.select(*keys, "ms", "seq", F.col("value").cast("double").alias("value"), F.lit(op).alias("_op"), numbers.alias("_args"))
+        self.keys, self.varies, self.chunk = keys, changing is not None, chunk
+        self.schema = self.df.drop("_op", "_args").schema
+
+    def start(self, path: str):
+        """Run over all there is now: results go to ``path``/out, one folder per micro-batch, states to ``path``/state."""
+        spark = self.df.sparkSession
+
+        def batch(rows: DataFrame, number: int) -> None:
+            held = spark.read.parquet(f"{path}/state/{number - 1}") if number else None
+
+            def save(df: DataFrame, name: str) -> DataFrame:
+                df.write.mode("overwrite").parquet(f"{path}/{name}/{number}")
+                return spark.read.schema(df.schema).parquet(f"{path}/{name}/{number}")
+
+            rows = epochs(rows, self.keys, F.col("_args")[0], self.chunk) if self.varies else rows.withColumn("_epoch", F.lit(0).cast("long"))
+            out, states = goes_on(rows, held, self.keys, self.chunk, save)
+            out.select(*self.schema.names).write.mode("overwrite").parquet(f"{path}/out/batch={number}")
+            states.write.mode("overwrite").parquet(f"{path}/state/{number}")
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+            for old in (f"starts/{number}", f"state/{number - 2}"):  # no micro-batch begins with them any more
+                store.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{old}"), True)
+
+        return self.df.writeStream.foreachBatch(batch).option("checkpointLocation", f"{path}/check").trigger(availableNow=True).start()
+
+
+def stream_sequence(df: DataFrame, op: str, args: tuple, keys: list[str] | str, changing: Column | None = None, chunk="1d") -> Sequence:
     """keys, ms, seq, value of LAST, VAR, TREND, RSI or a recursive filter over each key's records in arrival order.
 
     Of one micro-batch a key's records are taken by (ms, seq). The state is a few numbers per key. ``changing`` is the n
     of a lag operator as each record brings it; a lag operator whose n differs from the one before starts anew. A null
-    value gives null and leaves the state as it is.
+    value gives null and leaves the state as it is. Run it with ``replay``. ``chunk``: see sequences.filtered.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    f, places = STATEFUL[op]
-    varies = changing is not None
-
-    def work(k, pdfs, state):
-        pdf = pd.concat(list(pdfs)).sort_values(["ms", "seq"])
-        held = json.loads(state.get[0]) if state.exists else None
-        n, before = (held["n"], held["v"]) if held else (None, None)
-        x, each = pdf["value"].astype(float).to_numpy(), pdf["_n"].to_numpy()
-        out = np.full(len(x), np.inf)
-        for a, b in chunked(each):
-            own = (int(each[a]), *args[1:]) if varies else args
-            before = before if op not in LAGS or n == own[0] else None
-            n, live = own[0], a + np.flatnonzero(~np.isnan(x[a:b]))
-            if len(live):
-                out[live], before = f(before, x[live], np.zeros(len(live), int), *own)
-        state.update((json.dumps({"n": n, "v": before}),))
-        there = ~np.isnan(out)
-        value = pd.Series(out[there]).where(np.isfinite(out[there]), None).astype(object).tolist()
-        yield pd.DataFrame({**{n: [v] * int(there.sum()) for n, v in zip(keys, k)}, "ms": pdf["ms"][there].tolist(), "seq": pdf["seq"][there].tolist(), "value": value})
-
-    plain = df.select(*keys, "ms", "seq", F.col("value").cast("double").alias("value"), (F.lit(0) if changing is None else changing).cast("long").alias("_n"))
-    out = plain.groupBy(*keys).applyInPandasWithState(work, f"{_columns(df, keys)}, ms long, seq long, value double", "held string", "append", GroupStateTimeout.NoTimeout)
-    return out if places is None else out.withColumn("value", round_half_up(F.col("value"), places))
+    return Sequence(df, op, args, [keys] if isinstance(keys, str) else list(keys), changing, chunk)
 
 
 def stream_match(df: DataFrame, steps: list[Column], keys: list[str], within: int | None = None, after: list[Column] | None = None, switch: Column | None = None) -> DataFrame:
@@ -255,8 +269,11 @@ def stream_assemble(df: DataFrame, need: dict[str, int], wait_ms: int = 3000, la
     return out if incomplete else out.where("complete").drop("complete", "missing")
 
 
-def replay(df: DataFrame, path: str, mode: str = "append"):
+def replay(df: DataFrame | Sequence, path: str, mode: str = "append"):
     """Run a stream over all there is now into Parquet under ``path`` and read it back."""
+    if isinstance(df, Sequence):
+        df.start(path).awaitTermination()
+        return df.df.sparkSession.read.schema(df.schema).parquet(f"{path}/out/batch=*")
     q = df.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/check").outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}/out")

@@ -208,6 +208,35 @@ def test_chains_in_a_stream_are_those_of_a_batch(spark, tmp_path):
     assert off == []
 
 
+@pytest.mark.parametrize("op,args,varies", [("LAST", (3,), False), ("RSI", (4,), False), ("KF", (1.0, 0.5), False), ("LAST", (1,), True)])
+def test_long_series_of_a_stream_are_cut(spark, tmp_path, monkeypatch, op, args, varies):
+    """A micro-batch's series is many chunks, each from its own state; the states outlast a restart."""
+    monkeypatch.setattr(sequences, "FEW", 0)
+    rows = series(500)
+    lag = lambda ms: ms // 100_000 % 2 + 1 if varies else args[0]
+    want = {}
+    for k in {r[0] for r in rows}:
+        state, n = None, None
+        for _, ms, seq, v in (r for r in rows if r[0] == k):
+            state, n = (None if n not in (None, lag(ms)) else state), lag(ms)
+            out = [np.inf]
+            if v is not None:
+                out, state = sequences.STATEFUL[op][0](state, np.array([v]), np.zeros(1, int), n, *args[1:])
+            if not np.isnan(out[0]):
+                want[seq] = None if np.isinf(out[0]) else float(out[0])
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema(SERIES).parquet(str(tmp_path / "in"))
+    changing = (F.floor(F.col("ms") / 100_000) % 2 + 1) if varies else None
+    for k, part in enumerate((rows[:300], rows[300:310], rows[310:])):
+        spark.createDataFrame(part, SERIES).write.mode("append").parquet(str(tmp_path / "in"))
+        got = streams.replay(streams.stream_sequence(source, op, args, "k", changing, chunk="60s"), str(tmp_path / "run"))
+        held = spark.read.parquet(str(tmp_path / "run" / "state" / str(k)))
+        assert held.count() == held.select("_series").distinct().count() == 4
+    got = {r["seq"]: r["value"] for r in got.collect()}
+    assert got.keys() == want.keys() and len(got) > 300
+    assert all((want[s] is None) == (v is None) and (v is None or v == pytest.approx(want[s], abs=1.1e-4)) for s, v in got.items())
+
+
 def test_late_records_and_formulas_in_a_stream(spark, tmp_path):
     """What comes within the lateness counts in its order; what comes after that goes. A message closes with its span."""
     t = 1_704_067_200_000
